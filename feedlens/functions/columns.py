@@ -166,11 +166,21 @@ def poisson1_weight(h_u32: Column) -> Column:
 
 # ---------------------------------------------------------------- output helpers
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every double column (for engine-independent comparison)."""
+    """Round every double column (for engine-independent comparison).
+
+    Values are first snapped to a 1e-9 grid, so that results differing only by
+    summation order (and sitting on an exact decimal tie such as 0.2680625) become
+    the same double; then round(x * 10^p) / 10^p rounds that binary value (as other
+    engines do; Spark's round(x, p) rounds the shortest decimal form), and + 0.0
+    turns -0.0 into 0.0.
+    """
+    scale = float(10 ** places)
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), places).alias(f.name))
+            x = F.col(f.name).cast("double")
+            snapped = F.round(x * 1e9) / 1e9
+            cols.append((F.round(snapped * scale) / scale + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

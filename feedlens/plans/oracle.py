@@ -31,7 +31,8 @@ def _sql(select: str, *ctes: str, doubles=()) -> str:
     body = "WITH " + ",\n".join((FIXTURE,) + ctes) + "\n" + select
     if not doubles:
         return body
-    rep = ", ".join(f'round("{x}", 6) AS "{x}"' for x in doubles)
+    rep = ", ".join(f'round(round("{x}" * 1000000000.0) / 1000000000.0 * 1000000.0) / 1000000.0 + 0.0 AS "{x}"'
+                    for x in doubles)
     return f"SELECT * REPLACE ({rep}) FROM (\n{body}\n) q"
 
 
