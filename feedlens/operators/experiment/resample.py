@@ -85,8 +85,9 @@ def aa_subsamples(um: DataFrame, a, b, n_iter: int, k: int, seed: int = 0,
             raise ValueError(f"group {grp} has {sizes.get(grp, 0)} users with a defined "
                              f"{value}; cannot draw {k} without replacement")
     h = _hash("user_id", "iter", group_col, hash_mode, seed)
-    thr = (F.when(g == a, F.lit(int(_thin_fraction(k, sizes[a]) * U32)))
-           .otherwise(F.lit(int(_thin_fraction(k, sizes[b]) * U32))))
+    frac = {grp: _thin_fraction(k, sizes[grp]) for grp in (a, b)}
+    thr = (F.when(g == a, F.lit(int(frac[a] * U32)))
+           .otherwise(F.lit(int(frac[b] * U32))))
     order = Window.partitionBy("iter", group_col).orderBy("h", "user_id")
 
     def draw(iters_col, thinned: bool) -> DataFrame:
@@ -96,7 +97,10 @@ def aa_subsamples(um: DataFrame, a, b, n_iter: int, k: int, seed: int = 0,
         return (x.withColumn("rn", F.row_number().over(order))
                 .filter(F.col("rn") <= k).select("iter", group_col, "user_id", value))
 
-    thin = draw(F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))), True).persist()
+    all_iters = F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1)))
+    if frac[a] >= 1.0 and frac[b] >= 1.0:
+        return draw(all_iters, False)  # nothing to thin: exact as it stands
+    thin = draw(all_iters, True).persist()
     complete = (thin.groupBy("iter").agg(F.count("*").alias("c"))
                 .filter(F.col("c") == 2 * k).select("iter"))
     if complete.count() == n_iter:

@@ -22,8 +22,11 @@ def _ddl(schema, partition_cols) -> str:
 def _ensure(spark: SparkSession, name: str, schema, partition_cols, location=None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
     parts = ", ".join(partition_cols)
+    # The table itself carries dynamic partition overwrite: a rerun for a day
+    # replaces that day's partition only.
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema, partition_cols)}) "
-              f"USING parquet PARTITIONED BY ({parts}){loc}")
+              f"USING parquet OPTIONS ('partitionOverwriteMode' 'dynamic') "
+              f"PARTITIONED BY ({parts}){loc}")
 
 
 def ensure_cube_table(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -32,11 +35,21 @@ def ensure_cube_table(spark: SparkSession, name: str, location: str | None = Non
 
 
 def _overwrite_partitions(df: DataFrame, name: str) -> None:
-    # insertInto is positional: select in the table's column order.
-    table_cols = df.sparkSession.table(name).columns
-    (df.select(*table_cols).write
-     .option("partitionOverwriteMode", "dynamic")
-     .insertInto(name, overwrite=True))
+    """Overwrite only the partitions present in ``df``.
+
+    Tables made by ``_ensure`` carry the dynamic mode as a table option; for tables
+    created elsewhere the session setting is switched for the duration of the
+    write. insertInto is positional, so columns are selected in table order.
+    """
+    spark = df.sparkSession
+    table_cols = spark.table(name).columns
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.select(*table_cols).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def write_cube(df: DataFrame, name: str) -> None:

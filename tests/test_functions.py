@@ -1,0 +1,72 @@
+import datetime as dt
+import math
+
+import duckdb
+from pyspark.sql import functions as F
+
+from feedlens.functions.columns import (
+    U32, age_group, gender_label, md5_u32, poisson1_thresholds, poisson1_weight, ratio,
+    round_doubles, slot_start, week_start, xx_u32,
+)
+
+
+def test_ratio_zero_denominator_is_null(spark):
+    df = spark.createDataFrame([(1, 0), (1, 4), (None, 2), (0, 0)], "n long, d long")
+    got = [r[0] for r in df.select(ratio("n", "d")).collect()]
+    assert got == [None, 0.25, None, None]
+
+
+def test_age_bins_reference_gap_and_fixed(spark):
+    df = spark.createDataFrame([(a,) for a in (None, 15, 20, 21, 30, 31, 32, 40, 41)], "age int")
+    ref = [r[0] for r in df.select(age_group("age", "reference")).collect()]
+    fixed = [r[0] for r in df.select(age_group("age", "fixed")).collect()]
+    assert ref == ["41+", "0 - 20", "0 - 20", "21-30", "21-30", "41+", "31-40", "31-40", "41+"]
+    assert fixed == ["41+", "0 - 20", "0 - 20", "21-30", "21-30", "31-40", "31-40", "31-40", "41+"]
+
+
+def test_gender_label_null_is_female(spark):
+    df = spark.createDataFrame([(1,), (0,), (None,), (2,)], "gender int")
+    assert [r[0] for r in df.select(gender_label()).collect()] == ["male", "female", "female", "female"]
+
+
+def test_week_start_and_slot_floor(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 14, 23, 59, 59),), (dt.datetime(2024, 1, 15, 0, 14, 0),)],
+                               "t timestamp_ntz")
+    out = df.select(week_start(F.to_date("t")).alias("w"), slot_start("t").alias("s"))
+    assert dict(out.dtypes)["s"] == "timestamp_ntz"
+    rows = out.collect()
+    assert [r.w for r in rows] == [dt.date(2024, 1, 8), dt.date(2024, 1, 15)]
+    assert [r.s for r in rows] == [dt.datetime(2024, 1, 14, 23, 45), dt.datetime(2024, 1, 15, 0, 0)]
+
+
+def test_md5_hash_is_portable_to_duckdb(spark):
+    keys = [(u, r) for u in (0, 7, 123456789) for r in (0, 1, 1999)]
+    df = spark.createDataFrame(keys, "u long, r int")
+    got = [row[0] for row in df.select(md5_u32("u", "r")).collect()]
+    con = duckdb.connect()
+    want = [con.execute(f"SELECT CAST('0x' || substr(md5('{u}-{r}'), 1, 8) AS BIGINT)").fetchone()[0]
+            for u, r in keys]
+    assert got == want
+
+
+def test_poisson_weights_have_mean_and_variance_one(spark):
+    th = poisson1_thresholds()
+    assert th == sorted(th) and th[-1] == U32
+    # exact distribution implied by the thresholds
+    probs = [(th[0])] + [th[k] - th[k - 1] for k in range(1, len(th))]
+    mean = sum(k * p for k, p in enumerate(probs)) / U32
+    var = sum(k * k * p for k, p in enumerate(probs)) / U32 - mean ** 2
+    # 32-bit resolution truncates the far tail: exact up to ~1e-7
+    assert abs(mean - 1) < 1e-6 and abs(var - 1) < 1e-6
+    df = spark.range(200000).select(poisson1_weight(xx_u32("id", seed=3)).alias("w"))
+    m, v = df.agg(F.avg("w"), F.var_samp("w")).first()
+    assert abs(m - 1) < 0.01 and abs(v - 1) < 0.02
+    assert math.isclose(th[0] / U32, math.exp(-1), rel_tol=1e-9)
+
+
+def test_round_doubles_normalises_ties_and_negative_zero(spark):
+    # 1.23456749999 first snaps to the 1e-9 grid (1.2345675), then rounds half-up
+    df = spark.createDataFrame([(-1e-17,), (0.0078125,), (1.23456749999,), (1.2345674,)], "x double")
+    got = [r[0] for r in round_doubles(df).collect()]
+    assert got == [0.0, 0.007813, 1.234568, 1.234567]
+    assert math.copysign(1, got[0]) == 1
