@@ -299,3 +299,26 @@ def _aa_summary(feed, msgs, sf):
 @query("ab_summary")
 def _ab_summary(feed, msgs, sf):
     return ab.ab_summary(feed, AB_A, AB_B, AB_LO, AB_HI, ALPHA_SMOOTH, N_BUCKETS, N_BOOT)
+
+
+# ------------------------------------------------------------------ streaming
+def _stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events file as a stream -> closed 15-minute slots (foreachBatch sink)."""
+    import os
+    import uuid
+
+    from feedlens.session import checkpoint_dir
+    from feedlens.sources.fixtures import feed_from_events, messages_from_events
+    from feedlens.streaming import start_slot_job, stream_events
+
+    ev = stream_events(spark, sf_dir)
+    out = os.path.join(checkpoint_dir(spark), f"stream-slots-{uuid.uuid4().hex}")
+    q = start_slot_job(spark, feed_from_events(spark, ev), messages_from_events(spark, ev), out,
+                       checkpoint=os.path.join(out, "_checkpoint"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return round_doubles(spark.read.parquet(os.path.join(out, "slots")).drop("batch_id"), 6)
+
+
+_REGISTRY["stream_slot_metrics"] = _stream_slots

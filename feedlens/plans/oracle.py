@@ -380,4 +380,8 @@ def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
         UM_AB, *BOOT_CTES,
         doubles=["mean_diff", "min_diff", "max_diff", "p025", "p975", "share_positive"])
     q["aa_subsample_stats"] = _aa_sql(c.aa_k(sf_dir))
+    q["stream_slot_metrics"] = _sql(
+        "SELECT * FROM slots WHERE ts + INTERVAL 15 MINUTE <= "
+        "(SELECT max(time) FROM (SELECT time FROM feed_actions UNION ALL SELECT time FROM message_actions) x)",
+        *(ct.replace(f"WHERE {SLOT_WHERE} ", "") for ct in SLOT_CTES), doubles=["CTR"])
     return q
