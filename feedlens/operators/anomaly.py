@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import hm, ratio, slot_start
-from feedlens.operators.filters import closed_slots
+from feedlens.operators.filters import closed_slots, closed_slots_range
 
 METRICS = ["users_feed", "views", "likes", "CTR", "users_mess", "sent_mess"]
 
@@ -32,14 +34,37 @@ def finish_slots(feed_agg: DataFrame, msg_agg: DataFrame) -> DataFrame:
                     "users_mess", "sent_mess"))
 
 
-def slot_metrics(feed: DataFrame, msgs: DataFrame, as_of, minutes: int = 15) -> DataFrame:
+def slot_spine(spark, lo, hi, minutes: int = 15) -> DataFrame:
+    """Every slot start in [lo, hi): at most one row per slot of the range."""
+    step = F.expr(f"INTERVAL {minutes} MINUTES")
+    last = hi - dt.timedelta(minutes=minutes)
+    if last < lo:
+        return spark.range(0).select(F.lit(None).cast("timestamp_ntz").alias("ts"))
+    return spark.range(1).select(F.explode(F.sequence(
+        F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"),
+        F.lit(last.isoformat(sep=" ")).cast("timestamp_ntz"), step)).alias("ts"))
+
+
+def slot_metrics(feed: DataFrame, msgs: DataFrame, as_of, minutes: int = 15,
+                 fill_gaps: bool = False) -> DataFrame:
     """Per closed slot from the start of yesterday to as_of's slot.
 
     Both sides are aggregated before the join; each side is a handful of rows per
-    slot, so the join is tiny whatever the event volume.
+    slot, so the join is tiny whatever the event volume. By default only slots
+    present in both tables appear (so "n previous slots" means n previous rows,
+    Q11); ``fill_gaps=True`` joins a slot spine instead and reports empty slots
+    with zero counts (CTR NULL).
     """
-    return finish_slots(feed_slots(closed_slots(feed, as_of, minutes), minutes),
-                        message_slots(closed_slots(msgs, as_of, minutes), minutes))
+    f = feed_slots(closed_slots(feed, as_of, minutes), minutes)
+    m = message_slots(closed_slots(msgs, as_of, minutes), minutes)
+    if not fill_gaps:
+        return finish_slots(f, m)
+    lo, hi = closed_slots_range(as_of, minutes)
+    spine = slot_spine(feed.sparkSession, lo, hi, minutes)
+    zero = {c: 0 for c in ("users_feed", "views", "likes", "users_mess", "sent_mess")}
+    full = spine.join(f, "ts", "left").join(m, "ts", "left").na.fill(zero)
+    return finish_slots(full.select("ts", "users_feed", "views", "likes"),
+                        full.select("ts", "users_mess", "sent_mess"))
 
 
 def unpivot_metrics(slots: DataFrame, metrics=None, key: str = "ts") -> DataFrame:

@@ -43,9 +43,22 @@ def feed_day_totals(feed: DataFrame, d) -> DataFrame:
                     ratio("likes", "views").alias("CTR"), "DAU"))
 
 
-def active_users(feed: DataFrame, d, approx: bool = False) -> DataFrame:
-    """Distinct feed users on day d; always one row (K7)."""
-    return on_day(feed, d).agg(_distinct_users(approx=approx).alias("total"))
+def active_users(feed: DataFrame, d, approx: bool = False, population: str = "feed",
+                 msgs: DataFrame | None = None) -> DataFrame:
+    """Distinct users on day d; always one row (K7).
+
+    population='feed' counts feed users (the source job left-joins messages but
+    counts feed users only, Q8); 'either' counts users active in the feed or
+    sending messages (needs ``msgs``).
+    """
+    users = on_day(feed, d).select("user_id")
+    if population == "either":
+        if msgs is None:
+            raise ValueError("population='either' needs the message table")
+        users = users.unionByName(on_day(msgs, d).select("user_id"))
+    elif population != "feed":
+        raise ValueError("population must be 'feed' or 'either'")
+    return users.agg(_distinct_users(approx=approx).alias("total"))
 
 
 def _first_seen(feed: DataFrame, d, keys: list[str]) -> DataFrame:
