@@ -34,20 +34,34 @@ def messages_by_user(msgs: DataFrame, d) -> DataFrame:
     """Per sender on day d: messages and distinct receivers sent, and messages and
     distinct senders received (0 when none) (K4). Receive-only users are absent.
 
-    Both sides are aggregated before the join, so the join input is one row per
-    user on each side; AQE picks broadcast or sort-merge from runtime sizes.
+    One scan: every message becomes a 'sent' row for its sender and a 'received'
+    row for its receiver. A first aggregate per (user, role, partner) -- shuffled
+    on all three, so a user with many partners is spread over many tasks -- gives
+    the distinct partners; a second, per user, sums up (both partial map-side).
+    Equivalent to aggregating senders and receivers separately and left-joining
+    receivers onto senders, without the second scan and the join.
     """
     day = on_day(msgs, d)
-    sent = (day.groupBy("user_id")
-            .agg(F.count("reciever_id").alias("messages_sent"),
-                 F.count_distinct("reciever_id").alias("users_sent")))
-    received = (day.groupBy(F.col("reciever_id").alias("rid"))
-                .agg(F.count("user_id").alias("messages_received"),
-                     F.count_distinct("user_id").alias("users_received")))
-    return (sent.join(received, sent["user_id"] == received["rid"], "left")
-            .select("user_id", "messages_sent", "users_sent",
-                    F.coalesce("messages_received", F.lit(0)).alias("messages_received"),
-                    F.coalesce("users_received", F.lit(0)).alias("users_received")))
+    roles = day.select(F.explode(F.array(
+        F.struct(F.col("user_id").alias("u"), F.col("reciever_id").alias("partner"),
+                 F.lit(True).alias("sent")),
+        F.struct(F.col("reciever_id").alias("u"), F.col("user_id").alias("partner"),
+                 F.lit(False).alias("sent")))).alias("r")).select("r.*")
+    # a NULL receiver receives nothing; a NULL sender still forms a sender group
+    roles = roles.filter(F.col("sent") | F.col("u").isNotNull())
+    per_partner = (roles.groupBy("u", "sent", "partner")
+                   .agg(F.count("partner").alias("n")))
+    sent, recv = F.col("sent"), ~F.col("sent")
+    has_partner = F.col("partner").isNotNull()
+    per_user = per_partner.groupBy("u").agg(
+        F.max(sent.cast("int")).alias("is_sender"),
+        F.coalesce(F.sum(F.when(sent, F.col("n"))), F.lit(0)).alias("messages_sent"),
+        F.count_if(sent & has_partner).alias("users_sent"),
+        F.coalesce(F.sum(F.when(recv, F.col("n"))), F.lit(0)).alias("messages_received"),
+        F.count_if(recv & has_partner).alias("users_received"))
+    return (per_user.filter(F.col("is_sender") == 1)
+            .select(F.col("u").alias("user_id"), "messages_sent", "users_sent",
+                    "messages_received", "users_received"))
 
 
 def merged_by_user(feed: DataFrame, msgs: DataFrame, d, age_bins="fixed") -> DataFrame:
