@@ -9,13 +9,19 @@ the classic continued fraction (modified Lentz), vectorised with numpy.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship this module's code with the UDFs (pickle by value), so Python workers need
+# only numpy/pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TINY = 1e-300
 _lgamma = np.vectorize(math.lgamma, otypes=[float])
 _erfc = np.vectorize(math.erfc, otypes=[float])

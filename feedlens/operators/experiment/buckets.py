@@ -41,7 +41,13 @@ def bucket_metrics(feed: DataFrame, groups, lo, hi, n_buckets: int = 50, q: floa
     Bucket ids come from xxhash64 by default (hash_mode='md5' for a portable hash);
     any hash gives an equally valid random partition of users.
     """
-    ub = bucket_user_metrics(feed, groups, lo, hi, n_buckets, hash_mode)
+    return bucket_metrics_from_users(user_metrics(feed, groups, lo, hi), n_buckets, q, hash_mode)
+
+
+def bucket_metrics_from_users(um: DataFrame, n_buckets: int = 50, q: float = 0.9,
+                              hash_mode: str = "xxhash64") -> DataFrame:
+    """bucket_metrics over an existing per-user table (exp_group, user_id, likes, views, ctr)."""
+    ub = um.withColumn("bucket", bucket_of("user_id", n_buckets, hash_mode))
     keys = ["exp_group", "bucket"]
     ratio_part = ub.groupBy(*keys).agg(ratio(F.sum("likes"), F.sum("views")).alias("bucket_ctr"))
     q_part = index_quantile(ub, keys, "ctr", q, "ctr9")

@@ -19,15 +19,18 @@ from pyspark.sql import functions as F
 from feedlens.functions.pvalue import z_pvalue
 
 
-def _bucket_expr(v, cuts):
-    """Number of cut points strictly below v: monotone in v, in [0, len(cuts)]."""
-    if not cuts:
-        return F.lit(0)
-    out = None
-    for c in cuts:
-        term = F.when(v > F.lit(c), 1).otherwise(0)
-        out = term if out is None else out + term
-    return out
+MAX_BUCKETS = 1024
+
+
+def _bucket_expr(v, cuts, lo: int = 0, hi: int | None = None, base: int = 0):
+    """Number of cut points strictly below v (monotone in v, in [0, len(cuts)]), as a
+    balanced binary search: log2(len(cuts)) comparisons per value."""
+    hi = len(cuts) if hi is None else hi
+    if lo == hi:
+        return F.lit(base)
+    mid = (lo + hi) // 2
+    return F.when(v > F.lit(cuts[mid]), _bucket_expr(v, cuts, mid + 1, hi, base + mid - lo + 1)) \
+            .otherwise(_bucket_expr(v, cuts, lo, mid, base))
 
 
 def rank_table(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
@@ -38,7 +41,7 @@ def rank_table(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
             .groupBy(F.col(value).cast("double").alias("v"))
             .agg(F.count_if(g == a).alias("na"), F.count_if(g == b).alias("nb")))
     spark = df.sparkSession
-    p = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = n_buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     cuts = []
     if p > 1:
         qs = vals.approxQuantile("v", [i / p for i in range(1, p)], 0.001)

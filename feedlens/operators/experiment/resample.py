@@ -24,6 +24,16 @@ def _hash(user, idx, group, mode: str, seed: int):
     return hash_u32(user, group, idx, mode="xxhash64", seed=seed)
 
 
+def _spread(pop: DataFrame) -> DataFrame:
+    """Hash-partition the per-user population before it is multiplied by
+    replicates/iterations. AQE would otherwise coalesce the small per-user shuffle
+    into a few partitions and run the whole n-fold expansion in those tasks; with
+    an explicit count (the shuffle width) the expansion runs on every core.
+    """
+    n = int(pop.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pop.repartition(n, "user_id")
+
+
 def bootstrap_replicates(um: DataFrame, a, b, n: int = 2000, seed: int = 0,
                          hash_mode: str = "xxhash64", num: str = "likes", den: str = "views",
                          group_col: str = "exp_group") -> DataFrame:
@@ -34,7 +44,7 @@ def bootstrap_replicates(um: DataFrame, a, b, n: int = 2000, seed: int = 0,
     n rows per task whatever the number of users.
     """
     g = F.col(group_col)
-    pop = um.filter(g.isin(a, b)).select(group_col, "user_id", num, den)
+    pop = _spread(um.filter(g.isin(a, b)).select(group_col, "user_id", num, den))
     rep = pop.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("replicate"))
     w = poisson1_weight(_hash("user_id", "replicate", group_col, hash_mode, seed))
     rep = rep.withColumn("w", w)
@@ -78,7 +88,7 @@ def aa_subsamples(um: DataFrame, a, b, n_iter: int, k: int, seed: int = 0,
     by construction) are recomputed unthinned, so the draw is always exact.
     """
     g = F.col(group_col)
-    pop = um.filter(g.isin(a, b) & F.col(value).isNotNull()).select(group_col, "user_id", value)
+    pop = _spread(um.filter(g.isin(a, b) & F.col(value).isNotNull()).select(group_col, "user_id", value))
     sizes = {r[0]: r[1] for r in pop.groupBy(group_col).count().collect()}  # <= 2 rows
     for grp in (a, b):
         if sizes.get(grp, 0) < k:

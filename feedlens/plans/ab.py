@@ -25,7 +25,9 @@ def ab_summary(feed: DataFrame, a, b, lo, hi, alpha: float = 5.0, n_buckets: int
     mean diff, p_value = two-sided share of replicates on the other side of 0),
     Welch and Mann-Whitney on bucket CTR."""
     groups = (a, b)
-    um = ex.user_metrics(feed, groups, lo, hi)
+    # The per-user table feeds every test below: computed once and kept (one row per
+    # user of the two groups; lost blocks are recomputed, the plan is deterministic).
+    um = ex.user_metrics(feed, groups, lo, hi).persist()
     rows = [
         _row(ex.welch_test(um, "ctr", a, b), "welch_t", "ctr", "t", "p_value"),
         _row(ex.mann_whitney(um, "ctr", a, b), "mann_whitney", "ctr", "u_a", "p_value"),
@@ -43,7 +45,7 @@ def ab_summary(feed: DataFrame, a, b, lo, hi, alpha: float = 5.0, n_buckets: int
                                  F.lit(sizes.select("n_a").scalar()).alias("n_a"),
                                  F.lit(sizes.select("n_b").scalar()).alias("n_b")),
                      "poisson_bootstrap", "global_ctr_diff", "mean_diff", "p_boot"))
-    bm = ex.bucket_metrics(feed, groups, lo, hi, n_buckets, hash_mode=hash_mode)
+    bm = ex.bucket_metrics_from_users(um, n_buckets, hash_mode=hash_mode)
     rows.append(_row(ex.welch_test(bm, "bucket_ctr", a, b), "welch_t", "bucket_ctr", "t", "p_value"))
     rows.append(_row(ex.mann_whitney(bm, "bucket_ctr", a, b), "mann_whitney", "bucket_ctr", "u_a", "p_value"))
     out = rows[0]

@@ -38,7 +38,7 @@ def _brute_u(a, b):
     return sum((x > y) + 0.5 * (x == y) for x, y in itertools.product(a, b))
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 8])
+@pytest.mark.parametrize("buckets", [1, 3, 8, 64])
 def test_mann_whitney_equals_brute_force(spark, buckets):
     rnd = random.Random(buckets)
     a = [rnd.choice([0.0, 0.1, 0.25, 0.5, 1.0, rnd.random()]) for _ in range(40)]
@@ -152,3 +152,13 @@ def test_histogram_shared_bins(spark):
         if r.exp_group == 1:
             got[r.bin] = r.n
     assert got == counts.tolist()
+
+
+def test_bucket_search_tree_counts_cuts_below(spark):
+    from feedlens.operators.experiment.ranks import _bucket_expr
+    rnd = random.Random(5)
+    cuts = sorted(set(rnd.random() for _ in range(300)))
+    vals = [rnd.random() for _ in range(400)] + cuts + [-1.0, 2.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r[0] for r in df.select(_bucket_expr(F.col("v"), cuts)).collect()]
+    assert got == [sum(c < v for c in cuts) for v in vals]
