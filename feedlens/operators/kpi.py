@@ -72,24 +72,39 @@ def _first_seen(feed: DataFrame, d, keys: list[str]) -> DataFrame:
             .filter(F.col("start_date") == F.lit(to_day(d))))
 
 
-def new_users(feed: DataFrame, d) -> DataFrame:
-    """Users first seen on day d (K8); one row."""
+def _from_table(table: DataFrame, d) -> DataFrame:
+    return table.filter(F.col("first_date") == F.lit(to_day(d)))
+
+
+def new_users(feed: DataFrame, d, first_seen: DataFrame | None = None) -> DataFrame:
+    """Users first seen on day d (K8); one row.
+
+    ``first_seen``: a maintained first-seen table for user_id
+    (``operators.first_seen``), read instead of the whole event history.
+    """
+    if first_seen is not None:
+        return _from_table(first_seen, d).agg(F.count("user_id").alias("new_users"))
     return _first_seen(feed, d, ["user_id"]).agg(F.count("user_id").alias("new_users"))
 
 
-def new_users_by_source(feed: DataFrame, d) -> DataFrame:
+def new_users_by_source(feed: DataFrame, d, first_seen: DataFrame | None = None) -> DataFrame:
     """(user, source) pairs first seen on day d, split by source (K9); one row.
 
-    A user arriving through both sources counts once per source, as in the source job.
+    A user arriving through both sources counts once per source, as in the source
+    job. ``first_seen``: a maintained table keyed by (user_id, source).
     """
-    return (_first_seen(feed, d, ["user_id", "source"])
+    pairs = (_from_table(first_seen, d) if first_seen is not None
+             else _first_seen(feed, d, ["user_id", "source"]))
+    return (pairs
             .agg(F.count_if(F.col("source") == "ads").alias("ads"),
                  F.count_if(F.col("source") == "organic").alias("organic")))
 
 
-def new_posts(feed: DataFrame, d) -> DataFrame:
-    """Posts first seen on day d (K10); one row."""
-    return _first_seen(feed, d, ["post_id"]).agg(F.count("post_id").alias("new_posts"))
+def new_posts(feed: DataFrame, d, first_seen: DataFrame | None = None) -> DataFrame:
+    """Posts first seen on day d (K10); one row. ``first_seen``: a maintained table
+    keyed by post_id."""
+    posts = _from_table(first_seen, d) if first_seen is not None else _first_seen(feed, d, ["post_id"])
+    return posts.agg(F.count("post_id").alias("new_posts"))
 
 
 def avg_activity(feed: DataFrame, run_date, days: int = 14) -> DataFrame:
