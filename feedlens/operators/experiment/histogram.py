@@ -10,8 +10,9 @@ def histogram(df: DataFrame, value: str, by: str = "exp_group", bins: int = 20)
     """by, bin (0-based), bin_lo, bin_hi, n. Equal-width bins over the overall
     min..max (scalar subqueries); the maximum falls in the last bin."""
     base = df.filter(F.col(value).isNotNull())
-    lo = base.agg(F.min(F.col(value).cast("double"))).scalar()
-    hi = base.agg(F.max(F.col(value).cast("double"))).scalar()
+    v = F.col(value).cast("double")
+    rng = base.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()  # one pass
+    lo, hi = rng.getField("lo"), rng.getField("hi")
     width = hi - lo
     pos = F.floor((F.col(value).cast("double") - lo) / width * bins)
     b = F.when(width > 0, F.least(pos, F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")

@@ -9,14 +9,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import floor_slot, time_range, to_day, to_ts, ts_literal
+from feedlens.sources.schema import PARTITION_DATE
 
 ONE_DAY = dt.timedelta(days=1)
 
 
+def _prune(df: DataFrame, lo: dt.date | None, hi: dt.date | None) -> DataFrame:
+    """Add the same day range on the date partition column, if the input has one."""
+    if PARTITION_DATE not in df.columns:
+        return df
+    c = F.col(PARTITION_DATE)
+    if lo is not None:
+        df = df.filter(c >= F.lit(lo))
+    if hi is not None:
+        df = df.filter(c <= F.lit(hi))
+    return df
+
+
 def between_dates(df: DataFrame, lo, hi, time_col: str = "time") -> DataFrame:
     """Closed date range lo..hi on the date of ``time_col`` (written as a ts range)."""
     lo, hi = to_day(lo), to_day(hi)
-    return df.filter(time_range(df, to_ts(lo), to_ts(hi + ONE_DAY), time_col))
+    return _prune(df.filter(time_range(df, to_ts(lo), to_ts(hi + ONE_DAY), time_col)), lo, hi)
 
 
 def on_day(df: DataFrame, d, time_col: str = "time") -> DataFrame:
@@ -33,7 +46,7 @@ def up_to_day(df: DataFrame, d, time_col: str = "time") -> DataFrame:
     """Everything up to and including day d (the history as of that day)."""
     d = to_day(d)
     t = df.schema[time_col].dataType
-    return df.filter(F.col(time_col) < ts_literal(to_ts(d + ONE_DAY), t))
+    return _prune(df.filter(F.col(time_col) < ts_literal(to_ts(d + ONE_DAY), t)), None, d)
 
 
 def closed_slots_range(as_of, minutes: int = 15) -> tuple[dt.datetime, dt.datetime]:
@@ -45,7 +58,7 @@ def closed_slots_range(as_of, minutes: int = 15) -> tuple[dt.datetime, dt.dateti
 
 def closed_slots(df: DataFrame, as_of, minutes: int = 15, time_col: str = "time") -> DataFrame:
     lo, hi = closed_slots_range(as_of, minutes)
-    return df.filter(time_range(df, lo, hi, time_col))
+    return _prune(df.filter(time_range(df, lo, hi, time_col)), lo.date(), hi.date())
 
 
 def in_groups(df: DataFrame, groups, group_col: str = "exp_group") -> DataFrame:

@@ -46,3 +46,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def scale_conf(input_bytes: float, total_cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster run, sized from the bytes a job scans.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each (so a task's
+    input and its sort/aggregation buffers fit in executor memory and spill
+    rarely); the initial shuffle width is at least 3 waves of the cluster's cores,
+    and AQE coalesces small partitions and splits skewed ones at runtime.
+    """
+    shuffle = max(3 * total_cores, int(input_bytes // partition_bytes) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -48,6 +48,11 @@ REPORT_SCHEMA = T.StructType([
 
 _TIME_TYPES = (T.TimestampNTZType, T.TimestampType)
 
+# Optional date partition column of the event tables. When an input has it, it is
+# kept through ``conform`` and every date filter also filters on it, so a table
+# partitioned by day is pruned to the needed partitions before any file is opened.
+PARTITION_DATE = "event_date"
+
 
 def conform(df: DataFrame, schema: T.StructType, name: str = "input") -> DataFrame:
     """Select the schema's columns in order, casting where the type differs.
@@ -69,4 +74,6 @@ def conform(df: DataFrame, schema: T.StructType, name: str = "input") -> DataFra
             cols.append(F.col(f.name))
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    if PARTITION_DATE in have and PARTITION_DATE not in schema.fieldNames():
+        cols.append(F.col(PARTITION_DATE).cast("date").alias(PARTITION_DATE))
     return df.select(*cols)

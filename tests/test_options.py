@@ -49,3 +49,25 @@ def test_first_seen_tables_match_full_history(spark, tmp_path):
         dup = spark.table(name).groupBy(*keys).count().filter(F.col("count") > 1).count()
         assert dup == 0
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_date_partitioned_input_is_pruned(spark, tmp_path):
+    from feedlens.sources import read_feed
+    feed, _ = load_fixture(spark, SF001)
+    path = str(tmp_path / "feed_by_day")
+    feed.withColumn("event_date", F.to_date("time")).write.partitionBy("event_date").parquet(path)
+    part = read_feed(spark, path)
+    assert "event_date" in part.columns
+    q = kpi.feed_kpis(part, "2024-01-08")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-08" in plan
+    assert sorted(map(tuple, q.collect())) == sorted(map(tuple, kpi.feed_kpis(feed, "2024-01-08").collect()))
+
+
+def test_weekly_audience_since_matches_full_history(make_feed, spark):
+    from feedlens.operators import audience
+    feed, _ = load_fixture(spark, SF001)
+    full = audience.weekly_audience(feed, "2024-01-30").filter(F.col("Date") >= "2024-01-15")
+    part = audience.weekly_audience(feed, "2024-01-30", since="2024-01-15")
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, part.collect()))
