@@ -113,13 +113,15 @@ def aa_subsamples(um: DataFrame, a, b, n_iter: int, k: int, seed: int = 0,
     thin = draw(all_iters, True).persist()
     complete = (thin.groupBy("iter").agg(F.count("*").alias("c"))
                 .filter(F.col("c") == 2 * k).select("iter"))
-    if complete.count() == n_iter:
+    spark = um.sparkSession
+    # Only the iterations that came up short reach the driver (expected: none).
+    todo = [r[0] for r in spark.range(n_iter).select(F.col("id").cast("int").alias("iter"))
+            .join(complete, "iter", "left_anti").collect()]
+    if not todo:
         return thin
-    # Iteration ids are bounded by n_iter (a parameter), so both lists are small.
-    done = [r[0] for r in complete.collect()]
-    todo = sorted(set(range(n_iter)) - set(done))
     redo = draw(F.explode(F.array(*[F.lit(i) for i in todo])), False)
-    kept = thin.filter(F.col("iter").isin(done)) if done else thin.limit(0)
+    # complete has at most n_iter rows (a parameter): a bounded broadcast
+    kept = thin.join(F.broadcast(complete), "iter", "left_semi")
     return kept.unionByName(redo)
 
 

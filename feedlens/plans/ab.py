@@ -42,8 +42,8 @@ def ab_summary(feed: DataFrame, a, b, lo, hi, alpha: float = 5.0, n_buckets: int
                    F.count_if(F.col("exp_group") == b).alias("n_b"))
     boot_p = F.least(F.lit(1.0), 2 * F.least(F.col("share_positive"), 1 - F.col("share_positive")))
     rows.append(_row(boot.select("mean_diff", boot_p.alias("p_boot"),
-                                 F.lit(sizes.select("n_a").scalar()).alias("n_a"),
-                                 F.lit(sizes.select("n_b").scalar()).alias("n_b")),
+                                 sizes.select("n_a").scalar().alias("n_a"),
+                                 sizes.select("n_b").scalar().alias("n_b")),
                      "poisson_bootstrap", "global_ctr_diff", "mean_diff", "p_boot"))
     bm = ex.bucket_metrics_from_users(um, n_buckets, hash_mode=hash_mode)
     rows.append(_row(ex.welch_test(bm, "bucket_ctr", a, b), "welch_t", "bucket_ctr", "t", "p_value"))

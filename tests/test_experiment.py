@@ -162,3 +162,22 @@ def test_bucket_search_tree_counts_cuts_below(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r[0] for r in df.select(_bucket_expr(F.col("v"), cuts)).collect()]
     assert got == [sum(c < v for c in cuts) for v in vals]
+
+
+def test_aa_fallback_redraws_short_iterations_exactly(spark, monkeypatch):
+    from pyspark.sql import Window
+
+    from feedlens.operators.experiment import resample
+    um = _users(spark, 120)
+    k, n_iter = 6, 60
+    # a keep-fraction far too small: most iterations keep < k users and are redrawn
+    monkeypatch.setattr(resample, "_thin_fraction", lambda k_, n_: 0.04)
+    got = sorted((r.iter, r.exp_group, r.user_id)
+                 for r in resample.aa_subsamples(um, 2, 3, n_iter, k, seed=3).collect())
+    pop = um.filter(F.col("ctr").isNotNull())
+    allx = pop.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("iter")) \
+        .withColumn("h", resample._hash("user_id", "iter", "exp_group", "xxhash64", 3))
+    w = Window.partitionBy("iter", "exp_group").orderBy("h", "user_id")
+    brute = sorted((r.iter, r.exp_group, r.user_id) for r in
+                   allx.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k).collect())
+    assert got == brute and len(got) == n_iter * 2 * k
