@@ -89,11 +89,26 @@ def mann_whitney(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
 
 
 def prob_superiority(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
-                     n_buckets: int | None = None) -> DataFrame:
-    """Exact P(A > B), P(A = B), P(A < B) over all (a, b) value pairs.
-
-    Replaces the Monte-Carlo estimate from random pairs with its exact limit.
+                     n_buckets: int | None = None, n_pairs: int | None = None,
+                     seed: int = 0, hash_mode: str = "xxhash64") -> DataFrame:
+    """P(A > B), P(A = B), P(A < B) for a random a-value against a random b-value.
+
+    Default: exact, over all (a, b) pairs. ``n_pairs``: the Monte-Carlo estimate of
+    the source notebook instead -- each pair draws one user per group (the user
+    with the smallest hash of (user, pair), i.e. a uniform draw, independent
+    across pairs), using the A/A draw with k = 1.
     """
+    if n_pairs:
+        from feedlens.operators.experiment.resample import aa_subsamples
+        draws = aa_subsamples(df, a, b, n_pairs, 1, seed, hash_mode, value, group_col)
+        g, v = F.col(group_col), F.col(value)
+        pairs = draws.groupBy("iter").agg(F.max(F.when(g == a, v)).alias("va"),
+                                         F.max(F.when(g == b, v)).alias("vb"))
+        frac = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
+        return pairs.agg(F.count("*").alias("n_pairs"),
+                         frac(F.col("va") > F.col("vb")).alias("p_a_gt_b"),
+                         frac(F.col("va") == F.col("vb")).alias("p_tie"),
+                         frac(F.col("va") < F.col("vb")).alias("p_a_lt_b"))
     s = _rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
     pairs = F.col("n_a").cast("double") * F.col("n_b").cast("double")
     gt = F.try_divide(F.col("a_gt"), pairs)

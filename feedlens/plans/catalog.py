@@ -37,6 +37,7 @@ ALPHA_SMOOTH = 5.0
 N_BUCKETS = 50
 N_BOOT = 2000
 HIST_BINS = 20
+N_PAIRS = 10000
 ORACLE_HASH = "md5"
 
 
@@ -261,6 +262,12 @@ def _prob_sup(feed, msgs, sf):
     return ex.prob_superiority(_ab_users(feed), "ctr", AB_A, AB_B)
 
 
+@query("prob_superiority_sampled")
+def _prob_sup_sampled(feed, msgs, sf):
+    return ex.prob_superiority(_ab_users(feed), "ctr", AB_A, AB_B, n_pairs=N_PAIRS,
+                               hash_mode=ORACLE_HASH)
+
+
 @query("bucket_metrics")
 def _bucket_metrics(feed, msgs, sf):
     return _oracle_buckets(feed)

@@ -380,6 +380,17 @@ def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
         UM_AB, *BOOT_CTES,
         doubles=["mean_diff", "min_diff", "max_diff", "p025", "p975", "share_positive"])
     q["aa_subsample_stats"] = _aa_sql(c.aa_k(sf_dir))
+    q["prob_superiority_sampled"] = _sql(
+        "SELECT count(*) AS n_pairs, avg(CASE WHEN va > vb THEN 1.0 ELSE 0.0 END) AS p_a_gt_b, "
+        "avg(CASE WHEN va = vb THEN 1.0 ELSE 0.0 END) AS p_tie, "
+        "avg(CASE WHEN va < vb THEN 1.0 ELSE 0.0 END) AS p_a_lt_b FROM "
+        f"(SELECT iter, max(CASE WHEN exp_group = {c.AB_A} THEN ctr END) AS va, "
+        f"max(CASE WHEN exp_group = {c.AB_B} THEN ctr END) AS vb FROM sel GROUP BY iter) p",
+        UM_AB, "pop AS (SELECT exp_group, user_id, ctr FROM um WHERE ctr IS NOT NULL)",
+        f"x AS (SELECT pop.*, CAST(i AS INTEGER) AS iter, {_md5_u32(ITER_KEY)} AS h "
+        f"FROM pop, range({c.N_PAIRS}) t(i))",
+        "sel AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY iter, exp_group ORDER BY h, user_id) <= 1)",
+        doubles=["p_a_gt_b", "p_tie", "p_a_lt_b"])
     q["stream_slot_metrics"] = _sql(
         "SELECT * FROM slots WHERE ts + INTERVAL 15 MINUTE <= "
         "(SELECT max(time) FROM (SELECT time FROM feed_actions UNION ALL SELECT time FROM message_actions) x)",

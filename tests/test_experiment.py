@@ -181,3 +181,12 @@ def test_aa_fallback_redraws_short_iterations_exactly(spark, monkeypatch):
     brute = sorted((r.iter, r.exp_group, r.user_id) for r in
                    allx.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k).collect())
     assert got == brute and len(got) == n_iter * 2 * k
+
+
+def test_sampled_prob_superiority_converges_to_exact(spark):
+    um = _users(spark, 150)
+    exact = ex.prob_superiority(um, "ctr", 2, 3).first()
+    mc = ex.prob_superiority(um, "ctr", 2, 3, n_pairs=20000, seed=5).first()
+    assert mc.n_pairs == 20000
+    assert abs(mc.p_a_gt_b - exact.p_a_gt_b) < 0.02 and abs(mc.p_tie - exact.p_tie) < 0.02
+    assert math.isclose(mc.p_a_gt_b + mc.p_tie + mc.p_a_lt_b, 1.0)
