@@ -58,7 +58,18 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+_FIXTURES: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
+
+
 def load_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(feed_actions, message_actions) derived from ``{sf_dir}/events.parquet``."""
-    events = load_events(spark, sf_dir)
-    return feed_from_events(spark, events), messages_from_events(spark, events)
+    """(feed_actions, message_actions) derived from ``{sf_dir}/events.parquet``.
+
+    The two lazy DataFrames are kept per session and folder, so repeated queries
+    skip the file listing, footer read and view analysis (the data is read by
+    every query that runs; nothing is cached).
+    """
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _FIXTURES:
+        events = load_events(spark, sf_dir)
+        _FIXTURES[key] = (feed_from_events(spark, events), messages_from_events(spark, events))
+    return _FIXTURES[key]
