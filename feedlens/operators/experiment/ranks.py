@@ -94,16 +94,21 @@ def prob_superiority(df: DataFrame, value: str, a, b, group_col: str = "exp_grou
     """P(A > B), P(A = B), P(A < B) for a random a-value against a random b-value.
 
     Default: exact, over all (a, b) pairs. ``n_pairs``: the Monte-Carlo estimate of
-    the source notebook instead -- each pair draws one user per group (the user
-    with the smallest hash of (user, pair), i.e. a uniform draw, independent
-    across pairs), using the A/A draw with k = 1.
+    the source notebook instead -- each pair draws one user per group: the user
+    with the smallest hash of (user, pair), a uniform draw independent across
+    pairs (the same draw as the A/A check with k = 1). ``min_by`` aggregates it
+    partially in every task, so the shuffle carries pairs x groups x tasks rows.
     """
     if n_pairs:
-        from feedlens.operators.experiment.resample import aa_subsamples
-        draws = aa_subsamples(df, a, b, n_pairs, 1, seed, hash_mode, value, group_col)
+        from feedlens.operators.experiment.resample import _hash, _spread
         g, v = F.col(group_col), F.col(value)
-        pairs = draws.groupBy("iter").agg(F.max(F.when(g == a, v)).alias("va"),
-                                         F.max(F.when(g == b, v)).alias("vb"))
+        pop = _spread(df.filter(g.isin(a, b) & v.isNotNull()).select(group_col, "user_id", value))
+        x = (pop.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_pairs - 1))).alias("iter"))
+             .withColumn("h", _hash("user_id", "iter", group_col, hash_mode, seed)))
+        drawn = x.groupBy("iter", group_col).agg(
+            F.min_by(v, F.struct("h", "user_id")).alias("v"))
+        pairs = drawn.groupBy("iter").agg(F.max(F.when(g == a, F.col("v"))).alias("va"),
+                                         F.max(F.when(g == b, F.col("v"))).alias("vb"))
         frac = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
         return pairs.agg(F.count("*").alias("n_pairs"),
                          frac(F.col("va") > F.col("vb")).alias("p_a_gt_b"),
