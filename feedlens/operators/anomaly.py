@@ -87,6 +87,8 @@ def iqr_bounds(long_df: DataFrame, a: float = 2.0, n: int = 6, mode: str = "newe
     """
     if mode not in ("newest", "centred"):
         raise ValueError("mode must be 'newest' or 'centred'")
+    if n < 1:
+        raise ValueError("n must be >= 1")
     order = Window.partitionBy("metric").orderBy(key)
     prev = order.rowsBetween(-n, -1)
     full = F.count("value").over(prev) == n

@@ -47,6 +47,8 @@ def bucket_metrics(feed: DataFrame, groups, lo, hi, n_buckets: int = 50, q: floa
 def bucket_metrics_from_users(um: DataFrame, n_buckets: int = 50, q: float = 0.9,
                               hash_mode: str = "xxhash64") -> DataFrame:
     """bucket_metrics over an existing per-user table (exp_group, user_id, likes, views, ctr)."""
+    if n_buckets < 1 or not 0.0 <= q <= 1.0:
+        raise ValueError("need n_buckets >= 1 and 0 <= q <= 1")
     ub = um.withColumn("bucket", bucket_of("user_id", n_buckets, hash_mode))
     keys = ["exp_group", "bucket"]
     ratio_part = ub.groupBy(*keys).agg(ratio(F.sum("likes"), F.sum("views")).alias("bucket_ctr"))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 def histogram(df: DataFrame, value: str, by: str = "exp_group", bins: int = 20) -> DataFrame:
     """by, bin (0-based), bin_lo, bin_hi, n. Equal-width bins over the overall
     min..max (scalar subqueries); the maximum falls in the last bin."""
+    if bins < 1:
+        raise ValueError("bins must be >= 1")
     base = df.filter(F.col(value).isNotNull())
     v = F.col(value).cast("double")
     rng = base.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()  # one pass

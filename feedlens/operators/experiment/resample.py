@@ -43,6 +43,8 @@ def bootstrap_replicates(um: DataFrame, a, b, n: int = 2000, seed: int = 0,
     by (replicate) at once by the partial aggregate, so the shuffle carries
     n rows per task whatever the number of users.
     """
+    if n < 1:
+        raise ValueError("n must be >= 1")
     g = F.col(group_col)
     pop = _spread(um.filter(g.isin(a, b)).select(group_col, "user_id", num, den))
     rep = pop.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("replicate"))
@@ -87,6 +89,8 @@ def aa_subsamples(um: DataFrame, a, b, n_iter: int, k: int, seed: int = 0,
     among the survivors whenever >= k survive. Iterations where that fails (rare
     by construction) are recomputed unthinned, so the draw is always exact.
     """
+    if n_iter < 1 or k < 1:
+        raise ValueError("n_iter and k must be >= 1")
     g = F.col(group_col)
     pop = _spread(um.filter(g.isin(a, b) & F.col(value).isNotNull()).select(group_col, "user_id", value))
     sizes = {r[0]: r[1] for r in pop.groupBy(group_col).count().collect()}  # <= 2 rows
