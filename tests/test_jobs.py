@@ -42,3 +42,20 @@ def test_kpis_from_first_seen_table(spark, tmp_path):
     assert kpi.new_users(feed, d).first().new_users == 31
     assert kpi.new_posts(feed, d).first().new_posts == 24
     spark.sql("DROP TABLE IF EXISTS fs_src")
+
+
+def test_cli_runs_jobs(spark, tmp_path, capsys):
+    from feedlens.__main__ import main
+    feed, msgs = load_fixture(spark, SF001)
+    feed.write.parquet(str(tmp_path / "feed"))
+    msgs.write.parquet(str(tmp_path / "msgs"))
+    spark.sql("DROP TABLE IF EXISTS cli_cube")
+    spark.sql("DROP TABLE IF EXISTS cli_reports")
+    assert main(["cube", "--feed", str(tmp_path / "feed"), "--messages", str(tmp_path / "msgs"),
+                 "--run-date", "2024-01-09", "--table", "cli_cube", "--location", str(tmp_path / "c")]) == 0
+    assert main(["feed-report", "--feed", str(tmp_path / "feed"), "--run-date", "2024-01-09",
+                 "--table", "cli_reports", "--location", str(tmp_path / "r")]) == 0
+    out = capsys.readouterr().out
+    assert "wrote 8 cube rows" in out and "Feed summary for 2024-01-08" in out
+    spark.sql("DROP TABLE IF EXISTS cli_cube")
+    spark.sql("DROP TABLE IF EXISTS cli_reports")
