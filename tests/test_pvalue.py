@@ -38,3 +38,12 @@ def test_pvalue_udf_runs_in_spark_and_nulls_stay_null(spark):
     got = [r[0] for r in df.select(t_pvalue(F.col("t"), F.col("df"))).collect()]
     assert math.isclose(got[0], 0.0733880348, rel_tol=1e-8)
     assert got[1] is None and got[2] is None
+
+
+def test_t_pvalues_at_cluster_scale_df(spark):
+    # Welch df grows with the number of users; the tail stays accurate at 1e8.
+    dist = _math3(spark)
+    for df in (1e5, 1e7, 1e8):
+        for t in (0.5, 2.0, 5.0):
+            ref = 2.0 * dist.TDistribution(float(df)).cumulativeProbability(float(-t))
+            assert math.isclose(t_two_sided([t], [df])[0], ref, rel_tol=1e-7)
