@@ -23,8 +23,18 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TINY = 1e-300
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
-_erfc = np.vectorize(math.erfc, otypes=[float])
+def _elementwise(fn, x) -> np.ndarray:
+    # plain functions (not np.vectorize objects) so the module pickles by value
+    x = np.asarray(x, dtype=float)
+    return np.fromiter((fn(v) for v in x.ravel()), dtype=float, count=x.size).reshape(x.shape)
+
+
+def _lgamma(x) -> np.ndarray:
+    return _elementwise(math.lgamma, x)
+
+
+def _erfc(x) -> np.ndarray:
+    return _elementwise(math.erfc, x)
 
 
 def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 500, eps: float = 1e-16):
