@@ -48,7 +48,7 @@ def main(argv=None) -> int:
     s.add_argument("--messages-dir", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", default=None)
-    s.add_argument("--delay", default="0 minutes")
+    s.add_argument("--delay", default="15 minutes")
     s.add_argument("--once", action="store_true", help="process what is there and stop")
     a = p.parse_args(argv)
 

@@ -391,8 +391,9 @@ def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
         f"FROM pop, range({c.N_PAIRS}) t(i))",
         "sel AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY iter, exp_group ORDER BY h, user_id) <= 1)",
         doubles=["p_a_gt_b", "p_tie", "p_a_lt_b"])
+    # final slots: slot end + the 15-minute lateness allowance <= newest event time
     q["stream_slot_metrics"] = _sql(
-        "SELECT * FROM slots WHERE ts + INTERVAL 15 MINUTE <= "
+        "SELECT * FROM slots WHERE ts + INTERVAL 30 MINUTE <= "
         "(SELECT max(time) FROM (SELECT time FROM feed_actions UNION ALL SELECT time FROM message_actions) x)",
         *(ct.replace(f"WHERE {SLOT_WHERE} ", "") for ct in SLOT_CTES), doubles=["CTR"])
     return q

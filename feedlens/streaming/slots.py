@@ -29,8 +29,13 @@ from feedlens.session import checkpoint_dir
 
 
 def slot_stream(feed: DataFrame, msgs: DataFrame, minutes: int = 15,
-                delay: str = "0 minutes") -> DataFrame:
-    """Per closed slot: ts, date, hm, users_feed, views, likes, CTR, users_mess, sent_mess."""
+                delay: str = "15 minutes") -> DataFrame:
+    """Per closed slot: ts, date, hm, users_feed, views, likes, CTR, users_mess, sent_mess.
+
+    ``delay`` is the lateness allowance: events up to ``delay`` behind the newest
+    event time still count; a slot is final (and emitted) once the newest event
+    time passes its end + delay.
+    """
     ev = (feed.select("user_id", F.col("time").cast("timestamp").alias("time"),
                       F.col("action").alias("kind"))
           .unionByName(msgs.select("user_id", F.col("time").cast("timestamp").alias("time"),
@@ -63,7 +68,7 @@ def score_latest(slots: DataFrame, n: int = 6, a: float = 2.0) -> DataFrame:
 
 def start_slot_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, out_dir: str,
                    checkpoint: str | None = None, trigger: dict | None = None,
-                   minutes: int = 15, delay: str = "0 minutes"):
+                   minutes: int = 15, delay: str = "15 minutes"):
     """Start the streaming job; closed slots go to ``{out_dir}/slots``, alert rows
     for the newest slot after each epoch to ``{out_dir}/alerts``."""
     checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), f"slots-{uuid.uuid4().hex}")

@@ -41,9 +41,49 @@ def test_stream_equals_batch_on_closed_slots_and_restart_is_idempotent(spark, tm
     feed, msgs = load_fixture(spark, SF001)
     batch = anomaly.finish_slots(anomaly.feed_slots(feed), anomaly.message_slots(msgs))
     max_t = ev.agg(F.max("ts")).first()[0]
-    closed = batch.filter(F.col("ts") + F.expr("INTERVAL 15 MINUTES") <= F.lit(max_t))
+    # final = slot end + the 15-minute lateness allowance has passed
+    closed = batch.filter(F.col("ts") + F.expr("INTERVAL 30 MINUTES") <= F.lit(max_t))
     assert got.count() == closed.count() > 1000
     assert got.select(closed.columns).exceptAll(closed).count() == 0
     alerts = spark.read.parquet(str(tmp_path / "out" / "alerts"))
     assert alerts.select("metric").distinct().count() == 6
     assert os.path.isdir(tmp_path / "ckpt")
+
+
+def test_late_events_within_allowance_count_and_older_ones_are_dropped(spark, tmp_path):
+    import datetime as dt
+
+    from feedlens.sources.schema import FEED_SCHEMA, MESSAGE_SCHEMA
+
+    def T(hm):
+        return dt.datetime(2024, 1, 8, int(hm[:2]), int(hm[3:]))
+
+    def feed_rows(items):
+        return spark.createDataFrame(
+            [(u, T(t), "view", 0, 1, "iOS", "ads", 1, 30) for u, t in items], FEED_SCHEMA)
+
+    def msg_rows(items):
+        return spark.createDataFrame([(u, 99, T(t)) for u, t in items], MESSAGE_SCHEMA)
+
+    fdir, mdir = tmp_path / "feed", tmp_path / "msgs"
+    first = [(1, "10:00"), (1, "10:20"), (1, "10:40"), (1, "10:46"), (1, "11:00")]
+    feed_rows(first).write.parquet(str(fdir / "a"))
+    msg_rows(first).write.parquet(str(mdir / "a"))
+
+    def run():
+        f = spark.readStream.schema(FEED_SCHEMA).parquet(str(fdir / "*"))
+        m = spark.readStream.schema(MESSAGE_SCHEMA).parquet(str(mdir / "*"))
+        q = start_slot_job(spark, f, m, str(tmp_path / "out"), checkpoint=str(tmp_path / "ckpt"))
+        q.awaitTermination()
+        assert q.exception() is None
+
+    run()   # newest event 11:00 -> watermark 10:45: slots ending by 10:45 are final
+    got = {r.hm: r.users_feed for r in spark.read.parquet(str(tmp_path / "out" / "slots")).collect()}
+    assert got == {"10:00": 1, "10:15": 1, "10:30": 1}
+    # late: 10:50 (slot 10:45 still open) counts; 10:05 (slot 10:00 already final) is dropped
+    feed_rows([(2, "10:50"), (2, "10:05"), (1, "11:40")]).write.parquet(str(fdir / "b"))
+    msg_rows([(2, "11:40")]).write.parquet(str(mdir / "b"))
+    run()
+    got = {r.hm: r.users_feed for r in spark.read.parquet(str(tmp_path / "out" / "slots")).collect()}
+    assert got["10:00"] == 1 and got["10:45"] == 2
+    assert "11:00" in got
