@@ -1,0 +1,36 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedlens.sources import TableRef, conform, read_feed, read_messages
+from feedlens.sources.fixtures import load_fixture
+from feedlens.sources.schema import FEED_SCHEMA, MESSAGE_SCHEMA
+
+from conftest import SF001
+
+
+def test_conform_orders_casts_and_rejects_missing(spark):
+    df = spark.createDataFrame([("7", "2024-01-08 10:00:00", "x", 1)],
+                               "reciever_id string, time string, extra string, user_id int")
+    out = conform(df, MESSAGE_SCHEMA)
+    assert out.schema == MESSAGE_SCHEMA
+    assert out.first() == (1, 7, dt.datetime(2024, 1, 8, 10, 0))
+    with pytest.raises(ValueError, match="missing columns"):
+        conform(df.drop("time"), MESSAGE_SCHEMA)
+
+
+def test_read_by_path_and_by_table_name(spark, tmp_path):
+    feed, msgs = load_fixture(spark, SF001)
+    feed.write.parquet(str(tmp_path / "feed"))
+    msgs.withColumn("extra", F.lit(1)).write.parquet(str(tmp_path / "msgs"))
+    spark.read.parquet(str(tmp_path / "feed")).createOrReplaceTempView("feed_actions_t")
+    by_path = read_feed(spark, str(tmp_path / "feed"))
+    by_name = read_feed(spark, "feed_actions_t")
+    by_ref = read_feed(spark, TableRef(path=str(tmp_path / "feed"), format="parquet"))
+    assert by_path.schema == by_name.schema == by_ref.schema == FEED_SCHEMA
+    assert by_path.count() == by_name.count() == feed.count() == 4204        # FIXTURES.md, sf0.01
+    m = read_messages(spark, str(tmp_path / "msgs"))
+    assert m.columns == ["user_id", "reciever_id", "time"] and m.count() == 3995
+    with pytest.raises(ValueError):
+        TableRef().load(spark)
