@@ -22,15 +22,28 @@ from feedlens.functions.pvalue import z_pvalue
 MAX_BUCKETS = 1024
 
 
-def _bucket_expr(v, cuts, lo: int = 0, hi: int | None = None, base: int = 0):
+def bucket_expr(v, cuts, lo: int = 0, hi: int | None = None, base: int = 0):
     """Number of cut points strictly below v (monotone in v, in [0, len(cuts)]), as a
     balanced binary search: log2(len(cuts)) comparisons per value."""
     hi = len(cuts) if hi is None else hi
     if lo == hi:
         return F.lit(base)
     mid = (lo + hi) // 2
-    return F.when(v > F.lit(cuts[mid]), _bucket_expr(v, cuts, mid + 1, hi, base + mid - lo + 1)) \
-            .otherwise(_bucket_expr(v, cuts, lo, mid, base))
+    return F.when(v > F.lit(cuts[mid]), bucket_expr(v, cuts, mid + 1, hi, base + mid - lo + 1)) \
+            .otherwise(bucket_expr(v, cuts, lo, mid, base))
+
+
+_bucket_expr = bucket_expr
+
+
+def range_cuts(df: DataFrame, col: str, n_buckets: int | None = None) -> list[float]:
+    """P-1 approximate quantiles of a double column (P = shuffle width, at most
+    MAX_BUCKETS): order-preserving cut points that spread its values evenly."""
+    p = n_buckets or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    if p <= 1:
+        return []
+    qs = df.approxQuantile(col, [i / p for i in range(1, p)], 0.001)
+    return sorted(set(q for q in qs if q is not None))
 
 
 def rank_table(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
@@ -40,13 +53,8 @@ def rank_table(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
     vals = (df.filter(g.isin(a, b) & F.col(value).isNotNull())
             .groupBy(F.col(value).cast("double").alias("v"))
             .agg(F.count_if(g == a).alias("na"), F.count_if(g == b).alias("nb")))
-    spark = df.sparkSession
-    p = n_buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
-    cuts = []
-    if p > 1:
-        qs = vals.approxQuantile("v", [i / p for i in range(1, p)], 0.001)
-        cuts = sorted(set(q for q in qs if q is not None))
-    vb = vals.withColumn("bk", _bucket_expr(F.col("v"), cuts))
+    cuts = range_cuts(vals, "v", n_buckets)
+    vb = vals.withColumn("bk", bucket_expr(F.col("v"), cuts))
     offsets = (vb.groupBy("bk").agg(F.sum("nb").alias("b_in"))
                .withColumn("b_off", F.coalesce(
                    F.sum("b_in").over(Window.orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)),

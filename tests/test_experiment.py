@@ -68,12 +68,20 @@ def test_mann_whitney_pvalue_clipped_at_one(spark):
     assert r.p_value == 1.0 and r.method == "asymptotic"
 
 
-def test_index_quantile_rule(spark):
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_index_quantile_rule(spark, buckets):
     rows = [("g", float(v)) for v in range(1, 11)] + [("h", 5.0), ("h", None), ("e", None)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r.k: r.quantile for r in ex.index_quantile(df, ["k"], "v", 0.9).collect()}
+    got = {r.k: r.quantile for r in ex.index_quantile(df, ["k"], "v", 0.9, n_buckets=buckets).collect()}
     # 0-based index floor(0.9 * 10) = 9 -> 10.0 (percentile_disc would give 9.0)
     assert got == {"g": 10.0, "h": 5.0}
+    rnd = random.Random(buckets)
+    vals = {k: [rnd.choice(range(40)) for _ in range(rnd.randint(1, 60))] for k in "abcdef"}
+    df = spark.createDataFrame([(k, v) for k, vs in vals.items() for v in vs], "k string, v int")
+    for q in (0.0, 0.5, 0.9, 1.0):
+        got = {r.k: r.quantile for r in ex.index_quantile(df, ["k"], "v", q, n_buckets=buckets).collect()}
+        want = {k: sorted(vs)[min(int(q * len(vs)), len(vs) - 1)] for k, vs in vals.items()}
+        assert got == want, q
 
 
 def test_smoothed_and_linearized(spark):
