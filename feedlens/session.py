@@ -54,7 +54,8 @@ def scale_conf(input_bytes: float, total_cores: int, partition_bytes: int = 256
     Scan splits and shuffle partitions target ``partition_bytes`` each (so a task's
     input and its sort/aggregation buffers fit in executor memory and spill
     rarely); the initial shuffle width is at least 3 waves of the cluster's cores,
-    and AQE coalesces small partitions and splits skewed ones at runtime.
+    and AQE coalesces small partitions and splits skewed ones at runtime. Streaming
+    state lives in RocksDB.
     """
     shuffle = max(3 * total_cores, int(input_bytes // partition_bytes) + 1)
     return {
@@ -67,4 +68,7 @@ def scale_conf(input_bytes: float, total_cores: int, partition_bytes: int = 256
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.session.timeZone": "UTC",
+        # streaming state (one row per open slot and user) off the JVM heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }

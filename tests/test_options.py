@@ -71,3 +71,11 @@ def test_weekly_audience_since_matches_full_history(make_feed, spark):
     full = audience.weekly_audience(feed, "2024-01-30").filter(F.col("Date") >= "2024-01-15")
     part = audience.weekly_audience(feed, "2024-01-30", since="2024-01-15")
     assert sorted(map(tuple, full.collect())) == sorted(map(tuple, part.collect()))
+
+
+def test_scale_conf_sizes_partitions():
+    from feedlens.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20) + 1
+    assert int(scale_conf(2**30, 8000)["spark.sql.shuffle.partitions"]) == 24000
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
