@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from feedlens.functions.columns import to_day
 from feedlens.operators.filters import on_day
 from feedlens.session import checkpoint_dir
+from feedlens.sources.sinks import overwrite_partitions
 
 
 def ensure_first_seen_table(spark: SparkSession, name: str, keys: list[str],
@@ -38,19 +39,11 @@ def first_seen_on(feed: DataFrame, table: DataFrame, d, keys: list[str]) -> Data
 def update_first_seen(feed: DataFrame, name: str, d, keys: list[str]) -> None:
     """Write partition first_date = d (replacing it if present)."""
     spark = feed.sparkSession
-    new = first_seen_on(feed, spark.table(name), d, keys)
-    cols = spark.table(name).columns
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        # Materialise in the shared checkpoint folder before overwriting: the input
-        # reads the same table (and a reliable checkpoint survives executor loss).
-        checkpoint_dir(spark)
-        staged = new.select(*cols).checkpoint()
-        staged.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    new = first_seen_on(feed, spark.table(name), d, keys).select(*spark.table(name).columns)
+    # Materialise in the shared checkpoint folder before overwriting: the input
+    # reads the same table (and a reliable checkpoint survives executor loss).
+    checkpoint_dir(spark)
+    overwrite_partitions(new.checkpoint(), name)
 
 
 def backfill_first_seen(feed: DataFrame, name: str, up_to) -> None:
@@ -60,13 +53,7 @@ def backfill_first_seen(feed: DataFrame, name: str, up_to) -> None:
     keys = [c for c in spark.table(name).columns if c != "first_date"]
     first = (feed.filter(F.to_date("time") <= F.lit(up_to)).dropna(subset=keys)
              .groupBy(*keys).agg(F.min(F.to_date("time")).alias("first_date")))
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        first.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    overwrite_partitions(first, name)
 
 
 def count_first_seen(spark: SparkSession, name: str, d) -> DataFrame:

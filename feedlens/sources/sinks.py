@@ -34,7 +34,7 @@ def ensure_cube_table(spark: SparkSession, name: str, location: str | None = Non
     _ensure(spark, name, CUBE_SCHEMA, ["event_date"], location)
 
 
-def _overwrite_partitions(df: DataFrame, name: str) -> None:
+def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Overwrite only the partitions present in ``df``.
 
     Tables made by ``_ensure`` carry the dynamic mode as a table option; for tables
@@ -54,7 +54,7 @@ def _overwrite_partitions(df: DataFrame, name: str) -> None:
 
 def write_cube(df: DataFrame, name: str) -> None:
     """Replace the cube's event_date partitions present in ``df``."""
-    _overwrite_partitions(conform(df, CUBE_SCHEMA, "cube"), name)
+    overwrite_partitions(conform(df, CUBE_SCHEMA, "cube"), name)
 
 
 def ensure_report_table(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -63,4 +63,4 @@ def ensure_report_table(spark: SparkSession, name: str, location: str | None = N
 
 def write_report(df: DataFrame, name: str) -> None:
     """Publish report rows, replacing earlier rows of the same (kind, day)."""
-    _overwrite_partitions(conform(df, REPORT_SCHEMA, "report"), name)
+    overwrite_partitions(conform(df, REPORT_SCHEMA, "report"), name)
