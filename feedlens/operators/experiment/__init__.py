@@ -1,5 +1,5 @@
 from feedlens.operators.experiment.buckets import (
-    bucket_metrics, bucket_metrics_from_users, bucket_user_metrics, index_quantile,
+    bucket_metrics, bucket_metrics_from_users, bucket_ratios, bucket_user_metrics, index_quantile,
 )
 from feedlens.operators.experiment.histogram import histogram
 from feedlens.operators.experiment.metrics import (
@@ -14,7 +14,7 @@ from feedlens.operators.experiment.resample import (
 from feedlens.operators.experiment.welch import welch_stats, welch_test
 
 __all__ = [
-    "bucket_metrics", "bucket_metrics_from_users", "bucket_user_metrics", "index_quantile", "histogram", "control_ctr",
+    "bucket_metrics", "bucket_metrics_from_users", "bucket_ratios", "bucket_user_metrics", "index_quantile", "histogram", "control_ctr",
     "group_totals", "linearized_likes", "smoothed_ctr", "user_metrics", "mann_whitney",
     "mann_whitney_stats", "prob_superiority", "rank_table", "aa_stats", "aa_subsamples",
     "aa_summary", "bootstrap_replicates", "bootstrap_summary", "welch_stats", "welch_test",

@@ -59,6 +59,15 @@ def bucket_metrics(feed: DataFrame, groups, lo, hi, n_buckets: int = 50, q: floa
     return bucket_metrics_from_users(user_metrics(feed, groups, lo, hi), n_buckets, q, hash_mode)
 
 
+def bucket_ratios(um: DataFrame, n_buckets: int = 50, hash_mode: str = "xxhash64") -> DataFrame:
+    """exp_group, bucket, bucket_ctr = sum(likes)/sum(views) per bucket (A7): all a
+    bucket-level t-test or Mann-Whitney test needs."""
+    if n_buckets < 1:
+        raise ValueError("n_buckets must be >= 1")
+    ub = um.withColumn("bucket", bucket_of("user_id", n_buckets, hash_mode))
+    return ub.groupBy("exp_group", "bucket").agg(ratio(F.sum("likes"), F.sum("views")).alias("bucket_ctr"))
+
+
 def bucket_metrics_from_users(um: DataFrame, n_buckets: int = 50, q: float = 0.9,
                               hash_mode: str = "xxhash64") -> DataFrame:
     """bucket_metrics over an existing per-user table (exp_group, user_id, likes, views, ctr)."""
@@ -66,6 +75,6 @@ def bucket_metrics_from_users(um: DataFrame, n_buckets: int = 50, q: float = 0.9
         raise ValueError("need n_buckets >= 1 and 0 <= q <= 1")
     ub = um.withColumn("bucket", bucket_of("user_id", n_buckets, hash_mode))
     keys = ["exp_group", "bucket"]
-    ratio_part = ub.groupBy(*keys).agg(ratio(F.sum("likes"), F.sum("views")).alias("bucket_ctr"))
+    ratio_part = bucket_ratios(um, n_buckets, hash_mode)
     q_part = index_quantile(ub, keys, "ctr", q, "ctr9")
     return ratio_part.join(q_part, keys, "left").select(*keys, "bucket_ctr", "ctr9")

@@ -45,7 +45,7 @@ def ab_summary(feed: DataFrame, a, b, lo, hi, alpha: float = 5.0, n_buckets: int
                                  sizes.select("n_a").scalar().alias("n_a"),
                                  sizes.select("n_b").scalar().alias("n_b")),
                      "poisson_bootstrap", "global_ctr_diff", "mean_diff", "p_boot"))
-    bm = ex.bucket_metrics_from_users(um, n_buckets, hash_mode=hash_mode)
+    bm = ex.bucket_ratios(um, n_buckets, hash_mode)
     rows.append(_row(ex.welch_test(bm, "bucket_ctr", a, b), "welch_t", "bucket_ctr", "t", "p_value"))
     rows.append(_row(ex.mann_whitney(bm, "bucket_ctr", a, b), "mann_whitney", "bucket_ctr", "u_a", "p_value"))
     out = rows[0]

@@ -242,9 +242,13 @@ def _oracle_buckets(feed):
     return ex.bucket_metrics(feed, (AB_A, AB_B), AB_LO, AB_HI, N_BUCKETS, 0.9, ORACLE_HASH)
 
 
+def _oracle_bucket_ratios(feed):
+    return ex.bucket_ratios(_ab_users(feed), N_BUCKETS, ORACLE_HASH)
+
+
 @query("welch_stats_bucket")
 def _welch_bucket(feed, msgs, sf):
-    return _welch_cols(ex.welch_stats(_oracle_buckets(feed), "bucket_ctr", AB_A, AB_B))
+    return _welch_cols(ex.welch_stats(_oracle_bucket_ratios(feed), "bucket_ctr", AB_A, AB_B))
 
 
 @query("mann_whitney_stats_raw")
@@ -254,7 +258,7 @@ def _mw_raw(feed, msgs, sf):
 
 @query("mann_whitney_stats_bucket")
 def _mw_bucket(feed, msgs, sf):
-    return ex.mann_whitney_stats(_oracle_buckets(feed), "bucket_ctr", AB_A, AB_B)
+    return ex.mann_whitney_stats(_oracle_bucket_ratios(feed), "bucket_ctr", AB_A, AB_B)
 
 
 @query("prob_superiority")
