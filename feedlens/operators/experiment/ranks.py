@@ -33,8 +33,6 @@ def bucket_expr(v, cuts, lo: int = 0, hi: int | None = None, base: int = 0):
             .otherwise(bucket_expr(v, cuts, lo, mid, base))
 
 
-_bucket_expr = bucket_expr
-
 
 def range_cuts(df: DataFrame, col: str, n_buckets: int | None = None) -> list[float]:
     """P-1 approximate quantiles of a double column (P = shuffle width, at most

@@ -163,12 +163,12 @@ def test_histogram_shared_bins(spark):
 
 
 def test_bucket_search_tree_counts_cuts_below(spark):
-    from feedlens.operators.experiment.ranks import _bucket_expr
+    from feedlens.operators.experiment.ranks import bucket_expr
     rnd = random.Random(5)
     cuts = sorted(set(rnd.random() for _ in range(300)))
     vals = [rnd.random() for _ in range(400)] + cuts + [-1.0, 2.0]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = [r[0] for r in df.select(_bucket_expr(F.col("v"), cuts)).collect()]
+    got = [r[0] for r in df.select(bucket_expr(F.col("v"), cuts)).collect()]
     assert got == [sum(c < v for c in cuts) for v in vals]
 
 
