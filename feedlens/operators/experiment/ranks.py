@@ -74,24 +74,45 @@ def _rank_sums(rt: DataFrame) -> DataFrame:
                   F.sum(t * t * t - t).alias("tie_term"))
 
 
-def mann_whitney_stats(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
-                       n_buckets: int | None = None) -> DataFrame:
-    """n_a, n_b, u_a (U of group a), u_b, tie_term, z (two-sided, continuity 0.5)."""
-    s = _rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
+def _mw_columns():
     n1, n2 = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = n1 + n2
     u_b = n1 * n2 - F.col("u_a")
     sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.try_divide(F.col("tie_term"), n * (n - 1))))
     z = F.try_divide(F.greatest(F.col("u_a"), u_b) - n1 * n2 / 2 - 0.5, sigma)
-    return s.select("n_a", "n_b", "u_a", u_b.alias("u_b"), "tie_term", z.alias("z"))
+    return [F.col("n_a"), F.col("n_b"), F.col("u_a"), u_b.alias("u_b"), F.col("tie_term"), z.alias("z")]
+
+
+def _mw_pvalue(z):
+    return F.when(z < 0, F.lit(1.0)).otherwise(z_pvalue(z))
+
+
+def _superiority_columns():
+    pairs = F.col("n_a").cast("double") * F.col("n_b").cast("double")
+    gt = F.try_divide(F.col("a_gt"), pairs)
+    tie = F.try_divide(F.col("ties"), pairs)
+    return [gt.alias("p_a_gt_b"), tie.alias("p_tie"), (F.lit(1.0) - gt - tie).alias("p_a_lt_b")]
+
+
+def rank_summary(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
+                 n_buckets: int | None = None) -> DataFrame:
+    """Mann-Whitney (with p_value) and exact P(A > B) from one rank table; one row."""
+    s = _rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
+    out = s.select(*_mw_columns(), *_superiority_columns())
+    return out.withColumn("p_value", _mw_pvalue(F.col("z")))
+
+
+def mann_whitney_stats(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
+                       n_buckets: int | None = None) -> DataFrame:
+    """n_a, n_b, u_a (U of group a), u_b, tie_term, z (two-sided, continuity 0.5)."""
+    return _rank_sums(rank_table(df, value, a, b, group_col, n_buckets)).select(*_mw_columns())
 
 
 def mann_whitney(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
                  n_buckets: int | None = None) -> DataFrame:
     """mann_whitney_stats plus the asymptotic two-sided p_value (method column)."""
     st = mann_whitney_stats(df, value, a, b, group_col, n_buckets)
-    p = F.when(F.col("z") < 0, F.lit(1.0)).otherwise(z_pvalue(F.col("z")))
-    return st.withColumn("p_value", p).withColumn("method", F.lit("asymptotic"))
+    return st.withColumn("p_value", _mw_pvalue(F.col("z"))).withColumn("method", F.lit("asymptotic"))
 
 
 def prob_superiority(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
@@ -121,8 +142,4 @@ def prob_superiority(df: DataFrame, value: str, a, b, group_col: str = "exp_grou
                          frac(F.col("va") == F.col("vb")).alias("p_tie"),
                          frac(F.col("va") < F.col("vb")).alias("p_a_lt_b"))
     s = _rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
-    pairs = F.col("n_a").cast("double") * F.col("n_b").cast("double")
-    gt = F.try_divide(F.col("a_gt"), pairs)
-    tie = F.try_divide(F.col("ties"), pairs)
-    return s.select("n_a", "n_b", gt.alias("p_a_gt_b"), tie.alias("p_tie"),
-                    (F.lit(1.0) - gt - tie).alias("p_a_lt_b"))
+    return s.select("n_a", "n_b", *_superiority_columns())

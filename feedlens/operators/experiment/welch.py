@@ -15,13 +15,19 @@ from feedlens.functions.pvalue import t_pvalue
 STAT_COLS = ["n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b", "t", "df"]
 
 
-def welch_aggs(value: str, a, b, group_col: str = "exp_group"):
+AGG_NAMES = ["n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b", "n_undefined"]
+
+
+def _welch_exprs(value: str, a, b, group_col: str = "exp_group"):
     g, v = F.col(group_col), F.col(value)
     va, vb = F.when(g == a, v), F.when(g == b, v)
-    return [F.count(va).alias("n_a"), F.count(vb).alias("n_b"),
-            F.avg(va).alias("mean_a"), F.avg(vb).alias("mean_b"),
-            F.var_samp(va).alias("var_a"), F.var_samp(vb).alias("var_b"),
-            F.count_if(g.isin(a, b) & v.isNull()).alias("n_undefined")]
+    return [F.count(va), F.count(vb), F.avg(va), F.avg(vb), F.var_samp(va), F.var_samp(vb),
+            F.count_if(g.isin(a, b) & v.isNull())]
+
+
+def welch_aggs(value: str, a, b, group_col: str = "exp_group"):
+    """Aggregates n, mean and sample variance of both groups (+ n_undefined)."""
+    return [e.alias(n) for n, e in zip(AGG_NAMES, _welch_exprs(value, a, b, group_col))]
 
 
 def welch_finish(df: DataFrame) -> DataFrame:
@@ -45,6 +51,18 @@ def welch_stats(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
     return welch_finish(out)
 
 
+def welch_stats_many(df: DataFrame, values: list[str], a, b,
+                     group_col: str = "exp_group") -> DataFrame:
+    """welch_stats for several metric columns of one frame in a single aggregation
+    pass; one row per metric (column ``metric``)."""
+    base = df.filter(F.col(group_col).isin(a, b))
+    one = base.agg(*[e.alias(f"{v}__{n}") for v in values
+                     for n, e in zip(AGG_NAMES, _welch_exprs(v, a, b, group_col))])
+    parts = ", ".join(f"'{v}', " + ", ".join(f"`{v}__{n}`" for n in AGG_NAMES) for v in values)
+    long = one.selectExpr(f"stack({len(values)}, {parts}) AS (metric, {', '.join(AGG_NAMES)})")
+    return welch_finish(long)
+
+
 def welch_test(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
                keys=None) -> DataFrame:
     """welch_stats plus the two-sided p_value."""

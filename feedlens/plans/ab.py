@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.functions.pvalue import t_pvalue
 from feedlens.operators import experiment as ex
 
 SUMMARY_COLS = ["test", "metric", "n_a", "n_b", "statistic", "p_value"]
@@ -28,14 +29,21 @@ def ab_summary(feed: DataFrame, a, b, lo, hi, alpha: float = 5.0, n_buckets: int
     # The per-user table feeds every test below: computed once and kept (one row per
     # user of the two groups; lost blocks are recomputed, the plan is deterministic).
     um = ex.user_metrics(feed, groups, lo, hi).persist()
+    # the three user-level Welch tests in one aggregation pass
+    wide = ex.smoothed_ctr(um, groups, alpha).withColumn(
+        "linearized_likes", F.col("likes") - ex.control_ctr(um, a) * F.col("views"))
+    welch = (ex.welch_stats_many(wide, ["ctr", "smoothed_ctr", "linearized_likes"], a, b)
+             .withColumn("p_value", t_pvalue(F.col("t"), F.col("df")))
+             .withColumn("metric", F.when(F.col("metric") == "smoothed_ctr",
+                                          F.lit(f"smoothed_ctr_alpha_{alpha:g}"))
+                         .otherwise(F.col("metric"))))
+    ranks = ex.rank_summary(um, "ctr", a, b)   # Mann-Whitney and P(A > B): one rank table
     rows = [
-        _row(ex.welch_test(um, "ctr", a, b), "welch_t", "ctr", "t", "p_value"),
-        _row(ex.mann_whitney(um, "ctr", a, b), "mann_whitney", "ctr", "u_a", "p_value"),
-        _row(ex.prob_superiority(um, "ctr", a, b), "prob_a_gt_b", "ctr", "p_a_gt_b", None),
-        _row(ex.welch_test(ex.smoothed_ctr(um, groups, alpha), "smoothed_ctr", a, b),
-             "welch_t", f"smoothed_ctr_alpha_{alpha:g}", "t", "p_value"),
-        _row(ex.welch_test(ex.linearized_likes(um, groups, a), "linearized_likes", a, b),
-             "welch_t", "linearized_likes", "t", "p_value"),
+        welch.select(F.lit("welch_t").alias("test"), "metric",
+                     F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"),
+                     F.col("t").alias("statistic"), "p_value"),
+        _row(ranks, "mann_whitney", "ctr", "u_a", "p_value"),
+        _row(ranks, "prob_a_gt_b", "ctr", "p_a_gt_b", None),
     ]
     boot = ex.bootstrap_summary(ex.bootstrap_replicates(um, a, b, n_boot, seed, hash_mode))
     sizes = um.agg(F.count_if(F.col("exp_group") == a).alias("n_a"),

@@ -198,3 +198,26 @@ def test_sampled_prob_superiority_converges_to_exact(spark):
     assert mc.n_pairs == 20000
     assert abs(mc.p_a_gt_b - exact.p_a_gt_b) < 0.02 and abs(mc.p_tie - exact.p_tie) < 0.02
     assert math.isclose(mc.p_a_gt_b + mc.p_tie + mc.p_a_lt_b, 1.0)
+
+
+def test_ab_summary_parts_agree_with_single_tests(spark):
+    from feedlens.plans.ab import ab_summary
+    from feedlens.sources.fixtures import load_fixture
+    from conftest import SF001
+    feed, _ = load_fixture(spark, SF001)
+    rows = {(r.test, r.metric): r for r in ab_summary(feed, 1, 2, "2024-01-08", "2024-01-14",
+                                                      n_boot=200).collect()}
+    um = ex.user_metrics(feed, (1, 2), "2024-01-08", "2024-01-14")
+    w = ex.welch_test(um, "ctr", 1, 2).first()
+    assert math.isclose(rows[("welch_t", "ctr")].statistic, w.t, rel_tol=1e-12)
+    assert math.isclose(rows[("welch_t", "ctr")].p_value, w.p_value, rel_tol=1e-9)
+    lin = ex.welch_test(ex.linearized_likes(um, (1, 2), 1), "linearized_likes", 1, 2).first()
+    assert math.isclose(rows[("welch_t", "linearized_likes")].statistic, lin.t, rel_tol=1e-9)
+    sm = ex.welch_test(ex.smoothed_ctr(um, (1, 2), 5.0), "smoothed_ctr", 1, 2).first()
+    assert math.isclose(rows[("welch_t", "smoothed_ctr_alpha_5")].statistic, sm.t, rel_tol=1e-9)
+    mw = ex.mann_whitney(um, "ctr", 1, 2).first()
+    assert rows[("mann_whitney", "ctr")].statistic == mw.u_a
+    assert math.isclose(rows[("mann_whitney", "ctr")].p_value, mw.p_value, rel_tol=1e-12)
+    ps = ex.prob_superiority(um, "ctr", 1, 2).first()
+    assert math.isclose(rows[("prob_a_gt_b", "ctr")].statistic, ps.p_a_gt_b, rel_tol=1e-12)
+    assert len(rows) == 8
