@@ -58,7 +58,7 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-_FIXTURES: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
+_FIXTURES: dict[tuple[int, str], tuple[SparkSession, DataFrame, DataFrame]] = {}
 
 
 def load_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -68,8 +68,11 @@ def load_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     skip the file listing, footer read and view analysis (the data is read by
     every query that runs; nothing is cached).
     """
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
-    if key not in _FIXTURES:
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _FIXTURES.get(key)
+    # the entry holds the session itself, so its id cannot be reused while cached
+    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
         events = load_events(spark, sf_dir)
-        _FIXTURES[key] = (feed_from_events(spark, events), messages_from_events(spark, events))
-    return _FIXTURES[key]
+        hit = (spark, feed_from_events(spark, events), messages_from_events(spark, events))
+        _FIXTURES[key] = hit
+    return hit[1], hit[2]
