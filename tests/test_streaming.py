@@ -87,3 +87,15 @@ def test_late_events_within_allowance_count_and_older_ones_are_dropped(spark, tm
     got = {r.hm: r.users_feed for r in spark.read.parquet(str(tmp_path / "out" / "slots")).collect()}
     assert got["10:00"] == 1 and got["10:45"] == 2
     assert "11:00" in got
+
+
+def test_scoring_the_last_slots_equals_scoring_all_history(spark):
+    from feedlens.streaming import score_latest
+    feed, msgs = load_fixture(spark, SF001)
+    slots = anomaly.finish_slots(anomaly.feed_slots(feed), anomaly.message_slots(msgs))
+    full = anomaly.current_alerts(anomaly.iqr_bounds(anomaly.unpivot_metrics(slots), 2.0, 6, "newest"))
+
+    def key(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    assert key(score_latest(slots)) == key(full)
