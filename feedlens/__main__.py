@@ -26,6 +26,7 @@ def _ref(value: str, fmt: str) -> TableRef:
 
 
 def main(argv=None) -> int:
+    """Parse the arguments and run one job; returns the exit code."""
     p = argparse.ArgumentParser(prog="feedlens")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     sub = p.add_subparsers(dest="cmd", required=True)

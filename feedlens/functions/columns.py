@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 
 def col(c) -> Column:
+    """A column from a name or a Column."""
     return F.col(c) if isinstance(c, str) else c
 
 
@@ -22,6 +23,7 @@ def ratio(num, den) -> Column:
 
 # ---------------------------------------------------------------- dates/times
 def to_day(d) -> dt.date:
+    """A date from a date, datetime or ISO string."""
     if isinstance(d, dt.datetime):
         return d.date()
     if isinstance(d, dt.date):
@@ -30,6 +32,7 @@ def to_day(d) -> dt.date:
 
 
 def to_ts(t) -> dt.datetime:
+    """A datetime from a datetime, date or ISO string."""
     if isinstance(t, dt.datetime):
         return t
     if isinstance(t, dt.date):
@@ -55,6 +58,7 @@ def time_range(df: DataFrame, lo: dt.datetime, hi: dt.datetime, time_col: str =
 
 
 def day_of(time_col: str = "time") -> Column:
+    """Date of a timestamp column."""
     return F.to_date(F.col(time_col))
 
 
@@ -64,6 +68,7 @@ def slot_start(time_col: str = "time", minutes: int = 15) -> Column:
 
 
 def floor_slot(t: dt.datetime, minutes: int = 15) -> dt.datetime:
+    """Start of the N-minute slot containing a Python datetime."""
     m = (t.hour * 60 + t.minute) // minutes * minutes
     return dt.datetime(t.year, t.month, t.day, m // 60, m % 60)
 
@@ -75,10 +80,12 @@ def week_start(d) -> Column:
 
 
 def monday(d: dt.date) -> dt.date:
+    """Monday of a Python date's ISO week."""
     return d - dt.timedelta(days=d.weekday())
 
 
 def hm(ts) -> Column:
+    """HH:mm of a timestamp column."""
     return F.date_format(col(ts), "HH:mm")
 
 
@@ -94,6 +101,7 @@ AGE_OTHER = "41+"
 
 
 def age_group(age="age", bins="fixed") -> Column:
+    """Age label from a bin preset ('fixed' or 'reference') or a list of (lo, hi, label)."""
     spec = AGE_BINS[bins] if isinstance(bins, str) else bins
     a = col(age)
     expr = None
@@ -128,6 +136,7 @@ def xx_u32(*parts, seed: int = 0) -> Column:
 
 
 def hash_u32(*parts, mode: str = "xxhash64", seed: int = 0) -> Column:
+    """32-bit hash of the parts: 'xxhash64' (seeded) or portable 'md5'."""
     if mode == "md5":
         return md5_u32(*parts)
     if mode == "xxhash64":

@@ -122,8 +122,10 @@ def _z_pvalue_udf(z: pd.Series) -> pd.Series:
 
 
 def t_pvalue(t: Column, df: Column) -> Column:
+    """Column: two-sided Student-t p-value for (t, df)."""
     return _t_pvalue_udf(t, df)
 
 
 def z_pvalue(z: Column) -> Column:
+    """Column: two-sided standard-normal p-value for z."""
     return _z_pvalue_udf(z)

@@ -14,6 +14,7 @@ METRICS = ["users_feed", "views", "likes", "CTR", "users_mess", "sent_mess"]
 
 
 def feed_slots(feed: DataFrame, minutes: int = 15) -> DataFrame:
+    """Per slot: distinct feed users, views, likes."""
     return (feed.groupBy(slot_start("time", minutes).alias("ts"))
             .agg(F.count_distinct("user_id").alias("users_feed"),
                  F.count_if(F.col("action") == "view").alias("views"),
@@ -21,6 +22,7 @@ def feed_slots(feed: DataFrame, minutes: int = 15) -> DataFrame:
 
 
 def message_slots(msgs: DataFrame, minutes: int = 15) -> DataFrame:
+    """Per slot: distinct senders and messages sent."""
     return (msgs.groupBy(slot_start("time", minutes).alias("ts"))
             .agg(F.count_distinct("user_id").alias("users_mess"),
                  F.count("user_id").alias("sent_mess")))

@@ -44,6 +44,7 @@ def index_quantile(df: DataFrame, keys: list[str], value: str, q: float,
 
 def bucket_user_metrics(feed: DataFrame, groups, lo, hi, n_buckets: int = 50,
                         hash_mode: str = "xxhash64") -> DataFrame:
+    """Per-user metrics with their hash bucket."""
     um = user_metrics(feed, groups, lo, hi)
     return um.withColumn("bucket", bucket_of("user_id", n_buckets, hash_mode))
 

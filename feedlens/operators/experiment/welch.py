@@ -31,6 +31,7 @@ def welch_aggs(value: str, a, b, group_col: str = "exp_group"):
 
 
 def welch_finish(df: DataFrame) -> DataFrame:
+    """Add t and the Welch-Satterthwaite df to per-group n / mean / var columns."""
     se_a = F.col("var_a") / F.col("n_a")
     se_b = F.col("var_b") / F.col("n_b")
     t = F.try_divide(F.col("mean_a") - F.col("mean_b"), F.sqrt(se_a + se_b))

@@ -33,6 +33,7 @@ def between_dates(df: DataFrame, lo, hi, time_col: str = "time") -> DataFrame:
 
 
 def on_day(df: DataFrame, d, time_col: str = "time") -> DataFrame:
+    """Rows of one day."""
     return between_dates(df, d, d, time_col)
 
 
@@ -57,9 +58,11 @@ def closed_slots_range(as_of, minutes: int = 15) -> tuple[dt.datetime, dt.dateti
 
 
 def closed_slots(df: DataFrame, as_of, minutes: int = 15, time_col: str = "time") -> DataFrame:
+    """Rows from the start of the day before ``as_of`` up to the start of its slot."""
     lo, hi = closed_slots_range(as_of, minutes)
     return _prune(df.filter(time_range(df, lo, hi, time_col)), lo.date(), hi.date())
 
 
 def in_groups(df: DataFrame, groups, group_col: str = "exp_group") -> DataFrame:
+    """Rows of the given experiment groups."""
     return df.filter(F.col(group_col).isin(list(groups)))

@@ -22,6 +22,7 @@ from feedlens.sources.sinks import overwrite_partitions
 
 def ensure_first_seen_table(spark: SparkSession, name: str, keys: list[str],
                             types: dict[str, str], location: str | None = None) -> None:
+    """CREATE TABLE IF NOT EXISTS (keys..., first_date) partitioned by first_date."""
     cols = ", ".join(f"`{k}` {types[k]}" for k in keys)
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, first_date DATE) USING parquet "

@@ -44,6 +44,7 @@ ORACLE_HASH = "md5"
 
 
 def aa_k(sf_dir: str) -> int:
+    """A/A subsample size for the fixture scale in ``sf_dir``."""
     m = re.search(r"sf([0-9.]+)", sf_dir)
     return AA_K_BY_SF.get(m.group(1) if m else "", 10)
 
@@ -53,6 +54,7 @@ _REGISTRY: dict[str, Query] = {}
 
 
 def query(name: str):
+    """Register an operator composition as a named catalog query over the fixture."""
     def deco(fn: Callable[[DataFrame, DataFrame, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             feed, msgs = load_fixture(spark, sf_dir)
@@ -65,6 +67,7 @@ def query(name: str):
 
 
 def registry() -> dict[str, Query]:
+    """Name -> callable(spark, sf_dir) for every registered query."""
     return dict(_REGISTRY)
 
 

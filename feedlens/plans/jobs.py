@@ -32,12 +32,14 @@ def daily_cube_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, run_da
 
 @dataclass
 class FeedReport:
+    """Output of the feed report job."""
     summary: DataFrame      # one report row (report_date, kind, text)
     week: DataFrame         # chart table: Date, views, likes, CTR, DAU for the 7 days to run_date
 
 
 def feed_report_job(spark: SparkSession, feed: DataFrame, run_date, table: str | None = None,
                     location: str | None = None) -> FeedReport:
+    """Yesterday's feed summary row (written to ``table`` if given) and the 7-day chart table."""
     run_date = to_day(run_date)
     rep = FeedReport(reports.feed_report(feed, run_date),
                      kpi.feed_kpis(feed, run_date - dt.timedelta(days=6), run_date).orderBy("Date"))
@@ -49,6 +51,7 @@ def feed_report_job(spark: SparkSession, feed: DataFrame, run_date, table: str |
 
 @dataclass
 class AppReport:
+    """Output of the app report job."""
     summary: DataFrame      # one report row
     activity: DataFrame     # chart: Date, avg_views, avg_likes (14 days to yesterday)
     audience: DataFrame     # chart: Date, gone, retained, new per week
@@ -57,6 +60,7 @@ class AppReport:
 
 def app_report_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, run_date,
                    table: str | None = None, location: str | None = None) -> AppReport:
+    """Yesterday's app summary row (written to ``table`` if given) and the three chart tables."""
     run_date = to_day(run_date)
     rep = AppReport(reports.app_report(feed, run_date),
                     kpi.avg_activity(feed, run_date, 14).orderBy("Date"),
@@ -70,6 +74,7 @@ def app_report_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, run_da
 
 @dataclass
 class AlertRun:
+    """Output of the anomaly alert job."""
     alerts: DataFrame       # newest slot per metric with is_alert, deviation, direction, text
     series: DataFrame       # chart: ts, metric, value, up, low (centred bounds)
 

@@ -20,10 +20,12 @@ FIXTURE = (f"feed_actions AS ({FEED_VIEW_SQL.replace('{days}', DUCKDB_DAYS)}),\n
 
 
 def D(d) -> str:
+    """DuckDB date literal."""
     return f"DATE '{d.isoformat()}'"
 
 
 def TS(t) -> str:
+    """DuckDB timestamp literal."""
     return f"TIMESTAMP '{t.strftime('%Y-%m-%d %H:%M:%S')}'"
 
 
@@ -271,6 +273,7 @@ def _welch_select_grouped() -> str:
 
 
 def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
+    """DuckDB SQL for every catalog query that has one (A/A subsample size from ``sf_dir``)."""
     q: dict[str, str] = {}
     q["feed_kpis_day"] = _kpis(DAY_FILTER)
     q["feed_kpis_week"] = _kpis(

@@ -46,15 +46,18 @@ def _view(spark: SparkSession, events: DataFrame, sql: str) -> DataFrame:
 
 
 def feed_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """The fixture's feed_actions view over ``events``."""
     df = _view(spark, events, FEED_VIEW_SQL.replace("{days}", SPARK_DAYS))
     return conform(df, FEED_SCHEMA, "feed_actions")
 
 
 def messages_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """The fixture's message_actions view over ``events``."""
     return conform(_view(spark, events, MESSAGE_VIEW_SQL), MESSAGE_SCHEMA, "message_actions")
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's events table under ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 

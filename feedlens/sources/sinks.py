@@ -58,6 +58,7 @@ def write_cube(df: DataFrame, name: str) -> None:
 
 
 def ensure_report_table(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """CREATE TABLE IF NOT EXISTS for report rows, partitioned by kind and day."""
     _ensure(spark, name, REPORT_SCHEMA, ["kind", "report_date"], location)
 
 
