@@ -28,6 +28,40 @@ def message_slots(msgs: DataFrame, minutes: int = 15) -> DataFrame:
                  F.count("user_id").alias("sent_mess")))
 
 
+def slot_events(feed: DataFrame, msgs: DataFrame) -> DataFrame:
+    """Feed and message rows as one event stream: user_id, time, kind."""
+    return (feed.select("user_id", "time", F.col("action").alias("kind"))
+            .unionByName(msgs.select("user_id", "time", F.lit("msg").alias("kind"))))
+
+
+def per_user_aggs():
+    """First level (slot, user): views, likes and messages sent."""
+    return [F.count_if(F.col("kind") == "view").alias("views"),
+            F.count_if(F.col("kind") == "like").alias("likes"),
+            F.count_if(F.col("kind") == "msg").alias("sent")]
+
+
+def per_slot_aggs():
+    """Second level (slot): the slot metrics plus row counts that say whether the
+    slot has feed rows and message rows at all (a NULL user still makes a row but
+    is not a user, and its messages are not counted as sent)."""
+    known = F.col("user_id").isNotNull()
+    return [F.count_if(known & (F.col("views") + F.col("likes") > 0)).alias("users_feed"),
+            F.sum("views").alias("views"), F.sum("likes").alias("likes"),
+            F.count_if(known & (F.col("sent") > 0)).alias("users_mess"),
+            F.coalesce(F.sum(F.when(known, F.col("sent"))), F.lit(0)).alias("sent_mess"),
+            F.sum(F.col("views") + F.col("likes")).alias("feed_rows"),
+            F.sum("sent").alias("msg_rows")]
+
+
+def finish_slot_table(per_slot: DataFrame, ts) -> DataFrame:
+    """Keep slots present in both tables; final column set."""
+    return (per_slot.filter((F.col("feed_rows") > 0) & (F.col("msg_rows") > 0))
+            .select(ts.alias("ts"), F.to_date(ts).alias("date"), hm(ts).alias("hm"),
+                    "users_feed", "views", "likes", ratio("likes", "views").alias("CTR"),
+                    "users_mess", "sent_mess"))
+
+
 def finish_slots(feed_agg: DataFrame, msg_agg: DataFrame) -> DataFrame:
     """Inner join of the two per-slot aggregates (slots present in both)."""
     return (feed_agg.join(msg_agg, "ts", "inner")
@@ -57,10 +91,15 @@ def slot_metrics(feed: DataFrame, msgs: DataFrame, as_of, minutes: int = 15,
     Q11); ``fill_gaps=True`` joins a slot spine instead and reports empty slots
     with zero counts (CTR NULL).
     """
+    if not fill_gaps:
+        # One aggregation chain for both tables (the same one the streaming job
+        # uses): per (slot, user), then per slot -- two shuffles, no join. Equal
+        # to the inner join of the two per-table slot aggregates.
+        ev = slot_events(closed_slots(feed, as_of, minutes), closed_slots(msgs, as_of, minutes))
+        per_user = ev.groupBy(slot_start("time", minutes).alias("ts"), "user_id").agg(*per_user_aggs())
+        return finish_slot_table(per_user.groupBy("ts").agg(*per_slot_aggs()), F.col("ts"))
     f = feed_slots(closed_slots(feed, as_of, minutes), minutes)
     m = message_slots(closed_slots(msgs, as_of, minutes), minutes)
-    if not fill_gaps:
-        return finish_slots(f, m)
     lo, hi = closed_slots_range(as_of, minutes)
     spine = slot_spine(feed.sparkSession, lo, hi, minutes)
     zero = {c: 0 for c in ("users_feed", "views", "likes", "users_mess", "sent_mess")}

@@ -23,7 +23,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import hm, ratio
 from feedlens.operators import anomaly
 from feedlens.session import checkpoint_dir
 
@@ -36,26 +35,14 @@ def slot_stream(feed: DataFrame, msgs: DataFrame, minutes: int = 15,
     event time still count; a slot is final (and emitted) once the newest event
     time passes its end + delay.
     """
-    ev = (feed.select("user_id", F.col("time").cast("timestamp").alias("time"),
-                      F.col("action").alias("kind"))
-          .unionByName(msgs.select("user_id", F.col("time").cast("timestamp").alias("time"),
-                                   F.lit("msg").alias("kind")))
+    ev = (anomaly.slot_events(feed, msgs)
+          .withColumn("time", F.col("time").cast("timestamp"))
           .withWatermark("time", delay))
     width = f"{minutes} minutes"
-    per_user = (ev.groupBy(F.window("time", width).alias("w"), "user_id")
-                .agg(F.count_if(F.col("kind") == "view").alias("views"),
-                     F.count_if(F.col("kind") == "like").alias("likes"),
-                     F.count_if(F.col("kind") == "msg").alias("sent")))
+    per_user = ev.groupBy(F.window("time", width).alias("w"), "user_id").agg(*anomaly.per_user_aggs())
     per_slot = (per_user.groupBy(F.window(F.window_time("w"), width).alias("slot"))
-                .agg(F.count_if(F.col("views") + F.col("likes") > 0).alias("users_feed"),
-                     F.sum("views").alias("views"), F.sum("likes").alias("likes"),
-                     F.count_if(F.col("sent") > 0).alias("users_mess"),
-                     F.sum("sent").alias("sent_mess")))
-    ts = F.col("slot.start").cast("timestamp_ntz")
-    return (per_slot.filter((F.col("users_feed") > 0) & (F.col("users_mess") > 0))
-            .select(ts.alias("ts"), F.to_date(ts).alias("date"), hm(ts).alias("hm"),
-                    "users_feed", "views", "likes", ratio("likes", "views").alias("CTR"),
-                    "users_mess", "sent_mess"))
+                .agg(*anomaly.per_slot_aggs()))
+    return anomaly.finish_slot_table(per_slot, F.col("slot.start").cast("timestamp_ntz"))
 
 
 def score_latest(slots: DataFrame, n: int = 6, a: float = 2.0) -> DataFrame:

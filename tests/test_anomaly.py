@@ -88,3 +88,24 @@ def test_slot_metrics_inner_join_and_range(make_feed, make_msgs):
     rows = anomaly.slot_metrics(feed, msgs, "2024-01-09 12:07:00").orderBy("ts").collect()
     assert [(r.hm, r.users_feed, r.views, r.likes, r.CTR, r.users_mess, r.sent_mess) for r in rows] == [
         ("00:00", 2, 1, 1, 1.0, 1, 2), ("11:45", 1, 1, 0, 0.0, 1, 1)]
+
+
+def test_union_chain_equals_join_of_slot_aggregates_with_null_users(make_feed, make_msgs):
+    feed = make_feed([
+        (1, "2024-01-08 00:01:00", "view", 0, 1, "iOS", "ads", 1, 30),
+        (None, "2024-01-08 00:02:00", "like", 0, 1, "iOS", "ads", 1, 30),   # counted, not a user
+        (None, "2024-01-08 00:16:00", "view", 0, 1, "iOS", "ads", 1, 30),   # only a NULL user
+        (2, "2024-01-08 00:31:00", "view", 0, 1, "iOS", "ads", 1, 30),      # feed only
+    ])
+    msgs = make_msgs([(1, 2, "2024-01-08 00:03:00"), (None, 2, "2024-01-08 00:04:00"),
+                      (None, 3, "2024-01-08 00:17:00"),                     # only a NULL sender
+                      (4, 5, "2024-01-08 00:47:00")])                       # messages only
+    as_of = "2024-01-09 12:07:00"
+    from feedlens.operators.filters import closed_slots
+    want = anomaly.finish_slots(anomaly.feed_slots(closed_slots(feed, as_of)),
+                                anomaly.message_slots(closed_slots(msgs, as_of)))
+    got = anomaly.slot_metrics(feed, msgs, as_of)
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    assert key(got) == key(want)
+    assert [(r.hm, r.users_feed, r.views, r.likes, r.users_mess, r.sent_mess)
+            for r in got.orderBy("ts").collect()] == [("00:00", 1, 1, 1, 1, 1), ("00:15", 0, 1, 0, 0, 0)]
