@@ -120,11 +120,42 @@ def avg_activity(feed: DataFrame, run_date, days: int = 14) -> DataFrame:
 
 
 def hourly_users(feed: DataFrame, msgs: DataFrame, d, approx: bool = False) -> DataFrame:
-    """Distinct users per hour of day d in the feed and in the messenger."""
-    def per_hour(df: DataFrame, service: str) -> DataFrame:
-        return (on_day(df, d)
-                .groupBy(F.hour("time").alias("hour"))
-                .agg(_distinct_users(approx=approx).alias("users"))
-                .withColumn("service", F.lit(service)))
-    return (per_hour(feed, "feed").unionByName(per_hour(msgs, "message"))
+    """Distinct users per hour of day d in the feed and in the messenger.
+
+    The two tables are unioned first and counted in one aggregate keyed by
+    (service, hour), instead of two aggregates and a union of their results.
+    """
+    rows = (on_day(feed, d).select("user_id", "time", F.lit("feed").alias("service"))
+            .unionByName(on_day(msgs, d).select("user_id", "time", F.lit("message").alias("service"))))
+    return (rows.groupBy("service", F.hour("time").alias("hour"))
+            .agg(_distinct_users(approx=approx).alias("users"))
+            .select("hour", "users", "service")
             .orderBy("service", "hour"))
+
+
+def first_seen_counts(feed: DataFrame, d) -> DataFrame:
+    """new_users, ads, organic, new_posts for day d from ONE scan of the history:
+    a GROUPING SETS ((user_id, source), (post_id)) aggregate of the first day,
+    then the user-level first day as the minimum over the user's sources. One row.
+    """
+    d = to_day(d)
+    hist = up_to_day(feed, d)
+    first = (hist.groupingSets([[F.col("user_id"), F.col("source")], [F.col("post_id")]],
+                               "user_id", "source", "post_id")
+             .agg(F.min(day_of("time")).alias("start_date"), F.grouping("post_id").alias("g_post")))
+    pairs = first.filter((F.col("g_post") == 1) & F.col("user_id").isNotNull())
+    posts = first.filter((F.col("g_post") == 0) & F.col("post_id").isNotNull())
+    users = pairs.groupBy("user_id").agg(F.min("start_date").alias("start_date"))
+    on_d = F.col("start_date") == F.lit(d)
+    parts = [
+        users.agg(F.count_if(on_d).alias("v")).select(F.lit("new_users").alias("m"), "v"),
+        pairs.agg(F.count_if(on_d & (F.col("source") == "ads")).alias("v")).select(F.lit("ads").alias("m"), "v"),
+        pairs.agg(F.count_if(on_d & (F.col("source") == "organic")).alias("v"))
+        .select(F.lit("organic").alias("m"), "v"),
+        posts.agg(F.count_if(on_d).alias("v")).select(F.lit("new_posts").alias("m"), "v"),
+    ]
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    names = ["new_users", "ads", "organic", "new_posts"]
+    return long.agg(*[F.max(F.when(F.col("m") == n, F.col("v"))).alias(n) for n in names])

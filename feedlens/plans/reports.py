@@ -41,18 +41,12 @@ def feed_report(feed: DataFrame, run_date) -> DataFrame:
 def app_numbers(feed: DataFrame, run_date) -> DataFrame:
     """One row: total, new_users, ads, organic, new_posts for yesterday."""
     y = to_day(run_date) - ONE_DAY
-    parts = [
-        kpi.active_users(feed, y).select(F.lit("total").alias("m"), F.col("total").alias("v")),
-        kpi.new_users(feed, y).select(F.lit("new_users").alias("m"), F.col("new_users").alias("v")),
-        kpi.new_users_by_source(feed, y).select(
-            F.explode(F.array(F.struct(F.lit("ads").alias("m"), F.col("ads").alias("v")),
-                              F.struct(F.lit("organic").alias("m"), F.col("organic").alias("v"))))
-            .alias("mv")).select("mv.m", "mv.v"),
-        kpi.new_posts(feed, y).select(F.lit("new_posts").alias("m"), F.col("new_posts").alias("v")),
-    ]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    total = kpi.active_users(feed, y).select(
+        F.lit("total").alias("m"), F.col("total").alias("v"))
+    first = kpi.first_seen_counts(feed, y)   # one history scan for the three first-seen KPIs
+    long = total.unionByName(first.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("m"), F.col(n).alias("v"))
+        for n in ("new_users", "ads", "organic", "new_posts")])).alias("mv")).select("mv.m", "mv.v"))
     names = ["total", "new_users", "ads", "organic", "new_posts"]
     return long.agg(*[F.max(F.when(F.col("m") == n, F.col("v"))).alias(n) for n in names])
 

@@ -73,3 +73,15 @@ def test_report_texts(make_feed):
     a = reports.app_report(feed, "2024-01-09").collect()[0]
     assert a.text == ("App summary for 2024-01-08: active users 3, new users 2 (ads 1, organic 2), "
                       "new posts 3")
+
+
+def test_first_seen_counts_equal_the_separate_operators(spark):
+    from feedlens.sources.fixtures import load_fixture
+    from conftest import SF001
+    feed, _ = load_fixture(spark, SF001)
+    for day in (dt.date(2024, 1, 2), D8, dt.date(2024, 1, 20)):
+        got = kpi.first_seen_counts(feed, day).first()
+        s = kpi.new_users_by_source(feed, day).first()
+        assert (got.new_users, got.ads, got.organic, got.new_posts) == (
+            kpi.new_users(feed, day).first().new_users, s.ads, s.organic,
+            kpi.new_posts(feed, day).first().new_posts)
