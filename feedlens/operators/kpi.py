@@ -134,28 +134,23 @@ def hourly_users(feed: DataFrame, msgs: DataFrame, d, approx: bool = False) -> D
 
 
 def first_seen_counts(feed: DataFrame, d) -> DataFrame:
-    """new_users, ads, organic, new_posts for day d from ONE scan of the history:
-    a GROUPING SETS ((user_id, source), (post_id)) aggregate of the first day,
-    then the user-level first day as the minimum over the user's sources. One row.
+    """new_users, ads, organic, new_posts for day d from ONE scan of the history.
+
+    One GROUPING SETS ((user_id, source), (user_id), (post_id)) aggregate gives the
+    first day per (user, source), per user and per post (one Expand, one shuffle);
+    a single global aggregate then counts the keys first seen on d, telling the
+    sets apart by grouping_id. One row.
     """
     d = to_day(d)
-    hist = up_to_day(feed, d)
-    first = (hist.groupingSets([[F.col("user_id"), F.col("source")], [F.col("post_id")]],
-                               "user_id", "source", "post_id")
-             .agg(F.min(day_of("time")).alias("start_date"), F.grouping("post_id").alias("g_post")))
-    pairs = first.filter((F.col("g_post") == 1) & F.col("user_id").isNotNull())
-    posts = first.filter((F.col("g_post") == 0) & F.col("post_id").isNotNull())
-    users = pairs.groupBy("user_id").agg(F.min("start_date").alias("start_date"))
+    first = (up_to_day(feed, d)
+             .groupingSets([[F.col("user_id"), F.col("source")], [F.col("user_id")], [F.col("post_id")]],
+                           "user_id", "source", "post_id")
+             .agg(F.min(day_of("time")).alias("start_date"), F.grouping_id().alias("gid")))
+    # grouping_id bits (user_id, source, post_id): 1 = (user, source), 3 = (user), 6 = (post)
     on_d = F.col("start_date") == F.lit(d)
-    parts = [
-        users.agg(F.count_if(on_d).alias("v")).select(F.lit("new_users").alias("m"), "v"),
-        pairs.agg(F.count_if(on_d & (F.col("source") == "ads")).alias("v")).select(F.lit("ads").alias("m"), "v"),
-        pairs.agg(F.count_if(on_d & (F.col("source") == "organic")).alias("v"))
-        .select(F.lit("organic").alias("m"), "v"),
-        posts.agg(F.count_if(on_d).alias("v")).select(F.lit("new_posts").alias("m"), "v"),
-    ]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    names = ["new_users", "ads", "organic", "new_posts"]
-    return long.agg(*[F.max(F.when(F.col("m") == n, F.col("v"))).alias(n) for n in names])
+    pair = (F.col("gid") == 1) & F.col("user_id").isNotNull() & on_d
+    return first.agg(
+        F.count_if((F.col("gid") == 3) & F.col("user_id").isNotNull() & on_d).alias("new_users"),
+        F.count_if(pair & (F.col("source") == "ads")).alias("ads"),
+        F.count_if(pair & (F.col("source") == "organic")).alias("organic"),
+        F.count_if((F.col("gid") == 6) & F.col("post_id").isNotNull() & on_d).alias("new_posts"))
