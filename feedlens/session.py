@@ -39,7 +39,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names shared storage and is used as is. Only when it
     is unset (local tests) is a scratch folder created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the setting lives in the session conf
+        sc = None
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedlens-ckpt-")
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="feedlens-ckpt-")

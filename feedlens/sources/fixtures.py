@@ -61,6 +61,13 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+def _alive(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext._jsc is not None
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return True
+
+
 _FIXTURES: dict[tuple[int, str], tuple[SparkSession, DataFrame, DataFrame]] = {}
 
 
@@ -74,7 +81,7 @@ def load_fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     key = (id(spark), sf_dir.rstrip("/"))
     hit = _FIXTURES.get(key)
     # the entry holds the session itself, so its id cannot be reused while cached
-    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+    if hit is None or hit[0] is not spark or not _alive(spark):
         events = load_events(spark, sf_dir)
         hit = (spark, feed_from_events(spark, events), messages_from_events(spark, events))
         _FIXTURES[key] = hit
