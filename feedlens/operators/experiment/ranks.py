@@ -94,18 +94,27 @@ def _superiority_columns():
     return [gt.alias("p_a_gt_b"), tie.alias("p_tie"), (F.lit(1.0) - gt - tie).alias("p_a_lt_b")]
 
 
+def _n_undefined(df: DataFrame, value: str, a, b, group_col: str):
+    """Scalar subquery: rows of groups a, b whose value is NULL (left out of the test, D2)."""
+    g = F.col(group_col)
+    return (df.filter(g.isin(a, b) & F.col(value).isNull())
+            .agg(F.count("*").alias("n")).scalar().alias("n_undefined"))
+
+
 def rank_summary(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
                  n_buckets: int | None = None) -> DataFrame:
     """Mann-Whitney (with p_value) and exact P(A > B) from one rank table; one row."""
     s = _rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
-    out = s.select(*_mw_columns(), *_superiority_columns())
+    out = s.select(*_mw_columns(), *_superiority_columns(), _n_undefined(df, value, a, b, group_col))
     return out.withColumn("p_value", _mw_pvalue(F.col("z")))
 
 
 def mann_whitney_stats(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
                        n_buckets: int | None = None) -> DataFrame:
-    """n_a, n_b, u_a (U of group a), u_b, tie_term, z (two-sided, continuity 0.5)."""
-    return _rank_sums(rank_table(df, value, a, b, group_col, n_buckets)).select(*_mw_columns())
+    """n_a, n_b, u_a (U of group a), u_b, tie_term, z (two-sided, continuity 0.5),
+    n_undefined (NULL values left out)."""
+    return (_rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
+            .select(*_mw_columns(), _n_undefined(df, value, a, b, group_col)))
 
 
 def mann_whitney(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
@@ -142,4 +151,4 @@ def prob_superiority(df: DataFrame, value: str, a, b, group_col: str = "exp_grou
                          frac(F.col("va") == F.col("vb")).alias("p_tie"),
                          frac(F.col("va") < F.col("vb")).alias("p_a_lt_b"))
     s = _rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
-    return s.select("n_a", "n_b", *_superiority_columns())
+    return s.select("n_a", "n_b", *_superiority_columns(), _n_undefined(df, value, a, b, group_col))

@@ -216,6 +216,7 @@ BUCKET_CTE = (
 
 def _mw_ctes(src: str, value: str, a, b) -> tuple[str, ...]:
     return (
+        f"nu AS (SELECT count(*) AS n_undefined FROM {src} WHERE exp_group IN ({a}, {b}) AND {value} IS NULL)",
         f"rv AS (SELECT {value} AS v, CAST(count_if(exp_group = {a}) AS DOUBLE) AS na, "
         f"CAST(count_if(exp_group = {b}) AS DOUBLE) AS nb FROM {src} "
         f"WHERE exp_group IN ({a}, {b}) AND {value} IS NOT NULL GROUP BY {value})",
@@ -229,7 +230,8 @@ def _mw_ctes(src: str, value: str, a, b) -> tuple[str, ...]:
 
 MW_SELECT = ("SELECT CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, u_a, n_a * n_b - u_a AS u_b, tie_term, "
              "(greatest(u_a, n_a * n_b - u_a) - n_a * n_b / 2 - 0.5) / "
-             "sqrt(n_a * n_b / 12 * ((n_a + n_b + 1) - tie_term / ((n_a + n_b) * (n_a + n_b - 1)))) AS z FROM rs")
+             "sqrt(n_a * n_b / 12 * ((n_a + n_b + 1) - tie_term / ((n_a + n_b) * (n_a + n_b - 1)))) AS z, "
+             "n_undefined FROM rs, nu")
 MW_DOUBLES = ["u_a", "u_b", "tie_term", "z"]
 
 POISSON_W = " + ".join(f"CAST(h >= {t} AS INTEGER)" for t in poisson1_thresholds() if t < U32)
@@ -363,7 +365,8 @@ def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
                                           *_mw_ctes("bm", "bucket_ctr", c.AB_A, c.AB_B), doubles=MW_DOUBLES)
     q["prob_superiority"] = _sql(
         "SELECT CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, a_gt / (n_a * n_b) AS p_a_gt_b, "
-        "ties / (n_a * n_b) AS p_tie, 1.0 - a_gt / (n_a * n_b) - ties / (n_a * n_b) AS p_a_lt_b FROM rs",
+        "ties / (n_a * n_b) AS p_tie, 1.0 - a_gt / (n_a * n_b) - ties / (n_a * n_b) AS p_a_lt_b, n_undefined "
+        "FROM rs, nu",
         UM_AB, *_mw_ctes("um", "ctr", c.AB_A, c.AB_B), doubles=["p_a_gt_b", "p_tie", "p_a_lt_b"])
     q["bucket_metrics"] = _sql("SELECT * FROM bm", UM_AB, *BUCKET_CTE, doubles=["bucket_ctr", "ctr9"])
     nb = c.HIST_BINS
