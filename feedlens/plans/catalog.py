@@ -334,7 +334,8 @@ def _stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return round_doubles(spark.read.parquet(os.path.join(out, "slots")).drop("batch_id"), 6)
+    cols = ["ts", "date", "hm", "users_feed", "views", "likes", "CTR", "users_mess", "sent_mess"]
+    return round_doubles(spark.read.parquet(os.path.join(out, "slots")).select(*cols), 6)
 
 
 _REGISTRY["stream_slot_metrics"] = _stream_slots

@@ -9,10 +9,11 @@ aggregate (one row per user and slot), which exact ``count_distinct`` cannot do
 on a stream.
 
 Append mode releases a slot once the watermark passes its end, so every emitted
-slot is final. ``foreachBatch`` writes each micro-batch to its own
-``batch_id=N`` folder with overwrite, so a replayed epoch (after a failure)
-replaces its own output instead of duplicating it; it then scores the newest
-slots with the batch IQR operator and writes alert rows the same way.
+slot is final. ``foreachBatch`` writes each micro-batch into ``date=/batch_id=``
+partitions with dynamic overwrite, so a replayed epoch (after a failure) replaces
+its own output instead of duplicating it; it then scores the newest slots with
+the batch IQR operator, reading only the last two days' partitions when they
+hold enough slots, and writes alert rows the same way.
 """
 
 from __future__ import annotations
@@ -45,10 +46,15 @@ def slot_stream(feed: DataFrame, msgs: DataFrame, minutes: int = 15,
     return anomaly.finish_slot_table(per_slot, F.col("slot.start").cast("timestamp_ntz"))
 
 
+def slots_needed(n: int = 6) -> int:
+    """Slots the newest bound depends on: n for the quantiles + n//2 for smoothing + 1."""
+    return n + n // 2 + 1
+
+
 def score_latest(slots: DataFrame, n: int = 6, a: float = 2.0) -> DataFrame:
     """Alert rows for the newest slot of each metric, from the last n + n//2 + 1
     slots (all the newest bound depends on)."""
-    keep = n + n // 2 + 1
+    keep = slots_needed(n)
     last = slots.orderBy(F.desc("ts")).limit(keep)  # a top-k: the feature, not a cap
     return anomaly.current_alerts(anomaly.iqr_bounds(anomaly.unpivot_metrics(last), a, n, "newest"))
 
@@ -62,11 +68,21 @@ def start_slot_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, out_di
     slots_dir, alerts_dir = os.path.join(out_dir, "slots"), os.path.join(out_dir, "alerts")
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(slots_dir, f"batch_id={epoch}"))
         if batch.isEmpty():
             return
+        # date=/batch_id= layout; dynamic overwrite makes a replayed epoch replace
+        # exactly its own partitions.
+        (batch.withColumn("batch_id", F.lit(epoch)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id")
+         .parquet(slots_dir))
+        # Slots are emitted in time order, so this epoch holds the newest one. Score
+        # from the last two days' partitions; read the whole history only if they
+        # hold fewer slots than the newest bound depends on.
+        newest = batch.agg(F.max("date")).first()[0]
         history = spark.read.parquet(slots_dir).drop("batch_id")
-        (score_latest(history).withColumn("epoch", F.lit(epoch))
+        recent = history.filter(F.col("date") >= F.date_sub(F.lit(newest), 1))
+        source = recent if recent.count() >= slots_needed() else history
+        (score_latest(source).withColumn("epoch", F.lit(epoch))
          .write.mode("overwrite").parquet(os.path.join(alerts_dir, f"batch_id={epoch}")))
 
     writer = (slot_stream(feed, msgs, minutes, delay).writeStream.outputMode("append")
