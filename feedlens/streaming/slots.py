@@ -1,10 +1,10 @@
 """Streaming 15-minute metrics and alerts.
 
-The batch job's two per-slot aggregates and their inner join become one stream:
-feed and message events are unioned with a ``kind`` column, watermarked, and
-aggregated twice -- per (slot, user), then per slot. "Slot present in both
-tables" is users_feed > 0 and users_mess > 0, so no stream-stream join (and no
-join state) is needed. Exact distinct users per slot come from the first
+The streaming form of ``anomaly.slot_metrics`` uses the same aggregation chain as
+the batch one: feed and message events are unioned with a ``kind`` column,
+watermarked, and aggregated twice -- per (slot, user), then per slot; a slot is
+kept when it has both feed rows and message rows. No stream-stream join (and no
+join state) is needed, and exact distinct users per slot come from the first
 aggregate (one row per user and slot), which exact ``count_distinct`` cannot do
 on a stream.
 
