@@ -48,3 +48,18 @@ def test_pvalue_udf_runs_after_aggregation(spark):
     # the Arrow UDF sits above the per-iteration aggregate, not on raw rows
     udf_at = plan.find("ArrowEvalPython")
     assert udf_at != -1 and plan.find("HashAggregate", udf_at) != -1
+
+
+@pytest.mark.parametrize("name", ["slot_metrics", "weekly_audience", "messages_by_user", "hourly_users",
+                                  "bootstrap_replicates", "aa_subsample_stats", "app_report"])
+def test_no_join_where_the_design_avoids_one(spark, name):
+    plan = _plan(E.queries()[name](spark, SF001))
+    for join in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "CartesianProduct",
+                 "BroadcastNestedLoopJoin"):
+        assert join not in plan, (name, join)
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"stream_slot_metrics"}))
+def test_no_cross_join_anywhere(spark, name):
+    plan = _plan(E.queries()[name](spark, SF001))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
