@@ -51,6 +51,7 @@ def main(argv=None) -> int:
     s.add_argument("--checkpoint", default=None)
     s.add_argument("--delay", default="15 minutes")
     s.add_argument("--once", action="store_true", help="process what is there and stop")
+    s.add_argument("--approx", action="store_true", help="HyperLogLog distinct users (small state)")
     a = p.parse_args(argv)
 
     spark = build_session(a.master) if a.master else build_session()
@@ -58,7 +59,7 @@ def main(argv=None) -> int:
         from feedlens.streaming import start_slot_job
         feed = spark.readStream.schema(FEED_SCHEMA).parquet(a.feed_dir)
         msgs = spark.readStream.schema(MESSAGE_SCHEMA).parquet(a.messages_dir)
-        q = start_slot_job(spark, feed, msgs, a.out, a.checkpoint, delay=a.delay,
+        q = start_slot_job(spark, feed, msgs, a.out, a.checkpoint, delay=a.delay, approx=a.approx,
                            trigger={"availableNow": True} if a.once else {"processingTime": "1 minute"})
         q.awaitTermination()
         return 0

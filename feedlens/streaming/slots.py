@@ -29,17 +29,31 @@ from feedlens.session import checkpoint_dir
 
 
 def slot_stream(feed: DataFrame, msgs: DataFrame, minutes: int = 15,
-                delay: str = "15 minutes") -> DataFrame:
+                delay: str = "15 minutes", approx: bool = False) -> DataFrame:
     """Per closed slot: ts, date, hm, users_feed, views, likes, CTR, users_mess, sent_mess.
 
     ``delay`` is the lateness allowance: events up to ``delay`` behind the newest
     event time still count; a slot is final (and emitted) once the newest event
     time passes its end + delay.
+
+    ``approx=True`` counts distinct users with HyperLogLog sketches in a single
+    stateful aggregation per slot: state per open slot is a fixed-size sketch
+    instead of one row per active user (for very large audiences).
     """
     ev = (anomaly.slot_events(feed, msgs)
           .withColumn("time", F.col("time").cast("timestamp"))
           .withWatermark("time", delay))
     width = f"{minutes} minutes"
+    if approx:
+        kind, known = F.col("kind"), F.col("user_id").isNotNull()
+        is_feed, is_msg = kind.isin("view", "like"), kind == "msg"
+        per_slot = ev.groupBy(F.window("time", width).alias("slot")).agg(
+            F.approx_count_distinct(F.when(is_feed, F.col("user_id"))).alias("users_feed"),
+            F.count_if(kind == "view").alias("views"), F.count_if(kind == "like").alias("likes"),
+            F.approx_count_distinct(F.when(is_msg, F.col("user_id"))).alias("users_mess"),
+            F.count_if(is_msg & known).alias("sent_mess"),
+            F.count_if(is_feed).alias("feed_rows"), F.count_if(is_msg).alias("msg_rows"))
+        return anomaly.finish_slot_table(per_slot, F.col("slot.start").cast("timestamp_ntz"))
     per_user = ev.groupBy(F.window("time", width).alias("w"), "user_id").agg(*anomaly.per_user_aggs())
     per_slot = (per_user.groupBy(F.window(F.window_time("w"), width).alias("slot"))
                 .agg(*anomaly.per_slot_aggs()))
@@ -61,7 +75,7 @@ def score_latest(slots: DataFrame, n: int = 6, a: float = 2.0) -> DataFrame:
 
 def start_slot_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, out_dir: str,
                    checkpoint: str | None = None, trigger: dict | None = None,
-                   minutes: int = 15, delay: str = "15 minutes"):
+                   minutes: int = 15, delay: str = "15 minutes", approx: bool = False):
     """Start the streaming job; closed slots go to ``{out_dir}/slots``, alert rows
     for the newest slot after each epoch to ``{out_dir}/alerts``."""
     checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), f"slots-{uuid.uuid4().hex}")
@@ -85,7 +99,7 @@ def start_slot_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, out_di
         (score_latest(source).withColumn("epoch", F.lit(epoch))
          .write.mode("overwrite").parquet(os.path.join(alerts_dir, f"batch_id={epoch}")))
 
-    writer = (slot_stream(feed, msgs, minutes, delay).writeStream.outputMode("append")
+    writer = (slot_stream(feed, msgs, minutes, delay, approx).writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint).foreachBatch(handle))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     return writer.start()

@@ -105,3 +105,21 @@ def test_scoring_the_last_slots_equals_scoring_all_history(spark):
         return sorted(tuple(r) for r in df.collect())
 
     assert key(score_latest(slots)) == key(full)
+
+
+def test_approximate_distinct_stream_is_close_to_exact(spark, tmp_path):
+    from feedlens.streaming import stream_events
+    ev = stream_events(spark, SF001)
+    q = start_slot_job(spark, feed_from_events(spark, ev), messages_from_events(spark, ev),
+                       str(tmp_path / "out"), checkpoint=str(tmp_path / "ck"), approx=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = {r.ts: r for r in spark.read.parquet(str(tmp_path / "out" / "slots")).collect()}
+    feed, msgs = load_fixture(spark, SF001)
+    exact = {r.ts: r for r in anomaly.finish_slots(anomaly.feed_slots(feed), anomaly.message_slots(msgs)).collect()}
+    assert set(got) <= set(exact) and len(got) > 1000
+    for ts, r in got.items():
+        e = exact[ts]
+        assert (r.views, r.likes, r.sent_mess) == (e.views, e.likes, e.sent_mess)
+        assert abs(r.users_feed - e.users_feed) <= max(1, 0.05 * e.users_feed)
+        assert abs(r.users_mess - e.users_mess) <= max(1, 0.05 * e.users_mess)
