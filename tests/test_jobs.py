@@ -59,3 +59,15 @@ def test_cli_runs_jobs(spark, tmp_path, capsys):
     assert "wrote 8 cube rows" in out and "Feed summary for 2024-01-08" in out
     spark.sql("DROP TABLE IF EXISTS cli_cube")
     spark.sql("DROP TABLE IF EXISTS cli_reports")
+
+
+def test_cli_stream_once(spark, tmp_path):
+    from feedlens.__main__ import main
+    feed, msgs = load_fixture(spark, SF001)
+    feed.write.parquet(str(tmp_path / "feed"))
+    msgs.write.parquet(str(tmp_path / "msgs"))
+    assert main(["stream", "--feed-dir", str(tmp_path / "feed"), "--messages-dir", str(tmp_path / "msgs"),
+                 "--out", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "ck"), "--once"]) == 0
+    slots = spark.read.parquet(str(tmp_path / "out" / "slots"))
+    assert slots.count() > 1000
+    assert spark.read.parquet(str(tmp_path / "out" / "alerts")).select("metric").distinct().count() == 6
