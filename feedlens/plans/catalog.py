@@ -8,7 +8,9 @@ across engines; the operators themselves never round.
 from __future__ import annotations
 
 import datetime as dt
+import os
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +20,9 @@ from feedlens.functions.columns import round_doubles
 from feedlens.operators import anomaly, audience, cube, kpi
 from feedlens.operators import experiment as ex
 from feedlens.plans import ab, reports
-from feedlens.sources.fixtures import load_fixture
+from feedlens.session import checkpoint_dir
+from feedlens.sources.fixtures import feed_from_events, load_fixture, messages_from_events
+from feedlens.streaming import start_slot_job, stream_events
 
 # The fixture's parameters.
 RUN_DATE = dt.date(2024, 1, 9)            # reports and cube run "today"; yesterday = 2024-01-08
@@ -320,13 +324,6 @@ def _ab_summary(feed, msgs, sf):
 # ------------------------------------------------------------------ streaming
 def _stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events file as a stream -> closed 15-minute slots (foreachBatch sink)."""
-    import os
-    import uuid
-
-    from feedlens.session import checkpoint_dir
-    from feedlens.sources.fixtures import feed_from_events, messages_from_events
-    from feedlens.streaming import start_slot_job, stream_events
-
     ev = stream_events(spark, sf_dir)
     out = os.path.join(checkpoint_dir(spark), f"stream-slots-{uuid.uuid4().hex}")
     q = start_slot_job(spark, feed_from_events(spark, ev), messages_from_events(spark, ev), out,
