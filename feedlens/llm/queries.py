@@ -1,10 +1,12 @@
 """The operators' queries and, where SQL can express one, its DuckDB form."""
 
-from feedlens.llm import exact_dedup, simhash
+from feedlens.llm import decontaminate, exact_dedup, packing, simhash
 
 QUERIES = {
+    "op5_decontamination": decontaminate.op5_decontamination,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_simhash": simhash.op8_simhash,
+    "op9_packing": packing.op9_packing,
 }
 
 SQL = {
