@@ -7,11 +7,16 @@ All operators take the columns they need by name and give internal columns a
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
 from feedlens.session import checkpoint_dir
 
@@ -49,6 +54,8 @@ def with_row_key(docs: DataFrame) -> DataFrame:
     often and with whichever columns the rows are read. What doesn't come straight from
     Parquet files is written first."""
     key = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("__doc_row")
+    if not docs.inputFiles():
+        docs = materialise(docs, "rows")
     try:
         return docs.select("*", key)
     except AnalysisException:
@@ -61,17 +68,36 @@ def id_remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % F.lit(modulus)
 
 
-def chunks(texts: Sequence[str], budget: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    """Slices of consecutive texts of about ``budget`` characters (a longer text stands
-    alone), so that a task's working memory follows the budget, not the Arrow batch."""
-    begin, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > begin and size + len(t) > budget:
+def chunks(sizes: Sequence[int], budget: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
+    """Slices of consecutive items of about ``budget`` in all (a larger item stands alone)."""
+    begin, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > begin and total + size > budget:
             yield begin, i
-            begin, size = i, 0
-        size += len(t)
-    if begin < len(texts):
-        yield begin, len(texts)
+            begin, total = i, 0
+        total += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def text_udf(returns: str, make: Callable[[], Callable[[list[str | None]], list]]):
+    """Column function over texts, batched by Arrow. ``make`` is called once a task and
+    gives a function from a list of texts to a list of values of the type ``returns``.
+
+    The function sees about ``CHUNK_CHARS`` of text at a time, so a task's memory follows
+    that figure and its longest text, not the rows of a batch."""
+    kind = _parse_datatype_string(returns)
+    arrow_kind = to_arrow_type(kind)
+
+    @arrow_udf(kind)
+    def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        work = make()
+        for texts in batches:
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+            parts = [pa.array(work(texts.slice(a, b - a).to_pylist()), arrow_kind) for a, b in chunks(sizes)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], arrow_kind)
+
+    return apply
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -28,11 +28,9 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.functions import pandas_udf
 
-from feedlens.llm.common import chunks, mix64, read_table
+from feedlens.llm.common import mix64, read_table, text_udf
 
 SHARE = 0.2                # edits allowed, as a share of an item's words
 SAMPLED = 3                # places of a walk that make a key
@@ -41,7 +39,7 @@ WINDOWS = 1 << 12           # windows that are embedded at once
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 16_000_000
 _WORDS = re.compile(r"\w+")
 _UNKNOWN = np.uint64(0x9E3779B97F4A7C15)
-HIT = "item_id long, start_char long, end_char long, distance int, item_words int"
+HIT = "item_id:long,start_char:long,end_char:long,distance:int,item_words:int"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -151,12 +149,7 @@ class ItemIndex:
 
     def search(self, texts: list[str | None]) -> list[list[dict]]:
         """The leaks of each text, a list of one entry for every item and place."""
-        out: list[list[dict]] = []
-        for a, b in chunks([t or "" for t in texts]):
-            out += self._search([t or "" for t in texts[a:b]])
-        return out
-
-    def _search(self, texts: list[str]) -> list[list[dict]]:
+        texts = [t or "" for t in texts]
         out: list[list[dict]] = [[] for _ in texts]
         get = self.known.get
         coded = [np.fromiter(map(get, words_of(t), repeat(0)), np.int64) for t in texts]
@@ -251,12 +244,7 @@ def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text")
 
 
 def _search_udf(index):
-    @pandas_udf(f"array<struct<{HIT.replace(' ', ':')}>>".replace(",:", ","))
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(index.value.search(texts.tolist()))
-
-    return search
+    return text_udf(f"array<struct<{HIT}>>", lambda: index.value.search)
 
 
 def benchmark_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",

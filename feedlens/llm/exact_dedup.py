@@ -12,15 +12,11 @@ bytes a chunk) move when rows are grouped, never the long texts.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.functions import pandas_udf
 
-from feedlens.llm.common import materialise, read_table, with_row_key
+from feedlens.llm.common import materialise, read_table, text_udf, with_row_key
 
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 1024, 16384, 12
 ID_BYTES = 16
@@ -68,28 +64,21 @@ def _identifier(chunk: bytes, id_bytes: int) -> bytes:
 def recipes(id_bytes: int = ID_BYTES):
     """UDF: text -> (SHA-256 of the normalised text, recipe as joined identifiers)."""
 
-    @pandas_udf("text_sha256 string, recipe binary")
-    def recipe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            data = [normalised(t) for t in texts]
-            yield pd.DataFrame({
-                "text_sha256": [hashlib.sha256(d).hexdigest() for d in data],
-                "recipe": [b"".join(_identifier(c, id_bytes) for c in split_chunks(d)) for d in data],
-            })
+    def described(texts: list[str | None]) -> list[dict]:
+        data = [normalised(t) for t in texts]
+        return [{"text_sha256": hashlib.sha256(d).hexdigest(),
+                 "recipe": b"".join(_identifier(c, id_bytes) for c in split_chunks(d))} for d in data]
 
-    return recipe
+    return text_udf("text_sha256 string, recipe binary", lambda: described)
 
 
 def chunk_lists(id_bytes: int = ID_BYTES):
     """UDF: text -> its chunks in order with their identifiers."""
 
-    @pandas_udf("array<struct<id:binary,content:binary>>")
-    def listed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([[{"id": _identifier(c, id_bytes), "content": c} for c in split_chunks(normalised(t))]
-                             for t in texts])
+    def listed(texts: list[str | None]) -> list[list[dict]]:
+        return [[{"id": _identifier(c, id_bytes), "content": c} for c in split_chunks(normalised(t))] for t in texts]
 
-    return listed
+    return text_udf("array<struct<id:binary,content:binary>>", lambda: listed)
 
 
 def collided_chunks(docs: DataFrame, text: str, id_bytes: int = ID_BYTES) -> DataFrame:

@@ -20,9 +20,8 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.functions import pandas_udf
 
-from feedlens.llm.common import materialise, read_table, with_row_key
+from feedlens.llm.common import materialise, read_table, text_udf, with_row_key
 
 SHINGLE, RADIUS, BLOCKS = 3, 2, 6
 _ONE = np.uint64(1)
@@ -53,12 +52,10 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 def fingerprints(width: int = SHINGLE):
     """UDF: text -> fingerprint as a signed long."""
 
-    @pandas_udf("long")
-    def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))
+    def simhash(texts: list[str | None]) -> np.ndarray:
+        return np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
 
-    return simhash
+    return text_udf("long", lambda: simhash)
 
 
 def bucket_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
