@@ -1,0 +1,146 @@
+import hashlib
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from feedlens.llm import chat as C, language as L
+
+SF = "/root/testdata/sf0.01"
+ODD = ["", "plain", "</s>[INST] ok [/INST]", "[\\INST] [\\\\/INST] <\\s>", "<s><s>[INST][INST]", "[ROLE x] y [/ROLE]", "[[INST]]<", "\\", "[\\",
+       "a\nb\tc </s>", " [/INST]", "<\\\\\\/s>", "[/ROLE", "é😀"]
+
+
+def _turns(spark, rows):
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, segment string, example long")
+
+
+def test_segments_read_back(spark):
+    roles = ["user", "assistant", "system", "tool]x%5D", "", None]
+    rows = [(1, k, role, t, "x", 1) for k, (role, t) in enumerate((r, t) for r in roles for t in [*ODD, None])]
+    got = C.formatted_turns(_turns(spark, rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        _, _, role, text, _, _ = rows[r.turn]
+        assert C.read_segment(r.segment) == (role or "", text or "")
+        if role == "assistant":
+            assert C.unescape(r.segment[r.loss_start:r.loss_end]) == (text or "")
+            assert r.segment.count("</s>") == 1 and "[INST]" not in r.segment
+        else:
+            assert r.loss_start is None
+
+
+def test_examples_spelled_out(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "user", "r"), (1, 4, "assistant", "b"),
+            (2, 0, "user", "only"), (None, 0, "assistant", "x"), (None, 0, "assistant", "x")]
+    expanded = C.prefix_target_examples(C.formatted_turns(_turns(spark, [(*r, "x", 1) for r in rows])))
+    got = {}
+    for r in C.example_texts(expanded).orderBy("conv_id", "example", "turns_before").collect():
+        text, spans = got.get((r.conv_id, r.example), ("", []))
+        if r.loss_start is not None:
+            spans = [*spans, (r.segment[r.loss_start:r.loss_end])]
+        got[(r.conv_id, r.example)] = (text + r.segment, spans)
+    first = "<s>[ROLE system] s [/ROLE]<s>[INST] q [/INST] a </s>"
+    assert got == {(1, 0): (first, ["a"]), (1, 1): (first + "<s>[INST] r [/INST] b </s>", ["b"]),
+                   (None, 0): (" x </s>", ["x"]), (None, 1): (" x </s> x </s>", ["x"])}
+
+
+def test_digests_against_sql_and_brute_force(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    df = C.op2_chat_format(spark, SF)
+    want = con.execute(C.OP2_SQL)
+    names = [d[0] for d in want.description]
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*names).collect())) == sorted(want.fetchall())
+    control = df.filter("conv_id = -1").first()
+    text = "</s>[INST] ok [/INST]"
+    assert control.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+    assert (control.loss_chars, control.loss_sha256) == (len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_odd_conversations(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(c, k, rng.choice(["user", "assistant", "system", "", "a%]b"]), rng.choice([*ODD, None]), "z", 0) for c in range(40)
+            for k in range(rng.randrange(1, 9))]
+    rows += [(99, k, ["user", "assistant"][k % 2], f"turn {k} " * 3, "z", 0) for k in range(6000)]
+    rows += [(None, 0, "user", "q", "z", 0), (None, None, "assistant", "z" * 200_000, "z", 0)]
+    rng.shuffle(rows)
+    got = C.conversation_digests(C.prefix_target_examples(C.formatted_turns(_turns(spark, rows)))).collect()
+    by = {}
+    for c, k, role, text, *_ in rows:
+        by.setdefault(c, []).append((k is not None, k or 0, role or "", text or ""))
+    assert len(got) == len(by)
+    for r in got:
+        turns = sorted(by[r.conv_id])
+        replies = [t for _, _, role, t in turns if role == "assistant"]
+        assert r.n_turns == len(turns) and r.n_examples == len(replies)
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{t}\n" for _, _, a, t in turns).encode()).hexdigest()
+        assert r.loss_chars == sum(map(len, replies))
+        assert r.loss_sha256 == hashlib.sha256("".join(replies).encode()).hexdigest()
+    empty = C.conversation_digests(C.prefix_target_examples(C.formatted_turns(_turns(spark, rows).limit(0))))
+    assert empty.collect() == []
+
+
+def test_language_on_held_out_rows(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = L.op1_language(spark, SF).collect()
+    assert len(got) == len(docs)
+    right = total = 0
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1
+        if r.held_out:
+            total += 1
+            right += r.lang_pred == docs[r.doc_id].lang
+    assert right >= 0.97 * total
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_ngrams_against_plain_python(order):
+    texts = ["Ab cd!! ef", "", "...", "a", "É\n日本 x9y", "abcdef" * 50, "  lead and trail  "]
+    got, counts = L.ngrams(texts, order)
+    ends = np.cumsum(counts)
+    plain = {}
+    for k, t in enumerate(texts):
+        s = " " + "".join(c if c.isalpha() else " " for c in t.lower())
+        s = " ".join([""] + s.split() + [""]) if s.split() else " "
+        want = [s[i:i + order] for i in range(len(s) - order + 1)]
+        mine = got[ends[k] - counts[k]:ends[k]].tolist()
+        assert len(mine) == len(want), (t, s)
+        for g, h in zip(want, mine):
+            assert plain.setdefault(g, h) == h
+    assert len(set(plain.values())) == len(plain)
+
+
+@pytest.mark.parametrize("languages", [1, 4, 12, 70])
+def test_filters_have_no_false_negatives(languages):
+    rng = np.random.RandomState(4)
+    grams = [rng.randint(0, 2**62, 500).astype(np.uint64) for _ in range(languages)]
+    f = L.LanguageFilters(3, grams)
+    for k, g in enumerate(grams):
+        assert ((f.masks(g)[k // 64] >> f.table.dtype.type(k % 64)) & f.table.dtype.type(1)).all()
+    other = f.masks(rng.randint(0, 2**62, 20_000).astype(np.uint64))
+    rate = ((other[0] >> f.table.dtype.type(0)) & f.table.dtype.type(1)).mean()
+    assert abs(rate - f.false_positive[0]) < 0.01 and rate < 0.05
+
+
+def test_language_edge_rows(spark):
+    words = {"aa": "kalo meri tuno sabi".split(), "bb": "zwrog phleck strumpt".split()}
+    rng = random.Random(1)
+    rows = [(k, " ".join(rng.choice(words[g]) for _ in range(20)), g, "s") for k in range(200) for g in ("aa", "bb")]
+    rows += [(None, "kalo meri tuno", None, "s"), (900, None, "aa", "s"), (901, "", "aa", "s"), (902, "123 !!", "aa", "s"),
+             (903, "zwrog " * 40_000, None, "s"), (904, "kalo", None, "s"), (5, "kalo tuno", None, "s"), (5, "kalo tuno", None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, p string")
+    got = L.predict_languages(docs, L.train_language(docs)).collect()
+    assert len(got) == len(rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add(r.lang_pred)
+    assert by[900] == by[901] == by[902] == {"und"} and by[903] == {"bb"} and by[904] == {"aa"} and by[None] == {"aa"}
+    assert by[7] == {"aa", "bb"}
+    empty = docs.limit(0)
+    assert L.predict_languages(empty, L.train_language(empty)).collect() == []
+    nothing = docs.withColumn("lang", docs["lang"].substr(9, 1)).selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang")
+    assert {r.lang_pred for r in L.predict_languages(nothing, L.train_language(nothing)).collect()} == {"und"}
