@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and
 returns a DataFrame; ``run`` writes every stage's result as Parquet in the shared folder
-and reads it back as the next one's documents.
+and reads it back as the next one's documents. The first four return the columns of
+documents, the last the places of their token pieces in training sequences.
 """
 
 from __future__ import annotations
@@ -10,16 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlens.llm.common import materialise, read_table
+from feedlens.llm.decontaminate import decontamination_stage
 from feedlens.llm.exact_dedup import exact_dedup_stage
+from feedlens.llm.packing import packing_stage
+from feedlens.llm.quality import quality_stage
 from feedlens.llm.simhash import simhash_stage
 
 STAGES = [
+    ("quality", quality_stage),
     ("exact_dedup", exact_dedup_stage),
     ("simhash_near_dedup", simhash_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
 ]
 
-# Hashing, a trained classifier and tokenizing are beyond SQL; tests hold the stages
-# against brute-force versions instead.
+# A trained classifier, XXH64 fingerprints and tokenizing are beyond SQL: the tests hold
+# every stage against a brute-force version instead.
 ORACLE_SQL = None
 
 
