@@ -14,9 +14,8 @@ import os
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pandas as pd
@@ -25,14 +24,14 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.functions import pandas_udf
 from tokenizers import Tokenizer
 
-from feedlens.llm.common import chunks, materialise, read_table
+from feedlens.llm.common import materialise, read_table, text_udf
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 COMMON_LENGTHS = 96      # lengths from which triples are built
 FIT_ROUNDS = 400
 SCALES = (1.0, 0.98, 0.9, 0.7, 0.4, 0.0)   # shares of the fitted counts that are tried
-WORD_CACHE = 500_000
+WORD_CACHE = 700_000
 
 
 class WordEncoder:
@@ -51,7 +50,7 @@ class WordEncoder:
         spaces = " \t\n\x0b\x0c\r\xa0"
         own = "".join(map(re.escape, letters)), "".join(map(re.escape, numbers)), re.escape(spaces)
         self.split = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{2}{0}{1}]+".format(*own)).findall
-        self.other = re.compile("[^\x00-ɏ]|[\x1c-\x1f\x85İ]|<\\|").search
+        self.other = re.compile("[^\x00-\x1b\x20-\x84\x86-įı-ɏ]").search
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[k for word, k in vocabulary.items() if word.endswith("</w>")]] = True
@@ -63,12 +62,18 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [None if self.other(t) else self.split(t.lower()) for t in texts]
+        plain = [not self.other(t) and "<|" not in t for t in texts]
+        split = [self.split(t.lower()) if p else [] for t, p in zip(texts, plain)]
         if len(self.known) > WORD_CACHE:
-            self.known.clear()
-        self._learn(list(set(chain.from_iterable(w for w in words if w)) - self.known.keys()))
-        get = self.known.__getitem__
-        return [self._ids([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, words)]
+            self.known = dict(islice(self.known.items(), WORD_CACHE // 3))  # the common words come first
+        words = list(chain.from_iterable(split))
+        ids = list(map(self.known.get, words))
+        fresh = [k for k, found in enumerate(ids) if found is None]
+        self._learn(list(dict.fromkeys(words[k] for k in fresh)))
+        for k in fresh:
+            ids[k] = self.known[words[k]]
+        ends = list(accumulate(map(len, split), initial=0))
+        return [b"".join(ids[a:b]) if p else self._ids([t])[0] for t, p, a, b in zip(texts, plain, ends, ends[1:])]
 
     def _learn(self, words: list[str]) -> None:
         """Encode words as one text; each ends with the first id that ends a word."""
@@ -87,29 +92,25 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def encode_all(encode, texts: list[str | None]) -> Iterator[bytes]:
-    texts = [t or "" for t in texts]
-    for a, b in chunks(texts):
-        yield from encode(texts[a:b])
-
-
 def pieces_udf(tokenizer: str, capacity: int, end_id: int):
     """UDF: text -> its pieces (piece, start, length, ids_crc32, ids)."""
+    end, width = np.array([end_id], np.uint32).tobytes(), 4 * capacity
 
-    @pandas_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long,ids:binary>>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        end = np.array([end_id], np.uint32).tobytes()
+    def make():
         encode = encoder(public_tokenizers.path(tokenizer)).encode
-        for texts in batches:
+
+        def cut(texts: list[str | None]) -> list[list[dict]]:
             rows = []
-            for ids in encode_all(encode, texts.tolist()):
+            for ids in encode([t or "" for t in texts]):
                 ids += end
-                rows.append([{"piece": k, "start": a // 4, "length": len(ids[a:a + 4 * capacity]) // 4,
-                              "ids_crc32": zlib.crc32(ids[a:a + 4 * capacity]), "ids": ids[a:a + 4 * capacity]}
-                             for k, a in enumerate(range(0, len(ids), 4 * capacity))])
-            yield pd.Series(rows)
+                parts = [ids[a:a + width] for a in range(0, len(ids), width)]
+                rows.append([{"piece": k, "start": k * capacity, "length": len(part) // 4, "ids_crc32": zlib.crc32(part),
+                              "ids": part} for k, part in enumerate(parts)])
+            return rows
+
+        return cut
 
-    return cut
+    return text_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long,ids:binary>>", make)
 
 
 def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER,
