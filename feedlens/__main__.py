@@ -4,7 +4,7 @@
     python -m feedlens feed-report --feed PATH --run-date 2024-01-09 --table db.reports
     python -m feedlens app-report --feed PATH --messages PATH --run-date 2024-01-09 --table db.reports
     python -m feedlens alerts --feed PATH --messages PATH --as-of "2024-01-09 12:07:00" --table db.reports
-    python -m feedlens stream --feed-dir DIR --messages-dir DIR --out DIR [--checkpoint DIR]
+    python -m feedlens stream --feed-dir DIR --messages-dir DIR --out DIR --checkpoint DIR
 
 --feed/--messages take a path (parquet unless --format) or a catalog table name.
 Dates are explicit: the scheduler passes the run date or the run time.
@@ -48,13 +48,13 @@ def main(argv=None) -> int:
     s.add_argument("--feed-dir", required=True)
     s.add_argument("--messages-dir", required=True)
     s.add_argument("--out", required=True)
-    s.add_argument("--checkpoint", default=None)
+    s.add_argument("--checkpoint", required=True, help="the stream's progress: the same shared folder at every start")
     s.add_argument("--delay", default="15 minutes")
     s.add_argument("--once", action="store_true", help="process what is there and stop")
     s.add_argument("--approx", action="store_true", help="HyperLogLog distinct users (small state)")
     a = p.parse_args(argv)
 
-    spark = build_session(a.master) if a.master else build_session()
+    spark = build_session(a.master)
     if a.cmd == "stream":
         from feedlens.streaming import start_slot_job
         feed = spark.readStream.schema(FEED_SCHEMA).parquet(a.feed_dir)
@@ -76,7 +76,7 @@ def main(argv=None) -> int:
         print(jobs.app_report_job(spark, feed, msgs, a.run_date, a.table, a.location).summary.first().text)
     else:
         run = jobs.anomaly_alert_job(spark, feed, msgs, a.as_of, a.table, a.location)
-        for r in run.alerts.filter("is_alert").collect():  # at most one row per metric
+        for r in run.alerts.filter("text IS NOT NULL").collect():  # at most one row per metric
             print(r.text)
     return 0
 

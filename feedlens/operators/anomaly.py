@@ -29,16 +29,19 @@ def message_slots(msgs: DataFrame, minutes: int = 15) -> DataFrame:
 
 
 def slot_events(feed: DataFrame, msgs: DataFrame) -> DataFrame:
-    """Feed and message rows as one event stream: user_id, time, kind."""
-    return (feed.select("user_id", "time", F.col("action").alias("kind"))
-            .unionByName(msgs.select("user_id", "time", F.lit("msg").alias("kind"))))
+    """Feed and message rows as one event stream: user_id, time, kind, is_msg. Rows are
+    told apart by their source, so a feed action of any name counts as feed activity."""
+    return (feed.select("user_id", "time", F.col("action").alias("kind"), F.lit(False).alias("is_msg"))
+            .unionByName(msgs.select("user_id", "time", F.lit("msg").alias("kind"), F.lit(True).alias("is_msg"))))
 
 
 def per_user_aggs():
-    """First level (slot, user): views, likes and messages sent."""
-    return [F.count_if(F.col("kind") == "view").alias("views"),
-            F.count_if(F.col("kind") == "like").alias("likes"),
-            F.count_if(F.col("kind") == "msg").alias("sent")]
+    """First level (slot, user): feed rows, views, likes and messages sent."""
+    feed = ~F.col("is_msg")
+    return [F.count_if(feed).alias("acts"),
+            F.count_if(feed & (F.col("kind") == "view")).alias("views"),
+            F.count_if(feed & (F.col("kind") == "like")).alias("likes"),
+            F.count_if("is_msg").alias("sent")]
 
 
 def per_slot_aggs():
@@ -46,11 +49,11 @@ def per_slot_aggs():
     slot has feed rows and message rows at all (a NULL user still makes a row but
     is not a user, and its messages are not counted as sent)."""
     known = F.col("user_id").isNotNull()
-    return [F.count_if(known & (F.col("views") + F.col("likes") > 0)).alias("users_feed"),
+    return [F.count_if(known & (F.col("acts") > 0)).alias("users_feed"),
             F.sum("views").alias("views"), F.sum("likes").alias("likes"),
             F.count_if(known & (F.col("sent") > 0)).alias("users_mess"),
             F.coalesce(F.sum(F.when(known, F.col("sent"))), F.lit(0)).alias("sent_mess"),
-            F.sum(F.col("views") + F.col("likes")).alias("feed_rows"),
+            F.sum("acts").alias("feed_rows"),
             F.sum("sent").alias("msg_rows")]
 
 
@@ -149,32 +152,42 @@ def iqr_bounds(long_df: DataFrame, a: float = 2.0, n: int = 6, mode: str = "newe
                       alert.alias("is_alert"))
 
 
-def current_alerts(scored: DataFrame, key: str = "ts") -> DataFrame:
-    """The newest slot of every metric with its previous value, deviation and
-    direction (K18, W5, W6). ``scored`` comes from iqr_bounds(mode='newest').
+def slot_alerts(scored: DataFrame, key: str = "ts") -> DataFrame:
+    """Every slot of every metric with its previous value, deviation and direction
+    (K18, W5, W6). ``scored`` comes from iqr_bounds(mode='newest').
 
     deviation_pct = |bround((1 - cur/prev) * 100, 2)|; direction is 'growth' when
     cur > prev, 'drop' when cur < prev (the source job's label was inverted).
+    ``undefined`` marks a slot whose value does not exist (likes without views):
+    it has no bounds to break, but it is not a quiet slot, so it gets a text too.
     """
     w = Window.partitionBy("metric").orderBy(key)
-    with_prev = scored.withColumn("prev_value", F.lag("value", 1).over(w))
-    newest = (with_prev.groupBy("metric")
-              .agg(F.max_by(F.struct(key, "value", "prev_value", "low", "up", "is_alert"),
-                            F.col(key)).alias("r"))
-              .select("metric", "r.*"))
+    rows = scored.withColumn("prev_value", F.lag("value", 1).over(w)).withColumn("undefined", F.col("value").isNull())
     dev = F.abs(F.bround((F.lit(1.0) - ratio("value", "prev_value")) * 100, 2))
     direction = (F.when(F.col("value") > F.col("prev_value"), "growth")
                  .when(F.col("value") < F.col("prev_value"), "drop").otherwise("flat"))
+
+    def two_places(x):   # format_string would spell out a NULL
+        return F.when(x.isNotNull(), F.format_string("%.2f", x)).otherwise("n/a")
+
     text = F.when(
         F.col("is_alert"),
         F.concat(F.lit("Anomaly ("), direction, F.lit(") in "), F.col("metric"),
                  F.lit(": current value "),
-                 F.coalesce(F.format_string("%.2f", F.bround("value", 2)), F.lit("n/a")),
+                 two_places(F.bround("value", 2)),
                  F.lit(", deviation from previous "),
-                 F.coalesce(F.format_string("%.2f", dev), F.lit("n/a")), F.lit("%")))
-    return newest.select(key, "metric", "value", "prev_value", "low", "up", "is_alert",
-                         dev.alias("deviation_pct"), direction.alias("direction"),
-                         text.alias("text"))
+                 two_places(dev), F.lit("%"))) \
+        .when(F.col("undefined"), F.concat(F.lit("Undefined value of "), F.col("metric")))
+    return rows.select(key, "metric", "value", "prev_value", "low", "up", "is_alert", "undefined",
+                       dev.alias("deviation_pct"), direction.alias("direction"), text.alias("text"))
+
+
+def current_alerts(scored: DataFrame, key: str = "ts") -> DataFrame:
+    """The newest slot of every metric, as ``slot_alerts`` describes it."""
+    rows = slot_alerts(scored, key)
+    fields = [c for c in rows.columns if c != "metric"]
+    return (rows.groupBy("metric").agg(F.max_by(F.struct(*fields), F.col(key)).alias("r"))
+            .select(f"r.{key}", "metric", *[f"r.{c}" for c in fields if c != key]))
 
 
 def alert_series(scored_centred: DataFrame, key: str = "ts") -> DataFrame:

@@ -8,6 +8,7 @@ across engines; the operators themselves never round.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import os
 import re
 import uuid
@@ -17,17 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import round_doubles
-from feedlens.operators import anomaly, audience, cube, kpi
+from feedlens.operators import anomaly, audience, cube, filters, kpi
 from feedlens.operators import experiment as ex
-from feedlens.plans import ab, reports
+from feedlens.plans import ab, jobs, reports
 from feedlens.session import checkpoint_dir
 from feedlens.sources.fixtures import feed_from_events, load_fixture, messages_from_events
+from feedlens.sources.tables import TableRef, read_feed, read_messages
 from feedlens.streaming import start_slot_job, stream_events
 
 # The fixture's parameters.
 RUN_DATE = dt.date(2024, 1, 9)            # reports and cube run "today"; yesterday = 2024-01-08
 YESTERDAY = RUN_DATE - dt.timedelta(days=1)
 AS_OF = dt.datetime(2024, 1, 9, 12, 7, 0)  # anomaly job time
+ALERT_RUNS = [dt.datetime(2024, 1, 9, h, m) for h, m in ((2, 31), (12, 7), (12, 7), (17, 50), (23, 1))]
 WEEKLY_RUN_DATE = dt.date(2024, 1, 30)
 AB_LO, AB_HI = dt.date(2024, 1, 8), dt.date(2024, 1, 14)
 AA_LO, AA_HI = dt.date(2024, 1, 1), dt.date(2024, 1, 7)
@@ -321,9 +324,66 @@ def _ab_summary(feed, msgs, sf):
     return ab.ab_summary(feed, AB_A, AB_B, AB_LO, AB_HI, ALPHA_SMOOTH, N_BUCKETS, N_BOOT)
 
 
+# ------------------------------------------------------------------ sources and sinks
+def _scratch(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A fresh table name and its folder in the shared checkpoint folder."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    return name, os.path.join(checkpoint_dir(spark), name)
+
+
+@query("feed_scan")
+def _feed_scan(feed, msgs, sf):
+    """Both tables written out and read back by path and by table name."""
+    spark, parts = feed.sparkSession, []
+    for kind, df, read in (("feed", feed, read_feed), ("messages", msgs, read_messages)):
+        name, path = _scratch(spark, f"scan_{kind}")
+        df.withColumn("extra", F.lit(1)).write.parquet(path)
+        spark.read.parquet(path).createOrReplaceTempView(name)
+        for how, source in (("path", TableRef(path=path)), ("name", TableRef(name=name))):
+            parts.append(read(spark, source).groupBy(F.to_date("time").alias("day")).agg(
+                F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
+                .select(F.lit(kind).alias("kind"), F.lit(how).alias("how"), "day", "n", "users"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query("cube_rewrite")
+def _cube_rewrite(feed, msgs, sf):
+    """A day written twice (the second time from iOS users only), a day written
+    and then emptied, and a day left alone."""
+    spark = feed.sparkSession
+    name, path = _scratch(spark, "cube")
+    day = dt.timedelta(days=1)
+    jobs.daily_cube_job(spark, feed, msgs, RUN_DATE - 2 * day, name, path, "reference")
+    jobs.daily_cube_job(spark, feed, msgs, RUN_DATE - day, name, path, "reference")
+    jobs.daily_cube_job(spark, feed, msgs, RUN_DATE, name, path, "reference")
+    jobs.daily_cube_job(spark, feed.filter("os = 'iOS'"), msgs, RUN_DATE, name, path, "reference")
+    jobs.daily_cube_job(spark, feed.filter("false"), msgs, RUN_DATE - day, name, path, "reference")
+    return spark.table(name)
+
+
+@query("feed_kpis_approx")
+def _feed_kpis_approx(feed, msgs, sf):
+    """A4: HyperLogLog distinct users of each hour of the week. An hour has few enough users
+    for the sketch to count them one by one, so the exact count is the right answer."""
+    week = filters.between_dates(feed, RUN_DATE - dt.timedelta(days=6), RUN_DATE)
+    return week.groupBy(F.date_trunc("hour", F.col("time")).cast("timestamp_ntz").alias("hour_ts")).agg(
+        F.approx_count_distinct("user_id", 0.01).alias("users"))
+
+
+@query("alert_history")
+def _alert_history(feed, msgs, sf):
+    """The alert job at several times of one day, one of them run twice; every slot's
+    alerts stay, each with its run time."""
+    spark = feed.sparkSession
+    name, path = _scratch(spark, "alerts")
+    for as_of in ALERT_RUNS:
+        jobs.anomaly_alert_job(spark, feed, msgs, as_of, name, path)
+    return spark.table(name).select("report_date", "kind", "slot", "run_ts", "text")
+
+
 # ------------------------------------------------------------------ streaming
-def _stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events file as a stream -> closed 15-minute slots (foreachBatch sink)."""
+def _run_stream(spark: SparkSession, sf_dir: str) -> str:
+    """The events file as a stream through the slot job; the folder of its output."""
     ev = stream_events(spark, sf_dir)
     out = os.path.join(checkpoint_dir(spark), f"stream-slots-{uuid.uuid4().hex}")
     q = start_slot_job(spark, feed_from_events(spark, ev), messages_from_events(spark, ev), out,
@@ -331,8 +391,19 @@ def _stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return out
+
+
+def _stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed 15-minute slots as the foreachBatch sink wrote them."""
     cols = ["ts", "date", "hm", "users_feed", "views", "likes", "CTR", "users_mess", "sent_mess"]
-    return round_doubles(spark.read.parquet(os.path.join(out, "slots")).select(*cols), 6)
+    return round_doubles(spark.read.parquet(os.path.join(_run_stream(spark, sf_dir), "slots")).select(*cols), 6)
+
+
+def _stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored rows of every slot that the stream closed."""
+    return round_doubles(spark.read.parquet(os.path.join(_run_stream(spark, sf_dir), "alerts")).drop("epoch", "batch_id"), 6)
 
 
 _REGISTRY["stream_slot_metrics"] = _stream_slots
+_REGISTRY["stream_alerts"] = _stream_alerts

@@ -26,7 +26,7 @@ def daily_cube_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, run_da
     """Yesterday's cube into ``table`` (created if absent); returns the written rows."""
     ensure_cube_table(spark, table, location)
     out = cube.daily_cube(feed, msgs, run_date, age_bins)
-    write_cube(out, table)
+    write_cube(out, table, to_day(run_date) - ONE_DAY)
     return spark.table(table).filter(F.col("event_date") == F.lit(to_day(run_date) - ONE_DAY))
 
 
@@ -45,7 +45,7 @@ def feed_report_job(spark: SparkSession, feed: DataFrame, run_date, table: str |
                      kpi.feed_kpis(feed, run_date - dt.timedelta(days=6), run_date).orderBy("Date"))
     if table:
         ensure_report_table(spark, table, location)
-        write_report(rep.summary, table)
+        write_report(rep.summary, table, "feed", run_date - ONE_DAY, run_date)
     return rep
 
 
@@ -68,7 +68,7 @@ def app_report_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, run_da
                     kpi.hourly_users(feed, msgs, run_date - ONE_DAY))
     if table:
         ensure_report_table(spark, table, location)
-        write_report(rep.summary, table)
+        write_report(rep.summary, table, "app", run_date - ONE_DAY, run_date)
     return rep
 
 
@@ -82,14 +82,16 @@ class AlertRun:
 def anomaly_alert_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, as_of,
                       table: str | None = None, location: str | None = None,
                       a: float = 2.0, n: int = 6) -> AlertRun:
-    """Score the closed 15-minute slots up to as_of; alerting metrics become
-    report rows (kind 'alert') when ``table`` is given."""
+    """Score the closed 15-minute slots up to as_of. When ``table`` is given, the metrics of
+    the newest closed slot that alert (or have no value) become report rows of that slot
+    (kind 'alert', run_ts = as_of): a rerun for the slot replaces them, alerts about other
+    slots stay."""
     long = anomaly.unpivot_metrics(anomaly.slot_metrics(feed, msgs, as_of))
     run = AlertRun(anomaly.current_alerts(anomaly.iqr_bounds(long, a, n, "newest")),
                    anomaly.alert_series(anomaly.iqr_bounds(long, a, n, "centred")))
     if table:
         ensure_report_table(spark, table, location)
-        rows = run.alerts.filter("is_alert").select(
-            F.to_date("ts").alias("report_date"), F.lit("alert").alias("kind"), "text")
-        write_report(rows, table)
+        slot = run.alerts.agg(F.max("ts")).first()[0]   # the newest closed slot with data
+        if slot is not None:
+            write_report(run.alerts.filter(F.col("text").isNotNull()), table, "alert", slot, as_of, slot.strftime("%H-%M"))
     return run

@@ -274,6 +274,37 @@ def _welch_select_grouped() -> str:
             f"var_samp({va}) AS var_a, var_samp({vb}) AS var_b FROM sel GROUP BY iter) w")
 
 
+DIRECTION = "CASE WHEN value > prev_value THEN 'growth' WHEN value < prev_value THEN 'drop' ELSE 'flat' END"
+DEVIATION = "abs(round_even((1.0 - value / NULLIF(prev_value, 0)) * 100, 2))"
+WITH_PREVIOUS = "SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY ts) AS prev_value FROM scored"
+ALERT_COLUMNS = (
+    f"ts, metric, value, prev_value, low, up, is_alert, value IS NULL AS undefined, {DEVIATION} AS deviation_pct, "
+    f"{DIRECTION} AS direction, CASE WHEN is_alert THEN 'Anomaly (' || {DIRECTION} || ') in ' || metric || "
+    f"': current value ' || COALESCE(printf('%.2f', round_even(value, 2)), 'n/a') || "
+    f"', deviation from previous ' || COALESCE(printf('%.2f', {DEVIATION}), 'n/a') || '%' "
+    "WHEN value IS NULL THEN 'Undefined value of ' || metric END AS text")
+ALERT_DOUBLES = ["value", "prev_value", "low", "up", "deviation_pct"]
+# final slots: slot end + the 15-minute lateness allowance <= the newest event time of
+# either source, whichever is the older
+STREAM_CLOSED = ("ts + INTERVAL 30 MINUTE <= (SELECT least((SELECT max(time) FROM feed_actions), "
+                 "(SELECT max(time) FROM message_actions)))")
+
+
+def _alert_history() -> str:
+    """The alert job's rows for each of its run times: the texts of the newest closed slot."""
+    parts = []
+    for as_of in sorted(set(c.ALERT_RUNS)):
+        begin = dt.datetime.combine(as_of.date() - dt.timedelta(days=1), dt.time())
+        end = as_of.replace(minute=as_of.minute // 15 * 15, second=0)
+        where = f"time >= {TS(begin)} AND time < {TS(end)}"
+        ctes = ",\n".join((FIXTURE, *(x.replace(SLOT_WHERE, where) for x in _scored_ctes("newest"))))
+        parts.append(
+            f"SELECT * FROM (WITH {ctes} SELECT CAST(ts AS DATE) AS report_date, 'alert' AS kind, strftime(ts, '%H-%M') AS slot, "
+            f"{TS(as_of)} AS run_ts, text FROM (SELECT {ALERT_COLUMNS} FROM ({WITH_PREVIOUS}) e) x "
+            "WHERE ts = (SELECT max(ts) FROM slots) AND text IS NOT NULL) y")
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
     """DuckDB SQL for every catalog query that has one (A/A subsample size from ``sf_dir``)."""
     q: dict[str, str] = {}
@@ -321,17 +352,15 @@ def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
     scored_doubles = ["value", "q25", "q75", "iqr", "up", "low"]
     q["iqr_bounds_centred"] = _sql("SELECT * FROM scored", *_scored_ctes("centred"), doubles=scored_doubles)
     q["iqr_bounds_newest"] = _sql("SELECT * FROM scored", *_scored_ctes("newest"), doubles=scored_doubles)
-    direction = ("CASE WHEN value > prev_value THEN 'growth' WHEN value < prev_value THEN 'drop' "
-                 "ELSE 'flat' END")
-    dev = "abs(round_even((1.0 - value / NULLIF(prev_value, 0)) * 100, 2))"
     q["current_alerts"] = _sql(
-        f"SELECT ts, metric, value, prev_value, low, up, is_alert, {dev} AS deviation_pct, "
-        f"{direction} AS direction, CASE WHEN is_alert THEN 'Anomaly (' || {direction} || ') in ' || metric || "
-        f"': current value ' || COALESCE(printf('%.2f', round_even(value, 2)), 'n/a') || "
-        f"', deviation from previous ' || COALESCE(printf('%.2f', {dev}), 'n/a') || '%' END AS text "
-        "FROM (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY ts) AS prev_value FROM scored) e "
+        f"SELECT {ALERT_COLUMNS} FROM ({WITH_PREVIOUS}) e "
         "QUALIFY row_number() OVER (PARTITION BY metric ORDER BY ts DESC) = 1",
-        *_scored_ctes("newest"), doubles=["value", "prev_value", "low", "up", "deviation_pct"])
+        *_scored_ctes("newest"), doubles=ALERT_DOUBLES)
+    closed = [x.replace(f"WHERE {SLOT_WHERE} ", "") for x in _scored_ctes("newest")]
+    closed[2] = f"every_{closed[2]}"
+    closed.insert(3, f"slots AS (SELECT * FROM every_slots WHERE {STREAM_CLOSED})")
+    q["stream_alerts"] = _sql(f"SELECT {ALERT_COLUMNS} FROM ({WITH_PREVIOUS}) e", *closed, doubles=ALERT_DOUBLES)
+    q["alert_history"] = _alert_history()
     q["alert_series"] = _sql("SELECT ts, metric, value, up, low FROM scored", *_scored_ctes("centred"),
                              doubles=["value", "up", "low"])
     q["user_metrics"] = _sql("SELECT * FROM um", UM_AB, doubles=["ctr"])
@@ -397,9 +426,19 @@ def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
         f"FROM pop, range({c.N_PAIRS}) t(i))",
         "sel AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY iter, exp_group ORDER BY h, user_id) <= 1)",
         doubles=["p_a_gt_b", "p_tie", "p_a_lt_b"])
-    # final slots: slot end + the 15-minute lateness allowance <= newest event time
     q["stream_slot_metrics"] = _sql(
-        "SELECT * FROM slots WHERE ts + INTERVAL 30 MINUTE <= "
-        "(SELECT max(time) FROM (SELECT time FROM feed_actions UNION ALL SELECT time FROM message_actions) x)",
+        f"SELECT * FROM slots WHERE {STREAM_CLOSED}",
         *(ct.replace(f"WHERE {SLOT_WHERE} ", "") for ct in SLOT_CTES), doubles=["CTR"])
+    scan = ("SELECT '{kind}' AS kind, '{how}' AS how, CAST(time AS DATE) AS day, count(*) AS n, "
+            "count(DISTINCT user_id) AS users FROM {table} GROUP BY 3")
+    q["feed_scan"] = _sql(" UNION ALL ".join(
+        scan.format(kind=kind, how=how, table=table) for kind, table in (("feed", "feed_actions"), ("messages", "message_actions"))
+        for how in ("path", "name")))
+    first_day = Y - dt.timedelta(days=2)
+    left_alone = _cube("reference").replace(D(Y), D(first_day))
+    only_ios = _cube("reference").replace("FROM feed_actions WHERE", "FROM feed_actions WHERE os = 'iOS' AND")
+    q["cube_rewrite"] = f"SELECT * FROM ({left_alone}) a UNION ALL SELECT * FROM ({only_ios}) b"
+    q["feed_kpis_approx"] = _sql(
+        "SELECT date_trunc('hour', time) AS hour_ts, count(DISTINCT user_id) AS users FROM feed_actions "
+        f"WHERE CAST(time AS DATE) BETWEEN {D(c.RUN_DATE - dt.timedelta(days=6))} AND {D(c.RUN_DATE)} GROUP BY 1")
     return q

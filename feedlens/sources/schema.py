@@ -39,10 +39,14 @@ CUBE_SCHEMA = T.StructType([
     T.StructField("users_received", T.LongType()),
 ])
 
-# Published report / alert rows (re-aimed from chat messages).
+# Published report / alert rows (re-aimed from chat messages). ``slot`` is the 15-minute
+# slot an alert is about ("HH-mm"), "day" for the daily reports; ``run_ts`` is the run
+# time the scheduler passed. Rows are replaced by (kind, report_date, slot) only.
 REPORT_SCHEMA = T.StructType([
     T.StructField("report_date", T.DateType()),
     T.StructField("kind", T.StringType()),
+    T.StructField("slot", T.StringType()),
+    T.StructField("run_ts", T.TimestampNTZType()),
     T.StructField("text", T.StringType()),
 ])
 

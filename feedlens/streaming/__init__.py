@@ -1,3 +1,3 @@
-from feedlens.streaming.slots import score_latest, slot_stream, start_slot_job, stream_events
+from feedlens.streaming.slots import score_slots, slot_stream, start_slot_job, stream_events
 
-__all__ = ["score_latest", "slot_stream", "start_slot_job", "stream_events"]
+__all__ = ["score_slots", "slot_stream", "start_slot_job", "stream_events"]

@@ -8,25 +8,23 @@ join state) is needed, and exact distinct users per slot come from the first
 aggregate (one row per user and slot), which exact ``count_distinct`` cannot do
 on a stream.
 
-Append mode releases a slot once the watermark passes its end, so every emitted
-slot is final. ``foreachBatch`` writes each micro-batch into ``date=/batch_id=``
-partitions with dynamic overwrite, so a replayed epoch (after a failure) replaces
-its own output instead of duplicating it; it then scores the newest slots with
-the batch IQR operator, reading only the last two days' partitions when they
-hold enough slots, and writes alert rows the same way.
+Each source is watermarked on its own before the union, and the query's watermark is
+the smaller of the two: a slot waits for the slower source (after a restart, until
+both have new rows). Append mode releases a
+slot once that watermark passes its end, so every emitted slot is final.
+``foreachBatch`` writes each micro-batch into ``date=/batch_id=`` partitions with
+dynamic overwrite, so a replayed epoch (after a failure) replaces its own output
+instead of duplicating it. It then scores every slot of the epoch, however many one
+epoch closes, with the batch IQR operator over the epoch and the slots before it
+that its first bound depends on, and writes the rows the same way.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.operators import anomaly
-from feedlens.session import checkpoint_dir
-
 
 def slot_stream(feed: DataFrame, msgs: DataFrame, minutes: int = 15,
                 delay: str = "15 minutes", approx: bool = False) -> DataFrame:
@@ -40,13 +38,14 @@ def slot_stream(feed: DataFrame, msgs: DataFrame, minutes: int = 15,
     stateful aggregation per slot: state per open slot is a fixed-size sketch
     instead of one row per active user (for very large audiences).
     """
-    ev = (anomaly.slot_events(feed, msgs)
-          .withColumn("time", F.col("time").cast("timestamp"))
-          .withWatermark("time", delay))
+    def marked(events: DataFrame) -> DataFrame:
+        return events.withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", delay)
+
+    ev = anomaly.slot_events(marked(feed), marked(msgs))
     width = f"{minutes} minutes"
     if approx:
-        kind, known = F.col("kind"), F.col("user_id").isNotNull()
-        is_feed, is_msg = kind.isin("view", "like"), kind == "msg"
+        known, is_msg = F.col("user_id").isNotNull(), F.col("is_msg")
+        is_feed, kind = ~is_msg, F.when(~is_msg, F.col("kind"))
         per_slot = ev.groupBy(F.window("time", width).alias("slot")).agg(
             F.approx_count_distinct(F.when(is_feed, F.col("user_id"))).alias("users_feed"),
             F.count_if(kind == "view").alias("views"), F.count_if(kind == "like").alias("likes"),
@@ -60,44 +59,45 @@ def slot_stream(feed: DataFrame, msgs: DataFrame, minutes: int = 15,
     return anomaly.finish_slot_table(per_slot, F.col("slot.start").cast("timestamp_ntz"))
 
 
-def slots_needed(n: int = 6) -> int:
-    """Slots the newest bound depends on: n for the quantiles + n//2 for smoothing + 1."""
-    return n + n // 2 + 1
+SLOT_SCHEMA = ("ts timestamp_ntz, hm string, users_feed long, views long, likes long, CTR double, "
+               "users_mess long, sent_mess long, date date, batch_id long")
+
 
+def slots_before(n: int = 6) -> int:
+    """Slots before one that its bound depends on: n for the quantiles + n//2 for smoothing."""
+    return n + n // 2
 
-def score_latest(slots: DataFrame, n: int = 6, a: float = 2.0) -> DataFrame:
-    """Alert rows for the newest slot of each metric, from the last n + n//2 + 1
-    slots (all the newest bound depends on)."""
-    keep = slots_needed(n)
-    last = slots.orderBy(F.desc("ts")).limit(keep)  # a top-k: the feature, not a cap
-    return anomaly.current_alerts(anomaly.iqr_bounds(anomaly.unpivot_metrics(last), a, n, "newest"))
+
+def score_slots(slots: DataFrame, before: DataFrame, n: int = 6, a: float = 2.0) -> DataFrame:
+    """``anomaly.slot_alerts`` rows of all ``slots``; ``before``: the slots preceding them,
+    of which the last n + n//2 are used (a top-k that the bounds are defined by)."""
+    last = before.orderBy(F.desc("ts")).limit(slots_before(n)).select(*slots.columns)
+    rows = anomaly.unpivot_metrics(last.unionByName(slots))
+    own = slots.select(F.min("ts").alias("__first"))
+    scored = anomaly.slot_alerts(anomaly.iqr_bounds(rows, a, n, "newest"))
+    return scored.join(F.broadcast(own), F.col("ts") >= F.col("__first")).drop("__first")   # one row: broadcast
 
 
 def start_slot_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, out_dir: str,
-                   checkpoint: str | None = None, trigger: dict | None = None,
+                   checkpoint: str, trigger: dict | None = None,
                    minutes: int = 15, delay: str = "15 minutes", approx: bool = False):
-    """Start the streaming job; closed slots go to ``{out_dir}/slots``, alert rows
-    for the newest slot after each epoch to ``{out_dir}/alerts``."""
-    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), f"slots-{uuid.uuid4().hex}")
-    slots_dir, alerts_dir = os.path.join(out_dir, "slots"), os.path.join(out_dir, "alerts")
+    """Start the streaming job; closed slots go to ``{out_dir}/slots``, the scored rows of
+    every closed slot to ``{out_dir}/alerts``. ``checkpoint`` is the job's memory of what
+    it has read: the same folder at every start, in storage that all executors share."""
+    slots_dir, alerts_dir = f"{out_dir.rstrip('/')}/slots", f"{out_dir.rstrip('/')}/alerts"
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        # date=/batch_id= layout; dynamic overwrite makes a replayed epoch replace
-        # exactly its own partitions.
-        (batch.withColumn("batch_id", F.lit(epoch)).write.mode("overwrite")
+        (batch.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id")
          .parquet(slots_dir))
-        # Slots are emitted in time order, so this epoch holds the newest one. Score
-        # from the last two days' partitions; read the whole history only if they
-        # hold fewer slots than the newest bound depends on.
-        newest = batch.agg(F.max("date")).first()[0]
-        history = spark.read.parquet(slots_dir).drop("batch_id")
-        recent = history.filter(F.col("date") >= F.date_sub(F.lit(newest), 1))
-        source = recent if recent.count() >= slots_needed() else history
-        (score_latest(source).withColumn("epoch", F.lit(epoch))
-         .write.mode("overwrite").parquet(os.path.join(alerts_dir, f"batch_id={epoch}")))
+        closed = spark.read.schema(SLOT_SCHEMA).parquet(slots_dir)
+        mine = closed.filter(F.col("batch_id") == epoch)
+        first = mine.agg(F.min("ts")).first()[0]
+        if first is None:
+            return
+        earlier = closed.filter((F.col("ts") < F.lit(first)) & (F.col("date") <= F.lit(first.date())))
+        (score_slots(mine.drop("batch_id"), earlier.drop("batch_id")).withColumn("epoch", F.lit(epoch))
+         .write.mode("overwrite").parquet(f"{alerts_dir}/batch_id={epoch}"))
 
     writer = (slot_stream(feed, msgs, minutes, delay, approx).writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint).foreachBatch(handle))

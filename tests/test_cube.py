@@ -73,10 +73,12 @@ def test_cube_write_is_idempotent_per_day(spark, make_feed, make_msgs, tmp_path)
     feed, msgs = make_feed(FEED), make_msgs(MSGS)
     day1 = cube.daily_cube(feed, msgs, "2024-01-09")
     other = day1.withColumn("event_date", F.lit(dt.date(2024, 1, 7)))
-    write_cube(other, name)
-    write_cube(day1, name)
-    write_cube(day1, name)                                    # rerun of the same day
+    write_cube(other, name, "2024-01-07")
+    write_cube(day1, name, "2024-01-08")
+    write_cube(day1, name, "2024-01-08")                      # rerun of the same day
     counts = {r[0]: r[1] for r in spark.table(name).groupBy("event_date").count().collect()}
     n = day1.count()
     assert counts == {dt.date(2024, 1, 7): n, dt.date(2024, 1, 8): n}
+    write_cube(day1.limit(0), name, "2024-01-08")             # a rerun whose feed is now empty
+    assert [r[0] for r in spark.table(name).select("event_date").distinct().collect()] == [dt.date(2024, 1, 7)]
     spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -20,7 +20,7 @@ def test_jobs_write_idempotently(spark, tmp_path):
     assert written.count() == spark.table("job_cube").count() == 8
     kinds = {r.kind: r["count"] for r in spark.table("job_reports").groupBy("kind").count().collect()}
     assert kinds["feed"] == 1 and kinds["app"] == 1
-    assert kinds.get("alert", 0) == run.alerts.filter("is_alert").count()
+    assert kinds.get("alert", 0) == run.alerts.filter("text IS NOT NULL").count()
     # as of 2024-01-09 only the week of 2024-01-08 has new, retained and gone users
     assert [r.Date for r in app.audience.collect()] == [dt.date(2024, 1, 8)]
     assert app.hourly.count() > 0 and app.activity.count() == 8
@@ -29,6 +29,22 @@ def test_jobs_write_idempotently(spark, tmp_path):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
+def test_alerts_of_other_slots_stay_and_a_rerun_clears_its_own(spark, make_feed, make_msgs, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS alert_rows")
+    views = [(u, f"2024-01-08 {h:02d}:{m:02d}:00", "view", 0, 1, "iOS", "ads", 1, 30)
+             for h in range(9, 13) for m in (0, 15, 30, 45) for u in range(10 if (h, m) not in ((11, 0), (12, 0)) else 40)]
+    msgs = make_msgs([(1, 2, f"2024-01-08 {h:02d}:{m:02d}:00") for h in range(9, 13) for m in (0, 15, 30, 45)])
+    feed = make_feed(views)
+    for as_of in ("2024-01-08 11:15:00", "2024-01-08 12:15:00"):
+        jobs.anomaly_alert_job(spark, feed, msgs, as_of, "alert_rows", str(tmp_path / "a"))
+    rows = spark.table("alert_rows").collect()
+    assert {(r.slot, r.run_ts) for r in rows} == {("11-00", dt.datetime(2024, 1, 8, 11, 15)), ("12-00", dt.datetime(2024, 1, 8, 12, 15))}
+    calm = make_feed([v for v in views if not (v[1] == "2024-01-08 12:00:00" and v[0] >= 10)])
+    jobs.anomaly_alert_job(spark, calm, msgs, "2024-01-08 12:16:00", "alert_rows")
+    assert {r.slot for r in spark.table("alert_rows").collect()} == {"11-00"}
+    spark.sql("DROP TABLE IF EXISTS alert_rows")
+
+
 def test_kpis_from_first_seen_table(spark, tmp_path):
     feed, _ = load_fixture(spark, SF001)
     spark.sql("DROP TABLE IF EXISTS fs_src")

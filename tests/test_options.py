@@ -75,7 +75,42 @@ def test_weekly_audience_since_matches_full_history(make_feed, spark):
 
 def test_scale_conf_sizes_partitions():
     from feedlens.session import scale_conf
-    c = scale_conf(100 * 2**40, 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20) + 1
-    assert int(scale_conf(2**30, 8000)["spark.sql.shuffle.partitions"]) == 24000
-    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    width = lambda *a, **k: int(scale_conf(*a, **k)["spark.sql.shuffle.partitions"])
+    assert width(100 * 2**40, 1000) == 20_000                      # by shuffled bytes, below the ceiling
+    assert width(100 * 2**40, 1000, shuffled_share=0.01) == 100 * 2**40 // 100 // (256 << 20) + 1
+    assert width(100 * 2**40, 8000) == width(2**30, 8000) == 24_000  # never under 3 waves
+    assert scale_conf(2**40, 100)["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_preset_master_and_width_survive(tmp_path):
+    import os
+    import subprocess
+    import sys
+    code = ("from feedlens.session import build_session; s = build_session();"
+            "print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions')); s.stop()")
+    env = {**os.environ, "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=4000 pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120,
+                         cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert "GOT local[2] 4000" in out.stdout, out.stderr[-500:]
+
+
+def test_checkpoint_dir_must_be_set_on_a_cluster(monkeypatch):
+    import pytest
+
+    from feedlens import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(Conf)
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda **k: pytest.fail("a local folder on a cluster"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())

@@ -40,19 +40,17 @@ def test_stream_equals_batch_on_closed_slots_and_restart_is_idempotent(spark, tm
     got = spark.read.parquet(str(tmp_path / "out" / "slots")).drop("batch_id")
     feed, msgs = load_fixture(spark, SF001)
     batch = anomaly.finish_slots(anomaly.feed_slots(feed), anomaly.message_slots(msgs))
-    max_t = ev.agg(F.max("ts")).first()[0]
-    # final = slot end + the 15-minute lateness allowance has passed
+    max_t = min(df.agg(F.max("time")).first()[0] for df in (feed, msgs))
+    # final = slot end + the 15-minute lateness allowance has passed in both sources
     closed = batch.filter(F.col("ts") + F.expr("INTERVAL 30 MINUTES") <= F.lit(max_t))
     assert got.count() == closed.count() > 1000
     assert got.select(closed.columns).exceptAll(closed).count() == 0
     alerts = spark.read.parquet(str(tmp_path / "out" / "alerts"))
     assert alerts.select("metric").distinct().count() == 6
-    # the last epoch scored from recent partitions only: same rows as scoring everything
-    from feedlens.streaming import score_latest
-    last = alerts.filter(F.col("epoch") == alerts.agg(F.max("epoch")).first()[0]).drop("epoch", "batch_id")
-    want = score_latest(closed)
-    key = lambda df: sorted(tuple(r) for r in df.select(*want.columns).collect())
-    assert key(last) == key(want)
+    # every closed slot is scored once, as if all of them had been scored in one go
+    want = anomaly.slot_alerts(anomaly.iqr_bounds(anomaly.unpivot_metrics(closed), 2.0, 6, "newest"))
+    key = lambda df: sorted(map(str, (tuple(r) for r in df.select(*want.columns).collect())))
+    assert key(alerts) == key(want)
     assert os.path.isdir(tmp_path / "ckpt")
 
 
@@ -95,16 +93,61 @@ def test_late_events_within_allowance_count_and_older_ones_are_dropped(spark, tm
     assert "11:00" in got
 
 
-def test_scoring_the_last_slots_equals_scoring_all_history(spark):
-    from feedlens.streaming import score_latest
+def test_a_slower_source_holds_its_slots(spark, tmp_path):
+    """Messages one batch behind the feed: no slot closes before its messages are in."""
+    import datetime as dt
+
+    from feedlens.sources.schema import FEED_SCHEMA, MESSAGE_SCHEMA
+    start = dt.datetime(2024, 1, 8, 10)
+    times = [start + dt.timedelta(minutes=5 * k) for k in range(48)]   # 16 slots, 10:00 to 13:45
+
+    def run():
+        f = spark.readStream.schema(FEED_SCHEMA).parquet(str(tmp_path / "feed" / "*"))
+        m = spark.readStream.schema(MESSAGE_SCHEMA).parquet(str(tmp_path / "msgs" / "*"))
+        q = start_slot_job(spark, f, m, str(tmp_path / "out"), checkpoint=str(tmp_path / "ckpt"))
+        q.awaitTermination()
+        assert q.exception() is None
+
+    for k, part in enumerate((times[:24], times[24:], [start + dt.timedelta(hours=5)])):
+        late = [[], times[:24], times[24:]][k]
+        spark.createDataFrame([(1, t, "view", 0, 1, "iOS", "ads", 1, 30) for t in part], FEED_SCHEMA).write.parquet(str(tmp_path / "feed" / str(k)))
+        spark.createDataFrame([(1, 2, t) for t in late], MESSAGE_SCHEMA).write.parquet(str(tmp_path / "msgs" / str(k)))
+        run()
+    slots = spark.read.parquet(str(tmp_path / "out" / "slots")).collect()
+    assert len(slots) == 14 and {(r.views, r.sent_mess) for r in slots} == {(3, 3)}
+    alerts = spark.read.parquet(str(tmp_path / "out" / "alerts"))
+    assert alerts.select("ts").distinct().count() == 14 and alerts.count() == 14 * 6
+
+
+def test_an_epoch_of_many_slots_scores_them_all(spark):
+    from feedlens.streaming import score_slots
     feed, msgs = load_fixture(spark, SF001)
     slots = anomaly.finish_slots(anomaly.feed_slots(feed), anomaly.message_slots(msgs))
-    full = anomaly.current_alerts(anomaly.iqr_bounds(anomaly.unpivot_metrics(slots), 2.0, 6, "newest"))
+    full = anomaly.slot_alerts(anomaly.iqr_bounds(anomaly.unpivot_metrics(slots), 2.0, 6, "newest"))
+    assert full.filter("is_alert").count() > 500
 
     def key(df):
-        return sorted(tuple(r) for r in df.collect())
+        return sorted(map(str, (tuple(r) for r in df.collect())))
 
-    assert key(score_latest(slots)) == key(full)
+    cut = "ts < TIMESTAMP_NTZ'2024-01-15 00:00:00'"
+    parts = score_slots(slots.filter(cut), slots.limit(0)).unionByName(score_slots(slots.filter(f"NOT {cut}"), slots.filter(cut)))
+    assert key(parts) == key(full)
+
+
+def test_undefined_values_are_flagged(spark):
+    import datetime as dt
+    rows = [(dt.datetime(2024, 1, 8, 10, 0) + dt.timedelta(minutes=15 * k), "CTR", None if k == 7 else 0.5) for k in range(8)]
+    scored = anomaly.iqr_bounds(spark.createDataFrame(rows, "ts timestamp_ntz, metric string, value double"))
+    got = anomaly.current_alerts(scored).first()
+    assert got.undefined and not got.is_alert and got.text == "Undefined value of CTR"
+
+
+def test_feed_rows_of_any_action_count_the_same_in_both_paths(make_feed, make_msgs):
+    feed = make_feed([(1, "2024-01-08 10:00:00", "share", 0, 1, "iOS", "ads", 1, 30), (2, "2024-01-08 10:01:00", "view", 0, 1, "iOS", "ads", 1, 30)])
+    msgs = make_msgs([(1, 2, "2024-01-08 10:02:00")])
+    plain = anomaly.slot_metrics(feed, msgs, "2024-01-08 10:15:00").first()
+    filled = anomaly.slot_metrics(feed, msgs, "2024-01-08 10:15:00", fill_gaps=True).filter("hm = '10:00' AND date = DATE'2024-01-08'").first()
+    assert plain == filled and plain.users_feed == 2
 
 
 def test_approximate_distinct_stream_is_close_to_exact(spark, tmp_path):
