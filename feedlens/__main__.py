@@ -3,6 +3,7 @@
     python -m feedlens cube --feed PATH --messages PATH --run-date 2024-01-09 --table db.cube
     python -m feedlens feed-report --feed PATH --run-date 2024-01-09 --table db.reports
     python -m feedlens app-report --feed PATH --messages PATH --run-date 2024-01-09 --table db.reports
+                                  [--first-seen db.seen] [--since 2024-01-01]
     python -m feedlens alerts --feed PATH --messages PATH --as-of "2024-01-09 12:07:00" --table db.reports
     python -m feedlens stream --feed-dir DIR --messages-dir DIR --out DIR --checkpoint DIR
 
@@ -42,6 +43,10 @@ def main(argv=None) -> int:
         s.add_argument("--table", required=True)
         s.add_argument("--location", default=None)
         s.add_argument("--format", default="parquet")
+        if name == "app-report":
+            s.add_argument("--first-seen", default=None, help="prefix of the maintained first-seen tables")
+            s.add_argument("--first-seen-location", default=None)
+            s.add_argument("--since", default=None, help="first week of the audience chart")
         if name == "cube":
             s.add_argument("--age-bins", default="fixed", choices=["fixed", "reference"])
     s = sub.add_parser("stream")
@@ -73,7 +78,8 @@ def main(argv=None) -> int:
         n = jobs.daily_cube_job(spark, feed, msgs, a.run_date, a.table, a.location, a.age_bins).count()
         print(f"wrote {n} cube rows")
     elif a.cmd == "app-report":
-        print(jobs.app_report_job(spark, feed, msgs, a.run_date, a.table, a.location).summary.first().text)
+        rep = jobs.app_report_job(spark, feed, msgs, a.run_date, a.table, a.location, a.first_seen, a.first_seen_location, a.since)
+        print(rep.summary.first().text)
     else:
         run = jobs.anomaly_alert_job(spark, feed, msgs, a.as_of, a.table, a.location)
         for r in run.alerts.filter("text IS NOT NULL").collect():  # at most one row per metric

@@ -151,28 +151,6 @@ def bucket_of(key, n: int, mode: str = "xxhash64") -> Column:
     return F.pmod(F.xxhash64(col(key)), F.lit(n))
 
 
-def poisson1_thresholds() -> list[int]:
-    """floor(CDF_k * 2^32) of Poisson(1) for k = 0, 1, ... until it reaches 2^32."""
-    out, term, cdf, k = [], math.exp(-1.0), 0.0, 0
-    while True:
-        cdf += term
-        t = min(int(cdf * U32), U32)
-        out.append(t)
-        if t >= U32 or k > 30:
-            return out
-        k += 1
-        term /= k
-
-
-def poisson1_weight(h_u32: Column) -> Column:
-    """Poisson(1) draw by inverse CDF of a uniform 32-bit hash: #{k : h >= T_k}."""
-    terms = [(h_u32 >= F.lit(t)).cast("int") for t in poisson1_thresholds() if t < U32]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
-
-
 # ---------------------------------------------------------------- output helpers
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     """Round every double column (for engine-independent comparison).

@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 # only numpy/pandas, not this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_TINY = 1e-300
 def _elementwise(fn, x) -> np.ndarray:
     # plain functions (not np.vectorize objects) so the module pickles by value
     x = np.asarray(x, dtype=float)
@@ -37,33 +36,27 @@ def _erfc(x) -> np.ndarray:
     return _elementwise(math.erfc, x)
 
 
-def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 500, eps: float = 1e-16):
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < _TINY, _TINY, d)
-    d = 1.0 / d
-    h = d.copy()
-    for m in range(1, iters + 1):
-        m2 = 2.0 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        h = h * d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        delta = d * c
-        h = h * delta
-        if np.all(np.abs(delta - 1.0) < eps):
-            break
-    return h
+def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, tolerance: float = 1e-15, deepest: int = 1 << 17):
+    """1 / (1 + d1 / (1 + d2 / (1 + ...))) of the incomplete beta function (DLMF 8.17.22):
+    d(2m) = m (b-m) x / ((a+2m-1)(a+2m)), d(2m+1) = -(a+m)(a+b+m) x / ((a+2m)(a+2m+1)).
+
+    Evaluated from the inside out at twice the depth each time, until two depths agree;
+    NaN where they never do."""
+    def at_depth(depth: int) -> np.ndarray:
+        inner = np.ones_like(x)
+        for j in range(depth, 0, -1):
+            m, odd = divmod(j, 2)
+            term = -(a + m) * (a + b + m) / (a + 2 * m + 1) if odd else m * (b - m) / (a + 2 * m - 1)
+            inner = 1.0 + term * x / ((a + 2 * m) * inner)
+        return 1.0 / inner
+
+    depth, value = 32, at_depth(16)
+    while depth <= deepest:
+        before, value = value, at_depth(depth)
+        if np.all(np.abs(value - before) <= tolerance * np.abs(value)):
+            return value
+        depth *= 2
+    return np.where(np.abs(value - before) <= 1e-12 * np.abs(value), value, np.nan)
 
 
 def betainc(a, b, x) -> np.ndarray:
@@ -82,10 +75,10 @@ def betainc(a, b, x) -> np.ndarray:
         direct = xi < (ai + 1.0) / (ai + bi + 2.0)
         res = np.empty_like(xi)
         if direct.any():
-            res[direct] = front[direct] * _betacf(ai[direct], bi[direct], xi[direct]) / ai[direct]
+            res[direct] = front[direct] * _beta_fraction(ai[direct], bi[direct], xi[direct]) / ai[direct]
         flip = ~direct
         if flip.any():
-            res[flip] = 1.0 - front[flip] * _betacf(bi[flip], ai[flip], 1.0 - xi[flip]) / bi[flip]
+            res[flip] = 1.0 - front[flip] * _beta_fraction(bi[flip], ai[flip], 1.0 - xi[flip]) / bi[flip]
         out[inner] = res
     return out
 

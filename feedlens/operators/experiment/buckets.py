@@ -2,43 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import bucket_of, ratio
 from feedlens.operators.experiment.metrics import user_metrics
-from feedlens.operators.experiment.ranks import bucket_expr, range_cuts
+from feedlens.operators.experiment.prefix import prefix_sums
 
 
-def index_quantile(df: DataFrame, keys: list[str], value: str, q: float,
-                   out: str = "quantile", n_buckets: int | None = None) -> DataFrame:
+def index_quantile(df: DataFrame, keys: list[str], value: str, q: float, out: str = "quantile") -> DataFrame:
     """Exact non-interpolated quantile per key: the sorted value at 0-based index
     min(floor(q*n), n-1), NULLs skipped (A8).
 
-    Works on (key, value) counts, so a frequent value is one row. The position of
-    each distinct value within its key is a prefix sum computed without one task
-    per key: values are cut into order-preserving range buckets (as in the rank
-    table), a running sum runs per (key, bucket), and each (key, bucket) gets the
-    total of the key's lower buckets as an offset.
+    Works on (key, value) counts, so a frequent value is one row; the position of each
+    distinct value within its key is a prefix sum (``prefix``), not one task per key.
     """
-    cnt = (df.filter(F.col(value).isNotNull())
-           .groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c")))
-    cuts = range_cuts(cnt, "_v", n_buckets)
-    cb = cnt.withColumn("_bk", bucket_expr(F.col("_v"), cuts))
-    per_bucket = cb.groupBy(*keys, "_bk").agg(F.sum("_c").alias("_cb"))
-    # at most len(cuts) + 1 rows per key
-    offsets = (per_bucket
-               .withColumn("_off", F.coalesce(F.sum("_cb").over(
-                   Window.partitionBy(*keys).orderBy("_bk")
-                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn("_n", F.sum("_cb").over(Window.partitionBy(*keys)))
-               .select(*keys, "_bk", "_off", "_n"))
-    within = Window.partitionBy(*keys, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    run = (cb.withColumn("_cum", F.sum("_c").over(within))
-           .join(offsets, [*keys, "_bk"])
-           .withColumn("_cum", F.col("_cum") + F.col("_off")))
+    counts = (df.filter(F.col(value).isNotNull())
+              .groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c")))
+    run = prefix_sums(counts, "_v", "_c", tuple(keys), "_before", "_n")
     idx = F.least(F.floor(F.lit(q) * F.col("_n")), F.col("_n") - 1)
-    return (run.filter((F.col("_cum") > idx) & (F.col("_cum") - F.col("_c") <= idx))
+    return (run.filter((F.col("_before") <= idx) & (idx < F.col("_before") + F.col("_c")))
             .select(*keys, F.col("_v").cast(df.schema[value].dataType).alias(out)))
 
 

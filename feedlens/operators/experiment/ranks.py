@@ -1,74 +1,42 @@
 """Mann-Whitney U and probability of superiority from one rank table.
 
-Both need, for every distinct value v, how many b-values lie strictly below v.
-That is a prefix sum over the sorted distinct values, computed without a
-single-partition window:
-
-1. aggregate to distinct values with their a/b counts (a hot value is one row);
-2. cut the value range into P order-preserving buckets at approximate quantiles
-   of the distinct values (P-1 numbers go through the driver, nothing else);
-3. a running sum within each bucket (a window partitioned by bucket) plus the
-   bucket's offset = total of all lower buckets (a P-row table, broadcast).
+Both need, for every distinct value v, how many b-values lie strictly below v: a prefix
+sum over the distinct values (a hot value is one row), see ``prefix``. NULL values are
+counted in the same aggregate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.pvalue import z_pvalue
+from feedlens.operators.experiment.draws import draw_users
+from feedlens.operators.experiment.prefix import prefix_sums
 
 
-MAX_BUCKETS = 1024
-
-
-def bucket_expr(v, cuts, lo: int = 0, hi: int | None = None, base: int = 0):
-    """Number of cut points strictly below v (monotone in v, in [0, len(cuts)]), as a
-    balanced binary search: log2(len(cuts)) comparisons per value."""
-    hi = len(cuts) if hi is None else hi
-    if lo == hi:
-        return F.lit(base)
-    mid = (lo + hi) // 2
-    return F.when(v > F.lit(cuts[mid]), bucket_expr(v, cuts, mid + 1, hi, base + mid - lo + 1)) \
-            .otherwise(bucket_expr(v, cuts, lo, mid, base))
-
-
-
-def range_cuts(df: DataFrame, col: str, n_buckets: int | None = None) -> list[float]:
-    """P-1 approximate quantiles of a double column (P = shuffle width, at most
-    MAX_BUCKETS): order-preserving cut points that spread its values evenly."""
-    p = n_buckets or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
-    if p <= 1:
-        return []
-    qs = df.approxQuantile(col, [i / p for i in range(1, p)], 0.001)
-    return sorted(set(q for q in qs if q is not None))
-
-
-def rank_table(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
-               n_buckets: int | None = None) -> DataFrame:
-    """Distinct values v with n_a(v), n_b(v) and b_below(v) = #{b-values < v}."""
+def value_counts(df: DataFrame, value: str, a, b, group_col: str = "exp_group") -> DataFrame:
+    """Distinct values v (NULL too) with n_a(v), n_b(v)."""
     g = F.col(group_col)
-    vals = (df.filter(g.isin(a, b) & F.col(value).isNotNull())
-            .groupBy(F.col(value).cast("double").alias("v"))
+    return (df.filter(g.isin(a, b)).groupBy(F.col(value).cast("double").alias("v"))
             .agg(F.count_if(g == a).alias("na"), F.count_if(g == b).alias("nb")))
-    cuts = range_cuts(vals, "v", n_buckets)
-    vb = vals.withColumn("bk", bucket_expr(F.col("v"), cuts))
-    offsets = (vb.groupBy("bk").agg(F.sum("nb").alias("b_in"))
-               .withColumn("b_off", F.coalesce(
-                   F.sum("b_in").over(Window.orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
-               .select("bk", "b_off"))
-    within = Window.partitionBy("bk").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    # offsets has at most len(cuts) + 1 rows: a proven bound, safe to broadcast.
-    return (vb.withColumn("b_before", F.coalesce(F.sum("nb").over(within), F.lit(0)))
-            .join(F.broadcast(offsets), "bk")
-            .select("v", "na", "nb", (F.col("b_before") + F.col("b_off")).alias("b_below")))
+
+
+def rank_table(df: DataFrame, value: str, a, b, group_col: str = "exp_group") -> DataFrame:
+    """Distinct values v with n_a(v), n_b(v) and b_below(v) = #{b-values < v}; the NULL
+    values as one row without b_below."""
+    vals = value_counts(df, value, a, b, group_col)
+    return prefix_sums(vals, "v", "nb", out="b_below").unionByName(
+        vals.filter("v IS NULL").withColumn("b_below", F.lit(None).cast("bigint")))
 
 
 def _rank_sums(rt: DataFrame) -> DataFrame:
-    na, nb, below = (F.col(c).cast("double") for c in ("na", "nb", "b_below"))
+    known = F.col("v").isNotNull()
+    na, nb, below = (F.when(known, F.col(c)).cast("double") for c in ("na", "nb", "b_below"))
     t = na + nb
-    return rt.agg(F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"),
+    return rt.agg(F.coalesce(F.sum(F.when(known, F.col("na"))), F.lit(0)).alias("n_a"),
+                  F.coalesce(F.sum(F.when(known, F.col("nb"))), F.lit(0)).alias("n_b"),
+                  F.coalesce(F.sum(F.when(~known, F.col("na") + F.col("nb"))), F.lit(0)).alias("n_undefined"),
                   F.sum(na * (below + nb / 2)).alias("u_a"),
                   F.sum(na * below).alias("a_gt"), F.sum(na * nb).alias("ties"),
                   F.sum(t * t * t - t).alias("tie_term"))
@@ -94,61 +62,41 @@ def _superiority_columns():
     return [gt.alias("p_a_gt_b"), tie.alias("p_tie"), (F.lit(1.0) - gt - tie).alias("p_a_lt_b")]
 
 
-def _n_undefined(df: DataFrame, value: str, a, b, group_col: str):
-    """Scalar subquery: rows of groups a, b whose value is NULL (left out of the test, D2)."""
-    g = F.col(group_col)
-    return (df.filter(g.isin(a, b) & F.col(value).isNull())
-            .agg(F.count("*").alias("n")).scalar().alias("n_undefined"))
-
-
-def rank_summary(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
-                 n_buckets: int | None = None) -> DataFrame:
+def rank_summary(df: DataFrame, value: str, a, b, group_col: str = "exp_group") -> DataFrame:
     """Mann-Whitney (with p_value) and exact P(A > B) from one rank table; one row."""
-    s = _rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
-    out = s.select(*_mw_columns(), *_superiority_columns(), _n_undefined(df, value, a, b, group_col))
+    s = _rank_sums(rank_table(df, value, a, b, group_col))
+    out = s.select(*_mw_columns(), *_superiority_columns(), "n_undefined")
     return out.withColumn("p_value", _mw_pvalue(F.col("z")))
 
 
-def mann_whitney_stats(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
-                       n_buckets: int | None = None) -> DataFrame:
+def mann_whitney_stats(df: DataFrame, value: str, a, b, group_col: str = "exp_group") -> DataFrame:
     """n_a, n_b, u_a (U of group a), u_b, tie_term, z (two-sided, continuity 0.5),
     n_undefined (NULL values left out)."""
-    return (_rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
-            .select(*_mw_columns(), _n_undefined(df, value, a, b, group_col)))
+    return _rank_sums(rank_table(df, value, a, b, group_col)).select(*_mw_columns(), "n_undefined")
 
 
-def mann_whitney(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
-                 n_buckets: int | None = None) -> DataFrame:
+def mann_whitney(df: DataFrame, value: str, a, b, group_col: str = "exp_group") -> DataFrame:
     """mann_whitney_stats plus the asymptotic two-sided p_value (method column)."""
-    st = mann_whitney_stats(df, value, a, b, group_col, n_buckets)
+    st = mann_whitney_stats(df, value, a, b, group_col)
     return st.withColumn("p_value", _mw_pvalue(F.col("z"))).withColumn("method", F.lit("asymptotic"))
 
 
-def prob_superiority(df: DataFrame, value: str, a, b, group_col: str = "exp_group",
-                     n_buckets: int | None = None, n_pairs: int | None = None,
+def prob_superiority(df: DataFrame, value: str, a, b, group_col: str = "exp_group", n_pairs: int | None = None,
                      seed: int = 0, hash_mode: str = "xxhash64") -> DataFrame:
     """P(A > B), P(A = B), P(A < B) for a random a-value against a random b-value.
 
     Default: exact, over all (a, b) pairs. ``n_pairs``: the Monte-Carlo estimate of
-    the source notebook instead -- each pair draws one user per group: the user
-    with the smallest hash of (user, pair), a uniform draw independent across
-    pairs (the same draw as the A/A check with k = 1). ``min_by`` aggregates it
-    partially in every task, so the shuffle carries pairs x groups x tasks rows.
+    the source notebook instead -- each pair draws one user per group, by index, so its
+    cost is that of the pairs, not of users x pairs.
     """
     if n_pairs:
-        from feedlens.operators.experiment.resample import _hash, _spread
         g, v = F.col(group_col), F.col(value)
-        pop = _spread(df.filter(g.isin(a, b) & v.isNotNull()).select(group_col, "user_id", value))
-        x = (pop.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_pairs - 1))).alias("iter"))
-             .withColumn("h", _hash("user_id", "iter", group_col, hash_mode, seed)))
-        drawn = x.groupBy("iter", group_col).agg(
-            F.min_by(v, F.struct("h", "user_id")).alias("v"))
-        pairs = drawn.groupBy("iter").agg(F.max(F.when(g == a, F.col("v"))).alias("va"),
-                                         F.max(F.when(g == b, F.col("v"))).alias("vb"))
+        pop = df.filter(g.isin(a, b) & v.isNotNull()).select(group_col, "user_id", value)
+        drawn = draw_users(pop, a, b, n_pairs, 1, seed, hash_mode, group_col)
+        pairs = drawn.groupBy("iter").agg(F.max(F.when(g == a, v)).alias("va"), F.max(F.when(g == b, v)).alias("vb"))
         frac = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
         return pairs.agg(F.count("*").alias("n_pairs"),
                          frac(F.col("va") > F.col("vb")).alias("p_a_gt_b"),
                          frac(F.col("va") == F.col("vb")).alias("p_tie"),
                          frac(F.col("va") < F.col("vb")).alias("p_a_lt_b"))
-    s = _rank_sums(rank_table(df, value, a, b, group_col, n_buckets))
-    return s.select("n_a", "n_b", *_superiority_columns(), _n_undefined(df, value, a, b, group_col))
+    return _rank_sums(rank_table(df, value, a, b, group_col)).select("n_a", "n_b", *_superiority_columns(), "n_undefined")

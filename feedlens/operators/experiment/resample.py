@@ -1,6 +1,6 @@
 """Resampling: Poisson bootstrap (T7) and the repeated-subsample A/A check.
 
-Randomness is a hash of (user, replicate/iteration, seed), never rand()/sample(),
+Randomness is a hash of seed, group, index and what is drawn, never rand()/sample(),
 so results do not depend on partitioning, task retries or executor loss.
 """
 
@@ -8,48 +8,56 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import U32, hash_u32, poisson1_weight, ratio
+from feedlens.functions.columns import U32, hash_u32, ratio
 from feedlens.functions.pvalue import t_pvalue
+from feedlens.operators.experiment.draws import draw_users
 from feedlens.operators.experiment.welch import welch_aggs, welch_finish
 
+PART_USERS = 256   # like users that share one Poisson draw, at most
 
-def _hash(user, idx, group, mode: str, seed: int):
-    # The md5 mode keys on "user-index" only (portable to SQL engines); the
-    # default mixes in the group and the seed.
-    if mode == "md5":
-        return hash_u32(user, idx, mode="md5")
-    return hash_u32(user, group, idx, mode="xxhash64", seed=seed)
 
-
-def _spread(pop: DataFrame) -> DataFrame:
-    """Hash-partition the per-user population before it is multiplied by
-    replicates/iterations. AQE would otherwise coalesce the small per-user shuffle
-    into a few partitions and run the whole n-fold expansion in those tasks; with
-    an explicit count (the shuffle width) the expansion runs on every core.
-    """
-    n = int(pop.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pop.repartition(n, "user_id")
+def poisson_thresholds(m: int) -> tuple[int, list[int]]:
+    """(k0, T): a Poisson(m) draw for a uniform 32-bit h is k0 + #{T_k <= h}, with
+    T_k = floor(2**32 * P(X <= k)) for k >= k0, the first k whose T_k is above 0."""
+    first, out, cdf, k = None, [], 0.0, 0
+    while True:
+        cdf += math.exp(-m + k * math.log(m) - math.lgamma(k + 1))
+        t = int(cdf * U32)
+        if t and first is None:
+            first = k
+        if t >= U32 or (k > m and out and t == out[-1]):
+            return first, out
+        if t:
+            out.append(t)
+        k += 1
 
 
 def bootstrap_replicates(um: DataFrame, a, b, n: int = 2000, seed: int = 0,
                          hash_mode: str = "xxhash64", num: str = "likes", den: str = "views",
                          group_col: str = "exp_group") -> DataFrame:
-    """replicate, ctr_a, ctr_b, diff = ctr_b - ctr_a for n Poisson(1) replicates.
+    """replicate, ctr_a, ctr_b, diff = ctr_b - ctr_a for n Poisson replicates.
 
-    Each user row expands to n weighted copies inside the map stage and is summed
-    by (replicate) at once by the partial aggregate, so the shuffle carries
-    n rows per task whatever the number of users.
+    Users with the same (group, num, den) are exchangeable: the sum of their Poisson(1)
+    weights is one Poisson(m) draw. So the table is first collapsed to distinct tuples with
+    multiplicities (in parts of at most PART_USERS), and only those are expanded into
+    replicates, each summed at once by the partial aggregate.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
     g = F.col(group_col)
-    pop = _spread(um.filter(g.isin(a, b)).select(group_col, "user_id", num, den))
-    rep = pop.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("replicate"))
-    w = poisson1_weight(_hash("user_id", "replicate", group_col, hash_mode, seed))
-    rep = rep.withColumn("w", w)
+    like = um.filter(g.isin(a, b)).groupBy(group_col, num, den).agg(F.count("*").alias("_m"))
+    parts = (like.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("_m") - 1) / PART_USERS).cast("int"))).alias("_part"))
+             .withColumn("_m", F.least(F.lit(PART_USERS), F.col("_m") - F.col("_part") * PART_USERS).cast("int")))
+    table = um.sparkSession.createDataFrame([(m, *poisson_thresholds(m)) for m in range(1, PART_USERS + 1)],
+                                            "_m int, _first int, _steps array<bigint>")
+    rep = (parts.join(F.broadcast(table), "_m")   # PART_USERS rows
+           .select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("replicate")))
+    drawn = [group_col, num, den, "_part", "replicate"]
+    h = hash_u32(F.lit(seed), *drawn, mode="md5") if hash_mode == "md5" else hash_u32(*drawn, mode=hash_mode, seed=seed)
+    rep = rep.withColumn("_h", h).withColumn("w", F.col("_first") + F.size(F.filter("_steps", lambda t: t <= F.col("_h"))))
     agg = rep.groupBy("replicate").agg(
         F.sum(F.when(g == a, F.col("w") * F.col(num))).alias("num_a"),
         F.sum(F.when(g == a, F.col("w") * F.col(den))).alias("den_a"),
@@ -61,72 +69,30 @@ def bootstrap_replicates(um: DataFrame, a, b, n: int = 2000, seed: int = 0,
 
 
 def bootstrap_summary(reps: DataFrame) -> DataFrame:
-    """One row: replicate count, mean/min/max of diff, 2.5 and 97.5 percentiles
-    (linear interpolation), share of diff > 0, and whether the interval or the
-    whole range crosses 0 ("does not cross 0" = significant)."""
+    """One row over the replicates with a defined diff: their count, mean/min/max of diff,
+    2.5 and 97.5 percentiles (linear interpolation), share of diff > 0, whether the interval
+    or the whole range crosses 0 ("does not cross 0" = significant), and the two-sided
+    p_value: twice the smaller of the shares on either side of 0, ties on both sides, the
+    observed sample counted as one more replicate."""
     d = F.col("diff")
     s = reps.agg(F.count(d).alias("n_replicates"), F.avg(d).alias("mean_diff"),
                  F.min(d).alias("min_diff"), F.max(d).alias("max_diff"),
                  F.percentile(d, 0.025).alias("p025"), F.percentile(d, 0.975).alias("p975"),
-                 F.avg(F.when(d > 0, 1.0).otherwise(0.0)).alias("share_positive"))
-    return s.withColumn("ci_crosses_zero", (F.col("p025") <= 0) & (F.col("p975") >= 0)) \
+                 F.avg(F.when(d > 0, 1.0).when(d <= 0, 0.0)).alias("share_positive"),
+                 F.count_if(d <= 0).alias("_le"), F.count_if(d >= 0).alias("_ge"))
+    tail = (F.lit(1.0) + F.least("_le", "_ge")) / (F.col("n_replicates") + 1)
+    return (s.withColumn("ci_crosses_zero", (F.col("p025") <= 0) & (F.col("p975") >= 0))
             .withColumn("range_crosses_zero", (F.col("min_diff") <= 0) & (F.col("max_diff") >= 0))
-
-
-def _thin_fraction(k: int, n: int) -> float:
-    """Keep-probability so that >= k of n survive with overwhelming probability."""
-    return min(1.0, (k + 8.0 * math.sqrt(k) + 30.0) / n)
+            .withColumn("p_value", F.least(F.lit(1.0), 2 * tail)).drop("_le", "_ge"))
 
 
 def aa_subsamples(um: DataFrame, a, b, n_iter: int, k: int, seed: int = 0,
                   hash_mode: str = "xxhash64", value: str = "ctr",
                   group_col: str = "exp_group") -> DataFrame:
-    """iter, group, user_id, value: for each iteration, k users per group drawn
-    without replacement (the k smallest hashes of (user, iter)).
-
-    Exactness with thinning: rows whose hash is above a per-group threshold are
-    dropped before the shuffle; the k smallest hashes overall are the k smallest
-    among the survivors whenever >= k survive. Iterations where that fails (rare
-    by construction) are recomputed unthinned, so the draw is always exact.
-    """
-    if n_iter < 1 or k < 1:
-        raise ValueError("n_iter and k must be >= 1")
-    g = F.col(group_col)
-    pop = _spread(um.filter(g.isin(a, b) & F.col(value).isNotNull()).select(group_col, "user_id", value))
-    sizes = {r[0]: r[1] for r in pop.groupBy(group_col).count().collect()}  # <= 2 rows
-    for grp in (a, b):
-        if sizes.get(grp, 0) < k:
-            raise ValueError(f"group {grp} has {sizes.get(grp, 0)} users with a defined "
-                             f"{value}; cannot draw {k} without replacement")
-    h = _hash("user_id", "iter", group_col, hash_mode, seed)
-    frac = {grp: _thin_fraction(k, sizes[grp]) for grp in (a, b)}
-    thr = (F.when(g == a, F.lit(int(frac[a] * U32)))
-           .otherwise(F.lit(int(frac[b] * U32))))
-    order = Window.partitionBy("iter", group_col).orderBy("h", "user_id")
-
-    def draw(iters_col, thinned: bool) -> DataFrame:
-        x = pop.select("*", iters_col.alias("iter")).withColumn("h", h)
-        if thinned:
-            x = x.filter(F.col("h") < thr)
-        return (x.withColumn("rn", F.row_number().over(order))
-                .filter(F.col("rn") <= k).select("iter", group_col, "user_id", value))
-
-    all_iters = F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1)))
-    if frac[a] >= 1.0 and frac[b] >= 1.0:
-        return draw(all_iters, False)  # nothing to thin: exact as it stands
-    thin = draw(all_iters, True).persist()
-    complete = (thin.groupBy("iter").agg(F.count("*").alias("c"))
-                .filter(F.col("c") == 2 * k).select("iter"))
-    spark = um.sparkSession
-    # Only the iterations that came up short reach the driver (expected: none).
-    todo = [r[0] for r in spark.range(n_iter).select(F.col("id").cast("int").alias("iter"))
-            .join(complete, "iter", "left_anti").collect()]
-    if not todo:
-        return thin
-    redo = draw(F.explode(F.array(*[F.lit(i) for i in todo])), False)
-    # complete has at most n_iter rows (a parameter): a bounded broadcast
-    kept = thin.join(F.broadcast(complete), "iter", "left_semi")
-    return kept.unionByName(redo)
+    """iter, group, user_id, value: for each iteration, k users per group drawn without
+    replacement, by index (``draws``)."""
+    pop = um.filter(F.col(group_col).isin(a, b) & F.col(value).isNotNull()).select(group_col, "user_id", value)
+    return draw_users(pop, a, b, n_iter, k, seed, hash_mode, group_col)
 
 
 def aa_stats(um: DataFrame, a, b, n_iter: int, k: int, seed: int = 0,
@@ -138,10 +104,15 @@ def aa_stats(um: DataFrame, a, b, n_iter: int, k: int, seed: int = 0,
     return welch_finish(per_iter)
 
 
+def aa_pvalues(stats: DataFrame) -> DataFrame:
+    """``aa_stats`` with the p_value of every iteration."""
+    return stats.withColumn("p_value", t_pvalue(F.col("t"), F.col("df")))
+
+
 def aa_summary(stats: DataFrame, alpha: float = 0.05) -> DataFrame:
     """n_iter, n_significant (p < alpha), false_positive_rate, mean_p."""
-    p = stats.withColumn("p_value", t_pvalue(F.col("t"), F.col("df")))
-    return p.agg(F.count("*").alias("n_iter"),
-                 F.count_if(F.col("p_value") < alpha).alias("n_significant"),
-                 F.avg(F.when(F.col("p_value") < alpha, 1.0).otherwise(0.0)).alias("false_positive_rate"),
-                 F.avg("p_value").alias("mean_p"))
+    return aa_pvalues(stats).agg(
+        F.count("*").alias("n_iter"),
+        F.count_if(F.col("p_value") < alpha).alias("n_significant"),
+        F.avg(F.when(F.col("p_value") < alpha, 1.0).otherwise(0.0)).alias("false_positive_rate"),
+        F.avg("p_value").alias("mean_p"))

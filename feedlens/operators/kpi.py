@@ -87,17 +87,20 @@ def new_users(feed: DataFrame, d, first_seen: DataFrame | None = None) -> DataFr
     return _first_seen(feed, d, ["user_id"]).agg(F.count("user_id").alias("new_users"))
 
 
+def _arrivals(counted: F.Column, source: str) -> F.Column:
+    return F.count_if(counted & (F.col("source") == source))
+
+
 def new_users_by_source(feed: DataFrame, d, first_seen: DataFrame | None = None) -> DataFrame:
     """(user, source) pairs first seen on day d, split by source (K9); one row.
 
     A user arriving through both sources counts once per source, as in the source
-    job. ``first_seen``: a maintained table keyed by (user_id, source).
+    job; a NULL user is no user, here as in every KPI. ``first_seen``: a maintained table keyed by (user_id, source).
     """
     pairs = (_from_table(first_seen, d) if first_seen is not None
              else _first_seen(feed, d, ["user_id", "source"]))
     return (pairs
-            .agg(F.count_if(F.col("source") == "ads").alias("ads"),
-                 F.count_if(F.col("source") == "organic").alias("organic")))
+            .agg(*[_arrivals(F.col("user_id").isNotNull(), s).alias(s) for s in ("ads", "organic")]))
 
 
 def new_posts(feed: DataFrame, d, first_seen: DataFrame | None = None) -> DataFrame:
@@ -120,14 +123,14 @@ def avg_activity(feed: DataFrame, run_date, days: int = 14) -> DataFrame:
 
 
 def hourly_users(feed: DataFrame, msgs: DataFrame, d, approx: bool = False) -> DataFrame:
-    """Distinct users per hour of day d in the feed and in the messenger.
+    """Distinct users per hour (its start) of day d in the feed and in the messenger.
 
     The two tables are unioned first and counted in one aggregate keyed by
     (service, hour), instead of two aggregates and a union of their results.
     """
     rows = (on_day(feed, d).select("user_id", "time", F.lit("feed").alias("service"))
             .unionByName(on_day(msgs, d).select("user_id", "time", F.lit("message").alias("service"))))
-    return (rows.groupBy("service", F.hour("time").alias("hour"))
+    return (rows.groupBy("service", F.date_trunc("hour", "time").cast("timestamp_ntz").alias("hour"))
             .agg(_distinct_users(approx=approx).alias("users"))
             .select("hour", "users", "service")
             .orderBy("service", "hour"))
@@ -151,6 +154,5 @@ def first_seen_counts(feed: DataFrame, d) -> DataFrame:
     pair = (F.col("gid") == 1) & F.col("user_id").isNotNull() & on_d
     return first.agg(
         F.count_if((F.col("gid") == 3) & F.col("user_id").isNotNull() & on_d).alias("new_users"),
-        F.count_if(pair & (F.col("source") == "ads")).alias("ads"),
-        F.count_if(pair & (F.col("source") == "organic")).alias("organic"),
+        _arrivals(pair, "ads").alias("ads"), _arrivals(pair, "organic").alias("organic"),
         F.count_if((F.col("gid") == 6) & F.col("post_id").isNotNull() & on_d).alias("new_posts"))

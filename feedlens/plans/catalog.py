@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import os
-import re
 import uuid
 from collections.abc import Callable
 
@@ -39,23 +38,16 @@ LIN_EXPERIMENTS = [("0_vs_3", 0, 3), ("2_vs_1", 2, 1)]  # (name, a, b); control
 LIN_CONTROL = {"0_vs_3": 0, "2_vs_1": 1}
 AA_A, AA_B = 2, 3
 AA_ITER = 10000
-# The fixture sets 10 at sf0.01 and 100 at sf0.1; sf0.001 (smoke runs only) has 2-3
-# users per group, so it gets 2, the smallest sample with a variance.
-AA_K_BY_SF = {"0.001": 2, "0.01": 10, "0.1": 100}
+AA_K = 10   # users per group and A/A iteration
 ALPHA_SMOOTH = 5.0
 N_BUCKETS = 50
 N_BOOT = 2000
 HIST_BINS = 20
+SEED = 0
 N_PAIRS = 10000
 ORACLE_HASH = "md5"
 
 
-def aa_k(sf_dir: str) -> int:
-    """A/A subsample size for the fixture scale in ``sf_dir``."""
-    m = re.search(r"sf([0-9.]+)", sf_dir)
-    return AA_K_BY_SF.get(m.group(1) if m else "", 10)
-
-
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
@@ -78,6 +70,12 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+def _scratch(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A fresh table name and its folder in the shared checkpoint folder."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    return name, os.path.join(checkpoint_dir(spark), name)
+
+
 # ------------------------------------------------------------------ reports
 @query("feed_kpis_day")
 def _feed_kpis_day(feed, msgs, sf):
@@ -129,6 +127,17 @@ def _app_report(feed, msgs, sf):
     return reports.app_report(feed, RUN_DATE)
 
 
+@query("app_report_maintained")
+def _app_report_maintained(feed, msgs, sf):
+    """K15 from first-seen tables: filled with the history before yesterday, then brought up
+    to date by the job, whose report reads yesterday's partitions only."""
+    spark = feed.sparkSession
+    prefix, path = _scratch(spark, "seen")
+    jobs.maintained_first_seen(spark, feed, YESTERDAY - dt.timedelta(days=1), prefix, path)
+    return jobs.app_report_job(spark, feed, msgs, RUN_DATE, first_seen_prefix=prefix, first_seen_location=path,
+                               since=YESTERDAY).summary
+
+
 # ------------------------------------------------------------------ cube
 @query("feed_by_user")
 def _feed_by_user(feed, msgs, sf):
@@ -311,26 +320,42 @@ def _aa_users(feed):
 
 @query("aa_subsample_stats")
 def _aa_stats(feed, msgs, sf):
-    return ex.aa_stats(_aa_users(feed), AA_A, AA_B, AA_ITER, aa_k(sf), hash_mode=ORACLE_HASH)
+    return ex.aa_stats(_aa_users(feed), AA_A, AA_B, AA_ITER, AA_K, SEED, ORACLE_HASH)
 
 
 @query("aa_summary")
 def _aa_summary(feed, msgs, sf):
-    return ex.aa_summary(ex.aa_stats(_aa_users(feed), AA_A, AA_B, AA_ITER, aa_k(sf)))
+    return ex.aa_summary(ex.aa_stats(_aa_users(feed), AA_A, AA_B, AA_ITER, AA_K, SEED, ORACLE_HASH))
+
+
+@query("aa_pvalue_histogram")
+def _aa_pvalue_histogram(feed, msgs, sf):
+    """The p-values of the A/A iterations in equal bins of 0..1 (flat if all is well)."""
+    p = ex.aa_pvalues(ex.aa_stats(_aa_users(feed), AA_A, AA_B, AA_ITER, AA_K, SEED, ORACLE_HASH))
+    return ex.histogram(p, "p_value", None, HIST_BINS, 0.0, 1.0)
+
+
+@query("bootstrap_histogram")
+def _bootstrap_histogram(feed, msgs, sf):
+    """The bootstrap differences."""
+    reps = ex.bootstrap_replicates(_ab_users(feed), AB_A, AB_B, N_BOOT, SEED, ORACLE_HASH)
+    return ex.histogram(reps, "diff", None, HIST_BINS)
+
+
+@query("welch_stats_raw_pairs")
+def _welch_raw_pairs(feed, msgs, sf):
+    """T1 on the raw CTR of the pairs of the linearized-likes experiments."""
+    parts = [_welch_cols(ex.welch_stats(ex.user_metrics(feed, (a, b), AB_LO, AB_HI), "ctr", a, b)).select(F.lit(name).alias("experiment"), "*")
+             for name, a, b in LIN_EXPERIMENTS]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query("ab_summary")
 def _ab_summary(feed, msgs, sf):
-    return ab.ab_summary(feed, AB_A, AB_B, AB_LO, AB_HI, ALPHA_SMOOTH, N_BUCKETS, N_BOOT)
+    return ab.ab_summary(feed, AB_A, AB_B, AB_LO, AB_HI, ALPHA_SMOOTH, N_BUCKETS, N_BOOT, SEED, ORACLE_HASH)
 
 
 # ------------------------------------------------------------------ sources and sinks
-def _scratch(spark: SparkSession, name: str) -> tuple[str, str]:
-    """A fresh table name and its folder in the shared checkpoint folder."""
-    name = f"{name}_{uuid.uuid4().hex}"
-    return name, os.path.join(checkpoint_dir(spark), name)
-
-
 @query("feed_scan")
 def _feed_scan(feed, msgs, sf):
     """Both tables written out and read back by path and by table name."""

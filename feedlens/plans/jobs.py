@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import to_day
-from feedlens.operators import anomaly, audience, cube, kpi
+from feedlens.operators import anomaly, audience, cube, first_seen, kpi
 from feedlens.plans import reports
 from feedlens.sources.sinks import ensure_cube_table, ensure_report_table, write_cube, write_report
 
@@ -58,13 +58,39 @@ class AppReport:
     hourly: DataFrame       # chart: hour, users, service for yesterday
 
 
+FIRST_SEEN_KEYS = {"users": {"user_id": "BIGINT"}, "sources": {"user_id": "BIGINT", "source": "STRING"}, "posts": {"post_id": "BIGINT"}}
+
+
+def maintained_first_seen(spark: SparkSession, feed: DataFrame, day, prefix: str, location: str | None = None) -> reports.FirstSeen:
+    """The first-seen tables ``{prefix}_users``, ``_sources`` and ``_posts`` with ``day`` in
+    them. A missing table is made and filled from the history once; after that the update
+    reads the feed of ``day`` only."""
+    tables = {}
+    for what, types in FIRST_SEEN_KEYS.items():
+        name, new = f"{prefix}_{what}", not spark.catalog.tableExists(f"{prefix}_{what}")
+        if new:
+            first_seen.ensure_first_seen_table(spark, name, list(types), types, f"{location}/{what}" if location else None)
+            first_seen.backfill_first_seen(feed, name, day)
+        else:
+            first_seen.update_first_seen(feed, name, day, list(types))
+        tables[what] = spark.table(name)
+    return reports.FirstSeen(**tables)
+
+
 def app_report_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, run_date,
-                   table: str | None = None, location: str | None = None) -> AppReport:
-    """Yesterday's app summary row (written to ``table`` if given) and the three chart tables."""
+                   table: str | None = None, location: str | None = None, first_seen_prefix: str | None = None,
+                   first_seen_location: str | None = None, since=None) -> AppReport:
+    """Yesterday's app summary row (written to ``table`` if given) and the three chart tables.
+
+    ``first_seen_prefix``: keep first-seen tables of that name and read the day's new users
+    and posts from them; ``since``: first week of the audience chart. With both, the
+    report reads the days it is about, not the whole history."""
     run_date = to_day(run_date)
-    rep = AppReport(reports.app_report(feed, run_date),
+    seen = (maintained_first_seen(spark, feed, run_date - ONE_DAY, first_seen_prefix, first_seen_location)
+            if first_seen_prefix else None)
+    rep = AppReport(reports.app_report(feed, run_date, seen),
                     kpi.avg_activity(feed, run_date, 14).orderBy("Date"),
-                    audience.weekly_audience_wide(feed, run_date),
+                    audience.weekly_audience_wide(feed, run_date, since=since),
                     kpi.hourly_users(feed, msgs, run_date - ONE_DAY))
     if table:
         ensure_report_table(spark, table, location)

@@ -9,9 +9,8 @@ pre-registered ``events`` view; the fixture views are CTEs.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
-from feedlens.functions.columns import poisson1_thresholds, U32
-from feedlens.operators.filters import closed_slots_range
 from feedlens.plans import catalog as c
 from feedlens.sources.fixtures import DUCKDB_DAYS, FEED_VIEW_SQL, MESSAGE_VIEW_SQL
 
@@ -44,8 +43,6 @@ UPTO_Y = f"time < {TS(c.RUN_DATE)}"
 CNT_VIEW = "CAST(count_if(action = 'view') AS BIGINT)"
 CNT_LIKE = "CAST(count_if(action = 'like') AS BIGINT)"
 CTR_SQL = "CAST(count_if(action = 'like') AS DOUBLE) / NULLIF(count_if(action = 'view'), 0)"
-REP_KEY = "CAST(user_id AS VARCHAR) || '-' || CAST(r AS VARCHAR)"
-ITER_KEY = "CAST(user_id AS VARCHAR) || '-' || CAST(i AS VARCHAR)"
 
 AGE_SQL = {
     "reference": ("CASE WHEN age <= 20 THEN '0 - 20' WHEN age > 20 AND age <= 30 THEN '21-30' "
@@ -73,8 +70,8 @@ FEED_DAY_CTE = (f"d AS (SELECT {CNT_VIEW} AS views, {CNT_LIKE} AS likes, "
 APP_CTES = (
     f"t AS (SELECT count(DISTINCT user_id) AS total FROM feed_actions WHERE {DAY_FILTER})",
     f"n AS (SELECT count(user_id) AS new_users FROM ({_first_seen('user_id')}) x)",
-    f"s AS (SELECT CAST(count_if(source = 'ads') AS BIGINT) AS ads, "
-    f"CAST(count_if(source = 'organic') AS BIGINT) AS organic FROM ({_first_seen('user_id, source')}) x)",
+    f"s AS (SELECT CAST(count_if(source = 'ads' AND user_id IS NOT NULL) AS BIGINT) AS ads, "
+    f"CAST(count_if(source = 'organic' AND user_id IS NOT NULL) AS BIGINT) AS organic FROM ({_first_seen('user_id, source')}) x)",
     f"p AS (SELECT count(post_id) AS new_posts FROM ({_first_seen('post_id')}) x)",
 )
 
@@ -136,8 +133,8 @@ WEEKLY_CTES = (
     "UNION ALL SELECT d, status, CAST(n AS DOUBLE) FROM gn)",
 )
 
-LO_SLOT, HI_SLOT = closed_slots_range(c.AS_OF)
-SLOT_WHERE = f"time >= {TS(LO_SLOT)} AND time < {TS(HI_SLOT)}"
+# closed slots as of 2024-01-09 12:07: from the start of the day before to the slot's start
+SLOT_WHERE = "time >= TIMESTAMP '2024-01-08 00:00:00' AND time < TIMESTAMP '2024-01-09 12:00:00'"
 SLOT_CTES = (
     "sf AS (SELECT time_bucket(INTERVAL 15 MINUTE, time) AS ts, count(DISTINCT user_id) AS users_feed, "
     f"{CNT_VIEW} AS views, {CNT_LIKE} AS likes FROM feed_actions WHERE {SLOT_WHERE} GROUP BY 1)",
@@ -215,31 +212,55 @@ BUCKET_CTE = (
 
 
 def _mw_ctes(src: str, value: str, a, b) -> tuple[str, ...]:
+    """U, P(A > B) and ties from all pairs of values, by their definitions."""
     return (
-        f"nu AS (SELECT count(*) AS n_undefined FROM {src} WHERE exp_group IN ({a}, {b}) AND {value} IS NULL)",
-        f"rv AS (SELECT {value} AS v, CAST(count_if(exp_group = {a}) AS DOUBLE) AS na, "
-        f"CAST(count_if(exp_group = {b}) AS DOUBLE) AS nb FROM {src} "
-        f"WHERE exp_group IN ({a}, {b}) AND {value} IS NOT NULL GROUP BY {value})",
-        "rr AS (SELECT *, COALESCE(sum(nb) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
-        "AS below FROM rv)",
-        "rs AS (SELECT sum(na) AS n_a, sum(nb) AS n_b, sum(na * (below + nb / 2)) AS u_a, "
-        "sum(na * below) AS a_gt, sum(na * nb) AS ties, sum((na + nb) * (na + nb) * (na + nb) - (na + nb)) "
-        "AS tie_term FROM rr)",
+        f"va AS (SELECT {value} AS x FROM {src} WHERE exp_group = {a} AND {value} IS NOT NULL)",
+        f"vb AS (SELECT {value} AS y FROM {src} WHERE exp_group = {b} AND {value} IS NOT NULL)",
+        "pc AS (SELECT CAST(count_if(x > y) AS DOUBLE) AS a_gt, CAST(count_if(x = y) AS DOUBLE) AS ties, "
+        "CAST(count_if(x < y) AS DOUBLE) AS a_lt FROM va, vb)",
+        "tt AS (SELECT CAST(sum(pow(m, 3) - m) AS DOUBLE) AS tie_term FROM (SELECT v, count(*) AS m FROM "
+        "(SELECT x AS v FROM va UNION ALL SELECT y FROM vb) z GROUP BY v) g)",
+        "rs AS (SELECT (SELECT count(*) FROM va) AS n_a, (SELECT count(*) FROM vb) AS n_b, a_gt + ties / 2 AS u_a, a_gt, ties, a_lt, "
+        f"tie_term, (SELECT count(*) FROM {src} WHERE exp_group IN ({a}, {b}) AND {value} IS NULL) AS n_undefined FROM pc, tt)",
+        # the normal approximation: U's mean and variance under no difference, ties corrected
+        "mw AS (SELECT *, a_lt + ties / 2 AS u_b, n_a * n_b / 2.0 AS mu, "
+        "sqrt(n_a * n_b * ((n_a + n_b + 1) / 12.0 - tie_term / (12.0 * (n_a + n_b) * (n_a + n_b - 1)))) AS sigma FROM rs)",
+        "mz AS (SELECT *, (greatest(u_a, u_b) - mu - 0.5) / sigma AS z FROM mw)",
     )
 
 
-MW_SELECT = ("SELECT CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, u_a, n_a * n_b - u_a AS u_b, tie_term, "
-             "(greatest(u_a, n_a * n_b - u_a) - n_a * n_b / 2 - 0.5) / "
-             "sqrt(n_a * n_b / 12 * ((n_a + n_b + 1) - tie_term / ((n_a + n_b) * (n_a + n_b - 1)))) AS z, "
-             "n_undefined FROM rs, nu")
+MW_SELECT = "SELECT n_a, n_b, u_a, u_b, tie_term, z, n_undefined FROM mz"
 MW_DOUBLES = ["u_a", "u_b", "tie_term", "z"]
 
-POISSON_W = " + ".join(f"CAST(h >= {t} AS INTEGER)" for t in poisson1_thresholds() if t < U32)
+# Tails by integrating the densities (Simpson's rule over SIMPSON steps).
+SIMPSON = 600
+WEIGHT = f"CASE WHEN i IN (0, {SIMPSON}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+
+
+def _t_tail(src: str, key: str = "rid") -> str:
+    """CTE body: ``src`` (with t, df and a unique ``key``) and its two-sided Student-t p."""
+    density = "exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi() * df) * pow(1 + pow(abs(t) * i / {n}, 2) / df, -(df + 1) / 2)".format(n=float(SIMPSON))
+    return (f"SELECT s.*, p.p_value FROM {src} s LEFT JOIN (SELECT {key}, greatest(0.0, 1 - 2 * sum({WEIGHT} * {density}) * any_value(abs(t)) / (3 * {SIMPSON})) AS p_value "
+            f"FROM {src}, range({SIMPSON} + 1) r(i) WHERE t IS NOT NULL GROUP BY {key}) p USING ({key})")
+
+
+def _z_tail(src: str) -> str:
+    """CTE body: ``src`` (with z, one row) and its two-sided normal p; 1 below z = 0."""
+    density = f"exp(-pow(abs(z) * i / {float(SIMPSON)}, 2) / 2) / sqrt(2 * pi())"
+    return (f"SELECT s.*, CASE WHEN z < 0 THEN 1.0 ELSE p END AS p_value FROM {src} s, "
+            f"(SELECT 1 - 2 * sum({WEIGHT} * {density}) * any_value(abs(z)) / (3 * {SIMPSON}) AS p FROM {src}, range({SIMPSON} + 1) r(i)) q")
+
+
+# Poisson bootstrap over distinct (group, likes, views): one Poisson(m) draw for m like
+# users, at most 256 of them together; P(X <= k) summed from the probabilities.
 BOOT_CTES = (
-    f"rep AS (SELECT exp_group, user_id, likes, views, CAST(r AS INTEGER) AS replicate, "
-    f"{_md5_u32(REP_KEY)} AS h "
-    f"FROM um, range({c.N_BOOT}) t(r))",
-    f"wr AS (SELECT *, {POISSON_W} AS w FROM rep)",
+    "lk AS (SELECT exp_group, likes, views, count(*) AS m FROM um GROUP BY ALL)",
+    "pt AS (SELECT exp_group, likes, views, part, least(256, m - part * 256) AS m FROM lk, LATERAL (SELECT unnest(range(0, (m + 255) // 256)) AS part) x)",
+    "cd AS (SELECT m, k, floor(sum(exp(-m + k * ln(m) - lgamma(k + 1))) OVER (PARTITION BY m ORDER BY k) * 4294967296) AS t "
+    "FROM (SELECT DISTINCT m FROM pt) u, range(0, 700) r(k))",
+    f"rep AS (SELECT pt.*, CAST(r AS INTEGER) AS replicate, {_md5_u32(str(c.SEED) + " || '-' || exp_group || '-' || likes || '-' || views || '-' || part || '-' || r")} AS h "
+    f"FROM pt, range({c.N_BOOT}) t(r))",
+    "wr AS (SELECT rep.exp_group, rep.likes, rep.views, rep.part, rep.replicate, count(cd.k) AS w FROM rep LEFT JOIN cd ON cd.m = rep.m AND cd.t <= rep.h GROUP BY ALL)",
     "br AS (SELECT replicate, "
     f"CAST(sum(CASE WHEN exp_group = {c.AB_A} THEN w * likes END) AS BIGINT) AS num_a, "
     f"CAST(sum(CASE WHEN exp_group = {c.AB_A} THEN w * views END) AS BIGINT) AS den_a, "
@@ -248,19 +269,32 @@ BOOT_CTES = (
     "bx AS (SELECT *, CAST(num_a AS DOUBLE) / NULLIF(den_a, 0) AS ctr_a, CAST(num_b AS DOUBLE) / NULLIF(den_b, 0) "
     "AS ctr_b FROM br)",
     "bd AS (SELECT *, ctr_b - ctr_a AS diff FROM bx)",
+    "bs AS (SELECT count(diff) AS n_replicates, avg(diff) AS mean_diff, min(diff) AS min_diff, max(diff) AS max_diff, "
+    "quantile_cont(diff, 0.025) AS p025, quantile_cont(diff, 0.975) AS p975, count_if(diff > 0) / count(diff) AS share_positive, "
+    "quantile_cont(diff, 0.025) <= 0 AND quantile_cont(diff, 0.975) >= 0 AS ci_crosses_zero, "
+    "min(diff) <= 0 AND max(diff) >= 0 AS range_crosses_zero, "
+    "least(1.0, 2.0 * least(1 + count_if(diff <= 0), 1 + count_if(diff >= 0)) / (count(diff) + 1)) AS p_value FROM bd)",
 )
 
 
-def _aa_sql(k: int) -> str:
-    return _sql(
-        _welch_select_grouped(),
-        _um_cte("ua", (c.AA_A, c.AA_B), c.AA_LO, c.AA_HI),
-        "pop AS (SELECT exp_group, user_id, ctr FROM ua WHERE ctr IS NOT NULL)",
-        f"x AS (SELECT pop.*, CAST(i AS INTEGER) AS iter, "
-        f"{_md5_u32(ITER_KEY)} AS h "
-        f"FROM pop, range({c.AA_ITER}) t(i))",
-        f"sel AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY iter, exp_group ORDER BY h, user_id) <= {k})",
-        doubles=WELCH_DOUBLES)
+def _draw_ctes(um: str, n_iter: int, k: int) -> tuple[str, ...]:
+    """sel (iter, exp_group, user_id, ctr): per iteration and group the first k different of
+    enough hashed places in the group's users, numbered by (4096 hash buckets, id)."""
+    bucket = _md5_u32("CAST(user_id AS VARCHAR)") + " % 4096"
+    needed = "1" if k == 1 else f"CAST(ceil({k - 1} + ({k - 1} - ln(1e-14)) / -ln({k - 1} / n)) AS BIGINT)"
+    place = _md5_u32(str(c.SEED) + " || '-' || exp_group || '-' || i || '-' || j")
+    return (
+        f"pop AS (SELECT exp_group, user_id, ctr, row_number() OVER (PARTITION BY exp_group ORDER BY {bucket}, user_id) - 1 AS idx, "
+        f"count(*) OVER (PARTITION BY exp_group) AS n FROM {um} WHERE ctr IS NOT NULL)",
+        f"tr AS (SELECT exp_group, i, j, CAST(floor({place} * n / 4294967296.0) AS BIGINT) AS idx FROM "
+        f"(SELECT exp_group, n, i, unnest(range({needed})) AS j FROM (SELECT DISTINCT exp_group, n FROM pop) g, range({n_iter}) r(i)) x)",
+        "fi AS (SELECT exp_group, i, idx, min(j) AS j FROM tr GROUP BY exp_group, i, idx "
+        f"QUALIFY row_number() OVER (PARTITION BY exp_group, i ORDER BY min(j)) <= {k})",
+        "sel AS (SELECT CAST(i AS INTEGER) AS iter, exp_group, user_id, ctr FROM fi JOIN pop USING (exp_group, idx))",
+    )
+
+
+AA_CTES = (_um_cte("ua", (c.AA_A, c.AA_B), c.AA_LO, c.AA_HI), *_draw_ctes("ua", c.AA_ITER, c.AA_K))
 
 
 def _welch_select_grouped() -> str:
@@ -274,6 +308,28 @@ def _welch_select_grouped() -> str:
             f"var_samp({va}) AS var_a, var_samp({vb}) AS var_b FROM sel GROUP BY iter) w")
 
 
+def _ab_summary() -> str:
+    """Every test of the A/B table from the definitions above; control = group a."""
+    a, b = c.AB_A, c.AB_B
+    lin = (f"ll AS (SELECT exp_group, likes - (SELECT CAST(sum(likes) AS DOUBLE) / NULLIF(sum(views), 0) FROM um WHERE exp_group = {a}) * views "
+           "AS linearized_likes FROM um)")
+    welch = " UNION ALL ".join(_welch_select(src, value, a, b, extra=f"'{name}' AS metric, ") for src, value, name in (
+        ("um", "ctr", "ctr"), ("sm_ctr", "smoothed_ctr", f"smoothed_ctr_alpha_{c.ALPHA_SMOOTH:g}"), ("ll", "linearized_likes", "linearized_likes"),
+        ("bm", "bucket_ctr", "bucket_ctr")))
+    names = "va|vb|pc|tt|rs|mw|mz"
+    bucket = [re.sub(rf"\b({names})\b", r"b_\1", x) for x in _mw_ctes("bm", "bucket_ctr", a, b)]
+    return _sql(
+        "SELECT 'welch_t' AS test, metric, n_a, n_b, t AS statistic, p_value FROM wp UNION ALL "
+        "SELECT 'mann_whitney', 'ctr', n_a, n_b, u_a, p_value FROM up UNION ALL "
+        "SELECT 'prob_a_gt_b', 'ctr', n_a, n_b, a_gt / (n_a * n_b), NULL FROM rs UNION ALL "
+        f"SELECT 'poisson_bootstrap', 'global_ctr_diff', (SELECT count(*) FROM um WHERE exp_group = {a}), "
+        f"(SELECT count(*) FROM um WHERE exp_group = {b}), mean_diff, p_value FROM bs UNION ALL "
+        "SELECT 'mann_whitney', 'bucket_ctr', n_a, n_b, u_a, p_value FROM bp",
+        UM_AB, *_smoothed_cte(), lin, *BUCKET_CTE, *_mw_ctes("um", "ctr", a, b), *bucket, *BOOT_CTES,
+        f"ww AS (SELECT *, metric AS rid FROM ({welch}) w0)", f"wp AS ({_t_tail('ww')})",
+        f"up AS ({_z_tail('mz')})", f"bp AS ({_z_tail('b_mz')})", doubles=["statistic", "p_value"])
+
+
 DIRECTION = "CASE WHEN value > prev_value THEN 'growth' WHEN value < prev_value THEN 'drop' ELSE 'flat' END"
 DEVIATION = "abs(round_even((1.0 - value / NULLIF(prev_value, 0)) * 100, 2))"
 WITH_PREVIOUS = "SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY ts) AS prev_value FROM scored"
@@ -305,13 +361,13 @@ def _alert_history() -> str:
     return " UNION ALL ".join(parts)
 
 
-def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
-    """DuckDB SQL for every catalog query that has one (A/A subsample size from ``sf_dir``)."""
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL for every catalog query."""
     q: dict[str, str] = {}
     q["feed_kpis_day"] = _kpis(DAY_FILTER)
     q["feed_kpis_week"] = _kpis(
         f"CAST(time AS DATE) BETWEEN {D(c.RUN_DATE - dt.timedelta(days=6))} AND {D(c.RUN_DATE)}")
-    pct = "CASE WHEN views > 0 THEN (200 * likes + views) // (2 * views) END"
+    pct = "CASE WHEN views > 0 THEN CAST(round_even(100.0 * likes / views, 0) AS BIGINT) END"
     q["feed_report"] = _sql(
         f"SELECT {D(Y)} AS report_date, 'feed' AS kind, 'Feed summary for {Y.isoformat()}: views ' || "
         f"{_nz('views')} || ', likes ' || {_nz('likes')} || ', CTR ' || {_nz(pct)} || '%, DAU ' || "
@@ -327,14 +383,15 @@ def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
         f"WHERE CAST(time AS DATE) BETWEEN {D(lo14)} AND {D(Y)} GROUP BY 1, 2) x GROUP BY d",
         doubles=["avg_views", "avg_likes"])
     q["hourly_users"] = _sql(
-        "SELECT CAST(hour(time) AS INTEGER) AS hour, count(DISTINCT user_id) AS users, 'feed' AS service "
+        "SELECT date_trunc('hour', time) AS hour, count(DISTINCT user_id) AS users, 'feed' AS service "
         f"FROM feed_actions WHERE {DAY_FILTER} GROUP BY 1 UNION ALL "
-        "SELECT CAST(hour(time) AS INTEGER) AS hour, count(DISTINCT user_id) AS users, 'message' AS service "
+        "SELECT date_trunc('hour', time) AS hour, count(DISTINCT user_id) AS users, 'message' AS service "
         f"FROM message_actions WHERE {DAY_FILTER} GROUP BY 1")
     q["app_report"] = _sql(
         f"SELECT {D(Y)} AS report_date, 'app' AS kind, 'App summary for {Y.isoformat()}: active users ' || "
         f"{_nz('total')} || ', new users ' || {_nz('new_users')} || ' (ads ' || {_nz('ads')} || ', organic ' || "
         f"{_nz('organic')} || '), new posts ' || {_nz('new_posts')} AS text FROM t, n, s, p", *APP_CTES)
+    q["app_report_maintained"] = q["app_report"]
     q["feed_by_user"] = _sql("SELECT user_id, views, likes, os, age_group, gender_label FROM fu",
                              _feed_by_user_cte("reference"))
     q["messages_by_user"] = _sql("SELECT * FROM mu", *MSG_CTES)
@@ -393,39 +450,45 @@ def oracle_sql(sf_dir: str = "sf0.01") -> dict[str, str]:
     q["mann_whitney_stats_bucket"] = _sql(MW_SELECT, UM_AB, *BUCKET_CTE,
                                           *_mw_ctes("bm", "bucket_ctr", c.AB_A, c.AB_B), doubles=MW_DOUBLES)
     q["prob_superiority"] = _sql(
-        "SELECT CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, a_gt / (n_a * n_b) AS p_a_gt_b, "
-        "ties / (n_a * n_b) AS p_tie, 1.0 - a_gt / (n_a * n_b) - ties / (n_a * n_b) AS p_a_lt_b, n_undefined "
-        "FROM rs, nu",
+        "SELECT n_a, n_b, a_gt / (n_a * n_b) AS p_a_gt_b, ties / (n_a * n_b) AS p_tie, a_lt / (n_a * n_b) AS p_a_lt_b, n_undefined FROM rs",
         UM_AB, *_mw_ctes("um", "ctr", c.AB_A, c.AB_B), doubles=["p_a_gt_b", "p_tie", "p_a_lt_b"])
     q["bucket_metrics"] = _sql("SELECT * FROM bm", UM_AB, *BUCKET_CTE, doubles=["bucket_ctr", "ctr9"])
+    # bins by their edges; every group has all of them
     nb = c.HIST_BINS
-    q["ctr_histogram"] = _sql(
-        f"SELECT exp_group, bin, lo + bin * (hi - lo) / {nb} AS bin_lo, lo + (bin + 1) * (hi - lo) / {nb} AS bin_hi, n "
-        f"FROM (SELECT exp_group, CAST(CASE WHEN hi - lo > 0 THEN least(floor((ctr - lo) / (hi - lo) * {nb}), {nb - 1}) "
-        "ELSE 0 END AS INTEGER) AS bin, count(*) AS n FROM base, mm GROUP BY 1, 2) h, mm",
-        UM_AB, "base AS (SELECT * FROM um WHERE ctr IS NOT NULL)",
-        "mm AS (SELECT min(ctr) AS lo, max(ctr) AS hi FROM base)", doubles=["bin_lo", "bin_hi"])
+
+    def hist(src: str, value: str, lo: str, hi: str, by: str = "") -> str:
+        keys, same = (f"{by}, ", f"AND b.{by} = s.{by}") if by else ("", "")
+        groups = f"(SELECT DISTINCT {by} FROM {src} WHERE {value} IS NOT NULL) g, " if by else ""
+        last = f"(b.bin = {nb - 1} AND s.{value} = b.hi)"
+        return (f"SELECT {'b.' + by + ', ' if by else ''}b.bin, b.bin_lo, b.bin_hi, count(s.{value}) AS n FROM (SELECT {keys}CAST(i AS INTEGER) AS bin, lo, hi, "
+                f"lo + i * (hi - lo) / {nb} AS bin_lo, lo + (i + 1) * (hi - lo) / {nb} AS bin_hi FROM {groups}range({nb}) r(i), "
+                f"(SELECT {lo} AS lo, {hi} AS hi FROM {src}) e) b LEFT JOIN {src} s ON ((floor((s.{value} - b.lo) / (b.hi - b.lo) * {nb}) = b.bin) OR {last}) {same} "
+                "GROUP BY ALL")
+
+    q["ctr_histogram"] = _sql(hist("um", "ctr", "min(ctr)", "max(ctr)", "exp_group"), UM_AB, doubles=["bin_lo", "bin_hi"])
     q["bootstrap_replicates"] = _sql("SELECT * FROM bd", UM_AB, *BOOT_CTES, doubles=["ctr_a", "ctr_b", "diff"])
     q["bootstrap_summary"] = _sql(
-        "SELECT count(diff) AS n_replicates, avg(diff) AS mean_diff, min(diff) AS min_diff, max(diff) AS max_diff, "
-        "quantile_cont(diff, 0.025) AS p025, quantile_cont(diff, 0.975) AS p975, "
-        "avg(CASE WHEN diff > 0 THEN 1.0 ELSE 0.0 END) AS share_positive, "
-        "quantile_cont(diff, 0.025) <= 0 AND quantile_cont(diff, 0.975) >= 0 AS ci_crosses_zero, "
-        "min(diff) <= 0 AND max(diff) >= 0 AS range_crosses_zero FROM bd",
-        UM_AB, *BOOT_CTES,
-        doubles=["mean_diff", "min_diff", "max_diff", "p025", "p975", "share_positive"])
-    q["aa_subsample_stats"] = _aa_sql(c.aa_k(sf_dir))
+        "SELECT * FROM bs", UM_AB, *BOOT_CTES,
+        doubles=["mean_diff", "min_diff", "max_diff", "p025", "p975", "share_positive", "p_value"])
+    q["bootstrap_histogram"] = _sql(hist("bd", "diff", "min(diff)", "max(diff)"), UM_AB, *BOOT_CTES, doubles=["bin_lo", "bin_hi"])
+    q["aa_subsample_stats"] = _sql(_welch_select_grouped(), *AA_CTES, doubles=WELCH_DOUBLES)
+    aa_p = (*AA_CTES, f"ws AS (SELECT *, iter AS rid FROM ({_welch_select_grouped()}) w0)", f"ap AS ({_t_tail('ws')})")
+    q["aa_summary"] = _sql(
+        "SELECT count(*) AS n_iter, CAST(count_if(p_value < 0.05) AS BIGINT) AS n_significant, "
+        "count_if(p_value < 0.05) / count(*) AS false_positive_rate, avg(p_value) AS mean_p FROM ap",
+        *aa_p, doubles=["false_positive_rate", "mean_p"])
+    q["aa_pvalue_histogram"] = _sql(hist("ap", "p_value", "any_value(0.0)", "any_value(1.0)"), *aa_p, doubles=["bin_lo", "bin_hi"])
     q["prob_superiority_sampled"] = _sql(
         "SELECT count(*) AS n_pairs, avg(CASE WHEN va > vb THEN 1.0 ELSE 0.0 END) AS p_a_gt_b, "
         "avg(CASE WHEN va = vb THEN 1.0 ELSE 0.0 END) AS p_tie, "
         "avg(CASE WHEN va < vb THEN 1.0 ELSE 0.0 END) AS p_a_lt_b FROM "
         f"(SELECT iter, max(CASE WHEN exp_group = {c.AB_A} THEN ctr END) AS va, "
         f"max(CASE WHEN exp_group = {c.AB_B} THEN ctr END) AS vb FROM sel GROUP BY iter) p",
-        UM_AB, "pop AS (SELECT exp_group, user_id, ctr FROM um WHERE ctr IS NOT NULL)",
-        f"x AS (SELECT pop.*, CAST(i AS INTEGER) AS iter, {_md5_u32(ITER_KEY)} AS h "
-        f"FROM pop, range({c.N_PAIRS}) t(i))",
-        "sel AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY iter, exp_group ORDER BY h, user_id) <= 1)",
-        doubles=["p_a_gt_b", "p_tie", "p_a_lt_b"])
+        UM_AB, *_draw_ctes("um", c.N_PAIRS, 1), doubles=["p_a_gt_b", "p_tie", "p_a_lt_b"])
+    q["welch_stats_raw_pairs"] = _sql(
+        " UNION ALL ".join(_welch_select(f"u_{a}{b}", "ctr", a, b, extra=f"'{name}' AS experiment, ") for name, a, b in c.LIN_EXPERIMENTS),
+        *[_um_cte(f"u_{a}{b}", (a, b), c.AB_LO, c.AB_HI) for _, a, b in c.LIN_EXPERIMENTS], doubles=WELCH_DOUBLES)
+    q["ab_summary"] = _ab_summary()
     q["stream_slot_metrics"] = _sql(
         f"SELECT * FROM slots WHERE {STREAM_CLOSED}",
         *(ct.replace(f"WHERE {SLOT_WHERE} ", "") for ct in SLOT_CTES), doubles=["CTR"])

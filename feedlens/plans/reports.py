@@ -7,6 +7,8 @@ The source jobs posted these texts to a chat; here they are DataFrame rows that
 from __future__ import annotations
 
 import datetime as dt
+import functools
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +20,10 @@ ONE_DAY = dt.timedelta(days=1)
 
 
 def _pct(likes: str, views: str):
-    """100 * likes / views rounded half-up to an integer, in exact integer math."""
-    return F.when(F.col(views) > 0,
-                  F.expr(f"(200 * {likes} + {views}) div (2 * {views})"))
+    """100 * likes / views rounded half-even to an integer, in exact integer math."""
+    whole, rest = F.expr(f"(100 * {likes}) div {views}"), F.expr(f"(100 * {likes}) % {views}")
+    up = (2 * rest > F.col(views)) | ((2 * rest == F.col(views)) & (whole % 2 == 1))
+    return F.when(F.col(views) > 0, whole + up.cast("int"))
 
 
 def _s(c) -> F.Column:
@@ -38,24 +41,35 @@ def feed_report(feed: DataFrame, run_date) -> DataFrame:
     return t.select(F.lit(y).alias("report_date"), F.lit("feed").alias("kind"), text.alias("text"))
 
 
-def app_numbers(feed: DataFrame, run_date) -> DataFrame:
+@dataclass(frozen=True)
+class FirstSeen:
+    """Maintained first-seen tables (``operators.first_seen``): read by day instead of the
+    whole event history."""
+    users: DataFrame      # user_id, first_date
+    sources: DataFrame    # user_id, source, first_date
+    posts: DataFrame      # post_id, first_date
+
+
+def app_numbers(feed: DataFrame, run_date, first_seen: FirstSeen | None = None) -> DataFrame:
     """One row: total, new_users, ads, organic, new_posts for yesterday."""
     y = to_day(run_date) - ONE_DAY
-    total = kpi.active_users(feed, y).select(
-        F.lit("total").alias("m"), F.col("total").alias("v"))
-    first = kpi.first_seen_counts(feed, y)   # one history scan for the three first-seen KPIs
-    long = total.unionByName(first.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("m"), F.col(n).alias("v"))
-        for n in ("new_users", "ads", "organic", "new_posts")])).alias("mv")).select("mv.m", "mv.v"))
     names = ["total", "new_users", "ads", "organic", "new_posts"]
+    if first_seen is None:
+        parts = [kpi.active_users(feed, y), kpi.first_seen_counts(feed, y)]   # one history scan for the first-seen KPIs
+    else:
+        parts = [kpi.active_users(feed, y), kpi.new_users(feed, y, first_seen.users),
+                 kpi.new_users_by_source(feed, y, first_seen.sources), kpi.new_posts(feed, y, first_seen.posts)]
+    long = functools.reduce(DataFrame.unionByName, [
+        p.select(F.explode(F.array(*[F.struct(F.lit(n).alias("m"), F.col(n).alias("v")) for n in p.columns])).alias("mv")).select("mv.m", "mv.v")
+        for p in parts])
     return long.agg(*[F.max(F.when(F.col("m") == n, F.col("v"))).alias(n) for n in names])
 
 
-def app_report(feed: DataFrame, run_date) -> DataFrame:
+def app_report(feed: DataFrame, run_date, first_seen: FirstSeen | None = None) -> DataFrame:
     """App summary for yesterday as a report row."""
     y = to_day(run_date) - ONE_DAY
     text = F.concat(F.lit(f"App summary for {y.isoformat()}: active users "), _s("total"),
                     F.lit(", new users "), _s("new_users"), F.lit(" (ads "), _s("ads"),
                     F.lit(", organic "), _s("organic"), F.lit("), new posts "), _s("new_posts"))
-    return app_numbers(feed, run_date).select(F.lit(y).alias("report_date"),
-                                              F.lit("app").alias("kind"), text.alias("text"))
+    return app_numbers(feed, run_date, first_seen).select(F.lit(y).alias("report_date"),
+                                                          F.lit("app").alias("kind"), text.alias("text"))

@@ -5,7 +5,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import (
-    U32, age_group, gender_label, md5_u32, poisson1_thresholds, poisson1_weight, ratio,
+    U32, age_group, gender_label, md5_u32, ratio,
     round_doubles, slot_start, week_start, xx_u32,
 )
 
@@ -49,21 +49,6 @@ def test_md5_hash_is_portable_to_duckdb(spark):
     assert got == want
 
 
-def test_poisson_weights_have_mean_and_variance_one(spark):
-    th = poisson1_thresholds()
-    assert th == sorted(th) and th[-1] == U32
-    # exact distribution implied by the thresholds
-    probs = [(th[0])] + [th[k] - th[k - 1] for k in range(1, len(th))]
-    mean = sum(k * p for k, p in enumerate(probs)) / U32
-    var = sum(k * k * p for k, p in enumerate(probs)) / U32 - mean ** 2
-    # 32-bit resolution truncates the far tail: exact up to ~1e-7
-    assert abs(mean - 1) < 1e-6 and abs(var - 1) < 1e-6
-    df = spark.range(200000).select(poisson1_weight(xx_u32("id", seed=3)).alias("w"))
-    m, v = df.agg(F.avg("w"), F.var_samp("w")).first()
-    assert abs(m - 1) < 0.01 and abs(v - 1) < 0.02
-    assert math.isclose(th[0] / U32, math.exp(-1), rel_tol=1e-9)
-
-
 def test_round_doubles_normalises_ties_and_negative_zero(spark):
     # 1.23456749999 first snaps to the 1e-9 grid (1.2345675), then rounds half-up
     df = spark.createDataFrame([(-1e-17,), (0.0078125,), (1.23456749999,), (1.2345674,)], "x double")

@@ -61,7 +61,7 @@ def test_avg_activity_and_hourly(make_feed, make_msgs):
     assert avg[D8].avg_views == 1.0 and abs(avg[D8].avg_likes - 2 / 3) < 1e-12
     msgs = make_msgs([(1, 2, "2024-01-08 10:05:00"), (1, 3, "2024-01-08 10:50:00"),
                       (4, 1, "2024-01-08 23:00:00")])
-    rows = [tuple(r) for r in kpi.hourly_users(feed, msgs, D8).collect()]
+    rows = [(r.hour.hour, r.users, r.service) for r in kpi.hourly_users(feed, msgs, D8).collect() if r.hour.date() == D8]
     assert rows == [(10, 1, "feed"), (11, 1, "feed"), (12, 1, "feed"), (23, 1, "feed"),
                     (10, 1, "message"), (23, 1, "message")]
 
@@ -85,3 +85,10 @@ def test_first_seen_counts_equal_the_separate_operators(spark):
         assert (got.new_users, got.ads, got.organic, got.new_posts) == (
             kpi.new_users(feed, day).first().new_users, s.ads, s.organic,
             kpi.new_posts(feed, day).first().new_posts)
+
+
+def test_percent_rounds_half_to_even_and_null_users_are_no_users(make_feed):
+    feed = make_feed([(1, "2024-01-08 10:00:00", "view", 0, 1, "iOS", "ads", 1, 30)] * 8 + [(1, "2024-01-08 10:00:00", "like", 0, 1, "iOS", "ads", 1, 30)])
+    assert "CTR 12%" in reports.feed_report(feed, "2024-01-09").first().text      # 12.5
+    feed = make_feed([(None, "2024-01-08 10:00:00", "view", 0, 1, "iOS", "ads", 1, 30), (2, "2024-01-08 10:00:00", "view", 0, 1, "iOS", "ads", 1, 30)])
+    assert kpi.new_users_by_source(feed, D8).first().ads == kpi.first_seen_counts(feed, D8).first().ads == 1
