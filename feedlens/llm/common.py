@@ -6,6 +6,8 @@ All operators take the columns they need by name and give internal columns a
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -100,6 +102,12 @@ def text_udf(returns: str, make: Callable[[], Callable[[list[str | None]], list]
     return apply
 
 
+def worker_state() -> dict:
+    """What a Python worker keeps from task to task. Functions that were shipped by value
+    have no module of their own there, so it hangs on a name in ``sys.modules``."""
+    return sys.modules.setdefault("feedlens_worker_state", types.ModuleType("feedlens_worker_state")).__dict__
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser (a public 64-bit mixing function), elementwise."""
     x = x.astype(np.uint64, copy=True)

@@ -243,8 +243,8 @@ def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text")
                .orderBy("i", "t").collect()]
 
 
-def _search_udf(index):
-    return text_udf(f"array<struct<{HIT}>>", lambda: index.value.search)
+def _search_udf(index: ItemIndex):
+    return text_udf(f"array<struct<{HIT}>>", lambda: index.search)
 
 
 def benchmark_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -255,10 +255,9 @@ def benchmark_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
     without a word, leak nothing. Repeated documents and repeated items give a row each;
     neighbouring repeats of an item in one document (fewer words apart than it has) give
     one row, the nearest. Empty tables give no rows."""
-    sc = docs.sparkSession.sparkContext
     found = None
     for block in item_blocks(items, item_id, item_text):
-        index = sc.broadcast(ItemIndex(block))
+        index = ItemIndex(block)
         part = (docs.select(F.col(doc_id).alias("doc_id"), F.explode(_search_udf(index)(F.col(text))).alias("hit"))
                 .select("doc_id", "hit.*"))
         found = part if found is None else found.unionByName(part)
@@ -273,6 +272,5 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """``docs`` without the documents that hold a benchmark item; all columns."""
     kept = docs
     for block in item_blocks(read_table(spark, sf_dir, "benchmark")):
-        index = spark.sparkContext.broadcast(ItemIndex(block))
-        kept = kept.withColumn("__leaks", F.size(_search_udf(index)(F.col("text")))).filter("__leaks <= 0").select(*docs.columns)
+        kept = kept.withColumn("__leaks", F.size(_search_udf(ItemIndex(block))(F.col("text")))).filter("__leaks <= 0").select(*docs.columns)
     return kept

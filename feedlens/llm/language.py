@@ -14,7 +14,6 @@ shares come from a bounded sample, ``ROWS`` rows of each language at most twice
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,9 +30,7 @@ UNKNOWN = "und"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+_LETTERS = np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def ngrams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,7 +38,7 @@ def ngrams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
     over lower-case letters, with one blank for whatever stands between words."""
     codes = [np.frombuffer(("\n" + t.lower() + "\n").encode("utf-32-le"), np.uint32) for t in texts]
     whole = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
-    whole = np.where(_letters()[whole], whole, 0).astype(np.uint64)
+    whole = np.where(_LETTERS[whole], whole, 0).astype(np.uint64)
     keep = whole > 0
     keep[1:] |= whole[:-1] > 0   # the first blank after a letter stays
     starts = np.cumsum([0, *map(len, codes)])
@@ -161,8 +158,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_
     ``und`` with score 0 where the text is null or has no letter, or nothing was learned.
     Ties go to the language first by name. Repeated rows each get a row; a null doc_id
     counts as empty text for the split; an empty table gives no rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    predict = text_udf("lang_pred string, score double", lambda: shared.value.predict)
+    predict = text_udf("lang_pred string, score double", lambda: model.predict)   # the filters' size is bounded
     return (docs.select(F.col(doc_id).alias("doc_id"), (id_remainder(doc_id, SPLIT) == HELD_OUT).alias("held_out"),
                         predict(F.col(text)).alias("p")).select("doc_id", "held_out", "p.*"))
 

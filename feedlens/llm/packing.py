@@ -14,7 +14,6 @@ import os
 import re
 import unicodedata
 import zlib
-from functools import lru_cache
 from itertools import accumulate, chain, islice
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.functions import pandas_udf
 from tokenizers import Tokenizer
 
-from feedlens.llm.common import materialise, read_table, text_udf
+from feedlens.llm.common import materialise, read_table, text_udf, worker_state
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -87,9 +86,12 @@ class WordEncoder:
         self.known.update((w, data[4 * a:4 * b]) for w, a, b in zip(words, [0, *ends.tolist()], ends.tolist()))
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    """The worker's encoder for a tokenizer file, kept from task to task."""
+    kept = worker_state()
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
 
 
 def pieces_udf(tokenizer: str, capacity: int, end_id: int):
