@@ -27,6 +27,7 @@ TEST_PATHS = r"(?i)(^|[/\\._-])(tests?|examples?|samples?|docs?|fixtures?|mocks?
 
 CONTEXT = 60               # characters of context on either side
 LABELLED = 20_000          # labelled findings the forest is fitted on, at most twice over
+FIT_PARTITIONS = 8
 DICTIONARY_SHARE = 2e-6    # a word with this share of all words is in the dictionary: at most 1 / share words
 TREES, DEPTH, SEED = 40, 8, 7
 SPLIT, HELD_OUT, THRESHOLD = 3, 1, 0.5
@@ -115,7 +116,8 @@ def train_forest(findings: DataFrame, labelled: int = LABELLED) -> RandomForestC
     """A forest from described findings with a ``label`` (0, 1; null is unused). Both labels
     are fitted on a bounded sample; None where one of them is missing."""
     rows = findings.filter(F.col("label").isin(0, 1))
-    rows = materialise(sample_rows(rows, labelled, "__row", "finding").select(*FEATURES, "label"), "labelled")
+    sampled = sample_rows(rows, labelled, "__row", "finding").select(*FEATURES, "label")
+    rows = materialise(sampled.coalesce(FIT_PARTITIONS), "labelled")   # bounded, so few partitions: each pass over them is a job
     if len({r["label"] for r in rows.select("label").distinct().collect()}) < 2:
         return None
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, maxBins=32, seed=SEED, featuresCol="__x", labelCol="label",
