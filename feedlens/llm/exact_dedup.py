@@ -82,14 +82,13 @@ def chunk_lists(id_bytes: int = ID_BYTES):
 
 
 def collided_chunks(docs: DataFrame, text: str, id_bytes: int = ID_BYTES) -> DataFrame:
-    """The verification: (id, content, variant) of the distinct chunks that share an
-    identifier with another content; variant numbers them from 0. Empty in practice."""
+    """The verification: (id, digests) of the identifiers that distinct chunks share, with
+    the sorted digests of their contents. Empty in practice. Chunks are deduplicated by
+    content in the map tasks, so each moves once; what follows handles digests only."""
     distinct = (docs.select(F.explode(chunk_lists(id_bytes)(F.col(text))).alias("c"))
                 .select("c.id", "c.content").distinct())
-    shared = distinct.groupBy("id").agg(F.count("*").alias("n"), F.array_sort(F.collect_set(
-        F.sha2("content", 256))).alias("digests")).filter("n > 1")
-    return (distinct.join(shared, "id")
-            .select("id", "content", (F.array_position("digests", F.sha2("content", 256)) - 1).alias("variant")))
+    return (distinct.groupBy("id").agg(F.count("*").alias("n"), F.array_sort(F.collect_set(F.sha2("content", 256))).alias("digests"))
+            .filter("n > 1").select("id", "digests"))
 
 
 def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -112,18 +111,21 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         light = described.select("doc_id", "__row", "__n", "r.*").withColumn("__variants", F.lit(""))
     else:
         listed = described.select("doc_id", "__row", "__n", "r.*", F.posexplode_outer(chunk_lists(id_bytes)(F.col("__text"))).alias("at", "c"))
-        found = (listed.select(*columns, "at", "c.id", "c.content").join(collided, ["id", "content"], "left")
+        variant = (F.array_position("digests", F.sha2("content", 256)) - 1).alias("variant")
+        found = (listed.select(*columns, "at", "c.id", "c.content").join(collided, "id", "left").select(*columns, "at", variant)
                  .groupBy(*columns).agg(F.collect_list(F.when(F.col("variant") > 0, F.struct("at", "variant"))).alias("v")))
         light = found.select(*columns, F.array_join(F.transform(
             F.array_sort("v"), lambda x: F.concat_ws(":", x["at"], x["variant"])), ",").alias("__variants"))
     light = materialise(light, "recipes")
     light = light.withColumn("__key", F.concat_ws("|", F.hex("recipe"), "__variants"))
 
-    groups = (light.groupBy("__key")
+    # written, so that the join below reads both sides as they are dealt out and Spark can
+    # split the rows of a large group over tasks
+    groups = materialise(light.groupBy("__key")
               .agg(F.count("*").alias("group_size"),
                    F.min(F.struct((-F.col("__n")).alias("n"), F.col("doc_id").isNull().alias("no_id"),
                                   F.col("doc_id").alias("id"), F.col("__row").alias("row"))).alias("first"))
-              .filter("group_size > 1"))
+              .filter("group_size > 1"), "groups")
     out = light.join(groups, "__key", "left").select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("first.id")).alias("keep_id"),
