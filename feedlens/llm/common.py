@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import DataType
 
 from feedlens.session import checkpoint_dir
 
@@ -88,7 +88,7 @@ def text_udf(returns: str, make: Callable[[], Callable[[list[str | None]], list]
 
     The function sees about ``CHUNK_CHARS`` of text at a time, so a task's memory follows
     that figure and its longest text, not the rows of a batch."""
-    kind = _parse_datatype_string(returns)
+    kind = DataType.fromDDL(returns)
     arrow_kind = to_arrow_type(kind)
 
     @arrow_udf(kind)
