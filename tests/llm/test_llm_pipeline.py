@@ -107,3 +107,24 @@ def test_entry_registers_everything(spark):
     names = [n for n in E.queries() if n == "pipeline" or n.startswith("op")]
     assert len([n for n in names if n.startswith("op")]) == 10 and "pipeline" in names
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_stages_on_odd_rows_and_clashing_columns(spark, tmp_path):
+    good = [r for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    clash = "recipe, kept, group_size, fp, hit, p, r, score, path, length, row, key, component_id, text_sha256"
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in good]
+    rows += [(None, None, None, None, None), (None, "", None, None, 0), (None, None, None, None, None), rows[0], rows[0],
+             (5_000, "x" * 300_000, "en", None, 5), (5_001, "word " * 60_000, None, "s", None), (5_002, "\u0000 ​", "en", "s", 3)]
+    docs = spark.createDataFrame([(*r, *["c"] * len(clash.split(", "))) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in clash.split(", ")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        path = str(tmp_path / name)
+        stage(spark, docs, SF).write.parquet(path)
+        kept = spark.read.parquet(path)
+        assert kept.columns == docs.columns
+        if name == "exact_dedup":
+            texts = ["".join(c for c in r.text or "" if c not in " \t\n\v\f\r") for r in kept.collect()]
+            assert len(texts) == len(set(texts))
+        docs = kept
+    name, stage = corpus_pipeline.STAGES[-1]
+    assert stage(spark, docs, SF).count() >= docs.count()
