@@ -16,7 +16,11 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from feedlens.session import build_session  # noqa: E402
-import __spark_entry__ as E  # noqa: E402
+from feedlens.plans.catalog import registry  # noqa: E402
+
+
+# queries that run a sink, a stream or a maintained table first and read its output
+RUN_FIRST = {"stream_slot_metrics", "stream_alerts", "alert_history", "cube_rewrite", "feed_scan", "app_report_maintained"}
 
 
 def tree(spark, df) -> str:
@@ -32,8 +36,8 @@ def main() -> None:
     print("| query | scans | shuffles | broadcasts | windows | single-partition windows (rows bound) "
           "| generate | python | global-agg merges | ts range at scan |")
     print("|---|---|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
-        if name == "stream_slot_metrics":
+    for name, fn in registry().items():
+        if name in RUN_FIRST:
             continue
         s = tree(spark, fn(spark, sf_dir))
         top = s.split("\n\n")[0]
