@@ -51,13 +51,20 @@ def bootstrap_replicates(um: DataFrame, a, b, n: int = 2000, seed: int = 0,
     like = um.filter(g.isin(a, b)).groupBy(group_col, num, den).agg(F.count("*").alias("_m"))
     parts = (like.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("_m") - 1) / PART_USERS).cast("int"))).alias("_part"))
              .withColumn("_m", F.least(F.lit(PART_USERS), F.col("_m") - F.col("_part") * PART_USERS).cast("int")))
-    table = um.sparkSession.createDataFrame([(m, *poisson_thresholds(m)) for m in range(1, PART_USERS + 1)],
+    steps = {m: poisson_thresholds(m) for m in range(1, PART_USERS + 1)}
+    levels = max(len(t) for _, t in steps.values()).bit_length()
+    never = [U32] * (1 << levels)   # thresholds that no hash reaches: every search has the same depth
+    table = um.sparkSession.createDataFrame([(m, first, (t + never)[:len(never)]) for m, (first, t) in steps.items()],
                                             "_m int, _first int, _steps array<bigint>")
     rep = (parts.join(F.broadcast(table), "_m")   # PART_USERS rows
            .select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("replicate")))
     drawn = [group_col, num, den, "_part", "replicate"]
     h = hash_u32(F.lit(seed), *drawn, mode="md5") if hash_mode == "md5" else hash_u32(*drawn, mode=hash_mode, seed=seed)
-    rep = rep.withColumn("_h", h).withColumn("w", F.col("_first") + F.size(F.filter("_steps", lambda t: t <= F.col("_h"))))
+    rep = rep.withColumn("_h", h).withColumn("_reached", F.lit(0))
+    for bit in reversed([1 << k for k in range(levels)]):   # binary search for the number of thresholds <= _h
+        rep = rep.withColumn("_reached", F.when(F.get("_steps", F.col("_reached") + (bit - 1)) <= F.col("_h"), F.col("_reached") + bit)
+                             .otherwise(F.col("_reached")))
+    rep = rep.withColumn("w", F.col("_first") + F.col("_reached"))
     agg = rep.groupBy("replicate").agg(
         F.sum(F.when(g == a, F.col("w") * F.col(num))).alias("num_a"),
         F.sum(F.when(g == a, F.col("w") * F.col(den))).alias("den_a"),
