@@ -25,6 +25,8 @@ def _text(html):
     ("<div hidden>x</div><div style='display: none'>y</div><div role=navigation>z</div>k", "k"),
     ("<article>" + "<p><b>deep" * 3000 + "</article>tail", " ".join(["deep"] * 3000)),
     ("<article><p>1 < 2 && 3 > 2</p></article>", "1 < 2 && 3 > 2"),
+    ("<div class='page-header'>h</div><div class='main-content has-sidebar'><p>kept</div><div class=sideBar>s</div>", "kept"),
+    ("<div role=main><div class=header>Title</div>x<div class=article-footer>f</div></div>y", "Title x"),
     ("<article><div class='cookie-notice'>n</div><p class=lead>l</p></article><div class=sidebar><p>s</div>", "l"),
 ])
 def test_page_lines(html, want):
