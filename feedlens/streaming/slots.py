@@ -73,9 +73,8 @@ def score_slots(slots: DataFrame, before: DataFrame, n: int = 6, a: float = 2.0)
     of which the last n + n//2 are used (a top-k that the bounds are defined by)."""
     last = before.orderBy(F.desc("ts")).limit(slots_before(n)).select(*slots.columns)
     rows = anomaly.unpivot_metrics(last.unionByName(slots))
-    own = slots.select(F.min("ts").alias("__first"))
     scored = anomaly.slot_alerts(anomaly.iqr_bounds(rows, a, n, "newest"))
-    return scored.join(F.broadcast(own), F.col("ts") >= F.col("__first")).drop("__first")   # one row: broadcast
+    return scored.filter(F.col("ts") >= slots.agg(F.min("ts")).scalar())
 
 
 def start_slot_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, out_dir: str,
