@@ -210,9 +210,12 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                       row_id: str | None = None, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+                       row_id: str | None = None, width: int = SHINGLE, radius: int = RADIUS, component: str | None = None) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id (and row_id).
 
+    ``component`` names a column for the component itself, its smallest fingerprint as a
+    signed long: never null, and told apart where component_ids are null or repeat.
+
     component_id is the smallest doc_id reachable over links. Null and empty texts have
     fingerprint zero and link like any other. Null doc_ids are never a component_id
     unless the component has no other. Repeated rows stay. An empty table gives no rows.
@@ -227,9 +230,10 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     owned = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     smallest = owned.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = owned.join(smallest, "component").select("fp", "component_id")
+    by_print = owned.join(smallest, "component").select("fp", "component_id", "component")
     out = prints.join(by_print, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["__row"] if row_id else []))
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["__row"] if row_id else []),
+        *([F.col("component").alias(component)] if component else []))
     return out.withColumnRenamed("__row", row_id) if row_id else out
 
 
@@ -240,11 +244,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` with one row of each component: the smallest doc_id (of repeated rows one)."""
     keyed = with_row_key(docs)
-    found = materialise(simhash_components(keyed, row_id="__doc_row"), "near")
-    first = found.groupBy("component_id").agg(
+    found = materialise(simhash_components(keyed, row_id="__doc_row", component="__component"), "near")
+    first = found.groupBy("__component").agg(
         F.count("*").alias("n"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col("__doc_row").alias("row"))).alias("first")) \
-        .filter("n > 1").select("component_id", F.col("first.row").alias("stays"))
-    dropped = found.join(first, found["component_id"].eqNullSafe(first["component_id"])) \
-        .filter(F.col("__doc_row") != F.col("stays")).select("__doc_row")
+        .filter("n > 1").select("__component", F.col("first.row").alias("stays"))
+    dropped = found.join(first, "__component").filter(F.col("__doc_row") != F.col("stays")).select("__doc_row")
     return keyed.join(dropped, "__doc_row", "left_anti").select(*docs.columns)

@@ -155,3 +155,14 @@ def test_simhash_fixture(spark):
     allp = [int(got[r.doc_id].fingerprint, 16) for r in rows]
     want = _brute_components(allp)
     assert [got[r.doc_id].component_id for r in rows] == [rows[c].doc_id for c in want]
+
+
+def test_stage_groups_by_component_not_by_id(spark, make_docs):
+    texts = ["the quick brown fox jumps over the lazy dog near a river", "seven grey wolves were walking home through deep snow",
+             "invoices are due on the first day of every month", "a compiler turns source text into instructions"]
+    docs = make_docs([(None, texts[0]), (None, texts[1]), (None, texts[0]), (4, texts[2]), (4, texts[3]), (9, texts[3])])
+    prints = [simhash.fingerprint(t) for t in texts]
+    assert min(bin(a ^ b).count("1") for a in prints for b in prints if a != b) > simhash.RADIUS
+    out = simhash.simhash_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == sorted(zip((0, 0, 4, 4), texts))
