@@ -4,18 +4,17 @@ Benchmark items and documents are compared as word sequences (lower case, ``\\w+
 item leaks where its word edit distance to a stretch of a document is at most a fifth
 of its words. Three steps, all over every position of every text:
 
-1. A lossless screen. k edits leave at least n - k of an item's n words and n - 1 - 2k of
-   its word pairs standing in a stretch of n + k words; starts with fewer words and pairs
-   from the benchmark's own are passed over, and so are starts on a word that is none of
-   an item's first k + 1 (a nearest stretch can always begin on one). Items are grouped
-   by length for this.
-2. CGK embedding (a random walk that repeats or advances, the choice hashed from step and
-   word, turns edit distance into Hamming distance) of the item-sized window at each
-   remaining start, and bit sampling: windows that agree with an item on the sampled
-   places of one of R walks are candidates. R is doubled until items edited at the limit
-   are recalled at ``TARGET_RECALL``.
+1. Candidates by the pigeonhole principle. An item with k edits allowed is cut into k + 1
+   pieces; k edits, wherever they stand, leave one of them whole, so a text that holds the
+   item holds one of its pieces word for word, moved by at most k words. Pieces have 2 to 5
+   words and are looked up by hash at every position.
+2. A lossless screen. k edits leave at least n - k of an item's n words and n - 1 - 2k of
+   its word pairs standing; candidates around which fewer words and pairs of the benchmark,
+   or fewer words of the item itself, stand are passed over.
 3. The exact edit distance of each candidate, by dynamic programming.
 
+No step is left to chance: every stretch within the limit is a candidate.
+
 Items come in blocks of proven size, which are sent to the tasks; every block meets all
 rows.
 """
@@ -30,15 +29,12 @@ from itertools import repeat
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedlens.llm.common import mix64, read_table, text_udf
+from feedlens.llm.common import chunks, mix64, read_table, text_udf
 
 SHARE = 0.2                # edits allowed, as a share of an item's words
-SAMPLED = 3                # places of a walk that make a key
-TARGET_RECALL = 0.99
-WINDOWS = 1 << 12           # windows that are embedded at once
+HITS = 1 << 16             # about so many hits of pieces are screened at once
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 16_000_000
 _WORDS = re.compile(r"\w+")
-_UNKNOWN = np.uint64(0x9E3779B97F4A7C15)
 HIT = "item_id:long,start_char:long,end_char:long,distance:int,item_words:int"
 
 
@@ -50,81 +46,19 @@ def allowed(n: int) -> int:
     return int(SHARE * n)
 
 
-class LengthClass:
-    """Items of about one length with their keys."""
-
-    def __init__(self, members: list[int], items: list[np.ndarray], rng: np.random.RandomState, target: float):
-        sizes = [len(items[i]) for i in members]
-        self.members = members
-        self.low, self.high = min(sizes), max(sizes)
-        self.span = self.high + allowed(self.high)
-        self.pairs_least = min(n - 1 - 2 * allowed(n) for n in sizes)
-        self.words_least = min(n - allowed(n) for n in sizes)
-        self.first = np.zeros(1 + max(int(x.max()) for x in items), bool)
-        for i in members:
-            self.first[items[i][:allowed(len(items[i])) + 1]] = True
-        self.steps = max(1, int(1.6 * self.low))
-        self.sampled = min(SAMPLED, self.steps)
-        rounds = 8
-        while True:
-            self.walk = rng.randint(1, 2**62, (rounds, self.steps)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-            self.places = np.sort(np.array([rng.choice(self.steps, self.sampled, False) for _ in range(rounds)]), axis=1)
-            self.factor = rng.randint(1, 2**62, (rounds, self.sampled)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-            if rounds >= 512 or self._recall([items[i] for i in members], rng) >= target:
-                break
-            rounds *= 2
-        own = self.keys(self._padded([items[i] for i in members]))
-        self.table: list[dict[int, list[int]]] = []
-        for r in range(len(own)):
-            by: dict[int, list[int]] = {}
-            for i, key in zip(members, own[r].tolist()):
-                by.setdefault(key, []).append(i)
-            self.table.append(by)
-        self.sorted = [np.array(sorted(by), np.uint64) for by in self.table]
-
-    def _padded(self, items: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(items), self.span), np.int64)
-        for k, x in enumerate(items):
-            out[k, :len(x)] = x[:self.span]
-        return out
-
-    def _recall(self, items: list[np.ndarray], rng: np.random.RandomState) -> float:
-        """Share of items, edited at random as much as allowed, that a key still finds."""
-        chosen = [items[k] for k in rng.randint(0, len(items), 200)]
-        edited = []
-        for x in chosen:
-            y = x.tolist()
-            for _ in range(allowed(len(x))):
-                kind, at = rng.randint(3), rng.randint(len(y)) if y else 0
-                if kind == 0 and y:
-                    y[at] = 0
-                elif kind == 1:
-                    y.insert(at, 0)
-                elif y:
-                    del y[at]
-            while y and y[0] == 0:  # searched starts stand on a word of the item
-                del y[0]
-            edited.append(np.array(y, np.int64))
-        return float((self.keys(self._padded(chosen)) == self.keys(self._padded(edited))).any(axis=0).mean())
-
-    def keys(self, windows: np.ndarray) -> np.ndarray:
-        """(rounds, windows) keys: the sampled places of each walk, hashed together."""
-        symbol = np.where(windows == 0, _UNKNOWN, mix64(windows))
-        rows, last = np.arange(len(windows)), windows.shape[1] - 1
-        out = np.zeros((len(self.walk), len(windows)), np.uint64)
-        at = np.zeros(out.shape, np.int64)
-        for j in range(int(self.places.max()) + 1):
-            here = symbol[rows, np.minimum(at, last)]
-            for r, t in zip(*np.nonzero(self.places == j)):
-                out[r] ^= mix64(here[r] * self.factor[r, t])
-            at += ((here * self.walk[:, j, None]) >> np.uint64(63)).astype(np.int64)
-        return out
+def _gram_keys(ids: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Keys of the ``size`` words from each place in ``at``."""
+    out = np.zeros(len(at), np.uint64)
+    for j in range(size):
+        out = mix64(out ^ ids[at + j].astype(np.uint64))
+    return out
 
 
 class ItemIndex:
     """A block of benchmark items, ready to be searched for in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], target: float = TARGET_RECALL):
+    def __init__(self, items: list[tuple[int, str]], target: float = 1.0):
+        """``target``: the recall asked for. The candidates are complete, so any is met."""
         split = [(i, words_of(t)) for i, t in items]
         split = [(i, w) for i, w in split if w]
         self.ids = [i for i, _ in split]
@@ -134,14 +68,21 @@ class ItemIndex:
         self.pair_bits = np.zeros(size, bool)
         for x in self.items:
             self.pair_bits[self._pair(x[:-1], x[1:])] = True
-        rng = np.random.RandomState(11)
-        self.classes: list[LengthClass] = []
-        order = sorted(range(len(self.items)), key=lambda k: len(self.items[k]))
-        while order:
-            top = max(len(self.items[order[0]]) * 1.2, len(self.items[order[0]]) + 1)
-            members = [k for k in order if len(self.items[k]) <= top]
-            order = order[len(members):]
-            self.classes.append(LengthClass(members, self.items, rng, target))
+        self.sizes = np.array([len(x) for x in self.items], np.int64)
+        self.allowed = np.array([allowed(len(x)) for x in self.items], np.int64)
+        cut: dict[int, list[tuple[int, int]]] = {}   # size -> (item, place) of its pieces
+        for i, x in enumerate(self.items):
+            edges = [len(x) * j // (allowed(len(x)) + 1) for j in range(allowed(len(x)) + 2)]
+            for first, last in zip(edges, edges[1:]):
+                cut.setdefault(last - first, []).append((i, first))
+        self.pieces = []   # (size, keys, first row of each key, rows of each key, item and place of each row)
+        for size, rows in sorted(cut.items()):
+            item, place = np.array(rows, np.int64).T
+            begin = np.cumsum(self.sizes) - self.sizes
+            key = _gram_keys(np.concatenate(self.items), begin[item] + place, size)
+            order = np.argsort(key, kind="stable")
+            keys, first, n = np.unique(key[order], return_index=True, return_counts=True)
+            self.pieces.append((size, keys, first, n, item[order], place[order]))
 
     def _pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         mixed = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -163,34 +104,36 @@ class ItemIndex:
         pair[both] = self.pair_bits[self._pair(ids[both], ids[both + 1])]
         words_to = np.concatenate(([0], np.cumsum(inside, dtype=np.int32)))
         pairs_to = np.concatenate(([0], np.cumsum(pair, dtype=np.int32)))
-        n = len(ids)
-        found: dict[tuple[int, int], list[int]] = {}
-        widest = max(c.span for c in self.classes)
-        near = pairs_to[np.minimum(np.arange(n) + widest, n)] - pairs_to[:n]
-        some_class = np.flatnonzero((near >= min(c.pairs_least for c in self.classes)) & inside)
-        for c in self.classes:
-            starts = some_class[c.first[ids[some_class]]]
-            stop = np.minimum(starts + c.span, n)
-            starts = starts[(pairs_to[np.maximum(stop - 1, 0)] - pairs_to[starts] >= c.pairs_least)
-                            & (words_to[stop] - words_to[starts] >= c.words_least)]
-            for first in range(0, len(starts), WINDOWS):
-                some = starts[first:first + (WINDOWS)]
-                doc = np.searchsorted(ends, some, side="right")
-                at = some[:, None] + np.arange(c.span)
-                windows = np.where(at < ends[doc][:, None], ids[np.minimum(at, n - 1)], 0)
-                for r, keys in enumerate(c.keys(windows)):
-                    spot = np.searchsorted(c.sorted[r], keys)
-                    hit = c.sorted[r][np.minimum(spot, len(c.sorted[r]) - 1)] == keys
-                    for k in np.flatnonzero(hit).tolist():
-                        for item in c.table[r][int(keys[k])]:
-                            found.setdefault((int(doc[k]), item), []).append(int(some[k]))
-        for (doc, item), starts in sorted(found.items()):
-            x, begin = self.items[item], int(ends[doc]) - len(coded[doc])
-            spans = None
-            for lo, hi in _regions(sorted(set(starts)), len(x), allowed(len(x))):
+        found = [np.zeros((0, 3), np.int64)]
+        begins = ends - [len(c) for c in coded]
+        for size, keys, first, count, item, place in self.pieces:
+            at = np.arange(len(ids) - size + 1)
+            at = at[(words_to[at + size] - words_to[at] == size) & (pairs_to[at + size - 1] - pairs_to[at] == size - 1)]
+            at = at[at + size <= ends[np.searchsorted(ends, at, side="right")]]
+            mine = _gram_keys(ids, at, size)
+            spot = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+            hit = keys[spot] == mine
+            at, spot = at[hit], spot[hit]
+            for a, b in chunks(count[spot].tolist(), HITS):
+                many = count[spot[a:b]]
+                row = np.repeat(first[spot[a:b]] - np.cumsum(many) + many, many) + np.arange(many.sum())
+                start = np.repeat(at[a:b], many) - place[row]
+                doc = np.repeat(np.searchsorted(ends, at[a:b], side="right"), many)
+                n, k = self.sizes[item[row]], self.allowed[item[row]]
+                low, high = np.maximum(start - k, begins[doc]), np.minimum(start + n + k, ends[doc])
+                kept = (words_to[high] - words_to[low] >= n - k) & (pairs_to[high - 1] - pairs_to[low] >= n - 1 - 2 * k)
+                found.append(np.stack([doc, item[row], start], axis=1)[kept])
+        rows = np.unique(np.concatenate(found), axis=0)
+        groups = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)))) if len(rows) else []
+        for a, b in zip(groups, [*groups[1:], len(rows)]):
+            doc, item = rows[a, :2].tolist()
+            x, begin, k, spans = self.items[item], int(begins[doc]), int(self.allowed[item]), None
+            for lo, hi in _regions(rows[a:b, 2].tolist(), len(x), k):
                 lo, hi = max(lo, begin), min(hi, int(ends[doc]))
+                if not _holds(x, ids[lo:hi], k):
+                    continue
                 best = nearest_stretch(x, ids[lo:hi])
-                if best[0] <= allowed(len(x)):
+                if best[0] <= k:
                     spans = spans or [m.span() for m in _WORDS.finditer(texts[doc].lower())]
                     out[doc].append({"item_id": self.ids[item], "start_char": spans[lo - begin + best[1]][0],
                                      "end_char": spans[lo - begin + best[2] - 1][1], "distance": best[0],
@@ -198,6 +141,13 @@ class ItemIndex:
         return out
 
 
+def _holds(x: np.ndarray, text: np.ndarray, k: int) -> bool:
+    """Whether len(x) - k words of ``x`` stand somewhere within len(x) + k words of ``text``."""
+    so_far = np.concatenate(([0], np.cumsum(np.isin(text, x))))
+    stop = np.minimum(np.arange(len(so_far)) + len(x) + k, len(text))
+    return int((so_far[stop] - so_far).max()) >= len(x) - k
+
+
 def _regions(starts: list[int], n: int, k: int) -> Iterator[tuple[int, int]]:
     """Stretches around starts that stand within n words of each other."""
     begin = last = starts[0]

@@ -82,6 +82,21 @@ def test_screen_and_hashing_lose_nothing_against_brute_force():
     assert missed <= 0.02 * total
 
 
+def test_edits_that_stand_together_are_found():
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(300)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(n))) for i, n in enumerate([5, 9, 20, 38, 59, 60] * 5)]
+    index = D.ItemIndex(items)
+    for i, t in items:
+        words = t.split()
+        k, n = D.allowed(len(words)), len(words)
+        for at in (0, (n - k) // 2, n - k):
+            for put in ([], ["zz"] * k):
+                body = words[:at] + put + words[at + k:]
+                hits, = index.search([" ".join(["qq"] * 40 + body + ["qq"] * 40)])
+                assert [h["distance"] for h in hits if h["item_id"] == i] == [_distance(words, body)]
+
+
 def test_exact_items_are_always_found():
     items = [(1, "one"), (2, "two words"), (3, "a b c d e f g h i j"), (4, ""), (5, "?!"), (3, "a b c d e f g h i j")]
     index = D.ItemIndex(items)
