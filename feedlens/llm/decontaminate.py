@@ -132,11 +132,10 @@ class ItemIndex:
                 lo, hi = max(lo, begin), min(hi, int(ends[doc]))
                 if not _holds(x, ids[lo:hi], k):
                     continue
-                best = nearest_stretch(x, ids[lo:hi])
-                if best[0] <= k:
+                for distance, first, last in near_stretches(x, ids[lo:hi], k):
                     spans = spans or [m.span() for m in _WORDS.finditer(texts[doc].lower())]
-                    out[doc].append({"item_id": self.ids[item], "start_char": spans[lo - begin + best[1]][0],
-                                     "end_char": spans[lo - begin + best[2] - 1][1], "distance": best[0],
+                    out[doc].append({"item_id": self.ids[item], "start_char": spans[lo - begin + first][0],
+                                     "end_char": spans[lo - begin + last - 1][1], "distance": distance,
                                      "item_words": len(x)})
         return out
 
@@ -183,6 +182,29 @@ def nearest_stretch(x: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(to[end]), end - length, end
 
 
+def near_stretches(x: np.ndarray, text: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(distance, begin, end) of disjoint stretches of ``text`` within ``k`` of ``x``, in
+    order; none is within ``k`` in what they leave. Of stretches that overlap the nearest
+    is taken first. A few item lengths of text are looked at at once."""
+    reach, at = len(x) + k, 0
+    out: list[tuple[int, int, int]] = []
+    while at < len(text):
+        near = np.flatnonzero(_last_row(x, text[at:at + 3 * reach], True) <= k)
+        if not len(near):
+            if at + 3 * reach >= len(text):
+                break
+            at += 2 * reach   # a stretch has ``reach`` words at most
+        elif near[0] > 2 * reach:   # what may overlap isn't all in view
+            at += int(near[0]) - reach
+        else:
+            distance, first, last = nearest_stretch(x, text[at:at + int(near[0]) + reach])
+            before = max(0, int(near[0]) - reach)   # no stretch ends before near[0]
+            out += [(d, at + before + a, at + before + b) for d, a, b in near_stretches(x, text[at + before:at + first], k)]
+            out.append((distance, at + first, at + last))
+            at += last
+    return out
+
+
 def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
     """The items on the driver, a block of bounded size at a time; null texts left out."""
     rows = items.select(F.col(item_id).alias("i"), F.col(text).alias("t")).filter("t IS NOT NULL")
@@ -203,8 +225,8 @@ def benchmark_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
 
     Character places are those of the lower-cased text. Null and empty texts, and items
     without a word, leak nothing. Repeated documents and repeated items give a row each;
-    neighbouring repeats of an item in one document (fewer words apart than it has) give
-    one row, the nearest. Empty tables give no rows."""
+    so does every repeat of an item in one document, back to back or apart (of stretches
+    that overlap the nearest). Empty tables give no rows."""
     found = None
     for block in item_blocks(items, item_id, item_text):
         index = ItemIndex(block)

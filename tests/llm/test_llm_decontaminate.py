@@ -97,6 +97,31 @@ def test_edits_that_stand_together_are_found():
                 assert [h["distance"] for h in hits if h["item_id"] == i] == [_distance(words, body)]
 
 
+def test_every_place_of_a_repeated_item_is_given():
+    item = "alpha beta gamma delta epsilon zeta"
+    edited = "alpha beta XX delta epsilon zeta"
+    index = D.ItemIndex([(1, item)])
+    for parts in ([item] * 3, [edited, item, edited], [item, "gamma", item], [edited] + [item] * 300, ["y", item, "zeta y y alpha", edited]):
+        text = " ".join(parts)
+        hits, = index.search([text])
+        assert [text[h["start_char"]:h["end_char"]] for h in hits] == [p for p in parts if len(p) > 20]
+        assert [h["distance"] for h in hits] == [int(p == edited) for p in parts if len(p) > 20]
+
+
+def test_near_stretches_leave_nothing():
+    rng = random.Random(5)
+    for _ in range(150):
+        x = [rng.randrange(1, 4) for _ in range(rng.randrange(2, 6))]
+        text, k = [rng.randrange(0, 4) for _ in range(rng.randrange(0, 30))], rng.randrange(2)
+        got = D.near_stretches(np.array(x), np.array(text, np.int64), k)
+        edges = [0] + [e for d, a, b in got for e in (a, b)] + [len(text)]
+        assert edges == sorted(edges)
+        for d, a, b in got:
+            assert d == _distance(x, text[a:b]) <= k
+        for a, b in zip(edges[::2], edges[1::2]):
+            assert _brute(x, text[a:b]) > k
+
+
 def test_exact_items_are_always_found():
     items = [(1, "one"), (2, "two words"), (3, "a b c d e f g h i j"), (4, ""), (5, "?!"), (3, "a b c d e f g h i j")]
     index = D.ItemIndex(items)
