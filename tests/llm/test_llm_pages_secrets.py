@@ -86,6 +86,73 @@ def test_hot_host_and_repeated_rows(spark):
     assert G.main_texts(_pages(spark, []).limit(0)).collect() == []
 
 
+def _template(k, own, n=45):
+    menu = [f"<div>Menu entry {j} of the site</div>" for j in range(n)]
+    return "".join(menu[:n // 2]) + "".join(f"<p>{t}</p>" for t in own) + "".join(menu[n // 2:])
+
+
+def test_template_goes_whatever_its_share_and_copies_are_passed_over(spark):
+    own = {k: [f"Line {j} of page {k}." for j in range(1 + k % 5)] for k in range(60)}
+    rows = [(k, f"http://short.example/a/{k:03}", _template(k, own[k])) for k in range(60)]
+    rows += [(100 * c + k, f"http://runs.example/a/{k:03}/{c:03}", _template(k, own[k], 20)) for k in range(1, 8) for c in (1, 2, 3, 4, 5, 6, 7, 8, 9)]
+    long = [f"Sentence {j} of a long article." for j in range(40)]
+    rows += [(9000 + c, f"http://near.example/m{c}", _template(0, long + [f"Seen {c} times."], 8)) for c in range(3)]
+    rows += [(9100, "http://near.example/n", _template(0, ["Other text."], 8)), (9101, "http://near.example/o", _template(0, ["More text."], 8))]
+    got = {r.page_id: r.text for r in G.main_texts(_pages(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    for i, _, _ in rows:
+        want = own[i % 100] if i < 9000 else long + [f"Seen {i - 9000} times."] if i < 9100 else ["Other text."] if i == 9100 else ["More text."]
+        assert got[i] == " ".join(want), i
+
+
+def _task_rows(spark, monkeypatch, rows):
+    """Texts by page, and the most rows of a part of the pairing."""
+    kept = []
+    edges = G._edges
+    monkeypatch.setattr(G, "_edges", lambda ranged: kept.append(ranged) or edges(ranged))
+    out = {r.page_id: r.text for r in G.main_texts(_pages(spark, rows)).collect()}
+    return out, max(r["count"] for r in kept[0].groupBy("part").count().collect())
+
+
+def test_directory_a_page_is_spread(spark, monkeypatch):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got, most = _task_rows(spark, monkeypatch, [(k, f"http://hot.example/item/{k}/view", f"<p>x</p><p>only {k}</p>") for k in range(1600)])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {k: f"only {k}" for k in range(1600)}
+    assert most < 800
+
+
+def test_true_neighbours_in_a_large_directory(spark):
+    def page(k):   # a box that only two neighbours share
+        return f"<div>Home</div><p>Text of {k}.</p><div>Part of series {k // 2}</div><div>See also box {k // 2}</div>"
+    rows = [(k, f"http://large.example/d/{k // 2:05}-{k % 2}", page(k)) for k in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.page_id: r.text for r in G.main_texts(_pages(spark, rows)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {k: f"Text of {k}." for k in range(3000)}
+
+
+def test_texts_do_not_depend_on_the_parts(spark):
+    rng = random.Random(12)
+    rows = [(k, f"http://{rng.choice('aab')}.example/{rng.choice('xxy')}/{rng.randrange(90):02}",
+             "".join(f"<p>{rng.choice(['one', 'two', 'three', 'four'][:rng.choice([1, 4])])}</p>" for _ in range(rng.randrange(4)))) for k in range(400)]
+    path = G.materialise(_pages(spark, rows).coalesce(1), "rows")
+    got = []
+    for parts in ("1", "40"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got.append({r.page_id: r.text for r in G.main_texts(path).collect()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[0] == got[1] and len(got[0]) == 400
+
+
 def test_fixture_articles(spark):
     from html import unescape
     got = {r.page_id: r.text for r in G.op6_main_text(spark, SF).collect()}
