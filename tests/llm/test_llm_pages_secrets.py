@@ -33,6 +33,17 @@ def test_page_lines(html, want):
     assert _text(html) == want
 
 
+@pytest.mark.parametrize("bad", ["<![foo>", "<![ x>", "<![foo[bar]]>", "<![if !IE>", "<![endif]>", "<![CDATA[x>", "<![>", "<!>", "<!foo>", "<![1]>"])
+def test_text_after_a_bad_declaration(bad):
+    assert _text(f"<p>before</p>{bad}<p>after</p><article><p>one</p>{bad}<p>two</p></article>") == "one two"
+    assert _text(f"{bad}<p>after</p>") == "after"
+
+
+@pytest.mark.parametrize("cut", ["<![foo", "<![ x", "<![CDATA[x", "<!"])
+def test_page_that_ends_in_a_declaration(cut):
+    assert _text(f"<p>before</p>{cut}").startswith("before")
+
+
 def test_shared_lines_against_dynamic_programming():
     rng = random.Random(4)
     for _ in range(400):
