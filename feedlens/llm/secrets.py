@@ -19,7 +19,7 @@ from feedlens.llm.common import id_remainder, materialise, read_table, sample_ro
 # What a candidate looks like (a run of 10 or more key characters with a
 # digit, or what a secret-like name is set to), and words that stand beside keys.
 KEY_WORDS = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer|key)"
-RUN = r"(?<![A-Za-z0-9+/_=@.\-])(?=[A-Za-z+/_=@.\-]{0,64}[0-9])[A-Za-z0-9+/_=@.\-]{10,}"
+RUN = r"(?<![A-Za-z0-9+/_=@.\-])(?=[A-Za-z+/_=@.\-]*+[0-9])[A-Za-z0-9+/_=@.\-]{10,}"
 ASSIGNED = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key)[\"']?\s{0,2}[:=]\s{0,2}[\"']?[^\s\"',;]{6,}"
 CANDIDATE = f"(?:{ASSIGNED})|(?:{RUN})"
 EXAMPLE_WORDS = r"(?i)(example|sample|dummy|placeholder|test|fake|xxx|changeme|your)"

@@ -192,6 +192,13 @@ def test_candidates_have_their_places(spark):
     assert sorted(r.finding for r in got if r.doc_id == 7) == list(range(500))
 
 
+def test_digits_far_into_a_run(spark):
+    key = "AKIA" + "Q7" * 8
+    runs = ["/opt/" + "company/" * n + "credentials/provider/" + key for n in (1, 8, 20, 4000)] + ["/a" * 40 + "7", "/a" * 40]
+    got = {r.doc_id: r.value for r in S.candidates(_docs(spark, [(k, f"see {t} end") for k, t in enumerate(runs)])).collect()}
+    assert got == {k: t for k, t in enumerate(runs) if k < 5}
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
