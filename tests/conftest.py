@@ -11,8 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from feedlens.session import build_session, checkpoint_dir  # noqa: E402
 from feedlens.sources.schema import FEED_SCHEMA, MESSAGE_SCHEMA  # noqa: E402
 
-SF001 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -222,7 +222,7 @@ def test_sampled_prob_superiority_converges_to_exact(spark):
 def test_ab_summary_parts_agree_with_single_tests(spark):
     from feedlens.plans.ab import ab_summary
     from feedlens.sources.fixtures import load_fixture
-    from conftest import SF001
+    from fixture_paths import SF001
     feed, _ = load_fixture(spark, SF001)
     rows = {(r.test, r.metric): r for r in ab_summary(feed, 1, 2, "2024-01-08", "2024-01-14",
                                                       n_boot=200).collect()}

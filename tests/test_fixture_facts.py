@@ -9,7 +9,7 @@ from feedlens.operators import experiment as ex
 from feedlens.operators.filters import between_dates, on_day
 from feedlens.sources.fixtures import load_fixture
 
-from conftest import SF001
+from fixture_paths import SF001
 
 D8 = dt.date(2024, 1, 8)
 

@@ -5,7 +5,7 @@ from feedlens.sources.fixtures import load_fixture
 from feedlens.operators import kpi
 from feedlens.operators.first_seen import backfill_first_seen, ensure_first_seen_table
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 def test_jobs_write_idempotently(spark, tmp_path):

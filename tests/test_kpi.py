@@ -77,7 +77,7 @@ def test_report_texts(make_feed):
 
 def test_first_seen_counts_equal_the_separate_operators(spark):
     from feedlens.sources.fixtures import load_fixture
-    from conftest import SF001
+    from fixture_paths import SF001
     feed, _ = load_fixture(spark, SF001)
     for day in (dt.date(2024, 1, 2), D8, dt.date(2024, 1, 20)):
         got = kpi.first_seen_counts(feed, day).first()

@@ -8,7 +8,7 @@ from feedlens.operators.first_seen import (
 )
 from feedlens.sources.fixtures import load_fixture
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 def test_active_users_population_either(make_feed, make_msgs):

@@ -8,7 +8,7 @@ from feedlens.plans.catalog import registry
 from feedlens.plans.oracle import oracle_sql
 from tools.check_oracle import digest
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 @pytest.fixture(scope="module")

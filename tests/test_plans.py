@@ -4,7 +4,7 @@ import pytest
 
 from feedlens.plans.catalog import registry
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 # queries that run a sink or a stream first: their plans are those of reading it back

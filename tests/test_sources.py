@@ -7,7 +7,7 @@ from feedlens.sources import TableRef, conform, read_feed, read_messages
 from feedlens.sources.fixtures import load_fixture
 from feedlens.sources.schema import FEED_SCHEMA, MESSAGE_SCHEMA
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 def test_conform_orders_casts_and_rejects_missing(spark):

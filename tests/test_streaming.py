@@ -7,7 +7,7 @@ from feedlens.operators import anomaly
 from feedlens.sources.fixtures import feed_from_events, load_fixture, messages_from_events
 from feedlens.streaming import start_slot_job
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 def test_stream_equals_batch_on_closed_slots_and_restart_is_idempotent(spark, tmp_path):
