@@ -1,6 +1,7 @@
 """The operators' queries and, where SQL can express one, its DuckDB form."""
 
-from feedlens.llm import chat, decontaminate, exact_dedup, language, packing, pages, quality, secrets, simhash, toxicity
+from feedlens.llm import (chat, decontaminate, exact_dedup, fim, language, packing, pages, quality, secrets, simhash,
+                          toxicity)
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -13,9 +14,11 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_packing": packing.op9_packing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op12_fill_in_middle": fim.op12_fill_in_middle,
 }
 
 SQL = {
     "op2_chat_format": chat.OP2_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op12_fill_in_middle": fim.OP12_SQL,
 }

@@ -1,0 +1,84 @@
+import hashlib
+import random
+
+import pytest
+import regex
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from feedlens.llm import fim
+
+UNITS = [None, r"\S+", r"\p{L}+|\d", r"x*", r"\s*\S+"]
+
+
+def plain_ends(text, unit):
+    """Where each unit ends, found one by one."""
+    if unit is None:
+        return list(range(1, len(text) + 1))
+    ends = [m.end() for m in regex.finditer(unit, text, regex.S) if m.group()]
+    if not ends:
+        return [len(text)] if text else []
+    return ends[:-1] + [len(text)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab x9\n é😀", max_size=400), st.sampled_from(UNITS))
+def test_places_equal_plain_counting(text, unit):
+    units, ends = fim.SkipList(text, unit), [0] + plain_ends(text, unit)
+    assert units.n == len(ends) - 1
+    assert [units.place(r) for r in range(units.n + 1)] == (ends if text else [0])
+
+
+def test_long_texts_have_lanes_that_add_up():
+    text = "word é " * 60_000
+    for unit in (None, r"\S+"):
+        units = fim.SkipList(text, unit)
+        assert len(units.lanes) >= 3 and len(units.lanes[-1][0]) <= fim.FAN
+        for lane in units.lanes:
+            assert lane[0].sum() == units.n and lane[1].sum() == len(text)
+        ends = [0] + plain_ends(text, unit)
+        for rank in random.Random(3).sample(range(units.n + 1), 200) + [0, units.n]:
+            assert units.place(rank) == ends[rank]
+
+
+def by_hand(doc_id, text):
+    t = text or ""
+    h = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[k:k + 8], 16) for k in (0, 8, 16, 24))
+    a, b = sorted((h1 % (len(t) + 1), h2 % (len(t) + 1)))
+    if not t or "<P>" in t or "<S>" in t or "<M>" in t or h3 % 100 >= 90:
+        return len(t), "plain", None, None, t
+    if h4 % 100 < 20:
+        return len(t), "spm", a, b - a, f"<S>{t[b:]}<P>{t[:a]}<M>{t[a:b]}"
+    return len(t), "psm", a, b - a, f"<P>{t[:a]}<S>{t[b:]}<M>{t[a:b]}"
+
+
+HARD = [None, "", "x", "<", "<P", "a<P>b", "<S><M>", "<M", "<<<<>>>>", "<P<S<M" * 20, "é😀à <S", "a\u0000b", "\n\t ", "S>M>P>" * 30, "日本語テキスト"]
+
+
+def test_query_rows_by_hand(spark, make_docs):
+    rows = [(k, t) for k, t in enumerate(HARD * 12)] + [(7, "same id"), (7, "same id"), (None, "no id"), (None, None), (-5, "minus")]
+    rows += [(5000, "long " * 400_000)]
+    made = fim.fim_documents(make_docs(rows)).select("*", fim.restored(F.col("output"), F.col("form")).alias("back")).collect()
+    got = sorted((str(r.doc_id), r.n, r.form, r.prefix_chars, r.middle_chars, r.output, r.back) for r in made)
+    want = sorted((str(i), *by_hand(i, t), t or "") for i, t in rows)
+    assert got == want
+    assert {r.form for r in made} == {"plain", "psm", "spm"}
+
+
+def test_units_of_a_pattern_are_never_split(spark, make_docs):
+    docs = make_docs([(k, "some words, and 12 more of them " * (k % 9)) for k in range(200)])
+    rows = fim.fim_documents(docs, unit=r"\s*\S+", plain_percent=0).join(docs.select("doc_id", "text"), "doc_id").collect()
+    for r in rows:
+        if r.form == "plain":
+            assert r.text == ""
+            continue
+        ends = [0] + plain_ends(r.text, r"\s*\S+")
+        assert r.n == len(ends) - 1 and r.prefix_chars in ends and r.prefix_chars + r.middle_chars in ends
+
+
+def test_empty_table_and_shares(spark, make_docs):
+    assert fim.fim_documents(make_docs([])).count() == 0
+    many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    found = {r.form: r["count"] / 20_000 for r in fim.fim_documents(many).groupBy("form").count().collect()}
+    assert found == pytest.approx({"plain": 0.1, "spm": 0.18, "psm": 0.72}, abs=0.02)
