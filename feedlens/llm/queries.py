@@ -1,7 +1,7 @@
 """The operators' queries and, where SQL can express one, its DuckDB form."""
 
-from feedlens.llm import (chat, decontaminate, exact_dedup, fim, language, packing, pages, quality, secrets, simhash,
-                          toxicity)
+from feedlens.llm import (alignment, chat, decontaminate, exact_dedup, fim, language, neighbours, packing, pages, quality,
+                          secrets, simhash, toxicity)
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -14,7 +14,9 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_packing": packing.op9_packing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_neighbours": neighbours.op11_neighbours,
     "op12_fill_in_middle": fim.op12_fill_in_middle,
+    "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
 }
 
 SQL = {

@@ -1,0 +1,119 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feedlens.llm import neighbours as N
+
+SF = "/root/testdata/sf0.1"
+SCHEMA = "vec_id long, embedding array<double>, rank string, score string"
+
+
+def exact(rows, is_query, k=5):
+    """Every query against every other row: (query place, rank) -> (vec_id, score)."""
+    ok = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    if not ok:
+        return []
+    sizes = [len(v) for _, v in ok]
+    dim = max(set(sizes), key=lambda d: (sizes.count(d), d))
+    ok = [(i, v) for i, v in ok if len(v) == dim]
+    x = np.array([v for _, v in ok])
+    x = x / np.abs(x).max(axis=1)[:, None]
+    norms = np.sqrt((x * x).sum(axis=1))
+    out = []
+    for a, (i, _) in enumerate(ok):
+        if i is None or not is_query(i):
+            continue
+        score = (x * x[a]).sum(axis=1) / (norms * norms[a])
+        near = sorted((-round(float(score[b]), 9), ok[b][0] is None, ok[b][0] or 0) for b in range(len(ok)) if b != a)[:k]
+        out += [(i, r, None if missing else j, -s) for r, (s, missing, j) in enumerate(near, 1)]
+    return sorted(out, key=str)
+
+
+def as_rows(df):
+    return sorted(((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in df.collect()), key=str)
+
+
+def small(spark, rows, parts=4):
+    return spark.createDataFrame([(i, v, "x", "y") for i, v in rows], SCHEMA).repartition(parts)
+
+
+ODD = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 1.0]), (0, [3.0, 0.0]), (None, [4.0, 0.0]), (50, [0.0, 0.0]), (100, None), (150, []),
+       (200, [1.0, None]), (250, [float("nan"), 1.0]), (300, [float("inf"), 1.0]), (350, [1.0, 2.0, 3.0]), (400, [1e300, -1e300]),
+       (450, [1e-300, 2e-300]), (500, [-1.0, 0.5]), (500, [-1.0, 0.5]), (2**60, [0.3, 0.1]), (2**60 + 1, [0.3, 0.1]), (-50, [0.0, -1.0])]
+
+
+def test_odd_rows_by_hand(spark):
+    got = as_rows(N.nearest_neighbours(small(spark, ODD), F.col("vec_id") % 50 == 0))
+    assert got == exact(ODD, lambda i: i % 50 == 0)
+
+
+@pytest.mark.parametrize("rows", [[], [(0, None), (50, [0.0])], [(0, [1.0])], [(0, [1.0]), (50, [-1.0]), (7, [2.0])]])
+def test_few_rows(spark, rows):
+    assert as_rows(N.nearest_neighbours(small(spark, rows), F.col("vec_id") % 50 == 0)) == exact(rows, lambda i: i % 50 == 0)
+
+
+def made(n, dim=12, seed=0):
+    rng = np.random.default_rng(seed)
+    centre = rng.standard_normal((20, dim)) * 2
+    x = centre[rng.integers(0, 20, n)] + rng.standard_normal((n, dim))
+    x[: n // 3] = x[0]                  # a third of the rows are copies
+    return [(i, v) for i, v in enumerate(x.tolist())]
+
+
+def test_hot_copies_in_small_blocks_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_BYTES", 96 * 40)      # blocks of 40 rows
+    monkeypatch.setattr(N, "_SLICE", 500)
+    rows = made(900)
+    got = N.nearest_neighbours(small(spark, rows, 7), F.col("vec_id") % 50 == 0, target=1.1)     # all parts: exact
+    assert as_rows(got) == exact(rows, lambda i: i % 50 == 0)
+
+
+def test_few_parts_find_nearly_all_and_score_exactly(spark):
+    rows = made(4000, seed=3)
+    got = N.nearest_neighbours(small(spark, rows, 5), F.col("vec_id") % 50 == 0, target=0.97).collect()
+    want = {(q, r): s for q, r, _, s in exact(rows, lambda i: i % 50 == 0)}
+    assert len(got) == len(want)
+    ranks = {}
+    for r in got:
+        ranks.setdefault(r.query_id, []).append((r["rank"], -r.score, r.vec_id))
+    for found in ranks.values():
+        found.sort()
+        assert [x[0] for x in found] == [1, 2, 3, 4, 5] and [x[1:] for x in found] == sorted(x[1:] for x in found)
+    x = np.array([v for _, v in rows])
+    for r in got:
+        a, b = x[r.query_id], x[r.vec_id]
+        assert r.score == pytest.approx(a @ b / np.sqrt((a @ a) * (b @ b)), abs=1e-12)
+    hit = np.mean([r.score >= want[r.query_id, 5] - 1e-9 for r in got])
+    assert hit >= 0.9
+
+
+def test_parts_are_balanced_and_follow_the_graph(spark):
+    x = N.unit_rows(np.array([v for _, v in made(2048, seed=4)])[683:])[:1280]
+    near = N.neighbour_graph(spark, x, 8)
+    s = x @ x.T
+    np.fill_diagonal(s, -9)
+    assert all(set(near[i]) == set(np.argsort(-s[i])[:8]) for i in range(0, 1280, 37))
+    part = N.balanced_parts(near, 16)
+    assert np.bincount(part).tolist() == [80] * 16
+    kept = np.mean(part[np.repeat(np.arange(1280), 8)] == part[near.ravel()])
+    assert kept > 0.55          # by chance: 1 / 16
+    router = N.train_router(x, near, part, 16)
+    assert np.mean(router.order(x)[:, 0] == part) > 0.6
+
+
+def test_probes_follow_the_classifier_and_not_the_table(spark):
+    x = np.array([v for _, v in made(4000, seed=5)])[1334:]
+    router, probes, found = N.fit_partitions(spark, x, 5, 0.97)
+    assert router.parts == 32 and probes < 16 and found >= 0.97
+
+
+def test_fixture_recall(spark):
+    table = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = [(r.vec_id, list(r.embedding)) for r in table.collect()]
+    want = exact(rows, lambda i: i % 50 == 0)
+    got = as_rows(N.op11_neighbours(spark, SF))
+    assert len(got) == len(want) == 200
+    found = len({(q, v) for q, _, v, _ in got} & {(q, v) for q, _, v, _ in want}) / len(want)
+    assert found >= 0.95, found
+    again = N.nearest_neighbours(table.repartition(11).select(F.lit(1).alias("rank"), "*"), F.col("vec_id") % 50 == 0)
+    assert as_rows(again) == got
