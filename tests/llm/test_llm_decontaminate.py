@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from feedlens.llm import decontaminate as D
 
@@ -82,6 +83,39 @@ def test_screen_and_hashing_lose_nothing_against_brute_force():
     assert missed <= 0.02 * total
 
 
+def _exact(x, text, k):
+    """Whether ``x`` stands in ``text`` with at most k edits: dynamic programming over all of it."""
+    return int(D._last_row(np.array(x), np.array(text), True).min()) <= k
+
+
+@pytest.mark.parametrize("pattern", D.PATTERNS)
+def test_recall_of_every_pattern_of_edits_against_the_exact_search(pattern):
+    """Items of every length, edited at the limit, hashed; exact search says which are leaks."""
+    rng, draw = random.Random(31), np.random.RandomState(4)
+    vocabulary = [f"w{k}" for k in range(400)]
+    lengths = [5, 9, 14, 20, 33, 47, 59, 100]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(lengths[i % 8]))) for i in range(96)]
+    index = D.ItemIndex(items)
+    for n in lengths:
+        mine = [k for k, x in enumerate(index.items) if len(x) == n]
+        found = leaks = 0
+        for t in range(100):
+            item = mine[t % len(mine)]
+            body = D.edited(index.items[item], pattern, draw).tolist()
+            words = [f"w{rng.randrange(400)}" for _ in range(50)] + [f"zz{rng.randrange(9)}" if w == 0 else list(index.known)[w - 1] for w in body]
+            words += [f"w{rng.randrange(400)}" for _ in range(50)]
+            leaks += _exact(index.items[item], [index.known.get(w, 0) for w in words], D.allowed(n))
+            found += any(h["item_id"] == index.ids[item] for h in index.search([" ".join(words)])[0])
+        assert leaks == 100 and found >= 99, (n, pattern, found)
+
+
+def test_classes_reach_the_recall_asked_for():
+    rng = random.Random(2)
+    items = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(3 + i))) for i in range(80)]
+    for c in D.ItemIndex(items).classes:
+        assert set(c.recall) == set(D.PATTERNS) and min(c.recall.values()) >= D.TARGET_RECALL
+
+
 def test_edits_that_stand_together_are_found():
     rng = random.Random(8)
     vocabulary = [f"w{k}" for k in range(300)]
@@ -152,6 +186,24 @@ def test_blocks_cover_all_items(spark, monkeypatch):
     assert len(blocks) > 3 and sorted(x for b in blocks for x in b) == sorted(map(tuple, items.collect()))
 
 
+def test_benchmarks_of_many_blocks(spark, make_docs, monkeypatch):
+    """Each block is searched for in all documents, and what one leaves is written before the
+    next is built."""
+    rng = random.Random(12)
+    items = [(i, " ".join(f"w{rng.randrange(200)}" for _ in range(12))) for i in range(40)]
+    rows = [(k, f"clean text {k}") for k in range(10)] + [(100 + i, f"x {t} y") for i, t in items[::4]] + [(None, items[1][1]), (7, None)]
+    docs = make_docs(rows)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(str, D.benchmark_leaks(docs, table).collect()))
+    monkeypatch.setattr(D, "BLOCK_ITEMS", 9)
+    assert len(list(D.item_blocks(table))) > 3
+    assert sorted(map(str, D.benchmark_leaks(docs, table).collect())) == whole and len(whole) == 11
+    monkeypatch.setattr(D, "read_table", lambda *a: table)
+    kept = D.decontamination_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(map(str, docs.filter("text IS NULL OR text LIKE 'clean%'").select("doc_id", "text").collect()))
+
+
 def test_fixture_has_its_planted_passages(spark):
     items = {r.item_id: D.words_of(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
