@@ -1,4 +1,4 @@
-"""Two-sided p-values for Welch's t and the normal approximation.
+"""Two-sided p-values for Welch's t, the normal approximation and the exact U distribution.
 
 The heavy part of every test is a Spark aggregate producing one row per
 comparison (or per A/A iteration); only these tails run in Python, as
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import sys
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -103,6 +104,41 @@ def norm_two_sided(z) -> np.ndarray:
     return out
 
 
+def u_arrangements(m: int, n: int, most: int) -> list[int]:
+    """How many of the C(m + n, m) orders of m and n different values have U = 0, 1, ...,
+    ``most``. U is a partition into at most m parts of at most n each, so the counts are
+    the coefficients of prod (1 - q**(n + i)) / (1 - q**i), i = 1 to m; whole numbers."""
+    m, n = min(m, n), max(m, n)
+    counts = [1] + [0] * most
+    for i in range(1, m + 1):
+        for u in range(i, most + 1):
+            counts[u] += counts[u - i]
+        for u in range(most, n + i - 1, -1):
+            counts[u] -= counts[u - n - i]
+    return counts
+
+
+def exact_u_two_sided(m: int, n: int, u: float) -> float:
+    """P(U at least as far from m * n / 2 as u), twice the smaller tail, at most 1; for
+    values without ties (u is whole)."""
+    low = int(min(u, m * n - u))
+    return min(1.0, float(Fraction(2 * sum(u_arrangements(m, n, low)), math.comb(m + n, m))))
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_u_udf(n_a: pd.Series, n_b: pd.Series, u_a: pd.Series) -> pd.Series:
+    known = {}
+    out = []
+    for key in zip(n_a, n_b, u_a):
+        if any(pd.isna(x) for x in key) or min(key[:2]) < 1:
+            out.append(np.nan)
+            continue
+        if key not in known:
+            known[key] = exact_u_two_sided(int(key[0]), int(key[1]), key[2])
+        out.append(known[key])
+    return pd.Series(out, dtype=float)
+
+
 @F.pandas_udf(T.DoubleType())
 def _t_pvalue_udf(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(t_two_sided(t.to_numpy(dtype=float, na_value=np.nan),
@@ -122,3 +158,8 @@ def t_pvalue(t: Column, df: Column) -> Column:
 def z_pvalue(z: Column) -> Column:
     """Column: two-sided standard-normal p-value for z."""
     return _z_pvalue_udf(z)
+
+
+def exact_u_pvalue(n_a: Column, n_b: Column, u_a: Column) -> Column:
+    """Column: exact two-sided Mann-Whitney p-value of U without ties."""
+    return _exact_u_udf(n_a, n_b, u_a)

@@ -56,7 +56,12 @@ def weekly_audience(feed: DataFrame, run_date, since=None) -> DataFrame:
     next_week = monday(to_day(run_date)) + dt.timedelta(days=7)
     st = user_week_status(feed, run_date, since).filter(
         ~((F.col("status") == "gone") & (F.col("week") == F.lit(next_week))))
-    counts = st.groupBy("week", "status").agg(F.count("*").alias("n"))
+    return signed_counts(st)
+
+
+def signed_counts(statuses: DataFrame) -> DataFrame:
+    """Date, status, num_users from (week, status) rows, one per user."""
+    counts = statuses.groupBy("week", "status").agg(F.count("*").alias("n"))
     sign = F.when(F.col("status") == "gone", F.lit(-1)).otherwise(F.lit(1))
     return (counts.select(F.col("week").alias("Date"), "status",
                           (F.col("n") * sign).cast("double").alias("num_users"))
@@ -65,7 +70,11 @@ def weekly_audience(feed: DataFrame, run_date, since=None) -> DataFrame:
 
 def weekly_audience_wide(feed: DataFrame, run_date, since=None) -> DataFrame:
     """Date, gone, retained, new for weeks that have all three statuses."""
-    long = weekly_audience(feed, run_date, since)
+    return widened(weekly_audience(feed, run_date, since))
+
+
+def widened(long: DataFrame) -> DataFrame:
+    """One row per week of ``weekly_audience`` rows that has all three statuses."""
     wide = (long.groupBy("Date")
             .agg(*[F.max(F.when(F.col("status") == s, F.col("num_users"))).alias(s)
                    for s in ("gone", "retained", "new")]))

@@ -7,63 +7,71 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import age_group, gender_label, to_day
-from feedlens.operators.filters import on_day
+from feedlens.functions.columns import age_group, day_of, gender_label, to_day
+from feedlens.operators.filters import between_dates, on_day
 
 ONE_DAY = dt.timedelta(days=1)
 COUNTERS = ["views", "likes", "messages_sent", "users_sent", "messages_received", "users_received"]
 DIMENSIONS = [("os", "os"), ("gender", "gender_label"), ("age", "age_group")]
 
 
-def feed_by_user(feed: DataFrame, d, age_bins="fixed") -> DataFrame:
-    """Per (user, os, gender label, age group) on day d: views, likes (K3).
+def feed_users(rows: DataFrame, age_bins="fixed") -> DataFrame:
+    """Per (day, user, os, gender label, age group) of feed rows: views, likes (K3).
 
     Grouping is by the derived labels, as in the source job; a user seen with two
     os values gets two rows.
     """
-    return (on_day(feed, d)
-            .groupBy("user_id", "os",
-                     gender_label("gender").alias("gender_label"),
-                     age_group("age", age_bins).alias("age_group"))
+    return (rows.groupBy(day_of("time").alias("event_date"), "user_id", "os",
+                         gender_label("gender").alias("gender_label"),
+                         age_group("age", age_bins).alias("age_group"))
             .agg(F.count_if(F.col("action") == "view").alias("views"),
                  F.count_if(F.col("action") == "like").alias("likes"))
-            .select("user_id", "views", "likes", "os", "age_group", "gender_label"))
+            .select("event_date", "user_id", "views", "likes", "os", "age_group", "gender_label"))
 
 
-def messages_by_user(msgs: DataFrame, d) -> DataFrame:
-    """Per sender on day d: messages and distinct receivers sent, and messages and
-    distinct senders received (0 when none) (K4). Receive-only users are absent.
+def feed_by_user(feed: DataFrame, d, age_bins="fixed") -> DataFrame:
+    """``feed_users`` of day d."""
+    return feed_users(on_day(feed, d), age_bins).drop("event_date")
+
+
+def message_users(rows: DataFrame) -> DataFrame:
+    """Per (day, sender) of message rows: messages and distinct receivers sent, and messages
+    and distinct senders received (0 when none) (K4). Receive-only users are absent.
 
     One scan: every message becomes a 'sent' row for its sender and a 'received'
-    row for its receiver. A first aggregate per (user, role, partner) -- shuffled
-    on all three, so a user with many partners is spread over many tasks -- gives
-    the distinct partners; a second, per user, sums up (both partial map-side).
+    row for its receiver. A first aggregate per (day, user, role, partner) -- shuffled
+    on all of them, so a user with many partners is spread over many tasks -- gives
+    the distinct partners; a second, per day and user, sums up (both partial map-side).
     Equivalent to aggregating senders and receivers separately and left-joining
     receivers onto senders, without the second scan and the join.
     """
-    day = on_day(msgs, d)
-    roles = day.select(F.explode(F.array(
+    roles = rows.select(day_of("time").alias("event_date"), F.explode(F.array(
         F.struct(F.col("user_id").alias("u"), F.col("reciever_id").alias("partner"),
                  F.lit(True).alias("sent")),
         F.struct(F.col("reciever_id").alias("u"), F.col("user_id").alias("partner"),
-                 F.lit(False).alias("sent")))).alias("r")).select("r.*")
+                 F.lit(False).alias("sent")))).alias("r")).select("event_date", "r.*")
     # a NULL receiver receives nothing; a NULL sender still forms a sender group
     roles = roles.filter(F.col("sent") | F.col("u").isNotNull())
-    per_partner = (roles.groupBy("u", "sent", "partner")
+    per_partner = (roles.groupBy("event_date", "u", "sent", "partner")
                    .agg(F.count("partner").alias("n")))
     sent, recv = F.col("sent"), ~F.col("sent")
     has_partner = F.col("partner").isNotNull()
-    per_user = per_partner.groupBy("u").agg(
+    per_user = per_partner.groupBy("event_date", "u").agg(
         F.max(sent.cast("int")).alias("is_sender"),
         F.coalesce(F.sum(F.when(sent, F.col("n"))), F.lit(0)).alias("messages_sent"),
         F.count_if(sent & has_partner).alias("users_sent"),
         F.coalesce(F.sum(F.when(recv, F.col("n"))), F.lit(0)).alias("messages_received"),
         F.count_if(recv & has_partner).alias("users_received"))
     return (per_user.filter(F.col("is_sender") == 1)
-            .select(F.col("u").alias("user_id"), "messages_sent", "users_sent",
+            .select("event_date", F.col("u").alias("user_id"), "messages_sent", "users_sent",
                     "messages_received", "users_received"))
 
 
+def messages_by_user(msgs: DataFrame, d) -> DataFrame:
+    """``message_users`` of day d."""
+    return message_users(on_day(msgs, d)).drop("event_date")
+
+
 def merged_by_user(feed: DataFrame, msgs: DataFrame, d, age_bins="fixed") -> DataFrame:
     """Users with feed activity and at least one sent message on day d.
 
@@ -75,20 +83,19 @@ def merged_by_user(feed: DataFrame, msgs: DataFrame, d, age_bins="fixed") -> Dat
             .na.drop("any"))
 
 
-def daily_cube(feed: DataFrame, msgs: DataFrame, run_date, age_bins="fixed",
-               dedupe_messages: bool = False) -> DataFrame:
-    """Counters summed by os, by gender and by age group for yesterday (K2).
+def cube_of(merged: DataFrame, dedupe_messages: bool = False) -> DataFrame:
+    """Counters summed by os, by gender and by age group for each day of ``merged`` rows
+    (event_date and the columns of ``merged_by_user``).
 
     Default: one GROUPING SETS aggregate (one Expand, one shuffle). Message counters
     of a user with several feed rows repeat, as in the source job.
     ``dedupe_messages=True`` counts each user's message counters once per
     dimension value instead (two aggregates).
     """
-    y = to_day(run_date) - ONE_DAY
-    merged = merged_by_user(feed, msgs, y, age_bins)
     if not dedupe_messages:
-        cube = (merged.groupingSets([[F.col("os")], [F.col("gender_label")], [F.col("age_group")]],
-                                    "os", "gender_label", "age_group")
+        day = F.col("event_date")
+        cube = (merged.groupingSets([[day, F.col("os")], [day, F.col("gender_label")], [day, F.col("age_group")]],
+                                    "event_date", "os", "gender_label", "age_group")
                 .agg(*[F.sum(c).alias(c) for c in COUNTERS],
                      F.grouping("os").alias("g_os"), F.grouping("gender_label").alias("g_gender")))
         dimension = (F.when(F.col("g_os") == 0, "os")
@@ -96,14 +103,34 @@ def daily_cube(feed: DataFrame, msgs: DataFrame, run_date, age_bins="fixed",
         value = F.coalesce("os", "gender_label", "age_group")
     else:
         stacked = merged.select(
-            "user_id", *COUNTERS,
+            "event_date", "user_id", *COUNTERS,
             F.explode(F.array(*[F.struct(F.lit(name).alias("dimension"), F.col(c).alias("value"))
                                 for name, c in DIMENSIONS])).alias("dv"))
-        per_user = (stacked.groupBy("dv.dimension", "dv.value", "user_id")
+        per_user = (stacked.groupBy("event_date", "dv.dimension", "dv.value", "user_id")
                     .agg(F.sum("views").alias("views"), F.sum("likes").alias("likes"),
                          *[F.max(c).alias(c) for c in COUNTERS[2:]]))
-        cube = per_user.groupBy("dimension", "value").agg(*[F.sum(c).alias(c) for c in COUNTERS])
+        cube = per_user.groupBy("event_date", "dimension", "value").agg(*[F.sum(c).alias(c) for c in COUNTERS])
         dimension, value = F.col("dimension"), F.col("value")
-    return cube.select(F.lit(y).alias("event_date"), dimension.alias("dimension"),
+    return cube.select("event_date", dimension.alias("dimension"),
                        value.alias("dimension_value"),
                        *[F.col(c).cast("bigint").alias(c) for c in COUNTERS])
+
+
+def daily_cube(feed: DataFrame, msgs: DataFrame, run_date, age_bins="fixed",
+               dedupe_messages: bool = False) -> DataFrame:
+    """``cube_of`` yesterday (K2)."""
+    y = to_day(run_date) - ONE_DAY
+    merged = merged_by_user(feed, msgs, y, age_bins).withColumn("event_date", F.lit(y))
+    return cube_of(merged, dedupe_messages)
+
+
+def cube_days(feed: DataFrame, msgs: DataFrame, days, age_bins="fixed", dedupe_messages: bool = False) -> DataFrame:
+    """``cube_of`` each of several days in one plan: both tables are read once, between the
+    first and the last of the days."""
+    days = sorted(map(to_day, days))
+
+    def rows(df: DataFrame) -> DataFrame:
+        return between_dates(df, days[0], days[-1]).filter(day_of("time").isin(days))
+
+    merged = feed_users(rows(feed), age_bins).join(message_users(rows(msgs)), ["event_date", "user_id"]).na.drop("any")
+    return cube_of(merged, dedupe_messages)

@@ -30,19 +30,19 @@ def user_index(pop: DataFrame, group_col: str, hash_mode: str) -> tuple[DataFram
     return indexed, per.groupBy(group_col).agg(F.sum("_c").alias("n"))
 
 
-def draws_needed(k: int, n) -> F.Column:
-    """So many draws with replacement from n that fewer than k different ones have a chance
-    of at most MISS: by the union bound, C(n, k-1) ((k-1)/n)**draws."""
-    if k == 1:
-        return F.lit(1)
-    q = F.lit(float(k - 1)) / n
-    return F.ceil(F.lit(k - 1.0) + (F.lit(k - 1.0) - F.log(F.lit(MISS))) / -F.log(q)).cast("int")
+def draws_needed(m, n) -> F.Column:
+    """So many draws with replacement from n that fewer than m different ones have a chance
+    of at most MISS: by the union bound, C(n, m-1) ((m-1)/n)**draws. For m up to n / 2 that
+    is at most 2.5 m + 47."""
+    less = m.cast("double") - 1
+    return F.when(m <= 1, m.cast("int")).otherwise(F.ceil(less + (less - F.log(F.lit(MISS))) / -F.log(less / n)).cast("int"))
 
 
 def draw_users(pop: DataFrame, a, b, n_iter: int, k: int, seed: int, hash_mode: str, group_col: str = "exp_group") -> DataFrame:
     """iter and the columns of ``pop``: k different users of each group for each iteration.
 
-    Fewer than k users in a group, or (chance MISS) among an iteration's draws, is an error
+    Where k is more than half of a group, the n - k users that are left out are drawn, so the
+    draws stay within a small multiple of k for every k. Fewer than k users in a group, or (chance MISS) among an iteration's draws, is an error
     of the run, never a smaller sample."""
     if n_iter < 1 or k < 1:
         raise ValueError("n_iter and k must be >= 1")
@@ -57,13 +57,19 @@ def draw_users(pop: DataFrame, a, b, n_iter: int, k: int, seed: int, hash_mode:
     groups = F.array(*[F.struct(F.lit(g).cast(kind).alias(group_col), size(g).alias("n")) for g in (a, b)])
     places = (pop.sparkSession.range(n_iter).select(F.col("id").cast("int").alias("iter"), F.explode(groups).alias("g"))
               .select("iter", f"g.{group_col}", "g.n"))
-    tries = places.select("*", F.explode(F.sequence(F.lit(0), draws_needed(k, F.col("n")) - 1)).alias("j"))
+    rest = 2 * F.lit(k) > F.col("n")          # then the users left out are drawn
+    places = places.select("*", rest.alias("rest"), F.when(rest, F.col("n") - k).otherwise(F.lit(k).cast("bigint")).alias("m"))
+    numbers = F.when(F.col("m") > 0, F.sequence(F.lit(0), draws_needed(F.col("m"), F.col("n")) - 1))
+    tries = places.select("*", F.explode(numbers).alias("j"))
     h = hash_u32(F.lit(seed), group_col, "iter", "j", mode="md5") if hash_mode == "md5" else \
         hash_u32(group_col, "iter", "j", mode=hash_mode, seed=seed)
     tries = tries.withColumn("idx", (h * F.col("n") / F.lit(float(U32))).cast("bigint"))
-    different = tries.groupBy("iter", group_col, "idx").agg(F.min("j").alias("j"))
+    different = tries.groupBy("iter", group_col, "idx").agg(F.min("j").alias("j"), F.first("m").alias("m"), F.first("rest").alias("rest"))
     mine = Window.partitionBy("iter", group_col)
     rank, found = F.row_number().over(mine.orderBy("j")), F.count("*").over(mine)
-    enough = F.when(found >= k, F.lit(True)).otherwise(F.raise_error(F.lit("an iteration drew too few different users")).cast("boolean"))
-    taken = different.select("iter", group_col, "idx", rank.alias("_rank"), enough.alias("_ok")).filter("_ok AND _rank <= " + str(k))
-    return taken.select("iter", group_col, "idx").join(indexed, [group_col, "idx"]).select("iter", *pop.columns)
+    enough = F.when(found >= F.col("m"), F.lit(True)).otherwise(F.raise_error(F.lit("an iteration drew too few different users")).cast("boolean"))
+    drawn = different.select("iter", group_col, "idx", "rest", "m", rank.alias("_rank"), enough.alias("_ok")).filter("_ok AND _rank <= m")
+    everyone = places.filter("rest").select("iter", group_col, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("idx"))
+    others = everyone.join(drawn.filter("rest"), ["iter", group_col, "idx"], "left_anti")      # at most 2 k rows an iteration and group
+    taken = drawn.filter("NOT rest").select("iter", group_col, "idx").unionByName(others)
+    return taken.join(indexed, [group_col, "idx"]).select("iter", *pop.columns)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.pvalue import z_pvalue
+from feedlens.functions.pvalue import exact_u_pvalue, z_pvalue
 from feedlens.operators.experiment.draws import draw_users
 from feedlens.operators.experiment.prefix import prefix_sums
 
@@ -51,8 +51,20 @@ def _mw_columns():
     return [F.col("n_a"), F.col("n_b"), F.col("u_a"), u_b.alias("u_b"), F.col("tie_term"), z.alias("z")]
 
 
-def _mw_pvalue(z):
-    return F.when(z < 0, F.lit(1.0)).otherwise(z_pvalue(z))
+EXACT_GROUP = 8            # with a group of at most this size and no ties, p is exact
+EXACT_PAIRS = 100_000      # n_a * n_b up to which the exact counts are formed
+
+
+def _with_pvalue(stats: DataFrame) -> DataFrame:
+    """Adds ``method`` and the two-sided p_value. The null distribution is counted out (exact)
+    where the smaller group is small and there are no ties, as common statistics libraries
+    choose; else it is the normal approximation with continuity and tie correction."""
+    small = (F.least("n_a", "n_b") <= EXACT_GROUP) & (F.col("n_a") * F.col("n_b") <= EXACT_PAIRS)
+    exact = small & (F.col("tie_term") == 0)
+    z = F.when(~exact, F.col("z"))          # each tail is computed only where it is the one
+    n_a, n_b, u_a = (F.when(exact, F.col(c)) for c in ("n_a", "n_b", "u_a"))
+    p = F.when(exact, exact_u_pvalue(n_a, n_b, u_a)).when(F.col("z") < 0, F.lit(1.0)).otherwise(z_pvalue(z))
+    return stats.withColumn("p_value", p).withColumn("method", F.when(exact, "exact").otherwise("asymptotic"))
 
 
 def _superiority_columns():
@@ -65,8 +77,7 @@ def _superiority_columns():
 def rank_summary(df: DataFrame, value: str, a, b, group_col: str = "exp_group") -> DataFrame:
     """Mann-Whitney (with p_value) and exact P(A > B) from one rank table; one row."""
     s = _rank_sums(rank_table(df, value, a, b, group_col))
-    out = s.select(*_mw_columns(), *_superiority_columns(), "n_undefined")
-    return out.withColumn("p_value", _mw_pvalue(F.col("z")))
+    return _with_pvalue(s.select(*_mw_columns(), *_superiority_columns(), "n_undefined"))
 
 
 def mann_whitney_stats(df: DataFrame, value: str, a, b, group_col: str = "exp_group") -> DataFrame:
@@ -76,9 +87,8 @@ def mann_whitney_stats(df: DataFrame, value: str, a, b, group_col: str = "exp_gr
 
 
 def mann_whitney(df: DataFrame, value: str, a, b, group_col: str = "exp_group") -> DataFrame:
-    """mann_whitney_stats plus the asymptotic two-sided p_value (method column)."""
-    st = mann_whitney_stats(df, value, a, b, group_col)
-    return st.withColumn("p_value", _mw_pvalue(F.col("z"))).withColumn("method", F.lit("asymptotic"))
+    """mann_whitney_stats plus the two-sided p_value and its ``method`` (exact or asymptotic)."""
+    return _with_pvalue(mann_whitney_stats(df, value, a, b, group_col))
 
 
 def prob_superiority(df: DataFrame, value: str, a, b, group_col: str = "exp_group", n_pairs: int | None = None,

@@ -12,14 +12,19 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.columns import day_of, ratio, to_day
+from feedlens.functions.columns import day_of, ratio, slot_start, to_day
 from feedlens.operators.filters import between_dates, on_day, up_to_day
 
 ONE_DAY = dt.timedelta(days=1)
 
 
+SKETCH_LOG2 = 14   # 2**14 registers: a standard error of 0.8 %; up to about 1,500 users are counted one by one
+
+
 def _distinct_users(c: str = "user_id", approx: bool = False):
-    return F.approx_count_distinct(c) if approx else F.count_distinct(c)
+    if not approx:
+        return F.count_distinct(c)
+    return F.hll_sketch_estimate(F.hll_sketch_agg(c, SKETCH_LOG2))
 
 
 def feed_kpis(feed: DataFrame, lo, hi=None, approx: bool = False) -> DataFrame:
@@ -130,7 +135,7 @@ def hourly_users(feed: DataFrame, msgs: DataFrame, d, approx: bool = False) -> D
     """
     rows = (on_day(feed, d).select("user_id", "time", F.lit("feed").alias("service"))
             .unionByName(on_day(msgs, d).select("user_id", "time", F.lit("message").alias("service"))))
-    return (rows.groupBy("service", F.date_trunc("hour", "time").cast("timestamp_ntz").alias("hour"))
+    return (rows.groupBy("service", slot_start("time", 60).cast("timestamp_ntz").alias("hour"))
             .agg(_distinct_users(approx=approx).alias("users"))
             .select("hour", "users", "service")
             .orderBy("service", "hour"))

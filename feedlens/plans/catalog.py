@@ -386,15 +386,6 @@ def _cube_rewrite(feed, msgs, sf):
     return spark.table(name)
 
 
-@query("feed_kpis_approx")
-def _feed_kpis_approx(feed, msgs, sf):
-    """A4: HyperLogLog distinct users of each hour of the week. An hour has few enough users
-    for the sketch to count them one by one, so the exact count is the right answer."""
-    week = filters.between_dates(feed, RUN_DATE - dt.timedelta(days=6), RUN_DATE)
-    return week.groupBy(F.date_trunc("hour", F.col("time")).cast("timestamp_ntz").alias("hour_ts")).agg(
-        F.approx_count_distinct("user_id", 0.01).alias("users"))
-
-
 @query("alert_history")
 def _alert_history(feed, msgs, sf):
     """The alert job at several times of one day, one of them run twice; every slot's
@@ -432,3 +423,5 @@ def _stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _REGISTRY["stream_slot_metrics"] = _stream_slots
 _REGISTRY["stream_alerts"] = _stream_alerts
+
+from feedlens.plans import maintained  # noqa: E402,F401 - registers its queries here

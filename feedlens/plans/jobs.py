@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.functions.columns import to_day
-from feedlens.operators import anomaly, audience, cube, first_seen, kpi
+from feedlens.operators import anomaly, audience, audience_table, cube, distinct, first_seen, kpi, sketches
+from feedlens.operators.experiment import daily
 from feedlens.plans import reports
 from feedlens.sources.sinks import ensure_cube_table, ensure_report_table, write_cube, write_report
 
@@ -77,20 +78,42 @@ def maintained_first_seen(spark: SparkSession, feed: DataFrame, day, prefix: str
     return reports.FirstSeen(**tables)
 
 
+def maintained_audience(spark: SparkSession, feed: DataFrame, run_date, name: str, location: str | None = None) -> DataFrame:
+    """The week-bits table with the days up to ``run_date`` in it. A missing table is made and
+    filled from the history once; after that the update reads the feed of the run date and
+    of the day before it (which was not over when its own run read it)."""
+    run_date, new = to_day(run_date), not spark.catalog.tableExists(name)
+    if new:
+        audience_table.ensure_audience_table(spark, name, location)
+        first = feed.agg(F.min(F.to_date("time"))).first()[0]
+        if first is not None and first <= run_date:
+            audience_table.update_audience(feed, name, first, run_date)
+    else:
+        audience_table.update_audience(feed, name, run_date - ONE_DAY, run_date)
+    return spark.table(name)
+
+
 def app_report_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, run_date,
                    table: str | None = None, location: str | None = None, first_seen_prefix: str | None = None,
-                   first_seen_location: str | None = None, since=None) -> AppReport:
+                   first_seen_location: str | None = None, since=None, audience_name: str | None = None,
+                   audience_location: str | None = None) -> AppReport:
     """Yesterday's app summary row (written to ``table`` if given) and the three chart tables.
 
     ``first_seen_prefix``: keep first-seen tables of that name and read the day's new users
-    and posts from them; ``since``: first week of the audience chart. With both, the
-    report reads the days it is about, not the whole history."""
+    and posts from them; ``since``: first week of the audience chart; ``audience_name``: keep
+    a week-bits table of that name and draw the chart, of any length, from it. With the first
+    and one of the others, the report reads the days it is about, not the whole history."""
     run_date = to_day(run_date)
     seen = (maintained_first_seen(spark, feed, run_date - ONE_DAY, first_seen_prefix, first_seen_location)
             if first_seen_prefix else None)
+    if audience_name:
+        kept = maintained_audience(spark, feed, run_date, audience_name, audience_location)
+        weeks = audience_table.weekly_audience_wide(kept, run_date, since)
+    else:
+        weeks = audience.weekly_audience_wide(feed, run_date, since=since)
     rep = AppReport(reports.app_report(feed, run_date, seen),
                     kpi.avg_activity(feed, run_date, 14).orderBy("Date"),
-                    audience.weekly_audience_wide(feed, run_date, since=since),
+                    weeks,
                     kpi.hourly_users(feed, msgs, run_date - ONE_DAY))
     if table:
         ensure_report_table(spark, table, location)
@@ -121,3 +144,25 @@ def anomaly_alert_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, as_
         if slot is not None:
             write_report(run.alerts.filter(F.col("text").isNotNull()), table, "alert", slot, as_of, slot.strftime("%H-%M"))
     return run
+
+
+def user_counts_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, run_date, prefix: str, location: str | None = None) -> DataFrame:
+    """Yesterday's bitmaps and hourly sketches into the tables ``{prefix}_index``, ``_days`` and
+    ``_hours`` (made if absent); returns yesterday's exact users over 1, 7, 14 and 30 days."""
+    day = to_day(run_date) - ONE_DAY
+    distinct.ensure_user_bitmaps(spark, prefix, location)
+    sketches.ensure_hourly_sketches(spark, f"{prefix}_hours", f"{location}/hours" if location else None)
+    distinct.update_user_bitmaps(feed, msgs, prefix, day)
+    sketches.update_hourly_sketches(feed, msgs, f"{prefix}_hours", day)
+    return distinct.rolling_users(spark.table(f"{prefix}_days"), day, day)
+
+
+def experiment_job(spark: SparkSession, feed: DataFrame, run_date, start, a, b, prefix: str, location: str | None = None,
+                   control=None) -> DataFrame:
+    """Yesterday's step of a running experiment that began on ``start``: its users' running sums
+    and moments into ``{prefix}_users`` and ``{prefix}_moments`` (made if absent); returns
+    Welch's statistics of each day so far. Reads yesterday's events only."""
+    day = to_day(run_date) - ONE_DAY
+    daily.ensure_experiment_tables(spark, prefix, location)
+    daily.update_experiment(feed, prefix, (a, b), start, day)
+    return daily.welch_running(spark.table(f"{prefix}_moments"), start, day, a, b, control)

@@ -279,18 +279,22 @@ BOOT_CTES = (
 
 def _draw_ctes(um: str, n_iter: int, k: int) -> tuple[str, ...]:
     """sel (iter, exp_group, user_id, ctr): per iteration and group the first k different of
-    enough hashed places in the group's users, numbered by (4096 hash buckets, id)."""
+    enough hashed places in the group's users, numbered by (4096 hash buckets, id); where k
+    is over half of them, all but the first n - k."""
     bucket = _md5_u32("CAST(user_id AS VARCHAR)") + " % 4096"
-    needed = "1" if k == 1 else f"CAST(ceil({k - 1} + ({k - 1} - ln(1e-14)) / -ln({k - 1} / n)) AS BIGINT)"
+    needed = "CASE WHEN m <= 1 THEN m ELSE CAST(ceil(m - 1 + (m - 1 - ln(1e-14)) / -ln((m - 1) / n)) AS BIGINT) END"
     place = _md5_u32(str(c.SEED) + " || '-' || exp_group || '-' || i || '-' || j")
     return (
         f"pop AS (SELECT exp_group, user_id, ctr, row_number() OVER (PARTITION BY exp_group ORDER BY {bucket}, user_id) - 1 AS idx, "
         f"count(*) OVER (PARTITION BY exp_group) AS n FROM {um} WHERE ctr IS NOT NULL)",
-        f"tr AS (SELECT exp_group, i, j, CAST(floor({place} * n / 4294967296.0) AS BIGINT) AS idx FROM "
-        f"(SELECT exp_group, n, i, unnest(range({needed})) AS j FROM (SELECT DISTINCT exp_group, n FROM pop) g, range({n_iter}) r(i)) x)",
-        "fi AS (SELECT exp_group, i, idx, min(j) AS j FROM tr GROUP BY exp_group, i, idx "
-        f"QUALIFY row_number() OVER (PARTITION BY exp_group, i ORDER BY min(j)) <= {k})",
-        "sel AS (SELECT CAST(i AS INTEGER) AS iter, exp_group, user_id, ctr FROM fi JOIN pop USING (exp_group, idx))",
+        f"gm AS (SELECT DISTINCT exp_group, n, {2 * k} > n AS rest, CASE WHEN {2 * k} > n THEN n - {k} ELSE {k} END AS m FROM pop)",
+        f"tr AS (SELECT exp_group, m, i, j, CAST(floor({place} * n / 4294967296.0) AS BIGINT) AS idx FROM "
+        f"(SELECT exp_group, n, m, i, unnest(range({needed})) AS j FROM gm, range({n_iter}) r(i)) x)",
+        "fi AS (SELECT exp_group, i, idx, min(j) AS j FROM tr GROUP BY exp_group, m, i, idx "
+        "QUALIFY row_number() OVER (PARTITION BY exp_group, i ORDER BY min(j)) <= m)",
+        "sel AS (SELECT CAST(i AS INTEGER) AS iter, exp_group, user_id, ctr FROM fi JOIN pop USING (exp_group, idx) JOIN gm USING (exp_group) WHERE NOT rest "
+        f"UNION ALL SELECT CAST(i AS INTEGER), exp_group, user_id, ctr FROM pop JOIN gm USING (exp_group) JOIN range({n_iter}) r(i) ON rest "
+        "ANTI JOIN fi USING (exp_group, i, idx))",
     )
 
 
@@ -501,7 +505,5 @@ def oracle_sql() -> dict[str, str]:
     left_alone = _cube("reference").replace(D(Y), D(first_day))
     only_ios = _cube("reference").replace("FROM feed_actions WHERE", "FROM feed_actions WHERE os = 'iOS' AND")
     q["cube_rewrite"] = f"SELECT * FROM ({left_alone}) a UNION ALL SELECT * FROM ({only_ios}) b"
-    q["feed_kpis_approx"] = _sql(
-        "SELECT date_trunc('hour', time) AS hour_ts, count(DISTINCT user_id) AS users FROM feed_actions "
-        f"WHERE CAST(time AS DATE) BETWEEN {D(c.RUN_DATE - dt.timedelta(days=6))} AND {D(c.RUN_DATE)} GROUP BY 1")
-    return q
+    from feedlens.plans.maintained_oracle import maintained_sql   # builds on this module
+    return q | maintained_sql(q)

@@ -25,13 +25,19 @@ def _ddl(schema, partition_cols) -> str:
     return ", ".join(f"`{f.name}` {_DDL_TYPES[repr(f.dataType)]}" for f in cols)
 
 
-def _ensure(spark: SparkSession, name: str, schema, partition_cols, location=None) -> None:
+def ensure_table(spark: SparkSession, name: str, columns: str, partition_cols, location: str | None = None,
+                 clustered: tuple[str, int] | None = None) -> None:
+    """CREATE TABLE IF NOT EXISTS of Parquet files; ``clustered``: (column, buckets) by which
+    every partition is bucketed and sorted. The table itself carries dynamic partition
+    overwrite, for writes of many partitions (``overwrite_partitions``)."""
     loc = f" LOCATION '{location}'" if location else ""
-    parts = ", ".join(partition_cols)
-    # The table itself carries dynamic partition overwrite, for writes of many days.
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema, partition_cols)}) "
-              f"USING parquet OPTIONS ('partitionOverwriteMode' 'dynamic') "
-              f"PARTITIONED BY ({parts}){loc}")
+    by = f" CLUSTERED BY ({clustered[0]}) SORTED BY ({clustered[0]}) INTO {clustered[1]} BUCKETS" if clustered else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS ('partitionOverwriteMode' 'dynamic') "
+              f"PARTITIONED BY ({', '.join(partition_cols)}){by}{loc}")
+
+
+def _ensure(spark: SparkSession, name: str, schema, partition_cols, location=None) -> None:
+    ensure_table(spark, name, _ddl(schema, partition_cols), partition_cols, location)
 
 
 def ensure_cube_table(spark: SparkSession, name: str, location: str | None = None) -> None:

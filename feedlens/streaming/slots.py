@@ -12,20 +12,35 @@ Each source is watermarked on its own before the union, and the query's watermar
 the smaller of the two: a slot waits for the slower source (after a restart, until
 both have new rows). Append mode releases a
 slot once that watermark passes its end, so every emitted slot is final.
-``foreachBatch`` writes each micro-batch into ``date=/batch_id=`` partitions with
-dynamic overwrite, so a replayed epoch (after a failure) replaces its own output
-instead of duplicating it. It then scores every slot of the epoch, however many one
-epoch closes, with the batch IQR operator over the epoch and the slots before it
-that its first bound depends on, and writes the rows the same way.
+Closed slots then go, one row per metric, through a keyed state that holds the
+n + n//2 newest (slot, value) pairs of each metric, all that the next slot's bound
+depends on. It gives back the new slots with those before them, so ``foreachBatch``
+scores every slot of an epoch, however many one epoch closes, with the batch IQR
+operator, and reads nothing of what earlier epochs wrote: an epoch costs the same in
+the first week and after years. It writes ``date=/batch_id=`` partitions with dynamic
+overwrite, so a replayed epoch (after a failure) replaces its own output instead of
+duplicating it; the state of an epoch is part of the checkpoint.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from feedlens.operators import anomaly
 
+# The state processor is shipped by value: Python workers don't need this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def slot_stream(feed: DataFrame, msgs: DataFrame, minutes: int = 15,
                 delay: str = "15 minutes", approx: bool = False) -> DataFrame:
     """Per closed slot: ts, date, hm, users_feed, views, likes, CTR, users_mess, sent_mess.
@@ -59,10 +74,6 @@ def slot_stream(feed: DataFrame, msgs: DataFrame, minutes: int = 15,
     return anomaly.finish_slot_table(per_slot, F.col("slot.start").cast("timestamp_ntz"))
 
 
-SLOT_SCHEMA = ("ts timestamp_ntz, hm string, users_feed long, views long, likes long, CTR double, "
-               "users_mess long, sent_mess long, date date, batch_id long")
-
-
 def slots_before(n: int = 6) -> int:
     """Slots before one that its bound depends on: n for the quantiles + n//2 for smoothing."""
     return n + n // 2
@@ -77,31 +88,86 @@ def score_slots(slots: DataFrame, before: DataFrame, n: int = 6, a: float = 2.0)
     return scored.filter(F.col("ts") >= slots.agg(F.min("ts")).scalar())
 
 
+class MetricHistory(StatefulProcessor):
+    """Keyed by metric: every new (slot, value) row, and before them the rows of the state,
+    the ``keep`` newest of earlier epochs. Slots arrive once and in the order of epochs."""
+
+    def __init__(self, keep: int):
+        self.keep = keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getListState("last", "ts string, value double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(rows).sort_values("ts")[["ts", "value"]]
+        before = pd.DataFrame(list(self.last.get()), columns=["ts", "value"]).astype({"value": "float64"})
+        out = pd.concat([before.assign(is_new=False), new.assign(is_new=True)])
+        kept = out.tail(self.keep)
+        self.last.put([(t, None if pd.isna(v) else float(v)) for t, v in zip(kept["ts"], kept["value"])])
+        yield out.assign(metric=key[0])[["ts", "metric", "value", "is_new"]]
+
+    def close(self) -> None:
+        pass
+
+
+def with_history(slots: DataFrame, n: int = 6) -> DataFrame:
+    """The metrics of a stream of closed slots (ts, metric, value, is_new): each epoch's new
+    rows with the n + n//2 before them. ``ts`` is text of a fixed form, which sorts alike."""
+    rows = anomaly.unpivot_metrics(slots).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return rows.groupBy("metric").transformWithStateInPandas(
+        MetricHistory(slots_before(n)), "ts string, metric string, value double, is_new boolean", "Append", "None")
+
+
+def score_epoch(rows: DataFrame, n: int = 6, a: float = 2.0) -> DataFrame:
+    """``anomaly.slot_alerts`` rows of an epoch's new slots from ``with_history`` rows."""
+    rows = rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    scored = anomaly.slot_alerts(anomaly.iqr_bounds(rows, a, n, "newest"))
+    return scored.filter(F.col("ts") >= rows.filter("is_new").agg(F.min("ts")).scalar())
+
+
+def slots_of(rows: DataFrame) -> DataFrame:
+    """The new slots of ``with_history`` rows as one row each."""
+    def value(metric: str, kind: str):
+        return F.max(F.when(F.col("metric") == metric, F.col("value"))).cast(kind).alias(metric)
+
+    ts = F.col("ts").cast("timestamp_ntz")
+    wide = rows.filter("is_new").groupBy(ts.alias("ts")).agg(
+        *[value(m, "double" if m == "CTR" else "long") for m in anomaly.METRICS])
+    return wide.select("ts", F.date_format("ts", "HH:mm").alias("hm"), *anomaly.METRICS, F.to_date("ts").alias("date"))
+
+
 def start_slot_job(spark: SparkSession, feed: DataFrame, msgs: DataFrame, out_dir: str,
                    checkpoint: str, trigger: dict | None = None,
-                   minutes: int = 15, delay: str = "15 minutes", approx: bool = False):
+                   minutes: int = 15, delay: str = "15 minutes", approx: bool = False,
+                   n: int = 6, a: float = 2.0):
     """Start the streaming job; closed slots go to ``{out_dir}/slots``, the scored rows of
     every closed slot to ``{out_dir}/alerts``. ``checkpoint`` is the job's memory of what
-    it has read: the same folder at every start, in storage that all executors share."""
+    it has read and of the slots that the next bounds depend on: the same folder at every
+    start, in storage that all executors share. The job keeps its state in RocksDB."""
     slots_dir, alerts_dir = f"{out_dir.rstrip('/')}/slots", f"{out_dir.rstrip('/')}/alerts"
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        (batch.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id")
-         .parquet(slots_dir))
-        closed = spark.read.schema(SLOT_SCHEMA).parquet(slots_dir)
-        mine = closed.filter(F.col("batch_id") == epoch)
-        first = mine.agg(F.min("ts")).first()[0]
-        if first is None:
-            return
-        earlier = closed.filter((F.col("ts") < F.lit(first)) & (F.col("date") <= F.lit(first.date())))
-        (score_slots(mine.drop("batch_id"), earlier.drop("batch_id")).withColumn("epoch", F.lit(epoch))
-         .write.mode("overwrite").parquet(f"{alerts_dir}/batch_id={epoch}"))
-
-    writer = (slot_stream(feed, msgs, minutes, delay, approx).writeStream.outputMode("append")
+        rows = batch.persist()     # two outputs of one run of the stateful plan
+        try:
+            if rows.isEmpty():
+                return
+            (slots_of(rows).withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id")
+             .parquet(slots_dir))
+            (score_epoch(rows, n, a).withColumn("epoch", F.lit(epoch))
+             .write.mode("overwrite").parquet(f"{alerts_dir}/batch_id={epoch}"))
+        finally:
+            rows.unpersist()
+
+    writer = (with_history(slot_stream(feed, msgs, minutes, delay, approx), n).writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint).foreachBatch(handle))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
-    return writer.start()
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)   # taken over by the query at its start
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -240,3 +240,20 @@ def test_ab_summary_parts_agree_with_single_tests(spark):
     ps = ex.prob_superiority(um, "ctr", 1, 2).first()
     assert math.isclose(rows[("prob_a_gt_b", "ctr")].statistic, ps.p_a_gt_b, rel_tol=1e-12)
     assert len(rows) == 8
+
+
+def test_draws_stay_near_k_for_every_k(spark):
+    """The tries of an iteration and group, for all k up to n, and exact samples near n."""
+    from feedlens.operators.experiment.draws import draws_needed
+    n = 1000
+    rows = spark.range(1, n + 1).select(F.col("id").alias("k"), draws_needed(F.least("id", n - F.col("id")), F.lit(n)).alias("tries")).collect()
+    assert all(r.tries <= 2.5 * r.k + 47 for r in rows) and rows[-1].tries == 0 and rows[0].tries == 1
+    um = spark.range(400).select(F.col("id").alias("user_id"), (F.col("id") % 2).cast("int").alias("exp_group"), (F.col("id") * 1.0).alias("ctr"))
+    for k in (100, 101, 150, 199, 200):
+        got = ex.aa_subsamples(um, 0, 1, 40, k).groupBy("iter", "exp_group").agg(
+            F.count("*").alias("n"), F.count_distinct("user_id").alias("d"), F.avg("ctr").alias("m")).collect()
+        assert len(got) == 80 and all(r.n == r.d == k for r in got)
+        assert abs(sum(r.m for r in got) / 80 - 199.5) < 15
+        assert len({r.m for r in got}) > 30 or k >= 199
+    same = [sorted(map(tuple, ex.aa_subsamples(um.repartition(p), 0, 1, 5, 180).collect())) for p in (1, 9)]
+    assert same[0] == same[1]

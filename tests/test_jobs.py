@@ -87,3 +87,29 @@ def test_cli_stream_once(spark, tmp_path):
     slots = spark.read.parquet(str(tmp_path / "out" / "slots"))
     assert slots.count() > 1000
     assert spark.read.parquet(str(tmp_path / "out" / "alerts")).select("metric").distinct().count() == 6
+
+
+def test_maintained_jobs_on_the_command_line(spark, tmp_path, capsys):
+    from feedlens.__main__ import main
+    from feedlens.operators import audience, filters
+    from feedlens.operators import experiment as ex
+    feed, msgs = load_fixture(spark, SF001)
+    feed.write.parquet(str(tmp_path / "feed"))
+    msgs.write.parquet(str(tmp_path / "msgs"))
+    both = ["--feed", str(tmp_path / "feed"), "--messages", str(tmp_path / "msgs")]
+    for day in ("2024-01-09", "2024-01-10"):
+        assert main(["user-counts", *both, "--run-date", day, "--table", "cli_users", "--location", str(tmp_path / "users")]) == 0
+        assert main(["experiment", *both[:2], "--run-date", day, "--start", "2024-01-08", "--groups", "1", "2", "--table", "cli_exp",
+                     "--location", str(tmp_path / "exp")]) == 0
+        assert main(["app-report", *both, "--run-date", day, "--table", "cli_app", "--location", str(tmp_path / "app"), "--audience", "cli_weeks",
+                     "--audience-location", str(tmp_path / "weeks")]) == 0
+    said = capsys.readouterr().out.splitlines()
+    users = filters.between_dates(feed, "2024-01-08", "2024-01-09").select("user_id").union(
+        filters.between_dates(msgs, "2024-01-08", "2024-01-09").select("user_id")).distinct().count()
+    assert f"2024-01-09 7 {users}" in said and f"2024-01-09 30 {users}" in said     # the tables hold two days
+    stats = ex.welch_stats(ex.user_metrics(feed, (1, 2), "2024-01-08", "2024-01-09"), "ctr", 1, 2).first()
+    mine = [x.split() for x in said if x.startswith("2024-01-09 ctr")][-1]
+    assert [int(mine[2]), int(mine[3])] == [stats.n_a, stats.n_b] and abs(float(mine[4]) - stats.t) < 1e-9
+    from feedlens.operators import audience_table
+    kept = audience_table.weekly_audience_wide(spark.table("cli_weeks"), "2024-01-10").collect()
+    assert kept == audience.weekly_audience_wide(feed, "2024-01-10").collect() and kept

@@ -166,3 +166,28 @@ def test_approximate_distinct_stream_is_close_to_exact(spark, tmp_path):
         assert (r.views, r.likes, r.sent_mess) == (e.views, e.likes, e.sent_mess)
         assert abs(r.users_feed - e.users_feed) <= max(1, 0.05 * e.users_feed)
         assert abs(r.users_mess - e.users_mess) <= max(1, 0.05 * e.users_mess)
+
+
+def test_epochs_score_from_the_state_and_read_no_earlier_output(spark, tmp_path):
+    """Each run writes into a folder of its own, so what earlier epochs wrote is out of reach:
+    the bounds come from the checkpoint's state alone."""
+    feed, msgs = load_fixture(spark, SF001)
+    src = {"feed": feed.select("user_id", "time", "action"), "msgs": msgs.select("user_id", "time")}
+    cuts = ["2024-01-01", "2024-01-06", "2024-01-06 05:00:00", "2024-01-20", "2024-02-01"]
+    parts = []
+    for k, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        for kind, df in src.items():
+            df.filter((F.col("time") >= lo) & (F.col("time") < hi)).coalesce(1).write.parquet(str(tmp_path / kind / str(k)))
+        streams = [spark.readStream.schema(df.schema).parquet(str(tmp_path / kind / "*")) for kind, df in src.items()]
+        out = str(tmp_path / f"out{k}")
+        q = start_slot_job(spark, *streams, out, checkpoint=str(tmp_path / "ck"))
+        q.awaitTermination()
+        assert q.exception() is None
+        parts.append(spark.read.parquet(f"{out}/alerts"))
+    batch = anomaly.finish_slots(anomaly.feed_slots(feed), anomaly.message_slots(msgs))
+    newest = min(df.agg(F.max("time")).first()[0] for df in (feed, msgs))
+    closed = batch.filter(F.col("ts") + F.expr("INTERVAL 30 MINUTES") <= F.lit(newest))
+    want = anomaly.slot_alerts(anomaly.iqr_bounds(anomaly.unpivot_metrics(closed), 2.0, 6, "newest"))
+    got = [str(tuple(r)) for p in parts for r in p.select(*want.columns).collect()]
+    assert sorted(got) == sorted(str(tuple(r)) for r in want.collect())
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
