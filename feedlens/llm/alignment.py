@@ -7,14 +7,18 @@ token shares, so the links of a group are its A tokens times its B tokens.
 
 Groups never cross texts, so a whole batch of texts is aligned as one array. A document
 gives each distinct pair of ids once, with how often it is linked there; a pair's count is
-the number of documents that give it, and those counts return to the documents by a join
-whose strategy Spark chooses from the size of the written table of counts.
+the number of documents that give it. Those counts return to the documents by a join, for
+which the counts are broadcast if there are at most ``BROADCAST_PAIRS``.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -29,6 +33,11 @@ from feedlens.llm.common import chunks, materialise, read_table, worker_state
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SLICE = 1 << 20      # links or pairs that are spelled out at a time
 
+BROADCAST_PAIRS = 1 << 20    # id pairs with their counts: about 60 MB in memory
+KEPT_WORDS = 400_000
+PLAIN_END = 0x250    # texts of characters below it, but for the controls that engines disagree on, are cut into words
+_OTHER = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\u024f]").search
+
 _PAIRS = "array<struct<pair:long,times:long>>"
 _FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -45,24 +54,52 @@ def byte_level_alphabet() -> dict[str, int]:
 
 class Side:
     """One tokenizer: ids of texts, and per id its bytes, their number and its decimal text
-    with each of the separators that may follow."""
+    with each of the separators that may follow.
+
+    Words repeat, so the ids of a word are kept. ``split`` cuts a text (with a space before
+    it) into words that the tokenizer encodes one by one, whatever stands beside them; that
+    holds for texts without a character that ``other`` finds. Any other text goes to the
+    tokenizer as it is."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pieces: list[bytes]):
-        self.encode, self.pieces = encode, pieces
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pieces: list[bytes], split: Callable[[str], list[str]]):
+        self.encode, self.pieces, self.split = encode, pieces, split
         self.sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         self.names = np.array([[f"{k}{end}" for k in range(len(pieces))] for end in ("", ",", "|", ";")], dtype=object)
-
-    def ids(self, texts: list[str], want: list[bytes]) -> list[np.ndarray | None]:
-        """Ids of each text, or None where their bytes are not those wanted."""
-        piece, out = self.pieces.__getitem__, []
-        for ids, whole in zip(self.encode(texts), want):
-            out.append(np.array(ids, np.int64) if b"".join(map(piece, ids)) == whole else None)
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words, as bytes; a word whose tokens aren't its bytes can't be kept apart."""
+        found = self.encode(words)
+        if b"".join(map(self.pieces.__getitem__, chain.from_iterable(found))) != "".join(words).encode():
+            raise ValueError("the tokenizer does not keep the words of plain texts")
+        self.known.update((word, array("i", ids).tobytes()) for word, ids in zip(words, found))
+
+    def ids(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text, a space before it, or None where their bytes are others."""
+        plain = [not _OTHER(t) for t in texts]
+        split = [self.split(" " + t) if p else [] for t, p in zip(texts, plain)]
+        if len(self.known) > KEPT_WORDS:
+            self.known = dict(islice(self.known.items(), KEPT_WORDS // 3))   # the common words come first
+        words = list(chain.from_iterable(split))
+        found = list(map(self.known.get, words))
+        fresh = [k for k, x in enumerate(found) if x is None]
+        self._learn(list(dict.fromkeys(words[k] for k in fresh)))
+        for k in fresh:
+            found[k] = self.known[words[k]]
+        ends = list(accumulate(map(len, split), initial=0))
+        out = [np.frombuffer(b"".join(found[a:b]), np.int32) if p else None for p, a, b in zip(plain, ends, ends[1:])]
+        piece = self.pieces.__getitem__
+        for k in [k for k, p in enumerate(plain) if not p]:
+            whole = " " + texts[k]
+            ids, = self.encode([whole])
+            if b"".join(map(piece, ids)) == whole.encode():
+                out[k] = np.array(ids, np.int32)
         return out
 
 
 def byte_level_side(path: str) -> Side:
-    """A byte-level BPE file; the texts are encoded with a space before them, the strings of
-    special tokens as plain text."""
+    """A byte-level BPE file whose pre-tokenizer splits contractions, words, numbers, signs and
+    white space; the strings of special tokens are plain text."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks share the cores
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
@@ -72,19 +109,32 @@ def byte_level_side(path: str) -> Side:
         pieces[k] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Side(encode, pieces)
+    chars = [chr(c) for c in range(PLAIN_END) if not _OTHER(chr(c))]
+    letters, numbers = (re.escape("".join(c for c in chars if unicodedata.category(c)[0] == kind)) for kind in "LN")
+    split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^\\s{letters}{numbers}]+|\\s+(?!\\S)|\\s+").findall
+    return Side(encode, pieces, split)
 
 
 def piece_side(path: str) -> Side:
-    """A sentence piece model, which adds the space before a text itself."""
+    """A sentence piece model, which adds the space before a text itself. Its words are runs of
+    spaces with what follows up to the next: no piece has a space after another character."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = []
     for k in range(model.get_piece_size()):
         piece = model.id_to_piece(k)
         pieces.append(bytes([int(piece[3:5], 16)]) if model.is_byte(k) else piece.replace("▁", " ").encode())
-    return Side(lambda texts: model.encode(texts, num_threads=1), pieces)
+    whole = any(" " in p.lstrip(b" ").decode(errors="replace") for p in pieces)    # then texts can't be cut
+    split = (lambda text: [text]) if whole else re.compile(" +[^ ]*").findall
+    lead = len(model.encode("a"))
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        """The texts start with the space that the model adds; one of nothing else needs a word before it."""
+        found = model.encode([t[1:] if t.strip(" ") else "a" + t for t in texts], num_threads=1)
+        return [ids if t.strip(" ") else ids[lead:] for t, ids in zip(texts, found)]
+
+    return Side(encode, pieces, split)
 
 
 def side(name: str) -> Side:
@@ -106,7 +156,7 @@ def coalesce(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _spans(ids: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All ids, and the starts and ends of their bytes, texts laid end to end."""
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+    flat = np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64)
     ends = np.cumsum(sizes[flat])
     return flat, ends - sizes[flat], ends
 
@@ -175,9 +225,8 @@ class Pairs:
 def align(texts: list[str], left: Side, right: Side, with_groups: bool = True) -> tuple[np.ndarray, list[str], tuple]:
     """Figures n_a, n_b, n_groups, n_links of each text, its groups as text
     (``a1,a2|b1;a3|b2,b3``), and (text, pair, times) of the distinct linked pairs of ids."""
-    want = [b" " + t.encode() if t else b"" for t in texts]
-    a, b = (s.ids(texts, want) for s in (left, right))
-    none = np.zeros(0, np.int64)
+    a, b = (s.ids(texts) for s in (left, right))
+    none = np.zeros(0, np.int32)
     kept = [bool(t) and x is not None and y is not None for t, x, y in zip(texts, a, b)]
     a, b = ([x if k else none for x, k in zip(ids, kept)] for ids in (a, b))
     figures = np.zeros((len(texts), 4), np.int64)
@@ -200,7 +249,10 @@ def align(texts: list[str], left: Side, right: Side, with_groups: bool = True) -
     in_a, in_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
     figures[:, 2] = np.bincount(text_of, minlength=len(texts))
     np.add.at(figures[:, 3], text_of, in_a * in_b)
-    for g, pair, times in linked_pairs(group_a, ids_a, group_b, ids_b, n_groups):
+    one = (in_a == 1) & (in_b == 1)         # most groups are one token on either side
+    first_a, first_b = one[group_a], one[group_b]
+    pairs.add(text_of[one], (ids_a[first_a] << 32) | ids_b[first_b], np.ones(int(one.sum()), np.int64))
+    for g, pair, times in linked_pairs(group_a[~first_a], ids_a[~first_a], group_b[~first_b], ids_b[~first_b], n_groups):
         pairs.add(text_of[g], pair, times)
     spelled = _spelled(group, on_b, ids, left, right, text_of, len(texts)) if with_groups else [""] * len(texts)
     return figures, spelled, pairs.merge()
@@ -289,7 +341,9 @@ def align_tokenizers(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     made = materialise(made.select("__row", "__id", *_FIGURES, digest.alias("groups_sha256"), *kept, "__pairs"),
                        "aligned")
     pairs = made.select("__row", F.explode("__pairs").alias("__p")).select("__row", "__p.pair", "__p.times")
-    counts = materialise(pair_counts(pairs), "pair_counts")   # its size is known from here on
+    counts = materialise(pair_counts(pairs), "pair_counts")
+    if counts.count() <= BROADCAST_PAIRS:
+        counts = F.broadcast(counts)
     sums = (pairs.join(counts, "pair").groupBy("__row")
             .agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
                  F.sum(F.col("times") * F.col("n_documents")).alias("count_sum")))

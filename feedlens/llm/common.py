@@ -41,6 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/")
 
 
+_written: list[str] = []     # folders of this process that ``materialise`` made
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage is
     cut and a lost executor costs no recomputation of what stands before."""
@@ -48,9 +51,24 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/feedlens/{label}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def written() -> list[str]:
+    """The folders that ``materialise`` has made so far and that still stand."""
+    return list(_written)
+
+
+def remove_written(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Remove folders that ``materialise`` made, once nothing that is still to run reads them."""
+    for path in paths:
+        if path in _written:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _written.remove(path)
+
+
 def with_row_key(docs: DataFrame) -> DataFrame:
     """``docs`` and ``__doc_row``: file and place of each row, which stay the same however
     often and with whichever columns the rows are read. What doesn't come straight from
@@ -131,3 +149,9 @@ def sample_rows(df: DataFrame, bound: int, *key: str) -> DataFrame:
         return df
     share = int(bound / n * 1_000_000)
     return df.filter(F.pmod(F.xxhash64(F.lit(7), *key), F.lit(1_000_000)) < share)
+
+
+def first_by_hash(df: DataFrame, bound: int, *key: str) -> DataFrame:
+    """At most ``bound`` rows, in the order of a hash of ``key`` and of the key: the same rows
+    in the same order however the table is laid out (rows of one key are alike)."""
+    return df.orderBy(F.xxhash64(F.lit(8), *key), *key).limit(bound)

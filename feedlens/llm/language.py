@@ -133,13 +133,14 @@ def train_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Filters from the rows with a text and a language that are not held out."""
     known = (docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
              .filter("text IS NOT NULL AND lang IS NOT NULL").filter(id_remainder("__id", SPLIT) != HELD_OUT))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    share = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, rows / n))]) if sizes else F.create_map()
-    languages = sorted(sizes)
-    if not languages:
+    place = F.pmod(F.xxhash64(F.lit(3), "__id", "text"), F.lit(1_000_000)) / 1_000_000
+    sizes = {r["lang"]: (r["n"], r["first"]) for r in known.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("first")).collect()}
+    if not sizes:
         return LanguageModel([], [])
-    place = F.pmod(F.xxhash64(F.lit(3), "__id"), F.lit(1_000_000)) / 1_000_000
-    sample = known.filter(place < share[F.col("lang")]).select("lang", "text")
+    # the rows whose hash comes first, one at least
+    share = F.create_map(*[F.lit(x) for name, (n, first) in sizes.items() for x in (name, max(first, min(1.0, rows / n)))])
+    languages = sorted(sizes)
+    sample = known.filter(place <= share[F.col("lang")]).select("lang", "text")
     filters = []
     for order in orders:
         counts = (sample.mapInPandas(_gram_counts(order), "lang string, gram long, n long")

@@ -94,8 +94,8 @@ def encoder(path: str) -> WordEncoder:
     return kept[path]
 
 
-def pieces_udf(tokenizer: str, capacity: int, end_id: int):
-    """UDF: text -> its pieces (piece, start, length, ids_crc32, ids)."""
+def pieces_udf(tokenizer: str, capacity: int, end_id: int, with_ids: bool = True):
+    """UDF: text -> its pieces (piece, start, length, ids_crc32, and the ids if asked for)."""
     end, width = np.array([end_id], np.uint32).tobytes(), 4 * capacity
 
     def make():
@@ -106,21 +106,21 @@ def pieces_udf(tokenizer: str, capacity: int, end_id: int):
             for ids in encode([t or "" for t in texts]):
                 ids += end
                 parts = [ids[a:a + width] for a in range(0, len(ids), width)]
-                rows.append([{"piece": k, "start": k * capacity, "length": len(part) // 4, "ids_crc32": zlib.crc32(part),
-                              "ids": part} for k, part in enumerate(parts)])
+                rows.append([{"piece": k, "start": k * capacity, "length": len(part) // 4, "ids_crc32": zlib.crc32(part)}
+                             | ({"ids": part} if with_ids else {}) for k, part in enumerate(parts)])
             return rows
 
         return cut
 
-    return text_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long,ids:binary>>", make)
+    return text_udf(f"array<struct<piece:int,start:long,length:long,ids_crc32:long{',ids:binary' if with_ids else ''}>>", make)
 
 
 def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER,
-                 capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, ids (little-endian unsigned 32-bit) of the
-    whole texts, ``end_id`` after each; a text over ``capacity`` ids is cut into pieces.
-    Null and empty texts are the end id alone."""
-    cut = pieces_udf(tokenizer, capacity, end_id)
+                 capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, ids (little-endian unsigned 32-bit; left in the
+    Python worker unless asked for) of the whole texts, ``end_id`` after each; a text over
+    ``capacity`` ids is cut into pieces. Null and empty texts are the end id alone."""
+    cut = pieces_udf(tokenizer, capacity, end_id, with_ids)
     return (docs.select(F.col(doc_id).alias("doc_id"), F.explode(cut(F.col(text))).alias("p"))
             .select("doc_id", "p.*"))
 
@@ -277,9 +277,7 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and
     the ids themselves if asked for. Null text counts as empty (one end id); repeated rows
     and null doc_ids are packed like any other; an empty table gives no rows."""
-    pieces = token_pieces(docs, doc_id, text, tokenizer, capacity, end_id)
-    if not with_ids:
-        pieces = pieces.drop("ids")
+    pieces = token_pieces(docs, doc_id, text, tokenizer, capacity, end_id, with_ids)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     return assign_sequences(pieces, capacity).select(*columns, *(["ids"] if with_ids else []))
 

@@ -32,6 +32,9 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from feedlens.llm.common import materialise, read_table, text_udf, with_row_key
 
 AROUND = 4         # differing pages that are looked at on either side
+ROWS_BITS = 1 << 27        # pairs of lines up to which the rows of their comparison are kept (16 MB)
+COLUMNS = 1 << 12
+BROADCAST_EDGES = 100_000  # pages at the edges of parts: about 20 MB
 COPY_SHARE = 0.8   # pages that share more of the lines a third page lacks are copies
 
 # HTML element names and the usual class, id and role words of page furniture.
@@ -149,8 +152,68 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
     return [(text, True) for text, _, _ in reader.lines]
 
 
+def _subsequence(a: list[int], b: list[int]) -> list[int]:
+    """Places in ``a`` of a longest common subsequence with ``b``, by bit-parallel rows; one
+    bit of memory for every pair of lines."""
+    places: dict[int, int] = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    rows = [full]
+    for x in a:
+        v = rows[-1]
+        u = v & places.get(x, 0)
+        rows.append(((v + u) | (v - u)) & full)
+    found: list[int] = []
+    j = len(b)   # a zero bit j of rows[i] marks that the length grows at b[j]
+    for i in range(len(a), 0, -1):
+        while j and rows[i] >> (j - 1) & 1:
+            j -= 1
+        if not j:
+            break
+        if rows[i - 1] >> (j - 1) & 1:
+            if b[j - 1] == a[i - 1]:
+                found.append(i - 1)
+                j -= 1
+    return found[::-1]
+
+
+def common_lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with b[:j], for each j: the last of the
+    bit-parallel rows alone, ``COLUMNS`` bits at a time, with the carries that pass between."""
+    carry = bytearray(len(a))
+    steps = []
+    for first in range(0, len(b), COLUMNS):
+        part = b[first:first + COLUMNS]
+        places: dict[int, int] = {}
+        for j, x in enumerate(part):
+            places[x] = places.get(x, 0) | 1 << j
+        full = (1 << len(part)) - 1
+        v, get = full, places.get
+        for i, x in enumerate(a):
+            match = get(x, 0)
+            if match or carry[i]:
+                u = v & match
+                total = v + u + carry[i]
+                carry[i] = total >> len(part)
+                v = (total & full) | (v - u)
+        bits = np.frombuffer(v.to_bytes((len(part) + 7) // 8, "little"), np.uint8)
+        steps.append(1 - np.unpackbits(bits, bitorder="little")[:len(part)].astype(np.int64))
+    return np.concatenate(([0], np.cumsum(np.concatenate(steps)))) if steps else np.zeros(1, np.int64)
+
+
+def _divided(a: list[int], b: list[int]) -> list[int]:
+    """``_subsequence`` in memory that grows with the lines, not with their pairs: where the
+    rows are too large, ``a`` is halved and ``b`` cut where the halves' lengths add up best."""
+    if len(a) * len(b) <= ROWS_BITS or len(a) < 2:
+        return _subsequence(a, b)
+    half = len(a) // 2
+    cut = int((common_lengths(a[:half], b) + common_lengths(a[half:][::-1], b[::-1])[::-1]).argmax())
+    return _divided(a[:half], b[:cut]) + [half + k for k in _divided(a[half:], b[cut:])]
+
+
 def shared_lines(a: list[int], b: list[int]) -> list[int]:
-    """Places in ``a`` of a longest common subsequence with ``b``, by bit-parallel rows."""
+    """Places in ``a`` of a longest common subsequence with ``b``."""
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
         head += 1
@@ -159,29 +222,8 @@ def shared_lines(a: list[int], b: list[int]) -> list[int]:
         tail += 1
     both = set(a[head:len(a) - tail]) & set(b[head:len(b) - tail])
     mine = [k for k in range(head, len(a) - tail) if a[k] in both]
-    other = [x for x in b[head:len(b) - tail] if x in both]
-    found: list[int] = []
-    if mine:
-        places: dict[int, int] = {}
-        for j, x in enumerate(other):
-            places[x] = places.get(x, 0) | 1 << j
-        full = (1 << len(other)) - 1
-        rows = [full]
-        for k in mine:
-            v = rows[-1]
-            u = v & places[a[k]]
-            rows.append(((v + u) | (v - u)) & full)
-        j = len(other)   # a zero bit j of rows[i] marks that the length grows at other[j]
-        for i in range(len(mine), 0, -1):
-            while j and rows[i] >> (j - 1) & 1:
-                j -= 1
-            if not j:
-                break
-            if rows[i - 1] >> (j - 1) & 1:
-                if other[j - 1] == a[mine[i - 1]]:
-                    found.append(mine[i - 1])
-                    j -= 1
-    return [*range(head), *reversed(found), *range(len(a) - tail, len(a))]
+    found = _divided([a[k] for k in mine], [x for x in b[head:len(b) - tail] if x in both]) if mine else []
+    return [*range(head), *(mine[k] for k in found), *range(len(a) - tail, len(a))]
 
 
 def _described(html: str | None) -> dict:
@@ -273,8 +315,11 @@ def _deletions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield frame(settle(0))
 
 
-def _edges(ranged: DataFrame) -> list[tuple[str, int]]:
-    """(row, part): the pages of other parts that a part's first and last pages meet."""
+def _edges(ranged: DataFrame) -> DataFrame:
+    """(__doc_row, part): the pages of other parts that a part's first and last pages meet.
+
+    A part gives the last pages of its first and last AROUND + 1 runs; the parts of one host
+    hand them on in order, which a task does for each host from so many rows a part."""
     order = W.partitionBy("part").orderBy("host", "path", "__doc_row")
     change = [F.coalesce((F.col("host") != f("host").over(order)) | (F.col("list") != f("list").over(order)), F.lit(True)) for f in (F.lag, F.lead)]
     whole = W.partitionBy("part")
@@ -283,27 +328,28 @@ def _edges(ranged: DataFrame) -> list[tuple[str, int]]:
     runs = runs.withColumn("run", F.sum(F.col("begins").cast("long")).over(order)).withColumn("runs", F.max("run").over(whole))
     head = F.col("begins") & (F.col("host") == F.col("low")) & (F.col("run") <= AROUND + 1)
     tail = F.col("ends") & (F.col("host") == F.col("high")) & (F.col("run") >= F.col("runs") - AROUND)
-    rows = runs.select("part", "low", "high", "list", "__doc_row", "run", head.alias("head"), tail.alias("tail")).filter("head OR tail") \
-        .orderBy("part", "run", "path", "__doc_row").collect()
-    parts: dict[int, list] = {}
-    for r in rows:
-        parts.setdefault(r.part, []).append(r)
+    rows = runs.select("host", "part", "low", "high", "list", "path", "__doc_row", "run", head.alias("head"), tail.alias("tail")).filter("head OR tail")
+    return rows.groupBy("host").applyInPandas(_handed_on, "__doc_row string, part int")
+
+
+def _handed_on(rows: pd.DataFrame) -> pd.DataFrame:
+    """``_edges`` of the parts of one host."""
+    rows = rows.sort_values(["part", "run", "path", "__doc_row"])
+    parts = [(part, list(group.itertuples(index=False, name=None))) for part, group in rows.groupby("part", sort=True)]
+    at = {c: k for k, c in enumerate(rows.columns)}
     out = []
-    for side, mine, other, step in (("tail", "high", "low", 1), ("head", "low", "high", -1)):
-        host, held = None, []   # runs on the way to the next part, the nearest last
-        for part in list(parts)[::step]:
-            first = parts[part][0]
-            if held and host == first[other]:
+    for side, other, step in (("tail", "low", 1), ("head", "high", -1)):
+        held: list[tuple[int, str]] = []   # runs on the way to the next part, the nearest last
+        for part, here in parts[::step]:
+            if here[0][at[other]] == here[0][at["host"]]:
                 out += [(row, part) for _, row in held]
-            if host != first[mine] or first.low != first.high:
-                host, held = first[mine], []
-            for r in parts[part][::step]:
-                if r[side]:
-                    if held and held[-1][0] == r.list:
+            for r in here[::step]:
+                if r[at[side]]:
+                    if held and held[-1][0] == r[at["list"]]:
                         held.pop()
-                    held.append((r.list, r["__doc_row"]))
+                    held.append((r[at["list"]], r[at["__doc_row"]]))
             held = held[-AROUND - 1:]   # one may have the lines of the part's own first or last pages
-    return out
+    return pd.DataFrame(out, columns=["__doc_row", "part"]).astype({"part": "int32"})
 
 
 def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -324,8 +370,10 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
 
     light = described.filter(F.size("hashes") > 0).select("__doc_row", "host", "path", "hashes", F.exists("at_risk", lambda x: x).alias("wanted"))
     ranged = materialise(light.repartitionByRange("host", "path", "__doc_row").withColumn("part", F.spark_partition_id()), "ranged")
-    edges = pages.sparkSession.createDataFrame(_edges(ranged), "__doc_row string, part int")
-    beyond = ranged.drop("part").join(F.broadcast(edges), "__doc_row").withColumn("wanted", F.lit(False))
+    edges = materialise(_edges(ranged), "edges")
+    if edges.count() <= BROADCAST_EDGES:
+        edges = F.broadcast(edges)
+    beyond = ranged.drop("part").join(edges, "__doc_row").withColumn("wanted", F.lit(False))
     shared = (ranged.unionByName(beyond).repartition("part").sortWithinPartitions("part", "host", "path", "__doc_row")
               .mapInPandas(_deletions, "__doc_row string, shared array<int>"))
 

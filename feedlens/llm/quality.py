@@ -4,11 +4,12 @@ Trusted positives (labelled 1) and unlabelled web text are described by figures
 words, signs, lines and repetition; each figure is cut into quantile bins and an
 additive logistic model minimises the non-negative unbiased risk
 ``p R+(positives) + max(0, R-(unlabelled) - p R-(positives))``. The class prior p is
-estimated by best-bin estimation on the scores of a first positive-against-unlabelled
-model on rows that it was not fitted on.
+estimated by best-bin estimation on the scores of first positive-against-unlabelled
+models, each on the half of the rows that it was not fitted on, and averaged.
 
-The fit takes bounded samples (``POSITIVES``, ``UNLABELLED`` rows at most twice over);
-every row of the table is scored from its whole text.
+The fit takes bounded samples (``POSITIVES``, ``UNLABELLED`` rows at most twice over),
+drawn and ordered by a hash of id and text, so one table has one model however it is laid
+out; every row of the table is scored from its whole text.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from operator import eq
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedlens.llm.common import id_remainder, read_table, sample_rows, sigmoid, text_udf
+from feedlens.llm.common import first_by_hash, id_remainder, read_table, sample_rows, sigmoid, text_udf
 
 POSITIVES, UNLABELLED = 15_000, 25_000
 BINS, ROUNDS, LEARNING_RATE, PENALTY = 16, 400, 0.05, 3e-4
@@ -126,8 +127,10 @@ def fit_quality(positive: np.ndarray, unlabelled: np.ndarray, prior: float | Non
     both = np.concatenate([positive, unlabelled])
     edges = np.quantile(both, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T.copy()
     if prior is None:
-        first = _fit(edges, positive[::2], unlabelled[::2], _against_unlabelled)
-        prior = class_prior(first.score(positive[1::2]), first.score(unlabelled[1::2]))
+        prior = 0.0
+        for k in (0, 1):     # fitted on one half, estimated on the other
+            first = _fit(edges, positive[k::2], unlabelled[k::2], _against_unlabelled)
+            prior += class_prior(first.score(positive[1 - k::2]), first.score(unlabelled[1 - k::2])) / 2
     return _fit(edges, positive, unlabelled, non_negative_risk(prior))
 
 
@@ -142,8 +145,10 @@ def score_udf(model: BinnedModel | None):
     return text_udf("double", lambda: score)
 
 
-def _gathered(rows: DataFrame, text: str, bound: int) -> np.ndarray:
-    found = rows.select(figures_udf()(F.col(text)).alias("x")).limit(2 * bound).collect()
+def _gathered(rows: DataFrame, bound: int) -> np.ndarray:
+    """Figures of at most twice ``bound`` rows (__id, __text), in the order of their hash."""
+    described = rows.select(F.xxhash64(F.lit(9), "__id", "__text").alias("__h"), figures_udf()(F.col("__text")).alias("x"))
+    found = first_by_hash(described, 2 * bound, "__h", "x").select("x").collect()
     return np.stack([np.frombuffer(r.x) for r in found]) if found else np.zeros((0, 0))
 
 
@@ -152,10 +157,9 @@ def train_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     """Fit on rows that are not held out: those labelled 1, and unlabelled text (any row)."""
     learn = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).filter(id_remainder("__id", SPLIT) != HELD_OUT)
     good = labels.filter(F.col(label) == 1).select(F.col(doc_id).alias("__id")).distinct().filter(id_remainder("__id", SPLIT) != HELD_OUT)
-    chosen = sample_rows(good, positives, "__id").limit(2 * positives)   # ids only: bounded, so broadcast
+    chosen = first_by_hash(sample_rows(good, positives, "__id"), 2 * positives, "__id")   # ids only: bounded, so broadcast
     trusted = learn.join(F.broadcast(chosen), "__id", "left_semi")
-    return fit_quality(_gathered(trusted, "__text", positives),
-                       _gathered(sample_rows(learn, unlabelled, "__id"), "__text", unlabelled))
+    return fit_quality(_gathered(trusted, positives), _gathered(sample_rows(learn, unlabelled, "__id", "__text"), unlabelled))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,10 +1,15 @@
 """Secret scanning with a random forest that removes false positives.
 
-Candidates are cut out of whole texts by one pattern; each is described by its length,
-its character classes and the transitions between them, the share of its letters that
-dictionary words cover, the path it stands in and its neighbouring words. A random
+Candidates are cut out of whole texts by one pattern, in one pass; each is described by its
+length, its character classes and the transitions between them, the share of its letters
+that dictionary words cover, the path it stands in and its neighbouring words. A random
 forest, trained from labelled findings, scores them. All of it is DataFrame and SQL
 functions and Spark's own ML stages; nothing runs in Python on the executors.
+
+Where nobody labelled findings, evidence that the forest doesn't see does: the name that a
+value is set to, the issuer's mark at its front, the form of an address. The features hold
+none of it: the name is cut off before the neighbouring words are taken. So the forest has
+to learn what keys look like, and that is what decides on findings without evidence.
 """
 
 from __future__ import annotations
@@ -17,13 +22,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from feedlens.llm.common import id_remainder, materialise, read_table, sample_rows, with_row_key
 
 # What a candidate looks like (a run of 10 or more key characters with a
-# digit, or what a secret-like name is set to), and words that stand beside keys.
-KEY_WORDS = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer|key)"
-RUN = r"(?<![A-Za-z0-9+/_=@.\-])(?=[A-Za-z+/_=@.\-]*+[0-9])[A-Za-z0-9+/_=@.\-]{10,}"
-ASSIGNED = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key)[\"']?\s{0,2}[:=]\s{0,2}[\"']?[^\s\"',;]{6,}"
-CANDIDATE = f"(?:{ASSIGNED})|(?:{RUN})"
+# digit, one of 24 or more with capitals inside, or what a secret-like name is set to),
+# marks of issued keys, names of keys and of digests, and words that tell of examples.
+SECRET_NAME = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key)"
+DIGEST_NAME = r"(?:sha-?(?:1|256|512)|md5|checksum|digest|commit|revision|etag|integrity|uuid|guid|build|version)"
+SET_TO = r"[\"']?\s{0,2}[:=]\s{0,2}[\"']?"
+ISSUED = r"^(?:(?:AKIA|ASIA)[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{30}|xox[abprs]-|sk[-_][A-Za-z0-9_]{20}|eyJ[A-Za-z0-9_-]{10,}\.)"
+KEY_CHARACTERS = r"[A-Za-z0-9+/_=@.\-]"
+RUN = rf"(?<!{KEY_CHARACTERS})(?=[A-Za-z+/_=@.\-]*+[0-9]|[A-Za-z]*[a-z][A-Z][A-Za-z+/_=]{{22}}){KEY_CHARACTERS}{{10,}}"
+CANDIDATE = rf"(?:(?i:{SECRET_NAME}){SET_TO}[^\s\"',;]{{6,}})|(?:{RUN})"
+NAMED = rf"(?i)^(?:{SECRET_NAME}|{DIGEST_NAME}){SET_TO}"
+NAME_BEFORE = rf"(?i)(?:{SECRET_NAME}|{DIGEST_NAME}){SET_TO}$"
 EXAMPLE_WORDS = r"(?i)(example|sample|dummy|placeholder|test|fake|xxx|changeme|your)"
 TEST_PATHS = r"(?i)(^|[/\\._-])(tests?|examples?|samples?|docs?|fixtures?|mocks?|spec)([/\\._-]|$)"
+BEGIN, END = "\u0001", "\u0002"
 
 CONTEXT = 60               # characters of context on either side
 LABELLED = 20_000          # labelled findings the forest is fitted on, at most twice over
@@ -31,30 +43,33 @@ FIT_PARTITIONS = 8
 DICTIONARY_SHARE = 2e-6    # a word with this share of all words is in the dictionary: at most 1 / share words
 TREES, DEPTH, SEED = 40, 8, 7
 SPLIT, HELD_OUT, THRESHOLD = 3, 1, 0.5
-FEATURES = ["n", "digits", "uppers", "lowers", "others", "transitions", "distinct", "longest_digits", "coverage", "has_slash", "has_dot",
-            "has_at", "has_equals", "in_test_path", "key_before", "example_near", "quoted", "assigned", "before_length", "after_length",
-            "before_bucket", "after_bucket"]
+FEATURES = ["n", "digits", "uppers", "lowers", "others", "transitions", "distinct", "longest_digits", "coverage", "longest_part",
+            "in_test_path", "example_near", "before_length", "after_length", "before_bucket", "after_bucket"]
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """One row per candidate: __row, doc_id, finding (from 0 in its text), start, end (code
-    points), value, before, after (context), path.
+    points), value (without the name that it is set to), before, after (context), path.
 
-    A text without a candidate, null and empty texts give no row. Start and end follow from
-    the lengths of what lies between, added up over the text's findings."""
+    A text without a candidate, null and empty texts give no row. The pattern runs once over
+    a text and marks its matches; start and end follow from the lengths of the pieces. The
+    two control characters that mark matches count as blanks where a text holds them."""
     keyed = with_row_key(docs).select(
-        F.col("__doc_row").alias("__row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"),
+        F.col("__doc_row").alias("__row"), F.col(doc_id).alias("doc_id"), F.translate(F.col(text), BEGIN + END, "  ").alias("__text"),
         (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path"))
-    holding = keyed.filter(F.col("__text").rlike(CANDIDATE)).select(
-        "__row", "doc_id", "path", F.regexp_extract_all("__text", F.lit(CANDIDATE), 0).alias("value"),
-        F.split("__text", CANDIDATE, -1).alias("gap"))
-    zipped = F.arrays_zip("value", F.col("gap"), F.slice("gap", F.lit(2), F.size("value")).alias("next"))
-    found = holding.select("__row", "doc_id", "path", F.posexplode(zipped).alias("finding", "z")).filter(F.col("z.value").isNotNull()).select(
-        "__row", "doc_id", "path", "finding", F.col("z.value").alias("value"),
-        F.expr(f"right(z.gap, {CONTEXT})").alias("before"), F.expr(f"left(z.next, {CONTEXT})").alias("after"), F.length("z.gap").alias("__gap"))
+    marked = F.regexp_replace("__text", F.lit(CANDIDATE), F.lit(f"{BEGIN}$0{END}"))
+    pieces = keyed.select("__row", "doc_id", "path", F.split(marked, f"[{BEGIN}{END}]").alias("piece")).filter(F.size("piece") > 1)
+    places = F.sequence(F.lit(0), ((F.size("piece") - 3) / 2).cast("int"))     # pieces: gap, match, gap, match, ..., gap
+    zipped = F.transform(places, lambda k: F.struct(F.get("piece", 2 * k).alias("gap"), F.get("piece", 2 * k + 1).alias("match"),
+                                                    F.get("piece", 2 * k + 2).alias("next")))
+    found = pieces.select("__row", "doc_id", "path", F.posexplode(zipped).alias("finding", "z"))
+    name = F.regexp_extract("z.match", NAMED, 0)
+    found = found.select(
+        "__row", "doc_id", "path", "finding", F.substr("z.match", F.length(name) + 1).alias("value"), F.expr(f"left(z.next, {CONTEXT})").alias("after"),
+        F.right(F.concat("z.gap", name), F.lit(CONTEXT)).alias("before"), (F.length("z.gap") + F.length("z.match")).alias("__step"))
     so_far = W.partitionBy("__row").orderBy("finding").rowsBetween(W.unboundedPreceding, 0)
-    end = F.sum(F.col("__gap") + F.length("value")).over(so_far)
-    return found.withColumn("end", end).withColumn("start", F.col("end") - F.length("value")).drop("__gap")
+    end = F.sum("__step").over(so_far)
+    return found.withColumn("end", end).withColumn("start", F.col("end") - F.length("value")).drop("__step")
 
 
 def dictionary(docs: DataFrame, text: str = "text", share: float = DICTIONARY_SHARE) -> DataFrame:
@@ -78,13 +93,12 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         value, "[a-z]", "l"), "[A-Z]", "u"), "[0-9]", "d"), "[^lud]", "o")
     n = F.length(value).cast("double")
-    word_before, word_after = F.regexp_extract("before", r"(\S+)\s*$", 1), F.regexp_extract("after", r"^\s*(\S+)", 1)
+    unnamed = F.regexp_replace("before", NAME_BEFORE, "")      # names are evidence for labels, not figures
+    word_before, word_after = F.regexp_extract(unnamed, r"(\S+)\s*$", 1), F.regexp_extract("after", r"^[\"']?\s*(\S+)", 1)
+    pieces = F.transform(F.split(value, r"[^A-Za-z0-9]+"), F.length)
     flags = {
-        "has_slash": value.contains("/"), "has_dot": value.contains("."), "has_at": value.contains("@"), "has_equals": value.contains("="),
         "in_test_path": F.coalesce(F.col("path").rlike(TEST_PATHS), F.lit(False)),
-        "key_before": F.concat(F.substring("before", -20, 20), value).rlike(KEY_WORDS),
         "example_near": F.concat_ws(" ", word_before, value, word_after).rlike(EXAMPLE_WORDS),
-        "quoted": F.col("before").rlike("[\"']$") | value.rlike("[\"']"), "assigned": F.col("before").rlike("[:=]\\s*[\"']?$") | value.rlike("[:=]"),
     }
     figures = {
         "n": n, "digits": _count(value, "[0-9]") / n, "uppers": _count(value, "[A-Z]") / n, "lowers": _count(value, "[a-z]") / n,
@@ -93,6 +107,7 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / n,
         "longest_digits": F.array_max(F.transform(F.split(value, "[^0-9]+"), F.length)).cast("double"),
         "coverage": F.coalesce(F.col("__covered"), F.lit(0)) / n,
+        "longest_part": F.array_max(pieces).cast("double"),
         "before_length": F.length(word_before).cast("double"), "after_length": F.length(word_after).cast("double"),
         "before_bucket": F.pmod(F.xxhash64(F.lower(word_before)), F.lit(31)).cast("double"),
         "after_bucket": F.pmod(F.xxhash64(F.lower(word_after)), F.lit(31)).cast("double"),
@@ -101,15 +116,17 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """Labels for findings where nobody gave any, from what their form proves: 1 for issued
-    key shapes and long random values set to a secret-like name, 0 for addresses, numbers
-    and versions; others stay unlabelled (null) and are scored only."""
-    value = F.col("value")
-    issued = value.rlike(r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^xox[abprs]-|^sk[-_][A-Za-z0-9]{20,}|^eyJ[A-Za-z0-9_-]{10,}\.")
-    named = F.concat(F.col("before"), value).rlike(r"(?i)(password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[:=]\s*[\"']?[0-9a-f]{16,}")
-    email = value.rlike(r"^[A-Za-z0-9.+_-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$") | value.rlike("@")
-    number = value.rlike(r"^[0-9.+/_=\-]+$")
-    return found.withColumn("label", F.when(issued | named, 1).when(email | number, 0))
+    """Labels for findings where nobody gave any, from evidence outside the features: 1 for
+    values with an issuer's mark or set to a secret-like name (examples left out), 0 for
+    values set to the name of a digest, for addresses, numbers, dates, versions and web
+    paths. All others stay unlabelled (null): the forest alone decides on them."""
+    value, before = F.col("value"), F.col("before")
+    named = before.rlike(rf"(?i){SECRET_NAME}{SET_TO}$") & ~value.rlike(EXAMPLE_WORDS)
+    digest = before.rlike(rf"(?i){DIGEST_NAME}{SET_TO}$")
+    email = value.rlike(r"^[A-Za-z0-9.+_-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+\.?$")
+    number = value.rlike(r"^[0-9.+/_=\-]+$") | value.rlike(r"^v?[0-9]+(\.[0-9]+)+([.+-][0-9A-Za-z.+-]{0,16})?$")
+    web = value.rlike(r"^(?:/{1,2}|www\.)[a-z0-9.-]+(/[A-Za-z0-9._=+-]*)*$")
+    return found.withColumn("label", F.when(value.rlike(ISSUED), 1).when(digest | email | number | web, 0).when(named, 1))
 
 
 def train_forest(findings: DataFrame, labelled: int = LABELLED) -> RandomForestClassificationModel | None:

@@ -3,8 +3,9 @@
 Fingerprints of 64 bits link at ``radius`` (2) or fewer differing bits. The bits are cut
 into six blocks; two differing bits touch at most two of them, so linked fingerprints
 agree on the other four for one of 15 choices, which makes 15 exact buckets of at
-least 42 shared bits. A bucket thus holds at most 2**22 distinct fingerprints (32 MB)
-whatever the corpus. Inside, bit planes are stored vertically (one bit a member, 64
+least 42 shared bits. A bucket of over ``SPLIT`` distinct fingerprints is cut again in the
+same way by its other 22 bits, into ten buckets of which none can hold over 2**10 and which
+go to different tasks, so no bucket's work grows with its square. Inside, bit planes are stored vertically (one bit a member, 64
 members a word); shifted by s they are compared with themselves, so one XOR updates 64
 distances, a two-bit carry-save counter with overflow adds up, and words in which every
 pair has overflowed are abandoned. Only a spanning forest of a bucket's links is
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from feedlens.llm.common import materialise, read_table, text_udf, with_row_key
 
 SHINGLE, RADIUS, BLOCKS = 3, 2, 6
+SPLIT, SPLIT_BLOCKS = 4_096, 5    # fingerprints of a bucket that is compared whole; blocks of a larger one's other bits
 _ONE = np.uint64(1)
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -65,6 +67,14 @@ def bucket_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
     return [((1 << 64) - 1) ^ sum(block[k] for k in gone) for gone in combinations(range(blocks), radius)]
 
 
+def split_masks(mask: int, radius: int = RADIUS, blocks: int = SPLIT_BLOCKS) -> list[int]:
+    """``mask`` with all but ``radius`` of the blocks of the other bits: two values that agree
+    in ``mask`` and are within ``radius`` agree in one of these."""
+    other = [p for p in range(64) if not mask >> p & 1]
+    block = [sum(1 << p for p in other[len(other) * k // blocks:len(other) * (k + 1) // blocks]) for k in range(blocks)]
+    return [((1 << 64) - 1) ^ sum(block[k] for k in gone) for gone in combinations(range(blocks), radius)]
+
+
 def _planes(values: np.ndarray) -> np.ndarray:
     """64 bit planes of the values, each as words of 64 members, one word spare."""
     n = len(values)
@@ -168,13 +178,27 @@ def _forest_frame(rows: np.ndarray, radius: int) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
 def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (u, v) among distinct fingerprints in column ``fp``: enough of them to
     connect every pair within ``radius``, at most one less than its members a bucket."""
-    signed = [m - (1 << 64) if m >> 63 else m for m in bucket_masks(radius)]
-    keys = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
-                               for t, m in enumerate(signed)]))
-    buckets = distinct.select("fp", keys.alias("k")).select("k.t", "k.key", "fp")
+    masks = bucket_masks(radius)
+
+    def keyed(numbered: list[tuple[int, int]]):
+        return F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in numbered])
+
+    buckets = distinct.select("fp", F.explode(keyed(list(enumerate(masks)))).alias("k")).select("k.t", "k.key", "fp")
+    large = materialise(buckets.groupBy("t", "key").agg(F.count("*").alias("n")).filter(F.col("n") > SPLIT), "large_buckets")
+    if not large.isEmpty():
+        sizes = large.select("t", "key", F.lit(True).alias("large"))
+        marked = buckets.join(sizes, ["t", "key"], "left")
+        finer = F.element_at(F.array(*[keyed([(1000 * (t + 1) + k, f) for k, f in enumerate(split_masks(m, radius))])
+                                       for t, m in enumerate(masks)]), F.col("t") + 1)
+        kept = marked.filter("large IS NULL").select("t", "key", "fp")
+        buckets = kept.unionByName(marked.filter("large").select("fp", F.explode(finer).alias("k")).select("k.t", "k.key", "fp"))
     return (buckets.repartition("t", "key").sortWithinPartitions("t", "key", "fp")
             .mapInPandas(_bucket_links(radius), "u long, v long").distinct())
 

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedlens.llm.common import id_remainder, read_table, sample_rows, sigmoid, text_udf
+from feedlens.llm.common import first_by_hash, id_remainder, materialise, read_table, sample_rows, sigmoid, text_udf
 
 TOXIC, CLEAN, FEATURES = 5_000, 10_000, 20_000
 LEAST_EVIDENCE, LEAST_LIFT = 6.0, 3.0
@@ -139,9 +139,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     """Fit on a bounded sample of the labelled rows that are not held out."""
     known = (labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("__y"))
              .filter(id_remainder("__id", SPLIT) != HELD_OUT))
-    chosen = sample_rows(known.filter("__y = 1"), toxic, "__id").limit(2 * toxic) \
-        .unionByName(sample_rows(known.filter("__y = 0"), clean, "__id").limit(2 * clean))   # ids: bounded, so broadcast
+    parts = [first_by_hash(sample_rows(known.filter(F.col("__y") == y), n, "__id"), 2 * n, "__id") for y, n in ((1, toxic), (0, clean))]
+    chosen = parts[0].unionByName(parts[1])      # ids: bounded, so broadcast
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")
+    rows = materialise(rows, "labelled")     # read three times below
     sizes = {r["__y"]: r["n"] for r in rows.groupBy("__y").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
         return None
@@ -158,7 +159,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     number = {r.term: k for k, r in enumerate(standing)}
     if not number:
         return None
-    found = rows.select("__y", _bags_udf(number)(F.col("__text")).alias("b")).select("__y", "b.*").limit(4 * (toxic + clean)).collect()
+    bagged = rows.select(F.xxhash64(F.lit(9), "__id", "__text").alias("__h"), "__y", _bags_udf(number)(F.col("__text")).alias("b"))
+    found = first_by_hash(bagged.select("__h", "__y", "b.*"), 4 * (toxic + clean), "__h", "__y", "sentence", "term", "rest").collect()
     bags = []
     for r in found:
         bag: list[list[int]] = [[] for _ in range(r.sentence[-1] + 1 if r.sentence else 0)]

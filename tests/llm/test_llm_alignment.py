@@ -90,7 +90,7 @@ def as_rows(df):
 
 HARD = [None, "", " ", "  two  spaces ", "a▁b", "ﬁ ligature", "café é", "日本語テキスト 😀👩‍👩‍👧", "<s> </s> <unk> <|endoftext|> <0x41>", "\n\n\t x \r\n",
         "a" * 3000, " " * 999, "\u0000 nul", "don't DON'T 12,345.67", "ｆｕｌｌ width", "Ω Ω K K", "​﻿ bom", "😀" * 300, "x y " * 500,
-        "　ideographic"]
+        "　ideographic", "a\xa0b \xa0\xa0 c", "µ² ¼½ ǅ ª º", "x\x1cy\x85z", "a\n b \t c\t\td  \n  e ", " \n", "\n ", "'s 't''s they're", "a ' b"]
 
 
 def test_query_rows_by_hand(spark, make_docs, plain):
@@ -111,7 +111,8 @@ def test_slices_and_merges_give_the_same_rows(spark, make_docs, plain, monkeypat
     assert as_rows(A.align_tokenizers(make_docs(rows))) == plain.rows(rows)
 
 
-def test_counts_beyond_a_broadcast_join_alike(spark, make_docs, plain):
+def test_counts_beyond_a_broadcast_join_alike(spark, make_docs, plain, monkeypatch):
+    monkeypatch.setattr(A, "BROADCAST_PAIRS", 3)
     rows = [(k, "the same words of all and %d more" % (k % 5)) for k in range(80)]
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:

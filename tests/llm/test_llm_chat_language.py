@@ -144,3 +144,82 @@ def test_language_edge_rows(spark):
     assert L.predict_languages(empty, L.train_language(empty)).collect() == []
     nothing = docs.withColumn("lang", docs["lang"].substr(9, 1)).selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang")
     assert {r.lang_pred for r in L.predict_languages(nothing, L.train_language(nothing)).collect()} == {"und"}
+
+
+def test_ties_come_in_the_order_of_the_texts_in_spark_sql_and_python(spark):
+    """Texts whose escaped forms sort otherwise, null turns, and rows that repeat."""
+    texts = ["[INST] a", "[INZ", "a\n", "a", "<s>", "<t", "[INST]", "[INST] a", "</s>", "<a", ""]
+    rows = [(c, turn, role, t, "x", 1) for c in (1, 2) for turn in (None, 0, 1) for role in ("assistant", "user") for t in texts]
+    random.Random(4).shuffle(rows)
+    got = C.conversation_digests(C.prefix_target_examples(C.formatted_turns(_turns(spark, rows).repartition(5)))).toPandas()
+    con = duckdb.connect()
+    import pandas as pd
+    con.register("conversations", pd.DataFrame([(c, t, r, x) for c, t, r, x, *_ in rows], columns=["conv_id", "turn", "role", "text"]).astype({"turn": "Int64"}))
+    want = con.execute(C.OP2_SQL).df()
+    want = want[want.conv_id > 0]
+    assert sorted(map(tuple, got[want.columns].astype(str).values.tolist())) == sorted(map(tuple, want.astype(str).values.tolist()))
+    ordered = sorted(((t is not None, t or 0, r, x) for c, t, r, x, *_ in rows if c == 1))
+    assert set(got.turns_sha256) == {hashlib.sha256("".join(f"{r}\n{x}\n" for _, _, r, x in ordered).encode()).hexdigest()}
+
+
+def test_examples_spelled_out_agree_with_the_querys_digests(spark):
+    turns = C.formatted_turns(spark.read.parquet(f"{SF}/conversations.parquet"))
+    expanded = C.prefix_target_examples(turns)
+    digests = {r.conv_id: r for r in C.conversation_digests(expanded).collect()}
+    spelled = {}
+    for r in C.example_texts(expanded).collect():
+        spelled.setdefault(r.conv_id, {}).setdefault(r.example, []).append((r.turns_before, r.segment, r.loss_start, r.loss_end))
+    assert set(spelled) == {c for c, r in digests.items() if r.n_examples}
+    for conv, examples in spelled.items():
+        loss, context = "", 0
+        for example in sorted(examples):
+            parts = sorted(examples[example])
+            assert [p[0] for p in parts] == list(range(len(parts))) and all(p[2] is None for p in parts[:-1])
+            _, segment, start, end = parts[-1]
+            loss += C.unescape(segment[start:end])
+            context += sum(len(p[1]) for p in parts[:-1])
+        d = digests[conv]
+        assert (d.n_examples, d.loss_chars, d.context_chars) == (len(examples), len(loss), context)
+        assert d.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_a_language_without_ids_is_learned(spark):
+    rng = random.Random(6)
+    words = {"aa": "kalo meri tuno sabi".split(), "bb": "zwrog phleck strumpt".split()}
+    rows = [(None, " ".join(rng.choice(words["bb"]) for _ in range(12)), "bb") for _ in range(3000)]
+    rows += [(k, " ".join(rng.choice(words["aa"]) for _ in range(12)), "aa") for k in range(3000)]
+    rows += [(9, "only one text of its own " * 4, "cc")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for bound in (30, 5):
+        model = L.train_language(docs, rows=bound)
+        assert [p["lang_pred"] for p in model.predict(["zwrog strumpt phleck", "kalo tuno", "text of its own"])] == ["bb", "aa", "cc"]
+
+
+def test_predictions_against_plain_python(spark):
+    """Grams as sets, without filters and hashes: the same language, nearly the same score."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = L.train_language(docs, rows=10**6)
+    rows = docs.collect()
+
+    def grams(text, order):
+        s = "".join(c if c.isalpha() else " " for c in text.lower())
+        s = " ".join(["", *s.split(), ""]) if s.split() else " "
+        return [s[i:i + order] for i in range(len(s) - order + 1)]
+
+    from collections import Counter
+    held, sets = {}, {}
+    for order in L.ORDERS:
+        counts = {}
+        for r in rows:
+            if r.text is not None and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+                counts.setdefault(r.lang, Counter()).update(grams(r.text, order))
+        sets[order] = {lang: {g for g, n in c.items() if n >= L.LEAST_SHARE * sum(c.values())} for lang, c in counts.items()}
+    assert model.languages == sorted(sets[3])
+    same = 0
+    sample = [r for r in rows if r.text and any(map(str.isalpha, r.text)) and len(r.text) < 20_000]
+    for r, got in zip(sample, model.predict([r.text for r in sample])):
+        shares = {lang: sum(np.mean([g in sets[o][lang] for g in grams(r.text, o)] or [0.0]) for o in L.ORDERS) / 2 for lang in model.languages}
+        best = max(sorted(shares), key=shares.get)
+        assert abs(got["score"] - max(shares.values()) / sum(shares.values())) < 0.02
+        same += got["lang_pred"] == best
+    assert same >= len(sample) - 1

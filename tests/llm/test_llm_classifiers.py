@@ -139,3 +139,69 @@ def test_toxicity_edge_rows(spark, make_docs):
         assert all("gribblot" in text[r.doc_id][s.start:s.end] for s in r.offending)
     assert {r.score for r in X.toxicity_scores(make_docs(rows), labels.filter("toxic = 0")).collect()} == {0.0}
     assert X.toxicity_scores(make_docs([]), labels).collect() == []
+
+
+LAYOUTS = [lambda d: d.repartition(1), lambda d: d.repartition(7), lambda d: d.repartition(23, "lang").orderBy("text")]
+
+
+@pytest.mark.parametrize("scores", [Q.quality_scores, X.toxicity_scores])
+def test_one_answer_for_one_table_however_it_is_laid_out(spark, scores):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    found = [{r.doc_id: r.score for r in scores(lay(docs), lay(labels.withColumn("text", labels["doc_id"].cast("string")).withColumn("lang", labels["toxic"])))
+              .collect()} for lay in LAYOUTS]
+    assert found[0] == found[1] == found[2] and len(set(found[0].values())) > 100
+
+
+def test_quality_accuracy_on_the_small_fixture(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    y = {r.doc_id: r.quality for r in labels.collect()}
+    held = [(r.predicted, y[r.doc_id]) for r in Q.quality_scores(docs, labels).collect() if r.held_out and r.doc_id in y]
+    assert len(held) > 100 and np.mean([a == b for a, b in held]) >= 0.98
+
+
+def test_sample_with_null_ids_is_neither_all_nor_nothing(spark, make_docs, monkeypatch):
+    """All ids null: rows are drawn by id and text, so a share of them is."""
+    docs = make_docs([(None, f"text number {k} " * 3) for k in range(3000)])
+    rows = docs.selectExpr("doc_id AS __id", "text AS __text")
+    from feedlens.llm.common import sample_rows
+    assert 200 < sample_rows(rows, 300, "__id", "__text").count() < 400
+
+
+def test_fit_reaches_the_least_risk_of_a_grid():
+    """One figure with two values: the fitted model's risk against every pair of margins."""
+    rng = np.random.RandomState(5)
+    positive = (rng.rand(300, 1) < 0.85).astype(float)
+    unlabelled = (rng.rand(500, 1) < 0.45).astype(float)
+    prior = 0.35
+
+    def risk(low, high):
+        p, u = (Q.sigmoid(np.where(x[:, 0] > 0.5, high, low)) for x in (positive, unlabelled))
+        return prior * (1 - p).mean() + max(0.0, u.mean() - prior * p.mean())
+
+    model = Q.fit_quality(positive, unlabelled, prior)
+    low, high = model.margin(model.bins(np.array([[0.0], [1.0]])))
+    grid = np.linspace(-8, 8, 65)
+    best = min(risk(a, b) for a in grid for b in grid)
+    assert high > 1 and low < -1 and risk(low, high) <= best + 0.02
+
+
+def test_toxicity_scores_against_plain_python(spark):
+    """Every score of the fixture from the model's weights, by the definition."""
+    import re
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = X.train_toxicity(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in X.toxicity_scores(docs, labels).collect():
+        clean, spans, at = 1.0, [], 0
+        for part in re.split(r"([.!?\n])", texts[r.doc_id] or ""):
+            if part.strip() and part not in ".!?\n":
+                total = model.bias
+                for word in set(re.findall(r"\w+", part.lower())):
+                    total += sum(w for t, w in model.weights.items() if t == word + "$" or (t[-1] != "$" and len(t) in X.BEGINNINGS and word.startswith(t)))
+                p = 1 / (1 + math.exp(-total))
+                clean *= 1 - p
+                if p >= 0.5:
+                    spans.append((at, at + len(part)))
+            at += len(part)
+        assert r.score == pytest.approx(1 - clean, abs=1e-9)
+        assert [(s.start, s.end) for s in r.offending] == spans

@@ -166,3 +166,50 @@ def test_stage_groups_by_component_not_by_id(spark, make_docs):
     out = simhash.simhash_stage(spark, docs, "")
     assert out.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == sorted(zip((0, 0, 4, 4), texts))
+
+
+@pytest.mark.parametrize("radius", [1, 2])
+def test_split_masks_keep_every_pair_within_the_radius(radius):
+    rng = random.Random(radius)
+    for mask in simhash.bucket_masks(radius):
+        finer = simhash.split_masks(mask, radius)
+        free = [p for p in range(64) if not mask >> p & 1]
+        assert all(m & mask == mask and bin(m).count("1") >= 64 - 10 for m in finer)
+        for _ in range(200):
+            a = rng.getrandbits(64)
+            b = a
+            for p in rng.sample(free, radius):
+                b ^= 1 << p
+            assert any(a & m == b & m for m in finer)
+
+
+def test_a_hot_bucket_is_spread_and_links_alike(spark, monkeypatch):
+    """Fingerprints that share 42 bits: one bucket of all, cut into many by their other bits."""
+    mask = simhash.bucket_masks()[0]
+    free = [p for p in range(64) if not mask >> p & 1]
+    rng = np.random.RandomState(3)
+    picked = rng.choice(1 << len(free), 3_000, False)
+    values = np.zeros(len(picked), np.uint64)
+    for k, p in enumerate(free):
+        values |= ((picked >> k & 1).astype(np.uint64)) << np.uint64(p)
+    table = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+
+    def joined():
+        return {r.node: r.component for r in simhash.components(simhash.fingerprint_links(table)).collect()}
+
+    whole = joined()
+    monkeypatch.setattr(simhash, "SPLIT", 100)
+    assert joined() == whole and len(set(whole.values())) > 1
+
+
+def test_a_bucket_of_200000_goes_to_many_tasks(spark):
+    mask = simhash.bucket_masks()[0]
+    free = [p for p in range(64) if not mask >> p & 1]
+    place = sum((F.pmod(F.shiftright("id", k), F.lit(2)) * F.lit(1 << p if p < 63 else -(1 << 63)) for k, p in enumerate(free[:18])), F.lit(0))
+    table = spark.range(200_000).select(place.cast("long").alias("fp"))
+    links = simhash.fingerprint_links(table)
+    assert "large" in links._jdf.queryExecution().analyzed().toString()
+    sizes = [r["n"] for r in links.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 1 and sum(sizes) >= 199_999
+    # every value is linked to one that differs in its lowest bit, so all are one component
+    assert simhash.components(links).agg(F.count_distinct("component"), F.count("*")).first() == (1, 200_000)

@@ -115,3 +115,11 @@ def test_whole_fixture(spark):
     got = P.op9_packing(spark, SF).collect()
     assert len({r.doc_id for r in got}) == 1000
     assert _check_packing(got, P.CAPACITY) <= 1.01 * sum(r.length for r in got) / P.CAPACITY + 2
+
+
+def test_ids_stay_in_python_unless_asked_for(make_docs):
+    def plan(with_ids):
+        return P.token_pieces(make_docs([(1, "a b")]), with_ids=with_ids)._jdf.queryExecution().executedPlan().toString()
+
+    assert "ids:binary" not in plan(False) and "ids:binary" in plan(True)
+    assert P.token_pieces(make_docs([(1, "a b")]), with_ids=False).columns == ["doc_id", "piece", "start", "length", "ids_crc32"]

@@ -128,3 +128,12 @@ def test_stages_on_odd_rows_and_clashing_columns(spark, tmp_path):
         docs = kept
     name, stage = corpus_pipeline.STAGES[-1]
     assert stage(spark, docs, SF).count() >= docs.count()
+
+
+def test_run_leaves_only_its_result_behind(spark):
+    from feedlens.llm.common import written
+    before = set(written())
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert out.count() > 0
+    left = set(written()) - before
+    assert len(left) == 1 and all(f.split("/part-")[0].endswith(left.copy().pop()) or left.copy().pop() in f for f in out.inputFiles())
