@@ -5,8 +5,8 @@ start; a running maximum of their ends is kept, and a new group begins where a t
 starts at or beyond it. Inside a group every A token overlaps the group that every B
 token shares, so the links of a group are its A tokens times its B tokens.
 
-Groups never cross texts, so a whole batch of texts is aligned as one array. A document
-gives each distinct pair of ids once, with how often it is linked there; a pair's count is
+Groups cross neither texts nor the blanks that both tokenizers cut at, so many words are
+aligned as one array and, since words repeat, a word's groups are kept. A document gives each distinct pair of ids once, with how often it is linked there; a pair's count is
 the number of documents that give it. Those counts return to the documents by a join, for
 which the counts are broadcast if there are at most ``BROADCAST_PAIRS``.
 """
@@ -15,10 +15,8 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
-from array import array
 from collections.abc import Callable, Iterator
-from itertools import accumulate, chain, islice
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -28,15 +26,18 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from tokenizers import Tokenizer
 
-from feedlens.llm.common import chunks, materialise, read_table, worker_state
+from feedlens.llm.common import CHUNK_CHARS, chunks, materialise, read_table, worker_state
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SLICE = 1 << 20      # links or pairs that are spelled out at a time
-
 BROADCAST_PAIRS = 1 << 20    # id pairs with their counts: about 60 MB in memory
-KEPT_WORDS = 400_000
-PLAIN_END = 0x250    # texts of characters below it, but for the controls that engines disagree on, are cut into words
+KEPT_WORDS, KEPT_CHARS = 400_000, 1 << 25
+# Texts without other characters than these (below U+0250, but for the controls that engines
+# disagree on) are cut into words: a space and all up to the next space that follows no
+# white space, where both tokenizers cut.
 _OTHER = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\u024f]").search
+_WORDS = re.compile(r" \s*+(?:\S++(?:[^\S ]\s*+)?+)*+").findall
+_EDGE = re.compile(r"(?<=\S) ").search
 
 _PAIRS = "array<struct<pair:long,times:long>>"
 _FIGURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -53,53 +54,35 @@ def byte_level_alphabet() -> dict[str, int]:
 
 
 class Side:
-    """One tokenizer: ids of texts, and per id its bytes, their number and its decimal text
-    with each of the separators that may follow.
-
-    Words repeat, so the ids of a word are kept. ``split`` cuts a text (with a space before
-    it) into words that the tokenizer encodes one by one, whatever stands beside them; that
-    holds for texts without a character that ``other`` finds. Any other text goes to the
-    tokenizer as it is."""
+    """One tokenizer: ``encode`` takes texts with the space before them; per id its bytes, their
+    number and its decimal text with each of the separators that may follow. ``cuts``:
+    whether it encodes the words of ``_WORDS`` one by one, whatever stands beside them;
+    ``joins``: whether it is faster to encode many as one text."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pieces: list[bytes], split: Callable[[str], list[str]]):
-        self.encode, self.pieces, self.split = encode, pieces, split
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pieces: list[bytes], cuts: bool, joins: bool = False):
+        self.encode, self.pieces, self.cuts, self.joins = encode, pieces, cuts, joins
         self.sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         self.names = np.array([[f"{k}{end}" for k in range(len(pieces))] for end in ("", ",", "|", ";")], dtype=object)
-        self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words, as bytes; a word whose tokens aren't its bytes can't be kept apart."""
-        found = self.encode(words)
-        if b"".join(map(self.pieces.__getitem__, chain.from_iterable(found))) != "".join(words).encode():
-            raise ValueError("the tokenizer does not keep the words of plain texts")
-        self.known.update((word, array("i", ids).tobytes()) for word, ids in zip(words, found))
-
-    def ids(self, texts: list[str]) -> list[np.ndarray | None]:
-        """Ids of each text, a space before it, or None where their bytes are others."""
-        plain = [not _OTHER(t) for t in texts]
-        split = [self.split(" " + t) if p else [] for t, p in zip(texts, plain)]
-        if len(self.known) > KEPT_WORDS:
-            self.known = dict(islice(self.known.items(), KEPT_WORDS // 3))   # the common words come first
-        words = list(chain.from_iterable(split))
-        found = list(map(self.known.get, words))
-        fresh = [k for k, x in enumerate(found) if x is None]
-        self._learn(list(dict.fromkeys(words[k] for k in fresh)))
-        for k in fresh:
-            found[k] = self.known[words[k]]
-        ends = list(accumulate(map(len, split), initial=0))
-        out = [np.frombuffer(b"".join(found[a:b]), np.int32) if p else None for p, a, b in zip(plain, ends, ends[1:])]
-        piece = self.pieces.__getitem__
-        for k in [k for k, p in enumerate(plain) if not p]:
-            whole = " " + texts[k]
-            ids, = self.encode([whole])
-            if b"".join(map(piece, ids)) == whole.encode():
-                out[k] = np.array(ids, np.int32)
-        return out
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, how many each has, and whether its bytes are the text's."""
+        want = np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in texts), np.int64, len(texts))
+        piece, whole = self.pieces.__getitem__, "".join(texts)
+        if self.joins and self.cuts and not any(t[-1:].isspace() for t in texts):     # then they are words of one text, too
+            flat = np.array(self.encode([whole])[0] if texts else [], np.int64)
+            ends, edges = np.cumsum(self.sizes[flat]), np.cumsum(want)
+            last = np.searchsorted(ends, edges)
+            if len(flat) and ends[-1] == edges[-1] and (ends[last] == edges).all() and b"".join(map(piece, flat.tolist())) == whole.encode():
+                return flat, np.diff(last, prepend=-1), np.ones(len(texts), bool)
+        found = self.encode(texts)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum()))
+        return flat, counts, np.array([b"".join(map(piece, ids)) == t.encode() for t, ids in zip(texts, found)], bool)
 
 
 def byte_level_side(path: str) -> Side:
-    """A byte-level BPE file whose pre-tokenizer splits contractions, words, numbers, signs and
-    white space; the strings of special tokens are plain text."""
+    """A byte-level BPE file, whose pre-tokenizer cuts before the space after another sign; the
+    strings of special tokens are plain text."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks share the cores
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
@@ -111,22 +94,17 @@ def byte_level_side(path: str) -> Side:
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    chars = [chr(c) for c in range(PLAIN_END) if not _OTHER(chr(c))]
-    letters, numbers = (re.escape("".join(c for c in chars if unicodedata.category(c)[0] == kind)) for kind in "LN")
-    split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^\\s{letters}{numbers}]+|\\s+(?!\\S)|\\s+").findall
-    return Side(encode, pieces, split)
+    return Side(encode, pieces, cuts=True, joins=True)
 
 
 def piece_side(path: str) -> Side:
-    """A sentence piece model, which adds the space before a text itself. Its words are runs of
-    spaces with what follows up to the next: no piece has a space after another character."""
+    """A sentence piece model, which adds the space before a text itself. Where no piece has a
+    space after another character, it cuts before each run of spaces."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = []
     for k in range(model.get_piece_size()):
         piece = model.id_to_piece(k)
         pieces.append(bytes([int(piece[3:5], 16)]) if model.is_byte(k) else piece.replace("▁", " ").encode())
-    whole = any(" " in p.lstrip(b" ").decode(errors="replace") for p in pieces)    # then texts can't be cut
-    split = (lambda text: [text]) if whole else re.compile(" +[^ ]*").findall
     lead = len(model.encode("a"))
 
     def encode(texts: list[str]) -> list[list[int]]:
@@ -134,7 +112,7 @@ def piece_side(path: str) -> Side:
         found = model.encode([t[1:] if t.strip(" ") else "a" + t for t in texts], num_threads=1)
         return [ids if t.strip(" ") else ids[lead:] for t, ids in zip(texts, found)]
 
-    return Side(encode, pieces, split)
+    return Side(encode, pieces, not any(b" " in p.lstrip(b" ") for p in pieces))
 
 
 def side(name: str) -> Side:
@@ -154,15 +132,16 @@ def coalesce(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(starts[1:] >= reach[:-1])))
 
 
-def _spans(ids: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All ids, and the starts and ends of their bytes, texts laid end to end."""
-    flat = np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64)
-    ends = np.cumsum(sizes[flat])
-    return flat, ends - sizes[flat], ends
+def _spans(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The starts and ends of the ids' bytes, laid end to end."""
+    ends = np.cumsum(sizes[ids])
+    return ends - sizes[ids], ends
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
     """Where each run of equal keys begins, and the end."""
+    if not len(keys):
+        return np.zeros(1, np.int64)
     return np.concatenate((np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))), [len(keys)]))
 
 
@@ -222,20 +201,21 @@ class Pairs:
         return self.found
 
 
-def align(texts: list[str], left: Side, right: Side, with_groups: bool = True) -> tuple[np.ndarray, list[str], tuple]:
-    """Figures n_a, n_b, n_groups, n_links of each text, its groups as text
-    (``a1,a2|b1;a3|b2,b3``), and (text, pair, times) of the distinct linked pairs of ids."""
-    a, b = (s.ids(texts) for s in (left, right))
-    none = np.zeros(0, np.int32)
-    kept = [bool(t) and x is not None and y is not None for t, x, y in zip(texts, a, b)]
-    a, b = ([x if k else none for x, k in zip(ids, kept)] for ids in (a, b))
-    figures = np.zeros((len(texts), 4), np.int64)
-    figures[:, 0], figures[:, 1] = [len(x) for x in a], [len(x) for x in b]
-    ids_a, starts_a, ends_a = _spans(a, left.sizes)
-    ids_b, starts_b, ends_b = _spans(b, right.sizes)
+def align_words(words: list[str], left: Side, right: Side, with_groups: bool = True) -> tuple[np.ndarray, np.ndarray, list[str], tuple]:
+    """Words or whole texts, each with the space before it, aligned by themselves: whether both
+    sides keep its bytes, figures n_a, n_b, n_groups, n_links, its groups as text
+    (``a1,a2|b1;a3|b2,b3``), and (word, pair, times) of the distinct linked pairs of ids."""
+    (ids_a, n_a, keeps_a), (ids_b, n_b, keeps_b) = (s.ids(words) for s in (left, right))
+    kept = keeps_a & keeps_b
+    if not kept.all():
+        ids_a, ids_b = ids_a[np.repeat(kept, n_a)], ids_b[np.repeat(kept, n_b)]
+        n_a, n_b = n_a * kept, n_b * kept
+    figures = np.zeros((len(words), 4), np.int64)
+    figures[:, 0], figures[:, 1] = n_a, n_b
+    (starts_a, ends_a), (starts_b, ends_b) = _spans(ids_a, left.sizes), _spans(ids_b, right.sizes)
     pairs = Pairs()
     if not len(ids_a):
-        return figures, [""] * len(texts), pairs.merge()
+        return kept, figures, [""] * len(words), pairs.merge()
     on_b = np.repeat([False, True], [len(ids_a), len(ids_b)])
     starts, ends, ids = (np.concatenate(c) for c in ((starts_a, starts_b), (ends_a, ends_b), (ids_a, ids_b)))
     order = np.lexsort((on_b, starts))
@@ -243,19 +223,115 @@ def align(texts: list[str], left: Side, right: Side, with_groups: bool = True) -
     group[order] = coalesce(starts[order], ends[order])
     group_a, group_b = group[:len(ids_a)], group[len(ids_a):]
     n_groups = int(group[order[-1]]) + 1
-    text_of = np.empty(n_groups, np.int64)
-    text_of[group_a] = np.repeat(np.arange(len(texts)), figures[:, 0])
-    text_of[group_b] = np.repeat(np.arange(len(texts)), figures[:, 1])
+    word_of = np.empty(n_groups, np.int64)
+    word_of[group_a] = np.repeat(np.arange(len(words)), figures[:, 0])
+    word_of[group_b] = np.repeat(np.arange(len(words)), figures[:, 1])
     in_a, in_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
-    figures[:, 2] = np.bincount(text_of, minlength=len(texts))
-    np.add.at(figures[:, 3], text_of, in_a * in_b)
+    figures[:, 2] = np.bincount(word_of, minlength=len(words))
+    np.add.at(figures[:, 3], word_of, in_a * in_b)
     one = (in_a == 1) & (in_b == 1)         # most groups are one token on either side
     first_a, first_b = one[group_a], one[group_b]
-    pairs.add(text_of[one], (ids_a[first_a] << 32) | ids_b[first_b], np.ones(int(one.sum()), np.int64))
+    pairs.add(word_of[one], (ids_a[first_a] << 32) | ids_b[first_b], np.ones(int(one.sum()), np.int64))
     for g, pair, times in linked_pairs(group_a[~first_a], ids_a[~first_a], group_b[~first_b], ids_b[~first_b], n_groups):
-        pairs.add(text_of[g], pair, times)
-    spelled = _spelled(group, on_b, ids, left, right, text_of, len(texts)) if with_groups else [""] * len(texts)
-    return figures, spelled, pairs.merge()
+        pairs.add(word_of[g], pair, times)
+    spelled = _spelled(group, on_b, ids, left, right, word_of, len(words)) if with_groups else [""] * len(words)
+    return kept, figures, spelled, pairs.merge()
+
+
+class Words:
+    """Alignments of words by number, in the order in which they were met."""
+
+    def __init__(self, left: Side, right: Side, with_groups: bool):
+        self.left, self.right, self.with_groups = left, right, with_groups
+        self.number: dict[str, int] = {}
+        self.chars = 0
+        self.kept, self.figures, self.groups = np.zeros(0, bool), np.zeros((0, 4), np.int64), []
+        self.first, self.pair, self.times = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the third that was met first: the common words (none where words are very long)."""
+        n = KEPT_WORDS // 3 if self.chars <= KEPT_CHARS else 0
+        self.number = dict(islice(self.number.items(), n))
+        self.kept, self.figures, self.groups = self.kept[:n], self.figures[:n], self.groups[:n]
+        self.first = self.first[:n + 1]
+        self.pair, self.times = self.pair[:self.first[-1]], self.times[:self.first[-1]]
+        self.chars = sum(map(len, self.number))
+
+    def _learn(self, words: list[str]) -> None:
+        kept, figures, groups, (of, pair, times) = align_words(words, self.left, self.right, self.with_groups)
+        self.number.update(zip(words, range(len(self.groups), len(self.groups) + len(words))))
+        self.kept, self.figures = np.concatenate((self.kept, kept)), np.concatenate((self.figures, figures))
+        self.groups += groups
+        self.chars += sum(map(len, words))
+        more = np.cumsum(np.bincount(of, minlength=len(words)))
+        self.first = np.concatenate((self.first, self.first[-1] + more))
+        self.pair, self.times = np.concatenate((self.pair, pair)), np.concatenate((self.times, times))
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        if len(self.groups) > KEPT_WORDS or self.chars > KEPT_CHARS:
+            self._forget()
+        found = list(map(self.number.get, words))
+        fresh = [k for k, x in enumerate(found) if x is None]
+        if fresh:
+            self._learn(list(dict.fromkeys(words[k] for k in fresh)))
+            for k in fresh:
+                found[k] = self.number[words[k]]
+        return np.array(found, np.int64)
+
+    def pairs_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``numbers``, pair, times) of the words' pairs."""
+        many = self.first[numbers + 1] - self.first[numbers]
+        at = np.repeat(self.first[numbers] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.repeat(np.arange(len(numbers)), many), self.pair[at], self.times[at]
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A text with a space before it, in parts of about ``CHUNK_CHARS`` that end between words."""
+    whole, at = " " + text, 0
+    while len(whole) - at > CHUNK_CHARS:
+        edge = _EDGE(whole, at + CHUNK_CHARS)
+        if not edge:
+            break
+        yield whole[at:edge.start()]
+        at = edge.start()
+    yield whole[at:]
+
+
+def align(texts: list[str], words: Words) -> tuple[np.ndarray, list[str], tuple]:
+    """Figures n_a, n_b, n_groups, n_links of each text, its groups as text, and (text, pair,
+    times) of the distinct linked pairs of ids. Texts without tokens have zeros and ''."""
+    figures, groups, pairs = np.zeros((len(texts), 4), np.int64), [[] for _ in texts], Pairs()
+    lost = np.zeros(len(texts), bool)
+    by_words = words.left.cuts and words.right.cuts
+    plain = [bool(t) and by_words and not _OTHER(t) for t in texts]
+    parts = [(k, part) for k, t in enumerate(texts) if plain[k] for part in _parts(t)]
+    for x, y in chunks([len(part) for _, part in parts]):
+        split = [_WORDS(part) for _, part in parts[x:y]]
+        numbers, sizes = words.numbers(list(chain.from_iterable(split))), np.array([len(s) for s in split], np.int64)
+        of = np.repeat(np.array([k for k, _ in parts[x:y]], np.int64), sizes)
+        lost[of[~words.kept[numbers]]] = True
+        np.add.at(figures, of, words.figures[numbers])
+        if words.with_groups:
+            said = list(map(words.groups.__getitem__, numbers.tolist()))
+            for (k, _), a, n in zip(parts[x:y], (np.cumsum(sizes) - sizes).tolist(), sizes.tolist()):
+                groups[k].append(";".join(said[a:a + n]))
+        for a in range(0, len(numbers), SLICE):
+            place, pair, times = words.pairs_of(numbers[a:a + SLICE])
+            pairs.add(of[a:a + SLICE][place], pair, times)
+    whole = [k for k, t in enumerate(texts) if t and not plain[k]]
+    if whole:
+        kept, own, said, (of, pair, times) = align_words([" " + texts[k] for k in whole], words.left, words.right, words.with_groups)
+        number = np.array(whole, np.int64)
+        figures[number], lost[number] = own, ~kept
+        for k, s in zip(whole, said):
+            groups[k].append(s)
+        pairs.add(number[of], pair, times)
+    of, pair, times = pairs.merge()
+    if lost.any():       # a word that one side does not keep: the text has no tokens
+        figures[lost] = 0
+        here = ~lost[of]
+        of, pair, times = of[here], pair[here], times[here]
+    return figures, ["" if gone else ";".join(g) for g, gone in zip(groups, lost.tolist())], (of, pair, times)
 
 
 def _spelled(group, on_b, ids, left: Side, right: Side, text_of, n_texts) -> list[str]:
@@ -275,12 +351,13 @@ def _spelled(group, on_b, ids, left: Side, right: Side, text_of, n_texts) -> lis
 
 def _aligned(a: str, b: str, with_groups: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = side(a), side(b)
+        kept, key = worker_state(), f"words of {a} and {b}, {with_groups}"
+        words = kept.setdefault(key, Words(side(a), side(b), with_groups))
         for batch in batches:
             keys, texts = batch.columns[:2], batch.column(2)
             sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
             for x, y in chunks(sizes):
-                figures, groups, (of, pair, times) = align([t or "" for t in texts.slice(x, y - x).to_pylist()], left, right, with_groups)
+                figures, groups, (of, pair, times) = align([t or "" for t in texts.slice(x, y - x).to_pylist()], words)
                 here = [c.slice(x, y - x) for c in keys]
                 edges = np.searchsorted(of, np.arange(y - x + 1))
                 yield _batch(here, figures, groups, edges, pair, times)

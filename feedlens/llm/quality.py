@@ -4,8 +4,8 @@ Trusted positives (labelled 1) and unlabelled web text are described by figures
 words, signs, lines and repetition; each figure is cut into quantile bins and an
 additive logistic model minimises the non-negative unbiased risk
 ``p R+(positives) + max(0, R-(unlabelled) - p R-(positives))``. The class prior p is
-estimated by best-bin estimation on the scores of first positive-against-unlabelled
-models, each on the half of the rows that it was not fitted on, and averaged.
+estimated by best-bin estimation on cross-fitted scores: a first positive-against-unlabelled
+model scores the fold of documents that it was not fitted on, as positives or as text.
 
 The fit takes bounded samples (``POSITIVES``, ``UNLABELLED`` rows at most twice over),
 drawn and ordered by a hash of id and text, so one table has one model however it is laid
@@ -24,6 +24,7 @@ from feedlens.llm.common import first_by_hash, id_remainder, read_table, sample_
 
 POSITIVES, UNLABELLED = 15_000, 25_000
 BINS, ROUNDS, LEARNING_RATE, PENALTY = 16, 400, 0.05, 3e-4
+FOLDS = 5
 SPLIT, HELD_OUT, THRESHOLD = 3, 1, 0.5
 
 _KIND = np.zeros(256, np.int64)   # of bytes: 0 other signs, 1 lower, 2 upper, 3 digit, 4 usual punctuation, 5 space, 6 line end, 7 beyond ASCII
@@ -120,17 +121,31 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(above_u[use][best] / above_p[use][best], 0.02, 0.98))
 
 
-def fit_quality(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None) -> BinnedModel | None:
-    """The model, or None where there is nothing to learn from."""
+def cross_fitted_prior(edges: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, folds: tuple[np.ndarray, np.ndarray]) -> float:
+    """``class_prior`` of margins that each fold gets from a model of the other folds. A document
+    is in one fold, as a positive and as unlabelled text: seen as a positive, it would score
+    too high as text."""
+    margins = np.zeros(len(positive)), np.zeros(len(unlabelled))
+    for k in range(FOLDS):
+        here = [f % FOLDS == k for f in folds]
+        model = _fit(edges, positive[~here[0]], unlabelled[~here[1]], _against_unlabelled)
+        for out, rows, mine in zip(margins, (positive, unlabelled), here):
+            out[mine] = model.margin(model.bins(rows[mine]))
+    return class_prior(*margins)
+
+
+def fit_quality(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None,
+                folds: tuple[np.ndarray, np.ndarray] | None = None) -> BinnedModel | None:
+    """The model, or None where there is nothing to learn from. ``folds``: a number for each
+    row, the same for a document wherever it stands (None: rows are documents of their own)."""
     if len(positive) < 10 or len(unlabelled) < 10:
         return None
     both = np.concatenate([positive, unlabelled])
     edges = np.quantile(both, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T.copy()
+    if folds is None:
+        folds = np.arange(len(positive)), np.arange(len(unlabelled))
     if prior is None:
-        prior = 0.0
-        for k in (0, 1):     # fitted on one half, estimated on the other
-            first = _fit(edges, positive[k::2], unlabelled[k::2], _against_unlabelled)
-            prior += class_prior(first.score(positive[1 - k::2]), first.score(unlabelled[1 - k::2])) / 2
+        prior = cross_fitted_prior(edges, positive, unlabelled, folds)
     return _fit(edges, positive, unlabelled, non_negative_risk(prior))
 
 
@@ -145,11 +160,12 @@ def score_udf(model: BinnedModel | None):
     return text_udf("double", lambda: score)
 
 
-def _gathered(rows: DataFrame, bound: int) -> np.ndarray:
-    """Figures of at most twice ``bound`` rows (__id, __text), in the order of their hash."""
+def _gathered(rows: DataFrame, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Figures and hashes of at most twice ``bound`` rows (__id, __text), in the order of the hash."""
     described = rows.select(F.xxhash64(F.lit(9), "__id", "__text").alias("__h"), figures_udf()(F.col("__text")).alias("x"))
-    found = first_by_hash(described, 2 * bound, "__h", "x").select("x").collect()
-    return np.stack([np.frombuffer(r.x) for r in found]) if found else np.zeros((0, 0))
+    found = first_by_hash(described, 2 * bound, "__h", "x").collect()
+    x = np.stack([np.frombuffer(r.x) for r in found]) if found else np.zeros((0, 0))
+    return x, np.array([r["__h"] for r in found], np.int64)
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -159,7 +175,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     good = labels.filter(F.col(label) == 1).select(F.col(doc_id).alias("__id")).distinct().filter(id_remainder("__id", SPLIT) != HELD_OUT)
     chosen = first_by_hash(sample_rows(good, positives, "__id"), 2 * positives, "__id")   # ids only: bounded, so broadcast
     trusted = learn.join(F.broadcast(chosen), "__id", "left_semi")
-    return fit_quality(_gathered(trusted, positives), _gathered(sample_rows(learn, unlabelled, "__id", "__text"), unlabelled))
+    (good_x, good_h), (any_x, any_h) = _gathered(trusted, positives), _gathered(sample_rows(learn, unlabelled, "__id", "__text"), unlabelled)
+    return fit_quality(good_x, any_x, folds=(good_h, any_h))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
