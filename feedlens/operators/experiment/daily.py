@@ -79,8 +79,8 @@ def running_moments(moments: DataFrame, start, hi) -> DataFrame:
     and group is summed up; a group without rows on a day has the moments of the day before."""
     start, hi = to_day(start), to_day(hi)
     rows = moments.filter(F.col("event_date").between(F.lit(start), F.lit(hi)))
-    days = rows.sparkSession.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(hi))).alias("Date"))
-    spine = days.join(rows.select("exp_group").distinct(), F.lit(True))      # days x groups
+    days = F.sequence(F.lit(start), F.lit(hi))
+    spine = rows.select("exp_group").distinct().select("exp_group", F.explode(days).alias("Date"))      # days x groups
     filled = spine.join(rows.withColumnRenamed("event_date", "Date"), ["Date", "exp_group"], "left")
     until = Window.partitionBy("exp_group").orderBy("Date")
     return filled.select("Date", "exp_group", *[F.coalesce(F.sum(c).over(until), F.lit(0)).alias(c) for c in MOMENTS + SHARES])
