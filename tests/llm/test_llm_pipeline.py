@@ -105,7 +105,7 @@ def test_empty_documents(spark, tmp_path):
 def test_entry_registers_everything(spark):
     import __spark_entry__ as E
     names = [n for n in E.queries() if n == "pipeline" or n.startswith("op")]
-    assert len([n for n in names if n.startswith("op")]) == 10 and "pipeline" in names
+    assert len([n for n in names if n.startswith("op")]) == 13 and "pipeline" in names
     assert set(E.oracle_sql()) <= set(E.queries())
 
 

@@ -25,7 +25,7 @@ def test_queries_run_where_workers_lack_the_package(tmp_path):
     out = subprocess.run([sys.executable, "-c", CODE.format(repo=REPO, sf="/root/testdata/sf0.001")], cwd=tmp_path, env=env,
                          capture_output=True, text=True, timeout=600)
     rows = {x.split()[1]: int(x.split()[2]) for x in out.stdout.splitlines() if x.startswith("ROWS")}
-    assert len(rows) == 11, out.stderr[-3000:]
+    assert len(rows) == 14, out.stderr[-3000:]
     assert all(n > 0 for name, n in rows.items() if name != "op4_secrets"), rows
 
 
