@@ -2,10 +2,10 @@
 
 Every turn of a conversation becomes one formatted segment, in which control strings of
 the text are escaped reversibly. Every assistant turn is exploded into an example row of
-its own: all segments before it are the context, and only the reply's characters are
-trainable. An example names its context by conversation and number of segments, not by a
-copy, so the output grows with the input also for a conversation of very many turns;
-``example_texts`` spells examples out. What is trained on is read from the example rows.
+its own, which holds the whole prefix: all segments before it as the context, then its
+own; only the reply's characters are trainable. The turns after the last reply belong to
+no example and stand in one row without one. All that is said of a conversation is read
+back from these rows.
 
 Segments:  user  ``<s>[INST] text [/INST]``   assistant  `` text </s>``
            any other role  ``<s>[ROLE name] text [/ROLE]``
@@ -28,8 +28,9 @@ from feedlens.llm.common import read_table
 _CONTROL = r"(/?INST\]|/?s>|/?ROLE[ \]])"
 ESCAPE = (rf"([<\[])(\\*){_CONTROL}", r"$1\\$2$3")
 UNESCAPE = (rf"([<\[])\\(\\*){_CONTROL}", r"$1$2$3")
-_SEGMENT = re.compile(r"<s>\[INST\] (?P<user>.*) \[/INST\]|<s>\[ROLE (?P<role>[^\]]*)\] (?P<other>.*) \[/ROLE\]| (?P<assistant>.*) </s>", re.S)
+_OPENING = re.compile(r"<s>\[(?:INST|ROLE (?P<role>[^\]]*))\] | ")
 _UNESCAPE = re.compile(UNESCAPE[0])
+_HELD_CHARS = 1 << 22
 
 
 def _segment_columns(role: str, text: str) -> dict:
@@ -43,18 +44,30 @@ def _segment_columns(role: str, text: str) -> dict:
             "loss_end": F.when(name == "assistant", F.length(before) + F.length(body))}
 
 
+def read_segments(formatted: str, start: int = 0) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, role, text) of the formatted segments from ``start`` to the end. Texts
+    hold no bare control string, so a segment ends at the first one that closes it."""
+    while start < len(formatted):
+        m = _OPENING.match(formatted, start)
+        if m is None:
+            raise ValueError("not a formatted turn")
+        if m["role"] is not None:
+            role, closing = m["role"].replace("%5D", "]").replace("%25", "%"), " [/ROLE]"
+        else:
+            role, closing = ("assistant", " </s>") if m[0] == " " else ("user", " [/INST]")
+        close = formatted.find(closing, m.end())
+        if close < 0:
+            raise ValueError("not a formatted turn")
+        yield start, close + len(closing), role, unescape(formatted[m.end():close])
+        start = close + len(closing)
+
+
 def read_segment(segment: str) -> tuple[str, str]:
     """(role, text) of a formatted segment."""
-    m = _SEGMENT.fullmatch(segment)
-    if m is None:
+    read = list(islice(read_segments(segment), 2))
+    if len(read) != 1:
         raise ValueError("not a formatted turn")
-    if m["user"] is not None:
-        role, text = "user", m["user"]
-    elif m["assistant"] is not None:
-        role, text = "assistant", m["assistant"]
-    else:
-        role, text = m["role"].replace("%5D", "]").replace("%25", "%"), m["other"]
-    return role, unescape(text)
+    return read[0][2:]
 
 
 def unescape(text: str) -> str:
@@ -75,8 +88,8 @@ def formatted_turns(conversations: DataFrame, conv_id: str = "conv_id", turn: st
     return ordered.select("conv_id", "turn", "role", *[c.alias(k) for k, c in _segment_columns("role", "text").items()])
 
 
-_EXPANDED = "conv_id long, turn long, role string, segment string, turns_before long, chars_before long, " \
-            "example long, loss_start long, loss_end long"
+_EXPANDED = "conv_id long, example long, turns long, text string, loss_start long, loss_end long"
+_SPELLED = "conv_id long, example long, turns_before long, segment string, loss_start long, loss_end long"
 _READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, " \
         "n_examples long, context_chars long"
 
@@ -87,51 +100,69 @@ def _arrow_schema(columns: str) -> pa.Schema:
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        for a in range(0, batch.num_rows, 256):
-            yield from batch.slice(a, 256).to_pylist()
+        step = max(1, min(256, batch.num_rows * _HELD_CHARS // max(batch.nbytes, 1)))
+        for a in range(0, batch.num_rows, step):
+            yield from batch.slice(a, step).to_pylist()
 
 
-def _written(rows: Iterator[dict], columns: str) -> Iterator[pa.RecordBatch]:
+def _written(rows: Iterator[dict], columns: str, text: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of 256 rows, or fewer whose ``text`` has _HELD_CHARS together."""
     kind = _arrow_schema(columns)
-    while held := list(islice(rows, 256)):
+    held, chars = [], 0
+    for row in rows:
+        held.append(row)
+        chars += len(row[text]) if text else 0
+        if len(held) == 256 or chars >= _HELD_CHARS:
+            yield pa.RecordBatch.from_pylist(held, kind)
+            held, chars = [], 0
+    if held:
         yield pa.RecordBatch.from_pylist(held, kind)
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows():
-        for _, turns in groupby(_rows(batches), lambda r: r["conv_id"]):
-            chars = example = 0
-            for n, r in enumerate(turns):
-                here = {**r, "turns_before": n, "chars_before": chars}
-                yield {**here, "example": None, "loss_start": None, "loss_end": None}
+        for conv, turns in groupby(_rows(batches), lambda r: r["conv_id"]):
+            prefix, since, example = "", [], 0
+            for n, r in enumerate(turns, 1):
+                since.append(r["segment"])
                 if r["loss_start"] is not None:
-                    yield {**here, "example": example}
+                    prefix = "".join([prefix, *since])
+                    target = len(prefix) - len(r["segment"])
+                    yield {"conv_id": conv, "example": example, "turns": n, "text": prefix,
+                           "loss_start": target + r["loss_start"], "loss_end": target + r["loss_end"]}
+                    since = []
                     example += 1
-                chars += len(r["segment"])
-    return _written(rows(), _EXPANDED)
+            if since:
+                yield {"conv_id": conv, "example": None, "turns": len(since), "text": "".join(since), "loss_start": None, "loss_end": None}
+    return _written(rows(), _EXPANDED, "text")
 
 
 def prefix_target_examples(turns: DataFrame) -> DataFrame:
-    """The segments of ``formatted_turns`` (in its order) and, after each assistant turn's, the
-    row of its example. turns_before and chars_before: the segments of the conversation
-    before this one. A segment row has no example; an example row has its number (from 0),
-    the reply's segment and the characters loss_start to loss_end of it that are trainable.
-    Its context is the first turns_before segments of the conversation, all masked.
-
-    A conversation's rows pass through one task as a stream and are never held whole."""
+    """One row for each assistant turn of ``formatted_turns`` (in its order): its number in the
+    conversation (``example``, from 0) and ``text``, all segments of the conversation up to
+    and with the reply's, ``turns`` in number. The characters loss_start to loss_end of the
+    text, the reply, are trainable; all before them is the context and masked. The segments
+    after a conversation's last reply come in one more row, whose example and loss are null.
+
+    Examples grow with the square of a conversation's length: that is what the expansion
+    makes. A task holds one conversation's text and one batch of examples."""
     return turns.mapInArrow(_expand, _EXPANDED)
 
 
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows():
+        for r in _rows(batches):
+            for n, (start, end, *_) in enumerate(read_segments(r["text"])):
+                target = n == r["turns"] - 1
+                yield {"conv_id": r["conv_id"], "example": r["example"], "turns_before": n, "segment": r["text"][start:end],
+                       "loss_start": r["loss_start"] - start if target else None, "loss_end": r["loss_end"] - start if target else None}
+    return _written(rows(), _SPELLED, "segment")
+
+
 def example_texts(expanded: DataFrame) -> DataFrame:
-    """Examples spelled out, as the rows of their segments: conv_id, example, turns_before,
-    segment, and the trainable span in the last. As large as all prefixes together."""
-    segments = expanded.filter("example IS NULL").select("conv_id", "turns_before", "segment")
-    targets = expanded.filter("example IS NOT NULL").select(
-        F.col("conv_id").alias("__conv"), "example", F.col("turns_before").alias("__last"), "loss_start", "loss_end")
-    here = F.col("turns_before") == F.col("__last")
-    return (segments.join(targets, F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("turns_before") <= F.col("__last")))
-            .select("conv_id", "example", "turns_before", "segment",
-                    F.when(here, F.col("loss_start")).alias("loss_start"), F.when(here, F.col("loss_end")).alias("loss_end")))
+    """The examples as the rows of their segments: conv_id, example, turns_before, segment,
+    and the trainable span in the last."""
+    return expanded.filter("example IS NOT NULL").mapInArrow(_spell, _SPELLED)
 
 
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,18 +170,25 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for conv, held in groupby(_rows(batches), lambda r: r["conv_id"]):
             whole, loss = hashlib.sha256(), hashlib.sha256()
             n = n_loss = chars = examples = context = 0
+            before = ""
             for r in held:
                 if r["example"] is None:
-                    role, text = read_segment(r["segment"])
+                    new = 0
+                    chars += len(r["text"])
+                else:
+                    if not r["text"].startswith(before):
+                        raise ValueError("an example's context is not what was said before it")
+                    new, before = len(before), r["text"]
+                    chars = len(before)
+                for start, _, role, text in read_segments(r["text"], new):
                     whole.update(f"{role}\n{text}\n".encode())
                     n += 1
-                    chars += len(r["segment"])
-                else:
-                    reply = unescape(r["segment"][r["loss_start"]:r["loss_end"]])
+                if r["example"] is not None:
+                    reply = unescape(r["text"][r["loss_start"]:r["loss_end"]])
                     loss.update(reply.encode())
                     n_loss += len(reply)
                     examples += 1
-                    context += r["chars_before"]
+                    context += start
             yield {"conv_id": conv, "n_turns": n, "turns_sha256": whole.hexdigest(), "loss_chars": n_loss, "loss_sha256": loss.hexdigest(),
                    "formatted_chars": chars, "n_examples": examples, "context_chars": context}
     return _written(rows(), _READ)
@@ -158,9 +196,12 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def conversation_digests(expanded: DataFrame) -> DataFrame:
     """What the output of ``prefix_target_examples`` says when it is read back, one row per
-    conversation: from its segment rows the digest of the turns and the length of all
-    segments, from its example rows the digest of the trainable text (unescaped), their
-    number and the length of their contexts together."""
+    conversation: from its examples and what follows the last, the digest of the turns and
+    the length of all segments; from what is trainable in the examples, the digest of the
+    replies (unescaped); the number of examples and the length of their contexts together.
+
+    Every example must begin with the whole text of the one before it; each turn is read
+    where it first appears."""
     return expanded.mapInArrow(_read_back, _READ)
 
 

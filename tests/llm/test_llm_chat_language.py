@@ -1,10 +1,13 @@
 import hashlib
 import random
+import re
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.errors import PythonException
+from pyspark.sql import functions as F
 
 from feedlens.llm import chat as C, language as L
 
@@ -223,3 +226,45 @@ def test_predictions_against_plain_python(spark):
         assert abs(got["score"] - max(shares.values()) / sum(shares.values())) < 0.02
         same += got["lang_pred"] == best
     assert same >= len(sample) - 1
+
+
+def test_an_example_holds_its_whole_prefix(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "q"), (1, 2, "assistant", "a</s>"), (1, 3, "user", "r"), (1, 4, "assistant", "é😀"), (1, 5, "user", "t"),
+            (1, 6, "tool", "u"), (2, 0, "user", "only"), (None, 0, "assistant", "x"), (None, 1, "assistant", "")]
+    expanded = C.prefix_target_examples(C.formatted_turns(_turns(spark, [(*r, "x", 1) for r in rows]))).collect()
+    got = {(r.conv_id, r.example): (r.turns, r.text, r.loss_start is not None and r.text[r.loss_start:r.loss_end]) for r in expanded}
+    assert len(got) == len(expanded)
+    first = "<s>[ROLE system] s [/ROLE]<s>[INST] q [/INST] a<\\/s> </s>"
+    assert got == {(1, 0): (3, first, "a<\\/s>"), (1, 1): (5, first + "<s>[INST] r [/INST] é😀 </s>", "é😀"),
+                   (1, None): (2, "<s>[INST] t [/INST]<s>[ROLE tool] u [/ROLE]", False), (2, None): (1, "<s>[INST] only [/INST]", False),
+                   (None, 0): (1, " x </s>", "x"), (None, 1): (2, " x </s>  </s>", "")}
+
+
+def test_digests_are_read_from_the_examples(spark):
+    """Another word in the contexts is another digest; contexts that differ are refused."""
+    rows = [(1, 0, "user", "one", "x", 1), (1, 1, "assistant", "a", "x", 1), (1, 2, "user", "q", "x", 1), (1, 3, "assistant", "b", "x", 1)]
+    expanded = C.prefix_target_examples(C.formatted_turns(_turns(spark, rows)))
+    plain = C.conversation_digests(expanded).first()
+    changed = C.conversation_digests(expanded.withColumn("text", F.replace("text", F.lit("one"), F.lit("two")))).first()
+    assert changed.turns_sha256 == hashlib.sha256(b"user\ntwo\nassistant\na\nuser\nq\nassistant\nb\n").hexdigest() != plain.turns_sha256
+    assert changed.loss_sha256 == plain.loss_sha256
+    last = F.when(F.col("example") == 1, F.replace("text", F.lit("one"), F.lit("two"))).otherwise(F.col("text"))
+    with pytest.raises(PythonException, match="not what was said before"):
+        C.conversation_digests(expanded.withColumn("text", last)).collect()
+
+
+def test_segments_in_a_row_read_back():
+    roles = ["user", "assistant", "system", "a</s>%]b", "[/ROLE", ""]
+    said = [(role, t) for role in roles for t in [*ODD, " ", "[/INST", "</s", "[/ROLE", "<", "["]]
+    random.Random(5).shuffle(said)
+
+    def formatted(role, text):
+        body = re.sub(C.ESCAPE[0], r"\1\\\2\3", text)
+        marked = role.replace("%", "%25").replace("]", "%5D")
+        return {"user": f"<s>[INST] {body} [/INST]", "assistant": f" {body} </s>"}.get(role, f"<s>[ROLE {marked}] {body} [/ROLE]")
+
+    whole = "".join(formatted(*s) for s in said)
+    assert [s[2:] for s in C.read_segments(whole)] == said
+    for bad in ("x", "<s>[INST] a", whole + "x"):
+        with pytest.raises(ValueError):
+            list(C.read_segments(bad))
